@@ -1,0 +1,232 @@
+"""Reference SQL (DuckDB dialect) for the registered queries.
+
+An independent formulation of every query over the same parquet views
+(region, nation, customer, supplier, part, orders, lineitem, ...): the
+silver mapping of ``strata.plans.tpch`` as CTEs, then plain SQL joins.  Used
+by the correctness check; never executed by the library itself.
+"""
+
+from __future__ import annotations
+
+import re
+
+# silver-shaped CTEs over the TPC-H-like views (mirror of strata.plans.tpch)
+SILVER_CTES: dict[str, str] = {
+    "s_countries": """SELECT CAST(r_regionkey AS BIGINT) AS country_id, r_name AS country_name,
+        upper(substring(r_name, 1, 3)) AS iso_alpha3_code, r_name AS continent,
+        concat('R', CAST(r_regionkey AS VARCHAR)) AS region, CAST(NULL AS VARCHAR) AS subregion
+        FROM region""",
+    "s_delivery_methods": """SELECT CAST(r_regionkey AS BIGINT) AS delivery_method_id,
+        r_name AS delivery_method_name FROM region""",
+    "s_colors": """SELECT CAST(r_regionkey AS BIGINT) AS color_id, lower(r_name) AS color_name FROM region""",
+    "s_provinces": """SELECT CAST(n_nationkey AS BIGINT) AS state_province_id,
+        concat('N', CAST(n_nationkey AS VARCHAR)) AS state_province_code, n_name AS state_province_name,
+        CAST(n_regionkey AS BIGINT) AS country_id,
+        concat('Territory ', CAST(n_regionkey AS VARCHAR)) AS sales_territory,
+        CAST(n_nationkey AS BIGINT) * 100000 AS latest_recorded_population FROM nation""",
+    "s_package_types": """SELECT CAST(n_nationkey AS BIGINT) AS package_type_id, n_name AS package_type_name
+        FROM nation""",
+    "s_cities": """SELECT c_custkey AS city_id, concat('City ', CAST(c_custkey AS VARCHAR)) AS city_name,
+        CAST(c_nationkey AS BIGINT) AS state_province_id FROM customer""",
+    "s_people": """SELECT c_custkey AS person_id, c_name AS full_name,
+        CASE WHEN c_custkey % 4 <> 0 THEN concat('contact', CAST(c_custkey AS VARCHAR), '@example.com') END AS email_address,
+        concat('+1 555 ', CAST(c_custkey AS VARCHAR)) AS phone_number,
+        CASE WHEN c_custkey % 2 <> 0 THEN concat('+1 556 ', CAST(c_custkey AS VARCHAR)) END AS fax_number
+        FROM customer""",
+    "s_customers": """SELECT c_custkey AS customer_id, c_name AS customer_name,
+        c_custkey - c_custkey % 5 AS bill_to_customer_id,
+        CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS credit_limit,
+        CAST(c_nationkey % 7 AS BIGINT) AS delivery_method_id,
+        CASE WHEN c_custkey % 11 <> 0 THEN c_custkey END AS delivery_city_id,
+        CASE WHEN c_custkey % 6 <> 0 THEN c_custkey + 1 END AS primary_contact_person_id,
+        concat('+1 557 ', CAST(c_custkey AS VARCHAR)) AS phone_number,
+        CAST(NULL AS VARCHAR) AS fax_number,
+        concat('http://www.', lower(c_mktsegment), '.example') AS website_url,
+        CASE WHEN c_custkey % 3 <> 0 THEN concat('Shop ', CAST(c_custkey AS VARCHAR)) END AS delivery_address_line1,
+        concat(CAST(c_custkey AS VARCHAR), ' Market Street') AS delivery_address_line2,
+        CAST(c_nationkey AS BIGINT) + 90000 AS delivery_postal_code,
+        concat('PO Box ', CAST(c_custkey AS VARCHAR)) AS postal_address_line1,
+        c_mktsegment AS postal_address_line2,
+        CAST(c_nationkey AS BIGINT) + 90000 AS postal_postal_code
+        FROM customer""",
+    "s_suppliers": """SELECT s_suppkey AS supplier_id, s_name AS supplier_name,
+        CASE WHEN s_suppkey % 3 <> 0 THEN CAST(s_nationkey % 5 AS BIGINT) END AS delivery_method_id,
+        s_suppkey * 7 AS primary_contact_person_id, s_suppkey * 3 AS delivery_city_id,
+        s_suppkey * 3 + 1 AS postal_city_id,
+        concat('+1 558 ', CAST(s_suppkey AS VARCHAR)) AS phone_number,
+        CASE WHEN s_suppkey % 4 <> 0 THEN concat('Suite ', CAST(s_suppkey AS VARCHAR)) END AS delivery_address_line1,
+        concat(CAST(s_suppkey AS VARCHAR), ' Harbour Road') AS delivery_address_line2,
+        CAST(s_nationkey AS BIGINT) + 10000 AS delivery_postal_code,
+        concat('PO Box ', CAST(s_suppkey AS VARCHAR)) AS postal_address_line1,
+        concat(CAST(s_suppkey AS VARCHAR), ' Harbour Road') AS postal_address_line2,
+        CAST(s_nationkey AS BIGINT) + 10000 AS postal_postal_code,
+        CASE WHEN s_suppkey % 2 <> 0 THEN 'Preferred supplier' END AS internal_comments,
+        concat('REF', CAST(s_suppkey AS VARCHAR)) AS supplier_reference,
+        s_name AS bank_account_name,
+        concat('Branch ', CAST(s_nationkey AS VARCHAR)) AS bank_account_branch,
+        CAST(s_suppkey AS VARCHAR) AS bank_account_code
+        FROM supplier""",
+    "s_stock_items": """SELECT p_partkey AS stock_item_id, p_name AS stock_item_name,
+        p_partkey % 100 AS supplier_id,
+        CASE WHEN p_partkey % 4 <> 0 THEN CAST(p_size % 7 AS BIGINT) END AS color_id,
+        p_partkey % 25 AS unit_package_id, CAST(p_size % 25 AS BIGINT) AS outer_package_id,
+        p_brand AS brand, p_type AS size, p_retailprice / 100 AS typical_weight_per_unit,
+        CAST(p_size AS BIGINT) AS lead_time_days, CAST(p_size * 2 AS BIGINT) AS quantity_per_outer,
+        CAST(p_size % 2 AS BIGINT) AS is_chiller_stock, CAST(15.0 AS DOUBLE) AS tax_rate,
+        p_retailprice AS unit_price, p_retailprice * CAST(1.5 AS DOUBLE) AS recommended_retail_price,
+        concat(p_name, ' ', p_type) AS search_details
+        FROM part""",
+    "s_orders": """SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderkey % 25 AS salesperson_id,
+        CASE WHEN o_orderstatus <> 'O' THEN o_orderkey % 50 END AS picked_by_id,
+        o_custkey AS contact_person_id, o_orderdate AS order_date,
+        o_orderdate + INTERVAL 7 DAY AS expected_delivery_date,
+        o_orderkey + 100000 AS customer_po_number
+        FROM orders""",
+    "s_purchase_orders": """SELECT o_orderkey AS purchase_order_id, o_custkey % 100 AS supplier_id,
+        o_orderdate AS order_date, o_orderkey % 5 AS delivery_method_id, o_custkey AS contact_person_id,
+        o_orderdate + INTERVAL 14 DAY AS expected_delivery_date,
+        concat('PO', CAST(o_orderkey AS VARCHAR)) AS supplier_reference,
+        CASE WHEN o_orderstatus = 'F' THEN CAST(1 AS BIGINT) WHEN o_orderstatus = 'O' THEN CAST(0 AS BIGINT) END
+            AS is_order_finalized
+        FROM orders""",
+    "s_order_lines": """SELECT l_orderkey AS order_id, l_orderkey * 100 + l_linenumber AS order_line_id,
+        l_partkey AS stock_item_id, concat(l_returnflag, '-', l_linestatus) AS description,
+        l_suppkey % 25 AS package_type_id, CAST(l_quantity AS BIGINT) AS quantity,
+        l_extendedprice AS unit_price, l_tax AS tax_rate, CAST(l_quantity AS BIGINT) AS picked_quantity,
+        l_shipdate AS picking_completed_when
+        FROM lineitem""",
+    "s_purchase_order_lines": """SELECT l_orderkey AS purchase_order_id,
+        l_orderkey * 100 + l_linenumber AS purchase_order_line_id, l_partkey AS stock_item_id,
+        CAST(l_quantity AS BIGINT) AS ordered_outers,
+        CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS BIGINT) ELSE CAST(0 AS BIGINT) END AS received_outers,
+        l_suppkey % 25 AS package_type_id, concat('Part ', CAST(l_partkey AS VARCHAR)) AS description,
+        l_extendedprice AS expected_unit_price_per_outer,
+        CASE WHEN l_linestatus = 'F' THEN l_shipdate END AS last_receipt_date
+        FROM lineitem""",
+}
+
+MARKET = """SELECT p.*, co.country_name, co.iso_alpha3_code, co.continent, co.region, co.subregion,
+        ci.city_id, ci.city_name
+    FROM s_provinces p
+    LEFT JOIN s_countries co ON p.country_id = co.country_id
+    LEFT JOIN s_cities ci ON p.state_province_id = ci.state_province_id"""
+
+GOLD_SQL: dict[str, str] = {
+    "dim_geography": f"""
+    SELECT m.city_id, m.city_name AS city, m.state_province_id, m.state_province_code AS state_code,
+        m.state_province_name AS state_name, m.country_id, m.country_name AS country,
+        m.iso_alpha3_code AS country_code_iso3, m.continent, m.region, m.subregion, m.sales_territory,
+        m.latest_recorded_population
+    FROM ({MARKET}) m""",
+    "dim_customer": f"""
+    , base AS (
+        SELECT c.*, dm.delivery_method_name, m.city_name, m.country_name, m.state_province_code,
+            m.state_province_name, m.iso_alpha3_code, m.continent, m.region, m.subregion,
+            m.sales_territory, pe.full_name, pe.email_address
+        FROM s_customers c
+        LEFT JOIN s_delivery_methods dm ON c.delivery_method_id = dm.delivery_method_id
+        LEFT JOIN ({MARKET}) m ON c.delivery_city_id = m.city_id
+        LEFT JOIN s_people pe ON c.primary_contact_person_id = pe.person_id)
+    SELECT b.customer_id, b.customer_name, b.bill_to_customer_id AS parent_customer_id,
+        COALESCE(b.full_name, 'Head Office') AS contact_full_name,
+        COALESCE(b.email_address,
+                 'info@' || lower(replace(replace(b.customer_name, ' (Head Office)', ''), ' ', '')) || '.com')
+            AS contact_email,
+        b.phone_number AS contact_phone, b.fax_number AS contact_fax, b.website_url AS customer_website,
+        COALESCE(b.credit_limit, par.credit_limit, (SELECT round(avg(credit_limit), 6) FROM base))
+            AS credit_limit_amount,
+        b.delivery_method_name AS delivery_method,
+        b.delivery_address_line1 AS delivery_address_additional,
+        b.delivery_address_line2 AS delivery_street_address, b.delivery_postal_code,
+        b.postal_address_line1 AS postal_address_additional,
+        b.postal_address_line2 AS postal_street_address, b.postal_postal_code AS postal_code,
+        b.city_name AS city, b.state_province_code AS state_code, b.state_province_name AS state_name,
+        b.country_name AS country, b.iso_alpha3_code AS country_code_iso3, b.continent, b.region,
+        b.subregion, b.sales_territory
+    FROM base b LEFT JOIN base par ON b.bill_to_customer_id = par.customer_id""",
+    "dim_people": """
+    SELECT person_id, full_name, email_address, phone_number, fax_number
+    FROM s_people WHERE person_id IS DISTINCT FROM 1""",
+    "dim_stock_item": """
+    SELECT si.stock_item_id, si.stock_item_name AS product_name, co.color_name AS color,
+        up.package_type_name AS unit_package_type, op.package_type_name AS outer_package_type,
+        si.supplier_id, si.brand, si.size, si.typical_weight_per_unit AS weight_per_unit_kg,
+        si.lead_time_days, si.quantity_per_outer, si.is_chiller_stock, si.tax_rate, si.unit_price,
+        si.recommended_retail_price, si.search_details
+    FROM s_stock_items si
+    LEFT JOIN s_colors co ON si.color_id = co.color_id
+    LEFT JOIN s_package_types up ON si.unit_package_id = up.package_type_id
+    LEFT JOIN s_package_types op ON si.outer_package_id = op.package_type_id""",
+    "dim_supplier": """
+    SELECT s.supplier_id, s.supplier_name, pe.full_name AS contact_full_name,
+        pe.email_address AS contact_email, pe.phone_number AS contact_phone,
+        COALESCE(dm.delivery_method_name, 'Upon request') AS delivery_method,
+        s.delivery_address_line2 AS delivery_street_address,
+        COALESCE(s.delivery_address_line1, 'No address line') AS delivery_address_additional,
+        s.delivery_postal_code, dc.city_name AS delivery_city,
+        s.postal_address_line2 AS postal_street_address,
+        s.postal_address_line1 AS postal_address_additional, s.postal_postal_code,
+        pc.city_name AS postal_city, COALESCE(s.internal_comments, 'Not available') AS internal_comments,
+        s.supplier_reference, s.bank_account_name, s.bank_account_branch, s.bank_account_code
+    FROM s_suppliers s
+    LEFT JOIN s_delivery_methods dm ON s.delivery_method_id = dm.delivery_method_id
+    LEFT JOIN s_people pe ON s.primary_contact_person_id = pe.person_id
+    LEFT JOIN s_cities dc ON s.delivery_city_id = dc.city_id
+    LEFT JOIN s_cities pc ON s.postal_city_id = pc.city_id""",
+    "fact_orders": """
+    SELECT o.order_id, l.order_line_id, o.customer_id, c.customer_name AS customer,
+        o.customer_po_number AS customer_phone_number, pc.full_name AS contact_person,
+        ps.full_name AS sales_person, o.order_date, o.expected_delivery_date, l.stock_item_id,
+        l.description, l.package_type_id, o.picked_by_id, l.quantity, l.picked_quantity,
+        l.unit_price, l.tax_rate
+    FROM s_orders o
+    LEFT JOIN s_customers c ON o.customer_id = c.customer_id
+    LEFT JOIN s_people ps ON o.salesperson_id = ps.person_id
+    LEFT JOIN s_people pc ON o.contact_person_id = pc.person_id
+    LEFT JOIN s_order_lines l ON o.order_id = l.order_id""",
+    "fact_purchases": """
+    SELECT po.purchase_order_id, l.purchase_order_line_id, po.supplier_id, pe.full_name AS contact_person,
+        po.order_date, po.expected_delivery_date, l.last_receipt_date, l.stock_item_id, l.description,
+        po.delivery_method_id, l.package_type_id, l.ordered_outers AS quantity_ordered,
+        l.received_outers AS quantity_received, l.expected_unit_price_per_outer AS unit_price,
+        COALESCE(po.is_order_finalized <> 0, true) AS is_finalized
+    FROM s_purchase_orders po
+    LEFT JOIN s_people pe ON po.contact_person_id = pe.person_id
+    LEFT JOIN s_purchase_order_lines l ON po.purchase_order_id = l.purchase_order_id""",
+    "dim_calendar": """
+    , b AS (
+        SELECT min(lo) AS lo, max(hi) AS hi FROM (
+            SELECT min(least(order_date, expected_delivery_date)) AS lo,
+                   max(greatest(order_date, expected_delivery_date)) AS hi FROM s_purchase_orders
+            UNION ALL
+            SELECT min(last_receipt_date), max(last_receipt_date) FROM s_purchase_order_lines)),
+    days AS (
+        SELECT CAST(g.d AS DATE) AS d FROM b,
+            generate_series(CAST(make_date(CAST(year(lo) AS INTEGER), 1, 1) AS TIMESTAMP),
+                            CAST(make_date(CAST(year(hi) AS INTEGER), 12, 31) AS TIMESTAMP),
+                            INTERVAL 1 DAY) AS g(d))
+    SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS TIMESTAMP) AS "date",
+        CAST(year(d) AS INTEGER) AS "year", CAST(quarter(d) AS INTEGER) AS quarter,
+        CAST(month(d) AS INTEGER) AS "month", monthname(d) AS month_name,
+        strftime(d, '%b') AS month_name_short, CAST(day(d) AS INTEGER) AS "day",
+        CAST(isodow(d) - 1 AS INTEGER) AS day_of_week, dayname(d) AS day_name,
+        CAST(weekofyear(d) AS INTEGER) AS week_of_year, isodow(d) IN (6, 7) AS is_weekend,
+        day(d) = 1 AS is_month_start, d = last_day(d) AS is_month_end,
+        d = CAST(date_trunc('quarter', d) AS DATE) AS is_quarter_start,
+        d = last_day(CAST(date_trunc('quarter', d) AS DATE) + INTERVAL 2 MONTH) AS is_quarter_end,
+        month(d) = 1 AND day(d) = 1 AS is_year_start, month(d) = 12 AND day(d) = 31 AS is_year_end
+    FROM days""",
+}
+
+
+def with_ctes(body: str) -> str:
+    """Prefix ``body`` with the silver CTEs it mentions.
+
+    A body starting with ``,`` continues the WITH list with its own CTEs.
+    """
+    used = [n for n in SILVER_CTES if re.search(rf"\b{n}\b", body)]
+    ctes = ",\n".join(f"{n} AS ({SILVER_CTES[n]})" for n in used)
+    body = body.strip()
+    if body.startswith(","):
+        return f"WITH {ctes}\n{body}" if ctes else f"WITH {body[1:]}"
+    return f"WITH {ctes}\n{body}" if ctes else body

@@ -1,0 +1,40 @@
+"""Registered queries: each gold job (and operator check) over the test tables.
+
+Every query is a callable ``(spark, sf_dir) -> DataFrame`` that reads the
+TPC-H-like parquet tables in ``sf_dir`` through ``strata.plans.tpch`` and runs
+the library's own builders/operators on them.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from strata.plans import gold
+from strata.plans.oracle import GOLD_SQL, with_ctes
+from strata.plans.tpch import silver_tables
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+# the credit-limit mean is rounded so two engines agree on the last digits
+MEAN_DIGITS = 6
+
+
+def _gold(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = silver_tables(spark, sf_dir)
+        if name == "dim_customer":
+            return gold.dim_customer(tables, mean_digits=MEAN_DIGITS)
+        return gold.GOLD_BUILDERS[name](tables)
+    run.__name__ = name
+    return run
+
+
+def registry() -> dict[str, Query]:
+    q: dict[str, Query] = {name: _gold(name) for name in gold.GOLD_BUILDERS}
+    return q
+
+
+def oracle() -> dict[str, str]:
+    return {name: with_ctes(sql) for name, sql in GOLD_SQL.items()}
