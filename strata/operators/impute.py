@@ -31,13 +31,17 @@ def fill_from_parent_then_mean(df: DataFrame, id_col: str, parent_col: str, valu
         value_col, F.coalesce(F.col(f"`{value_col}`"), F.col(tmp), mean)).drop(tmp)
 
 
-def impute_report(before: DataFrame, after: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Null counts of ``cols`` before and after imputation: (column, nulls_before, nulls_after).
+def impute_report(before: DataFrame, after: DataFrame, cols: Sequence[str] | Mapping[str, str]) -> DataFrame:
+    """Null counts before and after imputation: (column, nulls_before, nulls_after).
 
-    Two one-row aggregations, unpivoted and matched by column name.
+    ``cols`` lists the audited columns, or maps a column's name before to its
+    name after (when the imputation step also renames).  One aggregation per
+    side; the two one-row results are combined by scalar subqueries.
     """
-    def long(df, name):
-        agg = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in cols])
-        return agg.unpivot([], list(cols), "column", name)
-
-    return long(before, "nulls_before").join(long(after, "nulls_after"), "column")
+    cmap = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
+    b = before.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"b{i}") for i, c in enumerate(cmap)])
+    a = after.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"a{i}") for i, c in enumerate(cmap.values())])
+    return b.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"b{i}").alias("nulls_before"),
+                 a.select(f"a{i}").scalar().alias("nulls_after"))
+        for i, c in enumerate(cmap)])))

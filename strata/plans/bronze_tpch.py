@@ -1,0 +1,67 @@
+"""Bronze-shaped (all text, source column names) views of the TPC-H-like tables.
+
+They let the silver jobs run on the supplied data exactly as on an
+operational CSV extract: ids as text, nullable ids written as floats
+(``'12.0'``), missing-value tokens, whole-null columns, unparseable and
+end-of-time dates.  Which rows get which oddity is decided by key arithmetic
+only, so an independent SQL engine can state the expected silver result.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SENTINEL = "9999-12-31 23:59:59.9999999"
+
+
+def _s(c: Column) -> Column:
+    return c.cast("string")
+
+
+def _ts_text(c: Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    return F.date_format(c, fmt)
+
+
+def bronze_orders(orders: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """``sales.order`` extract from TPC-H orders (columns of the orders table definition)."""
+    k, st, d = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderdate")
+    day = F.expr("INTERVAL 1 DAY")
+    return orders.select(
+        _s(k).alias("OrderID"),
+        _s(F.col("o_custkey")).alias("CustomerID"),
+        _s(k % 25).alias("SalespersonPersonID"),
+        F.when(st == "O", F.lit("NA")).otherwise(F.concat(_s(k % 50), F.lit(".0"))).alias("PickedByPersonID"),
+        _s(F.col("o_custkey")).alias("ContactPersonID"),
+        F.when(k % 9 == 0, F.concat(_s(k + 1), F.lit(".0"))).otherwise(F.lit("")).alias("BackorderOrderID"),
+        _ts_text(d, date_format).alias("OrderDate"),
+        F.when(k % 13 == 0, F.lit(SENTINEL)).when(k % 11 == 0, F.lit("garbage"))
+         .otherwise(_ts_text(d + F.expr("INTERVAL 7 DAYS"))).alias("ExpectedDeliveryDate"),
+        _s(k + 100000).alias("CustomerPurchaseOrderNumber"),
+        F.when(st == "F", F.lit("1")).otherwise(F.lit("0")).alias("IsUndersupplyBackordered"),
+        F.lit(None).cast("string").alias("Comments"),
+        F.lit("NULL").alias("DeliveryInstructions"),
+        F.lit("").alias("InternalComments"),
+        F.when(st == "F", F.concat(_ts_text(d + day), F.lit(".0000000"))).otherwise(F.lit("NULL"))
+         .alias("PickingCompletedWhen"),
+        _s(F.col("o_custkey") % 10).alias("LastEditedBy"),
+        _ts_text(d).alias("LastEditedWhen"))
+
+
+def bronze_order_lines(lineitem: DataFrame) -> DataFrame:
+    """``sales.orderline`` extract from TPC-H lineitem."""
+    q = F.col("l_quantity").cast("bigint")
+    fin = F.col("l_linestatus") == "F"
+    return lineitem.select(
+        _s(F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("OrderLineID"),
+        _s(F.col("l_orderkey")).alias("OrderID"),
+        _s(F.col("l_partkey")).alias("StockItemID"),
+        F.concat(F.col("l_returnflag"), F.lit("-"), F.col("l_linestatus")).alias("Description"),
+        _s(F.col("l_suppkey") % 25).alias("PackageTypeID"),
+        _s(q).alias("Quantity"),
+        _s(F.col("l_extendedprice")).alias("UnitPrice"),
+        _s(F.col("l_tax")).alias("TaxRate"),
+        F.when(fin, _s(q)).otherwise(F.lit("0")).alias("PickedQuantity"),
+        F.when(fin, _ts_text(F.col("l_shipdate"))).otherwise(F.lit("NULL")).alias("PickingCompletedWhen"),
+        _s(F.col("l_suppkey") % 10).alias("LastEditedBy"),
+        _ts_text(F.col("l_shipdate"), "yyyy-MM-dd").alias("LastEditedWhen"))

@@ -168,7 +168,8 @@ def dim_geography(tables: Tables) -> DataFrame:
     return select_strict(rename_columns(df, GEOGRAPHY_RENAME), GEOGRAPHY_ORDER)
 
 
-def dim_customer(tables: Tables, mean_digits: int | None = None) -> DataFrame:
+def customer_base(tables: Tables) -> DataFrame:
+    """Customers with delivery method, market and contact attached, before imputation."""
     market = responsible_market(tables)
     df = lookup_join(tables["customers"], tables["delivery_methods"], "delivery_method_id",
                      attrs=["delivery_method_name"])
@@ -177,8 +178,11 @@ def dim_customer(tables: Tables, mean_digits: int | None = None) -> DataFrame:
                             "iso_alpha3_code", "continent", "region", "subregion", "sales_territory"])
     df = lookup_join(df, tables["people"], "primary_contact_person_id", "person_id",
                      attrs=["full_name", "email_address"])
-    df = select_strict(df, CUSTOMER_COLUMNS)
-    df = fill_from_parent_then_mean(df, "customer_id", "bill_to_customer_id", "credit_limit",
+    return select_strict(df, CUSTOMER_COLUMNS)
+
+
+def dim_customer(tables: Tables, mean_digits: int | None = None) -> DataFrame:
+    df = fill_from_parent_then_mean(customer_base(tables), "customer_id", "bill_to_customer_id", "credit_limit",
                                     mean_digits=mean_digits)
     df = df.withColumns({
         "full_name": F.coalesce("full_name", F.lit(CUSTOMER_CONTACT_DEFAULT)),

@@ -111,22 +111,16 @@ MARKET = """SELECT p.*, co.country_name, co.iso_alpha3_code, co.continent, co.re
     LEFT JOIN s_countries co ON p.country_id = co.country_id
     LEFT JOIN s_cities ci ON p.state_province_id = ci.state_province_id"""
 
-GOLD_SQL: dict[str, str] = {
-    "dim_geography": f"""
-    SELECT m.city_id, m.city_name AS city, m.state_province_id, m.state_province_code AS state_code,
-        m.state_province_name AS state_name, m.country_id, m.country_name AS country,
-        m.iso_alpha3_code AS country_code_iso3, m.continent, m.region, m.subregion, m.sales_territory,
-        m.latest_recorded_population
-    FROM ({MARKET}) m""",
-    "dim_customer": f"""
-    , base AS (
+CUSTOMER_BASE = f"""
         SELECT c.*, dm.delivery_method_name, m.city_name, m.country_name, m.state_province_code,
             m.state_province_name, m.iso_alpha3_code, m.continent, m.region, m.subregion,
             m.sales_territory, pe.full_name, pe.email_address
         FROM s_customers c
         LEFT JOIN s_delivery_methods dm ON c.delivery_method_id = dm.delivery_method_id
         LEFT JOIN ({MARKET}) m ON c.delivery_city_id = m.city_id
-        LEFT JOIN s_people pe ON c.primary_contact_person_id = pe.person_id)
+        LEFT JOIN s_people pe ON c.primary_contact_person_id = pe.person_id"""
+
+CUSTOMER_FINAL = """
     SELECT b.customer_id, b.customer_name, b.bill_to_customer_id AS parent_customer_id,
         COALESCE(b.full_name, 'Head Office') AS contact_full_name,
         COALESCE(b.email_address,
@@ -143,7 +137,17 @@ GOLD_SQL: dict[str, str] = {
         b.city_name AS city, b.state_province_code AS state_code, b.state_province_name AS state_name,
         b.country_name AS country, b.iso_alpha3_code AS country_code_iso3, b.continent, b.region,
         b.subregion, b.sales_territory
-    FROM base b LEFT JOIN base par ON b.bill_to_customer_id = par.customer_id""",
+    FROM base b LEFT JOIN base par ON b.bill_to_customer_id = par.customer_id"""
+
+GOLD_SQL: dict[str, str] = {
+    "dim_geography": f"""
+    SELECT m.city_id, m.city_name AS city, m.state_province_id, m.state_province_code AS state_code,
+        m.state_province_name AS state_name, m.country_id, m.country_name AS country,
+        m.iso_alpha3_code AS country_code_iso3, m.continent, m.region, m.subregion, m.sales_territory,
+        m.latest_recorded_population
+    FROM ({MARKET}) m""",
+    "dim_customer": f""", base AS ({CUSTOMER_BASE})
+    {CUSTOMER_FINAL}""",
     "dim_people": """
     SELECT person_id, full_name, email_address, phone_number, fax_number
     FROM s_people WHERE person_id IS DISTINCT FROM 1""",
@@ -230,3 +234,158 @@ def with_ctes(body: str) -> str:
     if body.startswith(","):
         return f"WITH {ctes}\n{body}" if ctes else f"WITH {body[1:]}"
     return f"WITH {ctes}\n{body}" if ctes else body
+
+
+# ------------------------------------------------------------ silver / operators
+
+SILVER_ORDERS = """
+    SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderkey % 25 AS salesperson_id,
+        CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderkey % 50 END AS picked_by_id,
+        o_custkey AS contact_person_id,
+        CASE WHEN o_orderkey % 9 = 0 THEN o_orderkey + 1 END AS backorder_order_id,
+        o_orderdate AS order_date,
+        CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 11 = 0 THEN NULL
+             ELSE o_orderdate + INTERVAL 7 DAY END AS expected_delivery_date,
+        o_orderkey + 100000 AS customer_po_number,
+        CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS BIGINT) AS is_undersupply_backordered,
+        CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 1 DAY END AS picking_completed_when,
+        o_custkey % 10 AS last_edited_by, o_orderdate AS last_edited_when
+    FROM orders"""
+
+SILVER_ORDER_LINES = """
+    SELECT l_orderkey * 100 + l_linenumber AS order_line_id, l_orderkey AS order_id,
+        l_partkey AS stock_item_id, concat(l_returnflag, '-', l_linestatus) AS description,
+        l_suppkey % 25 AS package_type_id, CAST(l_quantity AS BIGINT) AS quantity,
+        l_extendedprice AS unit_price, l_tax AS tax_rate,
+        CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS BIGINT) ELSE CAST(0 AS BIGINT) END AS picked_quantity,
+        CASE WHEN l_linestatus = 'F' THEN l_shipdate END AS picking_completed_when,
+        l_suppkey % 10 AS last_edited_by, l_shipdate AS last_edited_when
+    FROM lineitem"""
+
+# null policy of the orders table (same policy as strata.plans.specs)
+ORDERS_EXPECTED = ["picked_by_id", "backorder_order_id", "picking_completed_when"]
+ORDERS_REQUIRED = ["order_id", "customer_id", "order_date", "salesperson_id"]
+
+# the supplied tables' columns (for the overview and profile oracles)
+TPCH_COLUMNS = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
+}
+ORDERS_TYPES = ["bigint", "bigint", "string", "double", "timestamp_ntz", "string"]
+
+SPLIT_TABLES = ["purchase.order", "purchase.orderline", "sales.incvoiceslines", "sales.invoices",
+                "sales.order", "sales.orderline", "application.people", "sales.customer"]
+
+
+def _null_policy_sql() -> str:
+    parts = [f"""SELECT '{c}' AS "column", 'expected' AS kind, 'optional by table policy' AS reason,
+        count(*) FILTER (WHERE {c} IS NULL) AS nulls, 'expected' AS status FROM s""" for c in ORDERS_EXPECTED]
+    parts += [f"""SELECT '{c}', 'required', CAST(NULL AS VARCHAR), count(*) FILTER (WHERE {c} IS NULL),
+        CASE WHEN count(*) FILTER (WHERE {c} IS NULL) = 0 THEN 'ok' ELSE 'unexpected' END FROM s"""
+              for c in ORDERS_REQUIRED]
+    return f"WITH s AS ({SILVER_ORDERS})\n" + "\nUNION ALL\n".join(parts)
+
+
+def _profile_sql() -> str:
+    cols = TPCH_COLUMNS["orders"]
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS "column", '{t}' AS data_type, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
+            count({c}) AS non_nulls FROM orders""" for c, t in zip(cols, ORDERS_TYPES))
+
+
+def _overview_sql() -> str:
+    parts = []
+    for t, cols in TPCH_COLUMNS.items():
+        nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
+        parts.append(f"""SELECT 'testdata' AS layer, '{t}' AS "table", count(*) AS "rows",
+            CAST({len(cols)} AS BIGINT) AS cols, CAST({nulls} AS BIGINT) AS nulls FROM {t}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _suspicious_sql() -> str:
+    flagged = {"sales/orders": ("orders", ["CustomerID", "OrderDate", "ExpectedDeliveryDate",
+                                           "CustomerPurchaseOrderNumber", "PickingCompletedWhen",
+                                           "LastEditedWhen"]),
+               "sales/order_lines": ("lineitem", ["StockItemID", "PickingCompletedWhen", "LastEditedWhen"])}
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{t}' AS "table", '{c}' AS "column", 'string' AS data_type, count(*) AS non_nulls FROM {src}"""
+        for t, (src, cols) in flagged.items() for c in cols)
+
+
+def _impute_audit_sql() -> str:
+    pairs = [("credit_limit", "credit_limit_amount"), ("full_name", "contact_full_name"),
+             ("email_address", "contact_email")]
+    body = "\nUNION ALL\n".join(
+        f"""SELECT '{b}' AS "column", (SELECT count(*) FILTER (WHERE {b} IS NULL) FROM base) AS nulls_before,
+            (SELECT count(*) FILTER (WHERE {a} IS NULL) FROM fin) AS nulls_after""" for b, a in pairs)
+    return with_ctes(f", base AS ({CUSTOMER_BASE}), fin AS ({CUSTOMER_FINAL})\n{body}")
+
+
+def _ingest_status_sql() -> str:
+    win = "(SELECT count(*) FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1997)"
+    rows = []
+    for t in SPLIT_TABLES:
+        rows.append(f"('actual', '{t}', 'ok', {win})" if t == "sales.order"
+                    else f"('actual', '{t}', 'missing', NULL)")
+    rows.append("('actual', 'application.nations', 'ok', (SELECT count(*) FROM nation))")
+    for t in SPLIT_TABLES:
+        rows.append("('upcoming', 'sales.order', 'ok', (SELECT count(*) FROM orders))" if t == "sales.order"
+                    else f"('upcoming', '{t}', 'missing', NULL)")
+    return ('SELECT label, "table", status, CAST("rows" AS BIGINT) AS "rows" FROM (VALUES '
+            + ", ".join(rows) + ') AS v(label, "table", status, "rows")')
+
+
+def _publish_sql() -> str:
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{t}.parquet' AS "table", 'ok' AS status, count(*) AS "rows" FROM {t}""" for t in TPCH_COLUMNS)
+
+
+def _run_all_sql() -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT 'gold' AS layer, '{n}' AS \"table\", 'ok' AS status, "
+        f"(SELECT count(*) FROM ({with_ctes(GOLD_SQL[n])}) AS g) AS \"rows\""
+        for n in ["dim_calendar", "dim_customer", "dim_geography", "dim_people", "dim_stock_item",
+                  "dim_supplier", "fact_orders", "fact_purchases"])
+
+
+def oracle_queries() -> dict[str, str]:
+    q = {name: with_ctes(sql) for name, sql in GOLD_SQL.items()}
+    q.update({
+        "silver_orders": SILVER_ORDERS,
+        "silver_order_lines": SILVER_ORDER_LINES,
+        "silver_csv_roundtrip": SILVER_ORDERS,
+        "null_policy": _null_policy_sql(),
+        "null_tokens": """SELECT o_orderkey,
+            CASE WHEN o_orderkey % 10 IN (0, 1, 2, 3) THEN NULL ELSE o_orderpriority END AS priority FROM orders""",
+        "to_timestamp_coerce": """SELECT o_orderkey,
+            CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN NULL ELSE o_orderdate END AS order_ts
+            FROM orders""",
+        "parse_first_format": """SELECT o_orderkey, o_orderdate AS d_parsed, 'dd/MM/yyyy' AS chosen_format
+            FROM orders""",
+        "nullable_bigint": """SELECT l_orderkey, l_linenumber,
+            CASE WHEN l_linenumber = 1 THEN NULL ELSE CAST(l_quantity AS BIGINT) END AS quantity FROM lineitem""",
+        "number_to_text": """SELECT o_orderkey,
+            CAST(CAST(round(o_totalprice) AS BIGINT) AS VARCHAR) || '.0' AS price_text FROM orders""",
+        "truthy_flag": """SELECT l_orderkey, l_linenumber,
+            COALESCE(CASE WHEN l_linenumber <> 2 THEN l_quantity - 1 END <> 0, true) AS flag FROM lineitem""",
+        "drop_empty_columns": "SELECT * FROM orders",
+        "dedup_columns": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
+        "table_profile": _profile_sql(),
+        "layer_overview": _overview_sql(),
+        "suspicious_dates": _suspicious_sql(),
+        "duplicate_keys": """SELECT o_custkey, count(*) AS "count" FROM orders
+            GROUP BY o_custkey HAVING count(*) > 1""",
+        "impute_audit": _impute_audit_sql(),
+        "ingest_split": """SELECT o_orderkey AS order_id, strftime(o_orderdate, '%d/%m/%Y') AS last_edited_when,
+            o_orderdate AS last_edited_when_parsed FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1997""",
+        "ingest_status": _ingest_status_sql(),
+        "publish_roundtrip": _publish_sql(),
+        "run_all_status": _run_all_sql(),
+    })
+    return q

@@ -1,8 +1,11 @@
-"""Registered queries: each gold job (and operator check) over the test tables.
+"""Registered queries: the gold jobs and every operator, run over the test tables.
 
-Every query is a callable ``(spark, sf_dir) -> DataFrame`` that reads the
-TPC-H-like parquet tables in ``sf_dir`` through ``strata.plans.tpch`` and runs
-the library's own builders/operators on them.
+Each query is a callable ``(spark, sf_dir) -> DataFrame`` reading the
+TPC-H-like parquet tables in ``sf_dir`` (through ``strata.plans.tpch`` for the
+silver contracts and ``strata.plans.bronze_tpch`` for raw text extracts) and
+running the library's own builders and operators over the whole tables.
+Queries that exercise writers (CSV round trip, ingest split, publishing,
+whole run) write into a fresh folder under the session's checkpoint root.
 """
 
 from __future__ import annotations
@@ -10,16 +13,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.functions.casts import null_tokens_to_null, nullable_bigint, number_to_text, to_timestamp_coerce, truthy
+from strata.operators.columns import dedup_columns, drop_empty_columns
+from strata.operators.impute import impute_report
+from strata.operators.ingest import parse_first_format
+from strata.operators.quality import (duplicate_keys, layer_overview, suspicious_dates, table_profile,
+                                      validate_nulls)
 from strata.plans import gold
-from strata.plans.oracle import GOLD_SQL, with_ctes
-from strata.plans.tpch import silver_tables
+from strata.plans.bronze_tpch import bronze_order_lines, bronze_orders
+from strata.plans.ingest_jobs import snapshot, split_batch
+from strata.plans.oracle import oracle_queries
+from strata.plans.runner import run_gold
+from strata.plans.silver import build_silver, clean_silver, expected_nulls
+from strata.plans.specs import BY_NAME
+from strata.plans.tpch import TPCH_TABLES, read_tpch, silver_tables
+from strata.session import scratch_dir
+from strata.sources.csv import map_null_tokens, write_csv
+from strata.sources.parquet import read_table
+from strata.sources.publish import publish_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # the credit-limit mean is rounded so two engines agree on the last digits
 MEAN_DIGITS = 6
 
+# year window of the ingest split query
+SPLIT_YEARS = (1996, 1997)
+
 
 def _gold(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,10 +53,188 @@ def _gold(name: str) -> Query:
     return run
 
 
+# ---------------------------------------------------------------- silver jobs
+
+def silver_orders(spark, sf_dir):
+    return clean_silver(map_null_tokens(bronze_orders(read_tpch(spark, sf_dir, "orders"))), BY_NAME["orders"])
+
+
+def silver_order_lines(spark, sf_dir):
+    return clean_silver(map_null_tokens(bronze_order_lines(read_tpch(spark, sf_dir, "lineitem"))),
+                        BY_NAME["order_lines"])
+
+
+def silver_csv_roundtrip(spark, sf_dir):
+    """orders extract written as ';'-separated CSV, then the full silver job on it."""
+    root = scratch_dir(spark, "bronze-roundtrip")
+    tdef = BY_NAME["orders"]
+    write_csv(bronze_orders(read_tpch(spark, sf_dir, "orders")), f"{root}/bronze/{tdef.bronze_file}", sep=";")
+    status, _ = build_silver(spark, tdef, f"{root}/bronze", f"{root}/silver")
+    if status["status"] != "ok":
+        raise RuntimeError(f"silver job failed: {status}")
+    return read_table(spark, f"{root}/silver/{tdef.output_path}")
+
+
+def null_policy(spark, sf_dir):
+    tdef = BY_NAME["orders"]
+    return validate_nulls(silver_orders(spark, sf_dir), expected_nulls(tdef), tdef.required_columns)
+
+
+# ---------------------------------------------------------- scalar functions
+
+def _orders(spark, sf_dir, *cols):
+    return read_tpch(spark, sf_dir, "orders").select(*cols) if cols else read_tpch(spark, sf_dir, "orders")
+
+
+def q_null_tokens(spark, sf_dir):
+    k = F.col("o_orderkey")
+    raw = (F.when(k % 10 == 0, F.lit("NA")).when(k % 10 == 1, F.lit("NULL")).when(k % 10 == 2, F.lit(""))
+           .when(k % 10 == 3, F.lit("n/a")).otherwise(F.col("o_orderpriority")))
+    return _orders(spark, sf_dir).select("o_orderkey", null_tokens_to_null(raw).alias("priority"))
+
+
+def q_to_timestamp_coerce(spark, sf_dir):
+    k = F.col("o_orderkey")
+    txt = (F.when(k % 11 == 0, F.lit("garbage")).when(k % 13 == 0, F.lit("9999-12-31 23:59:59.9999999"))
+           .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")))
+    return _orders(spark, sf_dir).select("o_orderkey", to_timestamp_coerce(txt).alias("order_ts"))
+
+
+def q_parse_first_format(spark, sf_dir):
+    df = _orders(spark, sf_dir).select("o_orderkey", F.date_format("o_orderdate", "dd/MM/yyyy").alias("d"))
+    out, fmt = parse_first_format(df, "d")
+    return out.select("o_orderkey", "d_parsed", F.lit(fmt).alias("chosen_format"))
+
+
+def q_nullable_bigint(spark, sf_dir):
+    li = read_tpch(spark, sf_dir, "lineitem")
+    txt = F.when(F.col("l_linenumber") == 1, F.lit("NA")).otherwise(F.col("l_quantity").cast("string"))
+    return li.select("l_orderkey", "l_linenumber",
+                     nullable_bigint(null_tokens_to_null(txt)).alias("quantity"))
+
+
+def q_number_to_text(spark, sf_dir):
+    return _orders(spark, sf_dir).select(
+        "o_orderkey", number_to_text(F.round("o_totalprice")).alias("price_text"))
+
+
+def q_truthy_flag(spark, sf_dir):
+    li = read_tpch(spark, sf_dir, "lineitem")
+    flag = F.when(F.col("l_linenumber") != 2, F.col("l_quantity") - 1)
+    return li.select("l_orderkey", "l_linenumber", truthy(flag).alias("flag"))
+
+
+# ------------------------------------------------------------ column operators
+
+def q_drop_empty_columns(spark, sf_dir):
+    df = _orders(spark, sf_dir).withColumns({"o_comment": F.lit(None).cast("string"),
+                                             "o_clerk": F.lit(None).cast("double")})
+    return drop_empty_columns(df)
+
+
+def q_dedup_columns(spark, sf_dir):
+    df = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice",
+                                       F.col("o_orderkey").alias("o_custkey"))
+    return dedup_columns(df)
+
+
+# ------------------------------------------------------------ quality reports
+
+def q_table_profile(spark, sf_dir):
+    return table_profile(read_tpch(spark, sf_dir, "orders"))
+
+
+def q_layer_overview(spark, sf_dir):
+    return layer_overview({t: read_tpch(spark, sf_dir, t) for t in TPCH_TABLES}, "testdata")
+
+
+def q_suspicious_dates(spark, sf_dir):
+    out = suspicious_dates({"sales/orders": bronze_orders(read_tpch(spark, sf_dir, "orders")),
+                            "sales/order_lines": bronze_order_lines(read_tpch(spark, sf_dir, "lineitem"))})
+    return out.drop("parseable")
+
+
+def q_duplicate_keys(spark, sf_dir):
+    return duplicate_keys(read_tpch(spark, sf_dir, "orders"), "o_custkey")
+
+
+def q_impute_audit(spark, sf_dir):
+    tables = silver_tables(spark, sf_dir)
+    return impute_report(gold.customer_base(tables), gold.dim_customer(tables, mean_digits=MEAN_DIGITS),
+                         {"credit_limit": "credit_limit_amount", "full_name": "contact_full_name",
+                          "email_address": "contact_email"})
+
+
+# ------------------------------------------------------- ingest and publishing
+
+def _raw_extract(spark, sf_dir, root):
+    """A raw folder: sales.order with dd/MM/yyyy edit dates (';'), plus an unconfigured nation table."""
+    orders = bronze_orders(read_tpch(spark, sf_dir, "orders"))
+    orders = orders.withColumn("LastEditedWhen", F.date_format(
+        F.to_timestamp(F.col("LastEditedWhen"), "yyyy-MM-dd HH:mm:ss"), "dd/MM/yyyy"))
+    write_csv(orders, f"{root}/raw/sales.order.csv", sep=";")
+    write_csv(read_tpch(spark, sf_dir, "nation"), f"{root}/raw/application.nations.csv")
+
+
+def q_ingest_split(spark, sf_dir):
+    root = scratch_dir(spark, "ingest")
+    _raw_extract(spark, sf_dir, root)
+    split_batch(spark, f"{root}/raw", f"{root}/bronze", *SPLIT_YEARS, label="actual").collect()
+    out = spark.read.option("header", True).option("sep", ",").csv(f"{root}/bronze/actual/sales.order.csv")
+    return out.select(F.col("OrderID").cast("bigint").alias("order_id"),
+                      F.col("LastEditedWhen").alias("last_edited_when"),
+                      to_timestamp_coerce(F.col("LastEditedWhen_parsed")).alias("last_edited_when_parsed"))
+
+
+def q_ingest_status(spark, sf_dir):
+    root = scratch_dir(spark, "ingest-status")
+    _raw_extract(spark, sf_dir, root)
+    a = split_batch(spark, f"{root}/raw", f"{root}/bronze", *SPLIT_YEARS, label="actual")
+    b = snapshot(spark, f"{root}/raw", f"{root}/bronze", label="upcoming")
+    return a.unionByName(b).drop("error")
+
+
+def q_publish_roundtrip(spark, sf_dir):
+    dst = scratch_dir(spark, "publish")
+    tables = [f"{t}.parquet" for t in TPCH_TABLES]
+    status = publish_tables(spark, sf_dir, dst, tables)
+    return status.drop("error")
+
+
+def q_run_all_status(spark, sf_dir):
+    dst = scratch_dir(spark, "gold")
+    rows = run_gold(spark, silver_tables(spark, sf_dir), dst)
+    return spark.createDataFrame([(r["layer"], r["table"], r["status"], r["rows"]) for r in rows],
+                                 "layer string, table string, status string, rows bigint")
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {name: _gold(name) for name in gold.GOLD_BUILDERS}
+    q.update({
+        "silver_orders": silver_orders,
+        "silver_order_lines": silver_order_lines,
+        "silver_csv_roundtrip": silver_csv_roundtrip,
+        "null_policy": null_policy,
+        "null_tokens": q_null_tokens,
+        "to_timestamp_coerce": q_to_timestamp_coerce,
+        "parse_first_format": q_parse_first_format,
+        "nullable_bigint": q_nullable_bigint,
+        "number_to_text": q_number_to_text,
+        "truthy_flag": q_truthy_flag,
+        "drop_empty_columns": q_drop_empty_columns,
+        "dedup_columns": q_dedup_columns,
+        "table_profile": q_table_profile,
+        "layer_overview": q_layer_overview,
+        "suspicious_dates": q_suspicious_dates,
+        "duplicate_keys": q_duplicate_keys,
+        "impute_audit": q_impute_audit,
+        "ingest_split": q_ingest_split,
+        "ingest_status": q_ingest_status,
+        "publish_roundtrip": q_publish_roundtrip,
+        "run_all_status": q_run_all_status,
+    })
     return q
 
 
 def oracle() -> dict[str, str]:
-    return {name: with_ctes(sql) for name, sql in GOLD_SQL.items()}
+    return oracle_queries()

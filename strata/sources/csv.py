@@ -68,10 +68,16 @@ def read_csv_text(spark: SparkSession, path: str, sep: str | None = None,
             .csv(path))
 
 
+def map_null_tokens(df: DataFrame) -> DataFrame:
+    """Every text column with the missing-value tokens mapped to null (one projection)."""
+    return df.select(*[null_tokens_to_null(F.col(f"`{f.name}`")).alias(f.name)
+                       if f.dataType.simpleString() == "string" else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
 def read_bronze(spark: SparkSession, path: str, sep: str | None = None, **kw) -> DataFrame:
     """Bronze CSV as text columns with every missing-value token mapped to null."""
-    df = read_csv_text(spark, path, sep=sep, **kw)
-    return df.select(*[null_tokens_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    return map_null_tokens(read_csv_text(spark, path, sep=sep, **kw))
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> int:
