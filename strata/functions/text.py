@@ -18,3 +18,9 @@ def email_from_name(name) -> Column:
     name = F.col(name) if isinstance(name, str) else name
     cleaned = F.replace(F.replace(name, F.lit(HEAD_OFFICE_SUFFIX), F.lit("")), F.lit(" "), F.lit(""))
     return F.concat(F.lit("info@"), F.lower(cleaned), F.lit(".com"))
+
+
+def contains_or_false(c, fragment: str) -> Column:
+    """Literal substring test where a null value counts as no match."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(c.contains(fragment), F.lit(False))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.functions.casts import to_timestamp_coerce
@@ -145,3 +145,28 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] | str) -> DataFrame:
     """Key values occurring more than once: (key..., count).  Map-side partial counts."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     return df.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("count")).where("count > 1")
+
+
+def table_sample(df: DataFrame, n: int = 2, order_by: Sequence[str] | None = None) -> DataFrame:
+    """The first ``n`` rows by ``order_by`` (deterministic); a top-n, not a full sort."""
+    keys = list(order_by or df.columns[:1])
+    return df.orderBy(*[_q(k) for k in keys]).limit(n)
+
+
+def observe_rows(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
+    """Attach a row counter to ``df``; read ``obs.get['rows']`` after the next action.
+
+    Used as a join-growth audit: observing the output of each join costs no
+    extra job, the counts are gathered while the final table is written.
+    """
+    obs = Observation(label)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def run_summary(status: DataFrame) -> DataFrame:
+    """Per layer: jobs, ok, failed, skipped (from a run status table)."""
+    return status.groupBy("layer").agg(
+        F.count(F.lit(1)).alias("jobs"),
+        F.count_if(F.col("status") == "ok").alias("ok"),
+        F.count_if(F.col("status") == "failed").alias("failed"),
+        F.count_if(F.col("status") == "skipped_empty").alias("skipped")).orderBy("layer")

@@ -168,11 +168,11 @@ def dim_geography(tables: Tables) -> DataFrame:
     return select_strict(rename_columns(df, GEOGRAPHY_RENAME), GEOGRAPHY_ORDER)
 
 
-def customer_base(tables: Tables) -> DataFrame:
-    """Customers with delivery method, market and contact attached, before imputation."""
+def customer_base(tables: Tables, customers: DataFrame | None = None) -> DataFrame:
+    """Customers with delivery method, market and contact attached (the 25 dimension columns)."""
     market = responsible_market(tables)
-    df = lookup_join(tables["customers"], tables["delivery_methods"], "delivery_method_id",
-                     attrs=["delivery_method_name"])
+    df = customers if customers is not None else tables["customers"]
+    df = lookup_join(df, tables["delivery_methods"], "delivery_method_id", attrs=["delivery_method_name"])
     df = lookup_join(df, market, "delivery_city_id", "city_id",
                      attrs=["city_name", "country_name", "state_province_code", "state_province_name",
                             "iso_alpha3_code", "continent", "region", "subregion", "sales_territory"])
@@ -182,8 +182,17 @@ def customer_base(tables: Tables) -> DataFrame:
 
 
 def dim_customer(tables: Tables, mean_digits: int | None = None) -> DataFrame:
-    df = fill_from_parent_then_mean(customer_base(tables), "customer_id", "bill_to_customer_id", "credit_limit",
-                                    mean_digits=mean_digits)
+    """Customer dimension with credit limit and contact imputation.
+
+    The credit limit is imputed on the customers table itself, before the
+    lookups: the parent is another customer and the mean is over customers'
+    own limits, so the self-join and the mean scan only that table (the
+    lookups are many-to-one and add no rows, so the result is the same as
+    imputing after them).
+    """
+    customers = fill_from_parent_then_mean(tables["customers"], "customer_id", "bill_to_customer_id",
+                                           "credit_limit", mean_digits=mean_digits)
+    df = customer_base(tables, customers)
     df = df.withColumns({
         "full_name": F.coalesce("full_name", F.lit(CUSTOMER_CONTACT_DEFAULT)),
         "email_address": F.coalesce("email_address", email_from_name("customer_name")),

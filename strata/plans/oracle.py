@@ -351,7 +351,8 @@ def _run_all_sql() -> str:
         f"SELECT 'gold' AS layer, '{n}' AS \"table\", 'ok' AS status, "
         f"(SELECT count(*) FROM ({with_ctes(GOLD_SQL[n])}) AS g) AS \"rows\""
         for n in ["dim_calendar", "dim_customer", "dim_geography", "dim_people", "dim_stock_item",
-                  "dim_supplier", "fact_orders", "fact_purchases"])
+                  "dim_supplier", "fact_orders", "fact_purchases"]) + (
+        "\nUNION ALL\nSELECT 'gold', 'fact_invoices', 'failed', CAST(NULL AS BIGINT)")
 
 
 def oracle_queries() -> dict[str, str]:

@@ -203,7 +203,8 @@ def q_publish_roundtrip(spark, sf_dir):
 
 def q_run_all_status(spark, sf_dir):
     dst = scratch_dir(spark, "gold")
-    rows = run_gold(spark, silver_tables(spark, sf_dir), dst)
+    # one deliberately unknown job: its failure is recorded, the others still run
+    rows = run_gold(spark, silver_tables(spark, sf_dir), dst, list(gold.GOLD_BUILDERS) + ["fact_invoices"])
     return spark.createDataFrame([(r["layer"], r["table"], r["status"], r["rows"]) for r in rows],
                                  "layer string, table string, status string, rows bigint")
 

@@ -53,6 +53,8 @@ def run_gold(spark: SparkSession, tables: Mapping[str, DataFrame], gold_root: st
     for name in names or list(gold.GOLD_BUILDERS):
         t0 = time.perf_counter()
         try:
+            if name not in gold.GOLD_BUILDERS:
+                raise KeyError(f"unknown gold job {name!r}")
             df = gold.GOLD_BUILDERS[name](tables)
             rows = int(write_table(df, f"{gold_root.rstrip('/')}/{name}")["rows"])
             status = "ok" if rows else "skipped_empty"

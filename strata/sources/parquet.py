@@ -28,3 +28,13 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return dict(obs.get)
+
+
+def register_views(spark: SparkSession, root: str, names: Sequence[str], fmt: str = "parquet") -> list[str]:
+    """Register each table ``root/<name>`` as a temp view named after its last path segment."""
+    views = []
+    for name in names:
+        view = name.rstrip("/").split("/")[-1].replace(".", "_")
+        spark.read.format(fmt).load(f"{root.rstrip('/')}/{name}").createOrReplaceTempView(view)
+        views.append(view)
+    return views
