@@ -361,6 +361,9 @@ def oracle_queries() -> dict[str, str]:
         "silver_orders": SILVER_ORDERS,
         "silver_order_lines": SILVER_ORDER_LINES,
         "silver_csv_roundtrip": SILVER_ORDERS,
+        "silver_incremental": f"""SELECT *, CAST(NULL AS VARCHAR) AS "Comments",
+            CAST(NULL AS VARCHAR) AS "DeliveryInstructions", CAST(NULL AS VARCHAR) AS "InternalComments"
+            FROM ({SILVER_ORDERS}) AS s""",
         "null_policy": _null_policy_sql(),
         "null_tokens": """SELECT o_orderkey,
             CASE WHEN o_orderkey % 10 IN (0, 1, 2, 3) THEN NULL ELSE o_orderpriority END AS priority FROM orders""",

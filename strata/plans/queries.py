@@ -30,6 +30,7 @@ from strata.plans.silver import build_silver, clean_silver, expected_nulls
 from strata.plans.specs import BY_NAME
 from strata.plans.tpch import TPCH_TABLES, read_tpch, silver_tables
 from strata.session import scratch_dir
+from strata.streaming.incremental import BATCH_COLUMN, incremental_silver
 from strata.sources.csv import map_null_tokens, write_csv
 from strata.sources.parquet import read_table
 from strata.sources.publish import publish_tables
@@ -75,6 +76,19 @@ def silver_csv_roundtrip(spark, sf_dir):
     return read_table(spark, f"{root}/silver/{tdef.output_path}")
 
 
+def silver_incremental(spark, sf_dir):
+    """orders extract landed as CSV part files and loaded by the streaming job in micro-batches."""
+    root = scratch_dir(spark, "stream")
+    tdef = BY_NAME["orders"]
+    write_csv(bronze_orders(read_tpch(spark, sf_dir, "orders")).repartition(4), f"{root}/landing")
+    q = incremental_silver(spark, tdef, f"{root}/landing", f"{root}/silver", checkpoint=f"{root}/ckpt",
+                           max_files_per_trigger=2)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+    return read_table(spark, f"{root}/silver/{tdef.output_path}").drop(BATCH_COLUMN)
+
+
 def null_policy(spark, sf_dir):
     tdef = BY_NAME["orders"]
     return validate_nulls(silver_orders(spark, sf_dir), expected_nulls(tdef), tdef.required_columns)
@@ -215,6 +229,7 @@ def registry() -> dict[str, Query]:
         "silver_orders": silver_orders,
         "silver_order_lines": silver_order_lines,
         "silver_csv_roundtrip": silver_csv_roundtrip,
+        "silver_incremental": silver_incremental,
         "null_policy": null_policy,
         "null_tokens": q_null_tokens,
         "to_timestamp_coerce": q_to_timestamp_coerce,
