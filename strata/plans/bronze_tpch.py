@@ -65,3 +65,76 @@ def bronze_order_lines(lineitem: DataFrame) -> DataFrame:
         F.when(fin, _ts_text(F.col("l_shipdate"))).otherwise(F.lit("NULL")).alias("PickingCompletedWhen"),
         _s(F.col("l_suppkey") % 10).alias("LastEditedBy"),
         _ts_text(F.col("l_shipdate"), "yyyy-MM-dd").alias("LastEditedWhen"))
+
+
+VALID_FROM = "2013-01-01 00:00:00.0000000"
+
+
+def bronze_stock_items(part: DataFrame) -> DataFrame:
+    """``warehouse.stockitems`` extract from TPC-H part (float-written colour ids, barcodes)."""
+    k, size, price = F.col("p_partkey"), F.col("p_size"), F.col("p_retailprice")
+    return part.select(
+        _s(k).alias("StockItemID"),
+        F.col("p_name").alias("StockItemName"),
+        _s(k % 100).alias("SupplierID"),
+        F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(_s(size % 7), F.lit(".0"))).alias("ColorID"),
+        _s(k % 25).alias("UnitPackageID"),
+        _s(size % 25).alias("OuterPackageID"),
+        F.when(k % 6 == 0, F.lit("NA")).otherwise(F.col("p_brand")).alias("Brand"),
+        F.col("p_type").alias("Size"),
+        _s(size).alias("LeadTimeDays"),
+        _s(size * 2).alias("QuantityPerOuter"),
+        _s(size % 2).alias("IsChillerStock"),
+        F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(_s(k + 8302039290000), F.lit(".0"))).alias("Barcode"),
+        F.lit("15.0").alias("TaxRate"),
+        _s(price).alias("UnitPrice"),
+        _s(price * 1.5).alias("RecommendedRetailPrice"),
+        _s(price / 100).alias("TypicalWeightPerUnit"),
+        F.when(k % 3 != 0, F.concat(F.lit("Great "), F.col("p_name"))).alias("MarketingComments"),
+        F.lit("").alias("InternalComments"),
+        F.lit("NULL").alias("Photo"),
+        F.lit("{}").alias("CustomFields"),
+        F.lit("[]").alias("Tags"),
+        F.concat(F.col("p_name"), F.lit(" "), F.col("p_type")).alias("SearchDetails"),
+        F.lit("1").alias("LastEditedBy"),
+        F.lit(VALID_FROM).alias("ValidFrom"),
+        F.lit(SENTINEL).alias("ValidTo"))
+
+
+def bronze_customers(customer: DataFrame) -> DataFrame:
+    """``sales.customer`` extract from TPC-H customer (a year-split file: has ``ValidFrom_parsed``)."""
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    opened = F.date_add(F.lit("2013-01-01").cast("date"), (k % 365).cast("int"))
+    return customer.select(
+        _s(k).alias("CustomerID"),
+        F.col("c_name").alias("CustomerName"),
+        _s(k - k % 5).alias("BillToCustomerID"),
+        _s(n % 3 + 1).alias("CustomerCategoryID"),
+        F.when(k % 2 == 0, F.lit("NULL")).otherwise(F.lit("1")).alias("BuyingGroupID"),
+        _s(k + 1).alias("PrimaryContactPersonID"),
+        F.when(k % 3 == 0, F.concat(_s(k + 2), F.lit(".0"))).otherwise(F.lit("")).alias("AlternateContactPersonID"),
+        _s(n % 7).alias("DeliveryMethodID"),
+        _s(k).alias("DeliveryCityID"),
+        _s(k).alias("PostalCityID"),
+        F.when(k % 7 == 0, F.lit("NA")).otherwise(_s(F.col("c_acctbal"))).alias("CreditLimit"),
+        F.date_format(opened, "yyyy-MM-dd").alias("AccountOpenedDate"),
+        F.lit("0.000").alias("StandardDiscountPercentage"),
+        F.lit("0").alias("IsStatementSent"),
+        _s(k % 2).alias("IsOnCreditHold"),
+        F.lit("7").alias("PaymentDays"),
+        F.concat(F.lit("("), _s(n), F.lit(") 555-0"), _s(k)).alias("PhoneNumber"),
+        F.concat(F.lit("("), _s(n), F.lit(") 556-0"), _s(k)).alias("FaxNumber"),
+        F.lit("").alias("DeliveryRun"),
+        F.lit("").alias("RunPosition"),
+        F.concat(F.lit("http://www."), F.lower("c_mktsegment"), F.lit(".example")).alias("WebsiteURL"),
+        F.concat(F.lit("Shop "), _s(k)).alias("DeliveryAddressLine1"),
+        F.concat(_s(k), F.lit(" Market Street")).alias("DeliveryAddressLine2"),
+        _s(n + 90000).alias("DeliveryPostalCode"),
+        F.lit("POINT (0 0)").alias("DeliveryLocation"),
+        F.concat(F.lit("PO Box "), _s(k)).alias("PostalAddressLine1"),
+        F.col("c_mktsegment").alias("PostalAddressLine2"),
+        _s(n + 90000).alias("PostalPostalCode"),
+        F.lit("1").alias("LastEditedBy"),
+        F.lit(VALID_FROM).alias("ValidFrom"),
+        F.lit(SENTINEL).alias("ValidTo"),
+        F.lit("2013-01-01T00:00:00.000").alias("ValidFrom_parsed"))

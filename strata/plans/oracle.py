@@ -262,6 +262,47 @@ SILVER_ORDER_LINES = """
         l_suppkey % 10 AS last_edited_by, l_shipdate AS last_edited_when
     FROM lineitem"""
 
+SILVER_STOCK_ITEMS = """
+    SELECT p_partkey AS stock_item_id, p_name AS stock_item_name, p_partkey % 100 AS supplier_id,
+        CASE WHEN p_partkey % 4 <> 0 THEN CAST(p_size % 7 AS BIGINT) END AS color_id,
+        p_partkey % 25 AS unit_package_id, CAST(p_size % 25 AS BIGINT) AS outer_package_id,
+        CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE p_brand END AS brand, p_type AS size,
+        CAST(p_size AS BIGINT) AS lead_time_days, CAST(p_size * 2 AS BIGINT) AS quantity_per_outer,
+        CAST(p_size % 2 AS BIGINT) AS is_chiller_stock,
+        CASE WHEN p_partkey % 5 <> 0 THEN CAST(p_partkey + 8302039290000 AS VARCHAR) || '.0' END AS barcode,
+        CAST(15.0 AS DOUBLE) AS tax_rate, p_retailprice AS unit_price,
+        p_retailprice * CAST(1.5 AS DOUBLE) AS recommended_retail_price,
+        p_retailprice / 100 AS typical_weight_per_unit,
+        CASE WHEN p_partkey % 3 <> 0 THEN 'Great ' || p_name END AS marketing_comments,
+        '{}' AS custom_fields, '[]' AS tags, concat(p_name, ' ', p_type) AS search_details,
+        CAST(1 AS BIGINT) AS last_edited_by, TIMESTAMP '2013-01-01 00:00:00' AS valid_from,
+        CAST(NULL AS TIMESTAMP) AS valid_to
+    FROM part"""
+
+SILVER_CUSTOMERS = """
+    SELECT c_custkey AS customer_id, c_name AS customer_name, c_custkey - c_custkey % 5 AS bill_to_customer_id,
+        CAST(c_nationkey % 3 + 1 AS BIGINT) AS customer_category_id,
+        CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE CAST(1 AS BIGINT) END AS buying_group_id,
+        c_custkey + 1 AS primary_contact_person_id,
+        CASE WHEN c_custkey % 3 = 0 THEN c_custkey + 2 END AS alternate_contact_person_id,
+        CAST(c_nationkey % 7 AS BIGINT) AS delivery_method_id, c_custkey AS delivery_city_id,
+        c_custkey AS postal_city_id,
+        CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END AS credit_limit,
+        CAST(DATE '2013-01-01' + CAST(c_custkey % 365 AS INTEGER) AS TIMESTAMP) AS account_opened_date,
+        CAST(0.0 AS DOUBLE) AS standard_discount_percentage, CAST(0 AS BIGINT) AS is_statement_sent,
+        c_custkey % 2 AS is_on_credit_hold, CAST(7 AS BIGINT) AS payment_days,
+        concat('(', CAST(c_nationkey AS VARCHAR), ') 555-0', CAST(c_custkey AS VARCHAR)) AS phone_number,
+        concat('(', CAST(c_nationkey AS VARCHAR), ') 556-0', CAST(c_custkey AS VARCHAR)) AS fax_number,
+        concat('http://www.', lower(c_mktsegment), '.example') AS website_url,
+        concat('Shop ', CAST(c_custkey AS VARCHAR)) AS delivery_address_line1,
+        concat(CAST(c_custkey AS VARCHAR), ' Market Street') AS delivery_address_line2,
+        CAST(c_nationkey + 90000 AS BIGINT) AS delivery_postal_code, 'POINT (0 0)' AS delivery_location,
+        concat('PO Box ', CAST(c_custkey AS VARCHAR)) AS postal_address_line1,
+        c_mktsegment AS postal_address_line2, CAST(c_nationkey + 90000 AS BIGINT) AS postal_postal_code,
+        CAST(1 AS BIGINT) AS last_edited_by, TIMESTAMP '2013-01-01 00:00:00' AS valid_from,
+        CAST(NULL AS TIMESTAMP) AS valid_to
+    FROM customer"""
+
 # null policy of the orders table (same policy as strata.plans.specs)
 ORDERS_EXPECTED = ["picked_by_id", "backorder_order_id", "picking_completed_when"]
 ORDERS_REQUIRED = ["order_id", "customer_id", "order_date", "salesperson_id"]
@@ -360,6 +401,8 @@ def oracle_queries() -> dict[str, str]:
     q.update({
         "silver_orders": SILVER_ORDERS,
         "silver_order_lines": SILVER_ORDER_LINES,
+        "silver_stock_items": SILVER_STOCK_ITEMS,
+        "silver_customers": SILVER_CUSTOMERS,
         "silver_csv_roundtrip": SILVER_ORDERS,
         "silver_incremental": f"""SELECT *, CAST(NULL AS VARCHAR) AS "Comments",
             CAST(NULL AS VARCHAR) AS "DeliveryInstructions", CAST(NULL AS VARCHAR) AS "InternalComments"

@@ -22,7 +22,7 @@ from strata.operators.ingest import parse_first_format
 from strata.operators.quality import (duplicate_keys, layer_overview, suspicious_dates, table_profile,
                                       validate_nulls)
 from strata.plans import gold
-from strata.plans.bronze_tpch import bronze_order_lines, bronze_orders
+from strata.plans.bronze_tpch import bronze_customers, bronze_order_lines, bronze_orders, bronze_stock_items
 from strata.plans.ingest_jobs import snapshot, split_batch
 from strata.plans.oracle import oracle_queries
 from strata.plans.runner import run_gold
@@ -65,6 +65,14 @@ def silver_order_lines(spark, sf_dir):
                         BY_NAME["order_lines"])
 
 
+def silver_stock_items(spark, sf_dir):
+    return clean_silver(map_null_tokens(bronze_stock_items(read_tpch(spark, sf_dir, "part"))), BY_NAME["stock_items"])
+
+
+def silver_customers(spark, sf_dir):
+    return clean_silver(map_null_tokens(bronze_customers(read_tpch(spark, sf_dir, "customer"))), BY_NAME["customers"])
+
+
 def silver_csv_roundtrip(spark, sf_dir):
     """orders extract written as ';'-separated CSV, then the full silver job on it."""
     root = scratch_dir(spark, "bronze-roundtrip")
@@ -228,6 +236,8 @@ def registry() -> dict[str, Query]:
     q.update({
         "silver_orders": silver_orders,
         "silver_order_lines": silver_order_lines,
+        "silver_stock_items": silver_stock_items,
+        "silver_customers": silver_customers,
         "silver_csv_roundtrip": silver_csv_roundtrip,
         "silver_incremental": silver_incremental,
         "null_policy": null_policy,
