@@ -92,17 +92,21 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite")
     return int(obs.get["rows"])
 
 
-def list_entries(spark: SparkSession, folder: str, suffix: str = "") -> list[str]:
+def list_entries(spark: SparkSession, folder: str, suffix: str = "", glob: str | None = None) -> list[str]:
     """Names of the entries (files or table folders) directly under ``folder``.
 
-    Uses the Hadoop FileSystem of the session, so it works for any URI scheme
-    the cluster is configured for; only names (not data) reach the driver.
+    Lists with the ``binaryFile`` source (file metadata only: the content
+    column is never selected, so no file is read), for any filesystem the
+    session can reach.  Only the entry names reach the driver.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
+    pattern = glob or (f"*{suffix}" if suffix else "*")
+    root = folder.rstrip("/")
+    bare = root.split("://", 1)[-1] if "://" in root else root.split(":", 1)[-1]
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", pattern).load(root).select("path"))
+    except Exception:  # noqa: BLE001 - a missing folder lists as empty
         return []
-    names = [st.getPath().getName() for st in fs.listStatus(p)]
-    return sorted(n for n in names if n.endswith(suffix) and not n.startswith(("_", ".")))
+    rel = F.expr(f"substr(path, instr(path, '{bare}/') + {len(bare) + 1})")
+    names = files.select(F.substring_index(rel, "/", 1).alias("name")).distinct().collect()
+    return sorted(r.name for r in names if r.name.endswith(suffix) and not r.name.startswith(("_", ".")))

@@ -35,8 +35,9 @@ def publish_tables(spark: SparkSession, src_root: str, dst_root: str, tables: li
 def publish_layer(spark: SparkSession, src_root: str, dst_root: str, fmt: str = "parquet",
                   domains: list[str] | None = None) -> DataFrame:
     """Publish every table found under ``src_root`` (optionally one level of domain folders)."""
+    glob = f"*.{fmt}"
     if domains is None:
-        tables = list_entries(spark, src_root)
+        tables = list_entries(spark, src_root, glob=glob)
     else:
-        tables = [f"{d}/{t}" for d in domains for t in list_entries(spark, f"{src_root}/{d}")]
+        tables = [f"{d}/{t}" for d in domains for t in list_entries(spark, f"{src_root}/{d}", glob=glob)]
     return publish_tables(spark, src_root, dst_root, tables, fmt)
