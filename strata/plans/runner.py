@@ -8,7 +8,8 @@ error) instead of log lines.
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,10 +48,18 @@ def silver_inputs(spark: SparkSession, silver_root: str) -> SilverTables:
     return SilverTables(spark, silver_root)
 
 
+def _map_jobs(fn: Callable, items: Sequence, workers: int) -> list:
+    """Run independent jobs, ``workers`` at a time (Spark schedules concurrent jobs); input order kept."""
+    if workers <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        return list(pool.map(fn, items))
+
+
 def run_gold(spark: SparkSession, tables: Mapping[str, DataFrame], gold_root: str,
-             names: list[str] | None = None) -> list[dict]:
-    out = []
-    for name in names or list(gold.GOLD_BUILDERS):
+             names: list[str] | None = None, workers: int = 1) -> list[dict]:
+    """Build and write each gold table; one failure is recorded and the rest still run."""
+    def one(name: str) -> dict:
         t0 = time.perf_counter()
         try:
             if name not in gold.GOLD_BUILDERS:
@@ -58,26 +67,26 @@ def run_gold(spark: SparkSession, tables: Mapping[str, DataFrame], gold_root: st
             df = gold.GOLD_BUILDERS[name](tables)
             rows = int(write_table(df, f"{gold_root.rstrip('/')}/{name}")["rows"])
             status = "ok" if rows else "skipped_empty"
-            out.append({"layer": "gold", "table": name, "status": status, "rows": rows,
-                        "seconds": time.perf_counter() - t0, "error": None})
+            return {"layer": "gold", "table": name, "status": status, "rows": rows,
+                    "seconds": time.perf_counter() - t0, "error": None}
         except Exception as e:  # noqa: BLE001 - one failure does not stop the run
-            out.append({"layer": "gold", "table": name, "status": "failed", "rows": None,
-                        "seconds": time.perf_counter() - t0, "error": _err(e)})
-    return out
+            return {"layer": "gold", "table": name, "status": "failed", "rows": None,
+                    "seconds": time.perf_counter() - t0, "error": _err(e)}
+    return _map_jobs(one, list(names or gold.GOLD_BUILDERS), workers)
 
 
-def run_silver(spark: SparkSession, bronze_root: str, silver_root: str) -> tuple[list[dict], list[tuple]]:
-    status, policy = [], []
-    for tdef in TABLES:
+def run_silver(spark: SparkSession, bronze_root: str, silver_root: str,
+               workers: int = 1) -> tuple[list[dict], list[tuple]]:
+    """Every silver job (independent of each other); returns status rows and null-policy rows."""
+    def one(tdef) -> tuple[dict, list[tuple]]:
         t0 = time.perf_counter()
         try:
-            s, p = build_silver(spark, tdef, bronze_root, silver_root)
-            status.append(s)
-            policy.extend(p)
+            return build_silver(spark, tdef, bronze_root, silver_root)
         except Exception as e:  # noqa: BLE001
-            status.append({"layer": "silver", "table": tdef.name, "status": "failed", "rows": None,
-                           "seconds": time.perf_counter() - t0, "error": _err(e)})
-    return status, policy
+            return ({"layer": "silver", "table": tdef.name, "status": "failed", "rows": None,
+                     "seconds": time.perf_counter() - t0, "error": _err(e)}, [])
+    results = _map_jobs(one, TABLES, workers)
+    return [s for s, _ in results], [p for _, ps in results for p in ps]
 
 
 def _status_df(spark: SparkSession, rows: list[dict]) -> DataFrame:
@@ -86,9 +95,14 @@ def _status_df(spark: SparkSession, rows: list[dict]) -> DataFrame:
         STATUS_SCHEMA)
 
 
-def run_all(spark: SparkSession, bronze_root: str, silver_root: str, gold_root: str) -> tuple[DataFrame, DataFrame]:
-    """Silver then gold; returns (status, null-policy report) DataFrames."""
-    silver_status, policy = run_silver(spark, bronze_root, silver_root)
-    gold_status = run_gold(spark, silver_inputs(spark, silver_root), gold_root)
+def run_all(spark: SparkSession, bronze_root: str, silver_root: str, gold_root: str,
+            workers: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Silver then gold (a layer barrier: gold reads the written silver tables).
+
+    Returns (status, null-policy report) DataFrames.  ``workers > 1`` submits
+    the independent jobs of a layer concurrently.
+    """
+    silver_status, policy = run_silver(spark, bronze_root, silver_root, workers)
+    gold_status = run_gold(spark, silver_inputs(spark, silver_root), gold_root, workers=workers)
     return (_status_df(spark, silver_status + gold_status),
             spark.createDataFrame(policy, POLICY_SCHEMA))

@@ -14,7 +14,7 @@ from strata.plans.runner import run_all, silver_inputs
 def warehouse(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("wh"))
     bronze = write_bronze(os.path.join(root, "bronze", "actual"))
-    status, policy = run_all(spark, bronze, f"{root}/silver", f"{root}/gold")
+    status, policy = run_all(spark, bronze, f"{root}/silver", f"{root}/gold", workers=4)
     return {"root": root, "status": {(r.layer, r.table): r for r in status.collect()},
             "policy": policy.collect(), "tables": silver_inputs(spark, f"{root}/silver")}
 
@@ -122,3 +122,13 @@ def test_calendar_without_dates_fails(spark):
     empty = spark.createDataFrame([], "order_date timestamp_ntz, expected_delivery_date timestamp_ntz")
     with pytest.raises(Exception, match="No valid dates"):
         gold.dim_calendar({"purchase_orders": empty}).collect()
+
+
+def test_command_line_run(spark, tmp_path):
+    from strata.__main__ import main
+    root = str(tmp_path)
+    bronze = write_bronze(os.path.join(root, "bronze"))
+    assert main(["run", bronze, f"{root}/silver", f"{root}/gold", "--workers", "2"]) == 0
+    assert spark.read.parquet(f"{root}/gold/fact_orders").count() == 4
+    assert main(["publish", f"{root}/gold", f"{root}/pub"]) == 0
+    assert spark.read.parquet(f"{root}/pub/dim_people").count() == 2
