@@ -20,8 +20,23 @@ from strata.operators.calendar import calendar_dim, date_bounds
 from strata.operators.columns import dedup_columns, rename_columns, select_strict
 from strata.operators.impute import fill_constants, fill_from_parent_then_mean
 from strata.operators.joins import header_detail_join, lookup_join
+from strata.operators.quality import observe_rows
 
 Tables = Mapping[str, DataFrame]
+Audit = list | None
+
+
+def _audit(df: DataFrame, audit: Audit, label: str) -> DataFrame:
+    """Join-growth audit: when ``audit`` is a list, count the rows of ``df`` during the next action.
+
+    Appends ``(label, Observation)``; read ``obs.get["rows"]`` after the table is
+    written.  No extra job runs.
+    """
+    if audit is None:
+        return df
+    df, obs = observe_rows(df, f"{label}_{len(audit)}_{id(audit)}")
+    audit.append((label, obs))
+    return df
 
 # Gold column lists and renames of the warehouse contract.
 CUSTOMER_COLUMNS = [
@@ -229,19 +244,23 @@ def dim_supplier(tables: Tables) -> DataFrame:
     return rename_columns(df, SUPPLIER_RENAME)
 
 
-def fact_orders(tables: Tables) -> DataFrame:
+def fact_orders(tables: Tables, audit: Audit = None) -> DataFrame:
     df = lookup_join(tables["orders"], tables["customers"], "customer_id", attrs=["customer_name"])
     df = lookup_join(df, tables["people"], "salesperson_id", "person_id", attrs={"full_name": "sales_person"})
     df = lookup_join(df, tables["people"], "contact_person_id", "person_id", attrs={"full_name": "contact_person"})
+    df = _audit(df, audit, "orders_after_lookups")
     df = header_detail_join(df, tables["order_lines"], "order_id", ORDER_LINE_COLUMNS)
+    df = _audit(df, audit, "after_order_lines")
     df = select_strict(df, FACT_ORDERS_COLUMNS)
     return rename_columns(df, FACT_ORDERS_RENAME)
 
 
-def fact_purchases(tables: Tables) -> DataFrame:
+def fact_purchases(tables: Tables, audit: Audit = None) -> DataFrame:
     df = lookup_join(tables["purchase_orders"], tables["people"], "contact_person_id", "person_id",
                      attrs={"full_name": "contact_person"})
+    df = _audit(df, audit, "purchase_orders_after_lookups")
     df = header_detail_join(df, tables["purchase_order_lines"], "purchase_order_id", PURCHASE_LINE_COLUMNS)
+    df = _audit(df, audit, "after_purchase_order_lines")
     df = select_strict(dedup_columns(df), FACT_PURCHASES_COLUMNS)
     df = df.withColumn("is_order_finalized", truthy("is_order_finalized"))
     return rename_columns(df, FACT_PURCHASES_RENAME)

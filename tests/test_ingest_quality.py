@@ -140,3 +140,11 @@ def test_run_summary(spark):
     st = spark.createDataFrame([("silver", "ok"), ("silver", "failed"), ("gold", "ok")], "layer string, status string")
     got = {r.layer: (r.jobs, r.ok, r.failed) for r in run_summary(st).collect()}
     assert got == {"silver": (2, 1, 1), "gold": (1, 1, 0)}
+
+
+def test_file_sizes(spark, tmp):
+    from strata.operators.quality import file_sizes
+    spark.range(1000).repartition(3).write.parquet(f"{tmp}/t")
+    r = file_sizes(spark.read.parquet(f"{tmp}/t")).first()
+    on_disk = sum(os.path.getsize(f"{tmp}/t/{f}") for f in os.listdir(f"{tmp}/t") if f.endswith(".parquet"))
+    assert r.files == 3 and r.bytes == on_disk

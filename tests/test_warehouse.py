@@ -132,3 +132,11 @@ def test_command_line_run(spark, tmp_path):
     assert spark.read.parquet(f"{root}/gold/fact_orders").count() == 4
     assert main(["publish", f"{root}/gold", f"{root}/pub"]) == 0
     assert spark.read.parquet(f"{root}/pub/dim_people").count() == 2
+
+
+def test_join_growth_audit(spark, warehouse):
+    audit = []
+    out = gold.fact_orders(warehouse["tables"], audit=audit)
+    out.write.format("noop").mode("overwrite").save()
+    counts = {label: obs.get["rows"] for label, obs in audit}
+    assert counts == {"orders_after_lookups": 3, "after_order_lines": 4}
