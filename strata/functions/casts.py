@@ -43,14 +43,17 @@ def to_timestamp_coerce(c, fmt: str | None = None) -> Column:
 
     Without ``fmt`` the ISO forms (``yyyy-MM-dd``, ``yyyy-MM-dd HH:mm:ss[.f]``,
     ``T`` separator) are accepted.  With ``fmt`` a Spark datetime pattern is
-    used; the parse happens in the session time zone and is cast back to a
-    zone-less timestamp, which is exact when the session zone is UTC.
+    used and the text is parsed straight to a zone-less timestamp, so the
+    result does not depend on the session time zone; ``try_to_timestamp``
+    only decides which rows are parseable (the strict parser then never sees
+    a bad value, even with ANSI mode on).
     """
-    c = _col(c)
+    c = _col(c).cast("string")
     if fmt is None:
-        ts = c.cast("string").try_cast("timestamp_ntz")
+        ts = c.try_cast("timestamp_ntz")
     else:
-        ts = F.try_to_timestamp(c.cast("string"), F.lit(fmt)).cast("timestamp_ntz")
+        f = F.lit(fmt)
+        ts = F.when(F.try_to_timestamp(c, f).isNotNull(), F.to_timestamp_ntz(c, f))
     return F.when(_in_ns_range(ts), ts)
 
 

@@ -64,3 +64,15 @@ def test_calendar_columns_iso_week_and_weekday(spark):
     assert r.is_year_end and r.is_quarter_end and r.is_month_end and not r.is_weekend
     r = rows[1]
     assert r.is_quarter_end and r.is_weekend and r.day_of_week == 6
+
+
+def test_formatted_parse_ignores_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 02:30 on 10 March 2013 does not exist in New York (DST gap)
+        got = one_col(spark, ["2013-03-10 02:30:00", "bad", "10/03/2013 02:30:00"],
+                      lambda c: to_timestamp_coerce(c, "yyyy-MM-dd HH:mm:ss"))
+        assert got == [dt.datetime(2013, 3, 10, 2, 30), None, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
