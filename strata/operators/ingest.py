@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.casts import to_timestamp_coerce
@@ -16,12 +16,21 @@ SPLIT_FORMATS = ("yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]", "yyyy-MM-dd", "dd/MM/yyyy")
 PARSED_SUFFIX = "_parsed"
 
 
+def failure_counts(col: str, formats: Sequence[str] = SPLIT_FORMATS) -> list[Column]:
+    """Aggregate expressions ``f<i>``: non-null values of ``col`` that format i cannot parse."""
+    c = F.col(f"`{col}`")
+    return [F.count_if(c.isNotNull() & F.try_to_timestamp(c, F.lit(f)).isNull()).alias(f"f{i}")
+            for i, f in enumerate(formats)]
+
+
+def first_fitting(failures: dict, formats: Sequence[str] = SPLIT_FORMATS) -> str | None:
+    """The first format without failures, from a row/dict of ``f<i>`` counts."""
+    return next((f for i, f in enumerate(formats) if int(failures[f"f{i}"]) == 0), None)
+
+
 def format_failures(df: DataFrame, col: str, formats: Sequence[str] = SPLIT_FORMATS) -> dict[str, int]:
     """For each format, how many non-null values it fails to parse (one aggregation)."""
-    c = F.col(f"`{col}`")
-    row = df.agg(*[
-        F.count_if(c.isNotNull() & F.try_to_timestamp(c, F.lit(f)).isNull()).alias(f"f{i}")
-        for i, f in enumerate(formats)]).first()
+    row = df.agg(*failure_counts(col, formats)).first()
     return {f: int(row[f"f{i}"]) for i, f in enumerate(formats)}
 
 
@@ -46,13 +55,17 @@ def parse_first_format(df: DataFrame, col: str, formats: Sequence[str] = SPLIT_F
 
 
 def split_by_year(df: DataFrame, col: str, start_year: int, end_year: int,
-                  formats: Sequence[str] = SPLIT_FORMATS, on_unparsed: str = "raise") -> DataFrame:
+                  formats: Sequence[str] = SPLIT_FORMATS, on_unparsed: str = "raise",
+                  fmt: str | None = None) -> DataFrame:
     """Rows whose date in ``col`` falls in [start_year, end_year]; null dates are dropped.
 
     The parsed column ``<col>_parsed`` is kept.  When no format fits, raise
     (default) or, with ``on_unparsed='keep'``, return every row unfiltered.
+    A known ``fmt`` skips the detection pass.
     """
     parsed = f"{col}{PARSED_SUFFIX}"
+    if fmt is not None and parsed not in df.columns:
+        df = df.withColumn(parsed, to_timestamp_coerce(F.col(f"`{col}`"), fmt))
     if parsed not in df.columns:
         df, fmt = parse_first_format(df, col, formats)
         if fmt is None:

@@ -12,11 +12,11 @@ format check is one aggregation.  Returns a status DataFrame
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from strata.operators.ingest import split_by_year
+from strata.operators.ingest import SPLIT_FORMATS, failure_counts, first_fitting, split_by_year
 from strata.plans.specs import SPLIT_DATE_COLUMNS
 from strata.sources.csv import list_entries, read_csv_text, write_csv
 
@@ -36,12 +36,33 @@ def _err(e: Exception) -> str:
 
 
 def split_table(spark: SparkSession, raw_dir: str, bronze_dir: str, table: str, date_col: str,
-                start_year: int, end_year: int, label: str, on_unparsed: str = "raise") -> tuple:
+                start_year: int, end_year: int, label: str, on_unparsed: str = "raise",
+                formats: Sequence[str] = SPLIT_FORMATS) -> tuple:
+    """Split one table in a single read when its dates are in the first format.
+
+    The window is written with the first format while every format's failure
+    count is observed over all rows.  If the first format failed on some
+    value, the table is written again with the first format that parses every
+    value (the same result as detecting the format first, which would always
+    cost an extra pass).  When no format fits, the output is emptied and the
+    job fails, or with ``on_unparsed='keep'`` all rows are written unfiltered.
+    """
     df = read_csv_text(spark, _raw_path(raw_dir, table))
+    out = _out_path(bronze_dir, label, table)
     if date_col not in df.columns:
         return (label, table, "failed", None, f"date column {date_col!r} not found")
-    part = split_by_year(df, date_col, start_year, end_year, on_unparsed=on_unparsed)
-    rows = write_csv(part, _out_path(bronze_dir, label, table))
+    obs = Observation(f"formats_{table}")
+    observed = df.observe(obs, *failure_counts(date_col, formats))
+    rows = write_csv(split_by_year(observed, date_col, start_year, end_year, fmt=formats[0]), out)
+    fmt = first_fitting(obs.get, formats)
+    if fmt != formats[0]:
+        if fmt is not None:
+            rows = write_csv(split_by_year(df, date_col, start_year, end_year, fmt=fmt), out)
+        elif on_unparsed == "keep":
+            rows = write_csv(df, out)
+        else:
+            write_csv(df.limit(0), out)
+            return (label, table, "failed", None, f"column {date_col!r}: no date format fits every value")
     return (label, table, "ok" if rows else "empty", rows, None)
 
 

@@ -76,21 +76,34 @@ def build_silver(spark: SparkSession, tdef: TableDef, bronze_root: str, silver_r
                  sep: str | None = None) -> tuple[dict, list[tuple]]:
     """Run one silver job; returns (status row dict, null-policy rows).
 
-    An empty source writes nothing and reports ``skipped_empty``.
+    One pass over the bronze data in the expected case: the optional columns
+    (declared as normally empty) are left out of the write while their
+    non-null counts are observed together with the row count and the
+    null-policy counts.  Only if an optional column turns out to hold data is
+    the table written a second time with that column kept, so the result is
+    the same as checking emptiness first.  An empty source writes nothing and
+    reports ``skipped_empty``.
     """
     t0 = time.perf_counter()
     src = f"{bronze_root.rstrip('/')}/{tdef.bronze_file}"
+    target = f"{silver_root.rstrip('/')}/{tdef.output_path}"
     bronze = read_bronze(spark, src, sep=sep)
     if bronze.isEmpty():
         return ({"layer": "silver", "table": tdef.name, "status": "skipped_empty", "rows": 0,
                  "seconds": time.perf_counter() - t0, "error": None}, [])
-    df = clean_silver(bronze, tdef)
+    full = clean_silver(bronze, tdef, drop_empty=False)
+    optional = [c.bronze for c in tdef.cols if c.kind == "empty" and c.bronze in full.columns]
     exp = expected_nulls(tdef)
     req = tdef.required_columns
     policy = [(c, "expected", r) for c, r in exp.items()] + [(c, "required", None) for c in req]
-    present = sorted({c for c, _, _ in policy if c in df.columns})
+    present = sorted({c for c, _, _ in policy if c in full.columns})
     metrics = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{c}") for c in present]
-    m = write_table(df, f"{silver_root.rstrip('/')}/{tdef.output_path}", metrics=metrics)
+    metrics += [F.count(F.col(f"`{c}`")).alias(f"filled_{c}") for c in optional]
+    m = write_table(full, target, metrics=metrics, drop=optional)
+    filled = [c for c in optional if m[f"filled_{c}"] > 0]
+    if filled:
+        # an optional column holds data after all: keep it (second pass, rare by definition)
+        m = write_table(full, target, metrics=metrics, drop=[c for c in optional if c not in filled])
     rows = []
     for c, kind, reason in policy:
         n = m.get(f"null_{c}")

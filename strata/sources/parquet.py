@@ -15,14 +15,17 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: Sequence[str] | None = None,
-                metrics: Sequence[Column] = ()) -> dict:
+                metrics: Sequence[Column] = (), drop: Sequence[str] = ()) -> dict:
     """Write ``df`` as Parquet and return observed metrics, at least ``rows``.
 
     The metrics are computed while the data is written (``DataFrame.observe``),
-    so counting the output costs no second pass over the plan.
+    so counting the output costs no second pass over the plan.  ``drop`` names
+    columns that feed the metrics but are not written.
     """
     obs = Observation("strata_write")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
+    if drop:
+        observed = observed.drop(*drop)
     w = observed.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -148,3 +148,21 @@ def test_file_sizes(spark, tmp):
     r = file_sizes(spark.read.parquet(f"{tmp}/t")).first()
     on_disk = sum(os.path.getsize(f"{tmp}/t/{f}") for f in os.listdir(f"{tmp}/t") if f.endswith(".parquet"))
     assert r.files == 3 and r.bytes == on_disk
+
+
+def test_split_batch_second_format_and_unparseable(spark, tmp):
+    raw = f"{tmp}/raw2"
+    # dates only as yyyy-MM-dd: the optimistic first format fails, the second fits
+    write_text(f"{raw}/sales.order.csv", "OrderID,LastEditedWhen\n1,2012-05-01\n2,2013-05-01\n3,2014-05-01\n")
+    write_text(f"{raw}/sales.invoices.csv", "InvoiceID,LastEditedWhen\n1,2013-05-01\n2,May 5th\n")
+    st = {r.table: r for r in split_batch(spark, raw, f"{tmp}/bronze", 2013, 2014,
+                                          tables={"sales.order": "LastEditedWhen",
+                                                  "sales.invoices": "LastEditedWhen"}).collect()}
+    assert (st["sales.order"].status, st["sales.order"].rows) == ("ok", 2)
+    kept = read_csv_text(spark, f"{tmp}/bronze/actual/sales.order.csv")
+    assert sorted(r.OrderID for r in kept.collect()) == ["2", "3"]
+    assert st["sales.invoices"].status == "failed"
+    assert read_csv_text(spark, f"{tmp}/bronze/actual/sales.invoices.csv").count() == 0
+    st = {r.table: r for r in split_batch(spark, raw, f"{tmp}/bronze2", 2013, 2014, on_unparsed="keep",
+                                          tables={"sales.invoices": "LastEditedWhen"}).collect()}
+    assert (st["sales.invoices"].status, st["sales.invoices"].rows) == ("ok", 2)
