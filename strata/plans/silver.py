@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from strata.functions.casts import nullable_bigint, number_to_text, to_timestamp_coerce
 from strata.operators.columns import empty_columns, rename_columns
-from strata.operators.quality import policy_status
 from strata.plans.specs import TableDef
 from strata.sources.csv import read_bronze
 from strata.sources.parquet import write_table
@@ -113,4 +112,4 @@ def build_silver(spark: SparkSession, tdef: TableDef, bronze_root: str, silver_r
              "seconds": time.perf_counter() - t0, "error": None}, rows)
 
 
-__all__ = ["clean_silver", "build_silver", "expected_nulls", "policy_status"]
+__all__ = ["clean_silver", "build_silver", "expected_nulls"]

@@ -54,3 +54,18 @@ def test_lookup_preserves_rows_with_null_and_hot_keys(spark):
     out = lookup_join(fact, dim, "k", attrs=["v"])
     assert out.count() == 50_000
     assert out.where("k IS NULL AND v IS NULL").count() == fact.where("k IS NULL").count()
+
+
+def test_broadcast_hint_only_within_bound(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = spark.range(0, 1000).select(F.col("id"), (F.col("id") % 50).alias("k"))
+        dim = spark.range(0, 50).select(F.col("id").alias("k"), F.col("id").alias("v"))
+        small = lookup_join(fact, dim, "k", attrs=["v"], broadcast=True, max_broadcast_rows=100)
+        big = lookup_join(fact, dim, "k", attrs=["v"], broadcast=True, max_broadcast_rows=10)
+        assert "BroadcastHashJoin" in _final_plan(small)
+        assert "BroadcastHashJoin" not in _final_plan(big) and "SortMergeJoin" in _final_plan(big)
+        assert sorted(small.collect()) == sorted(big.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
