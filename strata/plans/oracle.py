@@ -423,6 +423,9 @@ def oracle_queries() -> dict[str, str]:
             COALESCE(CASE WHEN l_linenumber <> 2 THEN l_quantity - 1 END <> 0, true) AS flag FROM lineitem""",
         "drop_empty_columns": "SELECT * FROM orders",
         "dedup_columns": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
+        "rename_select": """SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice, o_orderdate
+            FROM orders""",
+        "drop_strict": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders",
         "table_profile": _profile_sql(),
         "layer_overview": _overview_sql(),
         "suspicious_dates": _suspicious_sql(),

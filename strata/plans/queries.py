@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.casts import null_tokens_to_null, nullable_bigint, number_to_text, to_timestamp_coerce, truthy
-from strata.operators.columns import dedup_columns, drop_empty_columns
+from strata.operators.columns import dedup_columns, drop_empty_columns, drop_strict, rename_columns, select_strict
 from strata.operators.impute import impute_report
 from strata.operators.ingest import parse_first_format
 from strata.operators.quality import (duplicate_keys, layer_overview, suspicious_dates, table_profile,
@@ -154,6 +154,16 @@ def q_drop_empty_columns(spark, sf_dir):
     return drop_empty_columns(df)
 
 
+def q_rename_select(spark, sf_dir):
+    renamed = rename_columns(_orders(spark, sf_dir), {"o_orderkey": "order_id", "o_custkey": "customer_id",
+                                                      "o_clerk": "clerk"})   # absent name: ignored
+    return select_strict(renamed, ["order_id", "customer_id", "o_totalprice", "o_orderdate"])
+
+
+def q_drop_strict(spark, sf_dir):
+    return drop_strict(_orders(spark, sf_dir), ["o_orderpriority", "o_orderstatus"])
+
+
 def q_dedup_columns(spark, sf_dir):
     df = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice",
                                        F.col("o_orderkey").alias("o_custkey"))
@@ -249,6 +259,8 @@ def registry() -> dict[str, Query]:
         "truthy_flag": q_truthy_flag,
         "drop_empty_columns": q_drop_empty_columns,
         "dedup_columns": q_dedup_columns,
+        "rename_select": q_rename_select,
+        "drop_strict": q_drop_strict,
         "table_profile": q_table_profile,
         "layer_overview": q_layer_overview,
         "suspicious_dates": q_suspicious_dates,
