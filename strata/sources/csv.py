@@ -107,6 +107,6 @@ def list_entries(spark: SparkSession, folder: str, suffix: str = "", glob: str |
                  .option("pathGlobFilter", pattern).load(root).select("path"))
     except Exception:  # noqa: BLE001 - a missing folder lists as empty
         return []
-    rel = F.expr(f"substr(path, instr(path, '{bare}/') + {len(bare) + 1})")
+    rel = F.substr(F.col("path"), F.instr(F.col("path"), f"{bare}/") + F.lit(len(bare) + 1))
     names = files.select(F.substring_index(rel, "/", 1).alias("name")).distinct().collect()
     return sorted(r.name for r in names if r.name.endswith(suffix) and not r.name.startswith(("_", ".")))

@@ -166,3 +166,14 @@ def test_split_batch_second_format_and_unparseable(spark, tmp):
     st = {r.table: r for r in split_batch(spark, raw, f"{tmp}/bronze2", 2013, 2014, on_unparsed="keep",
                                           tables={"sales.invoices": "LastEditedWhen"}).collect()}
     assert (st["sales.invoices"].status, st["sales.invoices"].rows) == ("ok", 2)
+
+
+def test_publish_csv_layer(spark, tmp):
+    src = f"{tmp}/bronze_pub/actual"
+    write_text(f"{src}/sales.order.csv", "OrderID,Note\n1,a\n2,\"b, c\"\n")
+    write_text(f"{src}/warehouse.colors.csv", "ColorID;ColorName\n1;Red\n")
+    st = {r.table: r for r in publish_layer(spark, f"{tmp}/bronze_pub", f"{tmp}/pub_csv", fmt="csv",
+                                            domains=["actual"]).collect()}
+    assert st["actual/sales.order.csv"].rows == 2 and st["actual/warehouse.colors.csv"].rows == 1
+    back = read_csv_text(spark, f"{tmp}/pub_csv/actual/sales.order.csv").orderBy("OrderID").collect()
+    assert back[1].Note == "b, c"
