@@ -15,6 +15,46 @@ def _final_plan(df) -> str:
     return buf.getvalue()
 
 
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@contextlib.contextmanager
+def _conf(spark, conf):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_hot_and_null_fact_keys_are_split(spark):
+    with _conf(spark, SKEW_CONF):
+        n = 300_000
+        # a third of the facts point at dimension key 7, another third have no key
+        fact = spark.range(0, n).select(
+            F.col("id"),
+            F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.lit(None))
+             .otherwise(F.col("id") % 5000).alias("k"))
+        dim = spark.range(0, 5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+        out = lookup_join(fact, dim, "k", attrs=["v"])
+        rows = out.collect()
+        assert len(rows) == n
+        assert sum(1 for r in rows if r.v is None) == n // 3
+        assert "skew=true" in _final_plan(out)
+
+
 def test_hot_detail_key_is_split(spark):
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
