@@ -36,15 +36,21 @@ def stream_schema(tdef: TableDef) -> StructType:
     return StructType([StructField(c.bronze, StringType(), True) for c in tdef.cols if c.kind != "parsed"])
 
 
-def _writer(tdef: TableDef, target: str):
+def _writer(target: str):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        typed = clean_silver(map_null_tokens(batch), tdef, drop_empty=False)
-        (typed.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
+        (batch.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COLUMN).parquet(target))
     return write_batch
 
 
+def policy_metrics(tdef: TableDef, columns: list[str]) -> list:
+    """Row count and the null count of every policy column present (``null_<column>``)."""
+    policy = list(dict.fromkeys(list(tdef.expected_nulls) + tdef.required_columns))
+    return [F.count(F.lit(1)).alias("rows")] + [
+        F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{c}") for c in policy if c in columns]
+
+
 def incremental_silver(spark: SparkSession, tdef: TableDef, landing_dir: str, silver_root: str,
                        checkpoint: str | None = None, sep: str = ",", available_now: bool = True,
                        processing_time: str | None = None, max_files_per_trigger: int | None = None
@@ -57,8 +63,10 @@ def incremental_silver(spark: SparkSession, tdef: TableDef, landing_dir: str, si
               .option("mode", "PERMISSIVE"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    source = reader.csv(landing_dir)
-    writer = (source.writeStream.foreachBatch(_writer(tdef, target))
+    typed = clean_silver(map_null_tokens(reader.csv(landing_dir)), tdef, drop_empty=False)
+    # per-batch row and null-policy counts, reported in StreamingQueryProgress.observedMetrics
+    typed = typed.observe(f"silver_{tdef.name}", *policy_metrics(tdef, typed.columns))
+    writer = (typed.writeStream.foreachBatch(_writer(target))
               .option("checkpointLocation", checkpoint).queryName(f"silver_{tdef.name}"))
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -10,6 +10,7 @@ def _run(spark, tdef, landing, silver, ckpt):
     q = incremental_silver(spark, tdef, landing, silver, checkpoint=ckpt)
     q.awaitTermination(120)
     assert q.exception() is None
+    return q
 
 
 def test_incremental_orders(spark, tmp):
@@ -17,7 +18,9 @@ def test_incremental_orders(spark, tmp):
     landing, silver, ckpt = f"{tmp}/landing", f"{tmp}/silver", f"{tmp}/ckpt"
     write_text(f"{landing}/a.csv", table_csv("orders", {"OrderID": [1, 2], "PickedByPersonID": ["12.0", "NA"],
                                                        "OrderDate": ["2013-01-01", "2013-01-02"]}, 2))
-    _run(spark, tdef, landing, silver, ckpt)
+    q = _run(spark, tdef, landing, silver, ckpt)
+    metrics = [p["observedMetrics"]["silver_orders"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert metrics and metrics[-1]["rows"] == 2 and metrics[-1]["null_picked_by_id"] == 1
     out = spark.read.parquet(f"{silver}/{tdef.output_path}")
     got = {r.order_id: (r.picked_by_id, r.order_date) for r in out.collect()}
     assert got == {1: (12, dt.datetime(2013, 1, 1)), 2: (None, dt.datetime(2013, 1, 2))}
