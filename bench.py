@@ -35,8 +35,13 @@ def run(spark, q, sf_dir):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_session(f"local[{cpus}]", app_name="strata-bench", shuffle_partitions=2 * cpus,
-                        extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # stage/task timings for later inspection, in a fresh scratch folder
+        log_dir = tempfile.mkdtemp(prefix="strata-eventlog-")
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir})
+        print(f"event log: {log_dir}", file=sys.stderr)
+    spark = get_session(f"local[{cpus}]", app_name="strata-bench", shuffle_partitions=2 * cpus, extra=extra)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-bench-ckpt-"))
     qs = registry()

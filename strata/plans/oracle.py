@@ -396,6 +396,21 @@ def _run_all_sql() -> str:
         "\nUNION ALL\nSELECT 'gold', 'fact_invoices', 'failed', CAST(NULL AS BIGINT)")
 
 
+SILVER_TABLE_ORDER = ["cities", "colors", "countries", "customers", "delivery_methods", "invoices",
+                      "invoice_lines", "package_types", "payment_methods", "people", "provinces",
+                      "purchase_orders", "purchase_order_lines", "orders", "order_lines", "stock_groups",
+                      "stock_item_holdings", "stock_items", "suppliers", "supplier_transactions",
+                      "transaction_types"]
+
+
+def _silver_run_sql() -> str:
+    fed = {"orders": "orders", "order_lines": "lineitem", "customers": "customer", "stock_items": "part"}
+    rows = [f"('silver', '{t}', 'ok', (SELECT count(*) FROM {fed[t]}))" if t in fed
+            else f"('silver', '{t}', 'failed', NULL)" for t in SILVER_TABLE_ORDER]
+    return ('SELECT layer, "table", status, CAST("rows" AS BIGINT) AS "rows" FROM (VALUES '
+            + ", ".join(rows) + ') AS v(layer, "table", status, "rows")')
+
+
 def oracle_queries() -> dict[str, str]:
     q = {name: with_ctes(sql) for name, sql in GOLD_SQL.items()}
     q.update({
@@ -436,6 +451,7 @@ def oracle_queries() -> dict[str, str]:
             o_orderdate AS last_edited_when_parsed FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1997""",
         "ingest_status": _ingest_status_sql(),
         "publish_roundtrip": _publish_sql(),
+        "silver_run_status": _silver_run_sql(),
         "run_all_status": _run_all_sql(),
     })
     return q

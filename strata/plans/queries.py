@@ -25,7 +25,7 @@ from strata.plans import gold
 from strata.plans.bronze_tpch import bronze_customers, bronze_order_lines, bronze_orders, bronze_stock_items
 from strata.plans.ingest_jobs import snapshot, split_batch
 from strata.plans.oracle import oracle_queries
-from strata.plans.runner import run_gold
+from strata.plans.runner import run_gold, run_silver
 from strata.plans.silver import build_silver, clean_silver, expected_nulls
 from strata.plans.specs import BY_NAME
 from strata.plans.tpch import TPCH_TABLES, read_tpch, silver_tables
@@ -233,6 +233,20 @@ def q_publish_roundtrip(spark, sf_dir):
     return status.drop("error")
 
 
+def q_silver_run_status(spark, sf_dir):
+    """All 21 silver jobs over a bronze folder holding the four extracts the test data can feed."""
+    root = scratch_dir(spark, "silver-run")
+    extracts = {"orders": bronze_orders(read_tpch(spark, sf_dir, "orders")),
+                "order_lines": bronze_order_lines(read_tpch(spark, sf_dir, "lineitem")),
+                "customers": bronze_customers(read_tpch(spark, sf_dir, "customer")),
+                "stock_items": bronze_stock_items(read_tpch(spark, sf_dir, "part"))}
+    for name, df in extracts.items():
+        write_csv(df, f"{root}/bronze/{BY_NAME[name].bronze_file}")
+    status, _ = run_silver(spark, f"{root}/bronze", f"{root}/silver", workers=4)
+    return spark.createDataFrame([(r["layer"], r["table"], r["status"], r["rows"]) for r in status],
+                                 "layer string, table string, status string, rows bigint")
+
+
 def q_run_all_status(spark, sf_dir):
     dst = scratch_dir(spark, "gold")
     # one deliberately unknown job: its failure is recorded, the others still run
@@ -269,6 +283,7 @@ def registry() -> dict[str, Query]:
         "ingest_split": q_ingest_split,
         "ingest_status": q_ingest_status,
         "publish_roundtrip": q_publish_roundtrip,
+        "silver_run_status": q_silver_run_status,
         "run_all_status": q_run_all_status,
     })
     return q
