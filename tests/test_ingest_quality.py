@@ -177,3 +177,17 @@ def test_publish_csv_layer(spark, tmp):
     assert st["actual/sales.order.csv"].rows == 2 and st["actual/warehouse.colors.csv"].rows == 1
     back = read_csv_text(spark, f"{tmp}/pub_csv/actual/sales.order.csv").orderBy("OrderID").collect()
     assert back[1].Note == "b, c"
+
+
+def test_cli_ingest_and_views(spark, tmp):
+    from strata.__main__ import main
+    from strata.sources.parquet import register_views
+    raw = f"{tmp}/raw3"
+    write_text(f"{raw}/sales.order.csv", "OrderID,LastEditedWhen\n1,2013-05-01 10:00:00\n2,2016-01-01 00:00:00\n")
+    write_text(f"{raw}/warehouse.colors.csv", "ColorID,ColorName\n1,Red\n")
+    assert main(["ingest", raw, f"{tmp}/bronze3"]) == 0
+    assert read_csv_text(spark, f"{tmp}/bronze3/actual/sales.order.csv").count() == 1
+    assert read_csv_text(spark, f"{tmp}/bronze3/upcoming/sales.order.csv").count() == 2
+    spark.range(3).write.parquet(f"{tmp}/lake/dimensions/colors")
+    assert register_views(spark, f"{tmp}/lake", ["dimensions/colors"]) == ["colors"]
+    assert spark.sql("SELECT count(*) AS n FROM colors").first().n == 3
