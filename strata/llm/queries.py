@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import packing, pii, sharding
+from strata.llm import decontamination, html, packing, pii, sharding, toxicity
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -27,6 +27,9 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries opN_<name>, by name."""
     queries = {
+        "op1_benchmark_decontamination": decontamination.op1_benchmark_decontamination,
+        "op3_html_extraction": html.op3_html_extraction,
+        "op5_toxicity": toxicity.op5_toxicity,
         "op7_sharding": sharding.op7_sharding,
         "op8_best_fit_packing": packing.op8_best_fit_packing,
         "op10_pii": pii.op10_pii,
@@ -36,4 +39,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {}
+    return {"op1_benchmark_decontamination": decontamination.ORACLE_SQL}
