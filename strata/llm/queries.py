@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontamination, html, packing, pii, sharding, toxicity
+from strata.llm import decontamination, html, lines, packing, pii, sharding, toxicity
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -32,6 +32,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_toxicity": toxicity.op5_toxicity,
         "op7_sharding": sharding.op7_sharding,
         "op8_best_fit_packing": packing.op8_best_fit_packing,
+        "op9_line_dedup": lines.op9_line_dedup,
         "op10_pii": pii.op10_pii,
     }
     return {name: _ready(q) for name, q in queries.items()}
