@@ -195,11 +195,14 @@ def link_groups(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], nam
     group leader; round 2 verifies what could still join two components: pairs
     of nodes of one key that round 1 left in different ones.  Pairs within a
     component need no check, so a large group of copies costs one check a
-    member; ``possible`` narrows round 2 by the notes of both nodes.
+    member; ``possible`` narrows the pairs of a key by the notes of both nodes.
     """
-    leads = shared.groupBy("key").agg(F.min(F.struct("node", "note")).alias("lead"))
-    pairs = (shared.join(leads, "key").where(F.col("node") > F.col("lead.node"))
-             .groupBy(F.col("lead.node").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("n")))
+    leads = (shared.groupBy("key").agg(F.min(F.struct("node", "note")).alias("lead"))
+             .select("key", F.col("lead.node").alias("a"), F.col("lead.note").alias("a_note")))
+    led = shared.join(leads, "key").where(F.col("node") > F.col("a"))
+    if possible is not None:
+        led = led.where(possible("a_note", "note"))
+    pairs = led.groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("n"))
     first = pairs.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("na"))).alias("best")).select((-F.col("best.na")).alias("a"), "b")
     tried = written(first, f"{name}-pairs")
     links = written(verify(tried).select("a", "b"), f"{name}-links")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontamination, html, lines, packing, pii, sharding, toxicity
+from strata.llm import decontamination, html, jaccard, lines, packing, pii, sharding, toxicity
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -28,6 +28,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries opN_<name>, by name."""
     queries = {
         "op1_benchmark_decontamination": decontamination.op1_benchmark_decontamination,
+        "op2_ngram_jaccard_join": jaccard.op2_ngram_jaccard_join,
         "op3_html_extraction": html.op3_html_extraction,
         "op5_toxicity": toxicity.op5_toxicity,
         "op7_sharding": sharding.op7_sharding,
