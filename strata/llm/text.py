@@ -83,7 +83,7 @@ def is_space(data: np.ndarray) -> np.ndarray:
     return (data == 32) | ((data >= 9) & (data <= 13))
 
 
-def text_batches(column: pa.Array, limit: int = SUB_BATCH_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_batches(column: pa.Array, limit: int = SUB_BATCH_BYTES, max_rows: int = 60_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, offsets) of sub-batches; null is empty.
 
     ``offsets`` has one entry more than rows and starts at 0.
@@ -103,7 +103,7 @@ def text_batches(column: pa.Array, limit: int = SUB_BATCH_BYTES) -> Iterator[tup
     row = 0
     while row < n:
         last = int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1
-        last = min(n, max(last, row + 1))
+        last = min(n, max(last, row + 1), row + max_rows)
         yield row, last, data[offsets[row] : offsets[last]], offsets[row : last + 1] - offsets[row]
         row = last
 
