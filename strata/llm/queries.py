@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontamination, html, jaccard, lines, packing, pii, sharding, suffix, toxicity
+from strata.llm import ann, decontamination, html, jaccard, lines, packing, pii, sharding, suffix, toxicity
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -30,6 +30,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_benchmark_decontamination": decontamination.op1_benchmark_decontamination,
         "op2_ngram_jaccard_join": jaccard.op2_ngram_jaccard_join,
         "op3_html_extraction": html.op3_html_extraction,
+        "op4_nearest_neighbours": ann.op4_nearest_neighbours,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_suffix_array_dedup": suffix.op6_suffix_array_dedup,
         "op7_sharding": sharding.op7_sharding,
