@@ -15,6 +15,8 @@ null ids are kept; repeated rows are packed each; an empty table gives none.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -27,43 +29,67 @@ from strata.llm.store import partitions, written
 
 MAX_TOKENS = 4096
 #: Words whose ids a worker keeps; beyond it the memory starts anew.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 500_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_tokenizers: dict[str, tuple] = {}
+_tokenizers: dict[str, WordEncoder] = {}
 
+#: Texts without these characters fall apart into the parts below, whatever stands beside them:
+#: no combining marks, no apostrophes (contractions), no special tokens.
+_UNSAFE = re.compile("[^\\t\\n\\r\\x20-\\x26\\x28-\\x7eÀ-ÖØ-öø-ÿ]|<\\|")
+_PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\\s]+")
 
-def _encoder(path: str):
-    """The tokenizer of a file and the memory of encoded words, once per worker."""
-    if path not in _tokenizers:
+
+class WordEncoder(dict):
+    """Little-endian unsigned 32-bit ids of words, each encoded once.
+
+    For tokenizers that lower case, drop white space and merge only within
+    runs of letters, single digits and runs of other characters, such as
+    word_bpe_49k.json.  Keys are lower-cased parts of safe texts, or " " and a
+    white-space separated piece of any other, which the whole tokenizer encodes.
+    """
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    return _tokenizers[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        # bytes as the characters that the byte-level vocabulary uses for them
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        moved = (b for b in range(256) if b not in plain)
+        self.byte_chars = {b: b for b in plain} | {b: 256 + n for n, b in enumerate(moved)}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        if word[0] == " ":
+            ids = self.tokenizer.encode(word[1:], add_special_tokens=False).ids
+        else:
+            ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.byte_chars))]
+        self[word] = out = struct.pack(f"<{len(ids)}I", *ids)
+        return out
+
+    def encode(self, text: str) -> bytes:
+        get = self.__getitem__
+        if not _UNSAFE.search(text):
+            return b"".join(map(get, _PARTS.findall(text.lower())))
+        out = []
+        for piece in _BLANKS.split(text):
+            if _UNSAFE.search(piece):
+                out.append(get(" " + piece))
+            else:
+                out += map(get, _PARTS.findall(piece.lower()))
+        return b"".join(out)
 
 
-def encode_words(path: str, texts: list[str]) -> list[bytes]:
-    """Little-endian unsigned 32-bit ids of each text.
+_BLANKS = re.compile("[ \\t\\n\\r]+")
 
-    For tokenizers that drop white space and never join across it: texts are
-    cut at blanks and line ends, and each distinct piece is encoded once.
-    """
-    tokenizer, memo = _encoder(path)
-    out = []
-    for text in texts:
-        parts = text.replace("\n", " ").split(" ")
-        try:
-            out.append(b"".join([memo[w] for w in parts]))
-            continue
-        except KeyError:
-            pass
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        new = list({w for w in parts if w not in memo})
-        for w, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False)):
-            memo[w] = np.array(e.ids, "<u4").tobytes()
-        out.append(b"".join([memo[w] for w in parts]))
-    return out
+
+def encoder(path: str) -> WordEncoder:
+    """The encoder of a tokenizer file, once per worker."""
+    if path not in _tokenizers:
+        _tokenizers[path] = WordEncoder(path)
+    return _tokenizers[path]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS, end_id: int = 1,
@@ -71,11 +97,12 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOK
     """One row per piece: doc_id, piece, start, length, crc32 of its ids."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = np.array([end_id], "<u4").tobytes()
+        end = struct.pack("<I", end_id)
+        encode = encoder(tokenizer_path).encode
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode_words(tokenizer_path, [text.as_py() or ""])[0] + end
+                ids = encode(text.as_py() or "") + end
                 n = len(ids) // 4
                 for k, a in enumerate(range(0, n, max_tokens)):
                     b = min(n, a + max_tokens)
