@@ -18,10 +18,12 @@ from strata.llm.store import partitions, written
 
 #: Fields of an entry: the key, the node that has it, and 32 bits for the caller.
 ENTRY = np.dtype([("key", "<u8"), ("node", "<i8"), ("note", "<u4")])
+#: Entries that a task folds at once.
+HELD_ENTRIES = 400_000
 _ENTRIES = "bucket int, key long, node long, note long, blob binary"
 
 
-def entry_rows(key: np.ndarray, node: np.ndarray, note: np.ndarray, buckets: int, salt: int) -> pa.RecordBatch:
+def entry_rows(key: np.ndarray, node: np.ndarray, note: np.ndarray, buckets: int) -> pa.RecordBatch:
     """A batch's entries as rows for ``shared_keys``.
 
     Entries of a key that several nodes of the batch have are rows of their
@@ -45,6 +47,7 @@ def entry_rows(key: np.ndarray, node: np.ndarray, note: np.ndarray, buckets: int
     ids, first = np.unique(bucket, return_index=True)
     blobs = [blob[a:b].tobytes() for a, b in zip(first, [*first[1:], len(blob)])]
     k, m = int(many.sum()), len(ids)
+    salt = int(key[0]) & 0xFFFF if len(key) else 0
     none = np.zeros(m, np.int64)
     return pa.RecordBatch.from_arrays([
         pa.array(np.concatenate([(np.arange(k) + salt) % buckets, ids]).astype(np.int32)),
@@ -64,9 +67,17 @@ def shared_keys(source: DataFrame, entries: Callable[[pa.RecordBatch], Iterator[
     buckets = 2 * partitions(source.sparkSession)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for n, batch in enumerate(batches):
-            for k, (key, node, note) in enumerate(entries(batch)):
-                yield entry_rows(key, node, note, buckets, 7919 * n + 31 * k + (int(key[0]) & 1023 if len(key) else 0))
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+        for batch in batches:
+            for part in entries(batch):
+                held.append(part)
+                size += len(part[0])
+                if size >= HELD_ENTRIES:
+                    yield entry_rows(*(np.concatenate(c) for c in zip(*held)), buckets)
+                    held, size = [], 0
+        if size:
+            yield entry_rows(*(np.concatenate(c) for c in zip(*held)), buckets)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs: list[np.ndarray] = []
@@ -188,35 +199,74 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 
 def link_groups(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str,
-                possible: Callable[[str, str], object] | None = None) -> DataFrame:
+                possible: Callable[[str, str], object] | None = None, rounds: int = 8, least_yield: float = 0.05,
+                rest: Callable[[DataFrame], tuple[DataFrame, Callable[[str, str], object]]] | None = None) -> DataFrame:
     """Components of the verified links between nodes that share a key.
 
-    Round 1 verifies each node with the smallest node of its most frequent
-    group leader; round 2 verifies what could still join two components: pairs
-    of nodes of one key that round 1 left in different ones.  Pairs within a
-    component need no check, so a large group of copies costs one check a
-    member; ``possible`` narrows the pairs of a key by the notes of both nodes.
+    Pairs within a component need no check.  In each round every key that
+    still holds several components has a leader, another one each time (first
+    the one with the smallest note), and each node outside the leader's
+    component is checked against the leader it meets most often: one check a
+    node, so a large group of copies collapses without its pairs.  When a
+    round links fewer than ``least_yield`` of its pairs (or after ``rounds``),
+    all pairs that could still join two components are checked, so no link is
+    lost.  ``possible`` narrows the pairs of a key by the notes of both nodes.
+    For keys that many unlike nodes have, ``rest`` takes the nodes of the keys
+    that are still open and gives sharper keys, and bounds for them, that no
+    linked pair lacks; rounds and the last check then go by these.
     """
-    leads = (shared.groupBy("key").agg(F.min(F.struct("node", "note")).alias("lead"))
-             .select("key", F.col("lead.node").alias("a"), F.col("lead.note").alias("a_note")))
-    led = shared.join(leads, "key").where(F.col("node") > F.col("a"))
-    if possible is not None:
-        led = led.where(possible("a_note", "note"))
-    pairs = led.groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    first = pairs.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("na"))).alias("best")).select((-F.col("best.na")).alias("a"), "b")
-    tried = written(first, f"{name}-pairs")
-    links = written(verify(tried).select("a", "b"), f"{name}-links")
-    comp = components(links, f"{name}-round1")
-    of = comp.select(F.col("node").alias("c_node"), "component")
-    entries = shared.join(of, F.col("node") == F.col("c_node"), "left").select("key", "node", "note", F.coalesce("component", "node").alias("component"))
-    mixed = entries.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    open_entries = written(entries.join(mixed, "key"), f"{name}-open")
-    x = open_entries.select("key", F.col("node").alias("a"), F.col("note").alias("a_note"), F.col("component").alias("ca"))
-    y = open_entries.select("key", F.col("node").alias("b"), F.col("note").alias("b_note"), F.col("component").alias("cb"))
+    links: list[DataFrame] = []
+    tried: list[DataFrame] = []
+    entries = _rounds(shared.select("key", "node", "note", F.col("node").alias("comp")), verify, name, possible, rounds, least_yield, links, tried)
+    if rest is not None:
+        mixed = entries.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+        open_nodes = written(entries.join(mixed, "key", "left_semi").select("node", "comp").distinct(), f"{name}-rest")
+        sharper, possible = rest(open_nodes.select("node"))
+        entries = _rounds(sharper.select("key", "node", "note").join(open_nodes, "node"), verify, f"{name}-rest", possible, 8, least_yield, links, tried)
+    x = entries.select("key", F.col("node").alias("a"), F.col("note").alias("a_note"), F.col("comp").alias("ca"))
+    y = entries.select("key", F.col("node").alias("b"), F.col("note").alias("b_note"), F.col("comp").alias("cb"))
     cross = x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
     if possible is not None:
         cross = cross.where(possible("a_note", "b_note"))
-    more = written(cross.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), f"{name}-cross")
-    links2 = verify(more).select("a", "b")
-    found = comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links2)
-    return components(found, f"{name}-round2")
+    left = written(_untried(cross.select("a", "b").distinct(), tried), f"{name}-cross")
+    links.append(written(verify(left).select("a", "b"), f"{name}-links"))
+    return components(_union(links), f"{name}-components")
+
+
+def _rounds(entries: DataFrame, verify: Callable, name: str, possible: Callable | None, rounds: int, least_yield: float,
+            links: list[DataFrame], tried: list[DataFrame]) -> DataFrame:
+    """Leader rounds over (key, node, note, comp); adds to links and tried, returns the entries of keys still open."""
+    for r in range(rounds):
+        order = F.struct((F.col("note") if r == 0 else F.lit(0)).alias("n"), F.xxhash64(F.lit(r), "node").alias("h"), "node", "note", "comp")
+        lead = (entries.groupBy("key").agg(F.min(order).alias("lead"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+                .select("key", F.col("lead.node").alias("a"), F.col("lead.note").alias("a_note"), F.col("lead.comp").alias("ca")))
+        led = entries.join(lead, "key").where(F.col("comp") != F.col("ca"))
+        if possible is not None:
+            led = led.where(possible("a_note", "note"))
+        met = led.groupBy(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"), F.col("node").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+        best = _untried(met, tried).groupBy("of").agg(F.max(F.struct("n", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
+        pairs = written(best, f"{name}-pairs")
+        found = written(verify(pairs).select("a", "b"), f"{name}-links")
+        tried.append(pairs)
+        n, k = pairs.count(), found.count()
+        if k:
+            links.append(found)
+            up = components(_union(links), f"{name}-round").select(F.col("node").alias("u_node"), F.col("component").alias("up"))
+            moved = (entries.select("key", "node", "note").join(up, F.col("node") == F.col("u_node"), "left")
+                     .select("key", "node", "note", F.coalesce("up", "node").alias("comp")))
+            mixed = moved.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+            entries = written(moved.join(mixed, "key", "left_semi"), f"{name}-open")
+        if k < least_yield * n or not k:
+            break
+    return entries
+
+
+def _untried(pairs: DataFrame, tried: list[DataFrame]) -> DataFrame:
+    return pairs.join(_union(tried), ["a", "b"], "left_anti") if tried else pairs
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.union(f)
+    return out

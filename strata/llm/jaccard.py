@@ -26,11 +26,11 @@ an empty table gives none.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.graph import NodeFilter, link_groups, shared_keys
@@ -92,15 +92,18 @@ def boundary(list_length: float, threshold: float, posting_cost: float = 3.0) ->
         size += 1
 
 
-def _sketch(texts: DataFrame, threshold: float) -> np.ndarray:
-    """Document counts of shingles, added up in a fixed number of counters."""
-    piece = 1 << (SKETCH_BITS - _SLICES.bit_length() + 1)
+#: Gives (values, sizes, node) of the sets of a batch: hashes ascending by set, set sizes, 64-bit identities.
+Sets = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
+
+
+def _sketch(source: DataFrame, sets: Sets) -> np.ndarray:
+    """Numbers of sets by element, added up in a fixed number of counters."""
+    piece = (1 << SKETCH_BITS) // _SLICES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
-            for _, _, data, offsets in text_batches(batch.column(0)):
-                values, _ = text_sets(data, offsets)
+            for values, _, _ in sets(batch):
                 total += np.bincount((values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total)).astype(np.uint32)
         parts = [zlib.compress(total[a : a + piece].tobytes(), 1) for a in range(0, len(total), piece)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], ["part", "counts"])
@@ -111,23 +114,35 @@ def _sketch(texts: DataFrame, threshold: float) -> np.ndarray:
             for part, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 c = np.frombuffer(zlib.decompress(blob.as_py()), np.uint32).astype(np.uint64)
                 sums[part] = sums.get(part, 0) + c
-        yield pa.RecordBatch.from_arrays([pa.array(sums.keys(), pa.int32()), pa.array([zlib.compress(s.tobytes(), 1) for s in sums.values()], pa.binary())], ["part", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([zlib.compress(s.tobytes(), 1) for s in sums.values()], pa.binary())], ["part", "counts"])
 
     schema = "part int, counts binary"
-    rows = texts.mapInArrow(count, schema).repartitionById(_SLICES, F.col("part")).mapInArrow(add, schema).collect()
+    rows = source.mapInArrow(count, schema).repartitionById(_SLICES, F.col("part")).mapInArrow(add, schema).collect()
     out = np.zeros(1 << SKETCH_BITS, np.float64)
     for r in rows:
         out[r["part"] * piece : (r["part"] + 1) * piece] = np.frombuffer(zlib.decompress(bytes(r["counts"])), np.uint64)
     return out
 
 
-def prefix_entries(values: np.ndarray, sizes: np.ndarray, order: Order, limit: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def prefix_keys(source: DataFrame, sets: Sets, threshold: float, name: str) -> DataFrame:
+    """Keys of light subsets and heavy prefixes that at least two sets share, for ``link_groups``."""
+    order = Order(_sketch(source, sets))
+    limit = boundary(order.list_length, threshold)
+    shared_order = source.sparkSession.sparkContext.broadcast(order)
+
+    def entries(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for values, sizes, node in sets(batch):
+            yield prefix_entries(values, sizes, node, shared_order.value, limit, threshold)
+
+    return shared_keys(source, entries, name)
+
+
+def prefix_entries(values: np.ndarray, sizes: np.ndarray, node: np.ndarray, order: Order, limit: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(key, node, note) of the distinct sets; the note holds size class and position of heavy keys.
 
     A note is 0 for subsets, else 1 + position in the order, up to 2**12 - 1,
     beside the size up to 2**20 - 1; larger ones say less but never rule out.
     """
-    node = fingerprints(values, sizes)
     rank = order.rank(values)
     bounds = np.concatenate(([0], np.cumsum(sizes)))
     low = int(np.floor(threshold * (limit + 1)))
@@ -153,22 +168,22 @@ def prefix_entries(values: np.ndarray, sizes: np.ndarray, order: Order, limit: i
             n = s - need + 1
             keys.append(v[:n])
             at = np.minimum(np.arange(1, n + 1), 4095)
-            notes.append((np.uint32(min(s, (1 << 20) - 1)) << np.uint32(12)) | at.astype(np.uint32))
+            notes.append((at.astype(np.uint32) << np.uint32(20)) | np.uint32(min(s, (1 << 20) - 1)))
             nodes.append((node[k], n))
     if not keys:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint32)
     return (np.concatenate(keys), np.repeat(np.array([n for n, _ in nodes], np.int64), [c for _, c in nodes]), np.concatenate(notes))
 
 
-def _possible(threshold: float):
+def possible(threshold: float):
     """Size and position bounds on two heavy postings of one shingle."""
 
     def test(x: str, y: str):
-        sx, sy = F.shiftright(x, 12), F.shiftright(y, 12)
-        px, py = F.col(x).bitwiseAND(4095), F.col(y).bitwiseAND(4095)
+        sx, sy = F.col(x).bitwiseAND((1 << 20) - 1), F.col(y).bitwiseAND((1 << 20) - 1)
+        px, py = F.shiftright(x, 20), F.shiftright(y, 20)
         small, large = F.least(sx, sy), F.greatest(sx, sy)
-        # shared so far at most the earlier place, and what follows in both
-        most = F.least(px, py) + F.least(sx - px, sy - py)
+        # a pair meets at the first shingle it shares: this one and what follows in both
+        most = F.least(sx - px, sy - py) + 1
         capped = (large >= (1 << 20) - 1) | (F.greatest(px, py) >= 4095)
         return (F.col(x) == 0) | (F.col(y) == 0) | capped | ((small >= threshold * large - 1e-9) & ((1 + threshold) * most >= threshold * (sx + sy) - 1e-9))
 
@@ -176,40 +191,41 @@ def _possible(threshold: float):
 
 
 def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles and node (identity of the set, 0 if empty) of every row."""
+    """row_key (of id and text), doc_id, n_shingles and node (identity of the set, 0 if empty) of every row."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, offsets in text_batches(batch.column(1)):
+            for i, j, data, offsets in text_batches(batch.column(2)):
                 values, sizes = text_sets(data, offsets)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(sizes), pa.array(fingerprints(values, sizes))], ["doc_id", "n_shingles", "node"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(sizes), pa.array(fingerprints(values, sizes))],
+                                                 ["row_key", "doc_id", "n_shingles", "node"])
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(sets, "doc_id long, n_shingles long, node long"))
+            .select(_row_key().alias("row_key"), "doc_id", "text").mapInArrow(sets, "row_key long, doc_id long, n_shingles long, node long"))
+
+
+def _row_key() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
 def node_components(docs: DataFrame, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """node and component of the sets that link with a different set."""
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    order = Order(_sketch(texts, threshold))
-    limit = boundary(order.list_length, threshold)
-    shared_order = docs.sparkSession.sparkContext.broadcast(order)
 
-    def entries(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def text_nodes(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         for _, _, data, offsets in text_batches(batch.column(0)):
             values, sizes = text_sets(data, offsets)
-            yield prefix_entries(values, sizes, shared_order.value, limit, threshold)
+            yield values, sizes, fingerprints(values, sizes)
 
-    shared = shared_keys(texts, entries, "prefixes")
+    shared = prefix_keys(texts, text_nodes, threshold, "prefixes")
     nodes = shared.select("node").distinct()
     wanted = NodeFilter(nodes, "node")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in text_batches(batch.column(0)):
-                values, sizes = text_sets(data, offsets)
+            for values, sizes, node in text_nodes(batch):
                 bounds = np.concatenate(([0], np.cumsum(sizes)))
-                node, first = np.unique(fingerprints(values, sizes), return_index=True)
+                node, first = np.unique(node, return_index=True)
                 ok = wanted.has(node)
                 yield pa.RecordBatch.from_arrays([pa.array(node[ok]), pa.array([values[bounds[k] : bounds[k + 1]].tobytes() for k in first[ok]], pa.binary())], ["node", "hashes"])
 
@@ -234,19 +250,34 @@ def node_components(docs: DataFrame, threshold: float = THRESHOLD, text_col: str
         x, y = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
         return pairs.join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
 
-    return link_groups(shared, verify, "sets", _possible(threshold))
+    return link_groups(shared, verify, "sets", possible(threshold))
 
 
 def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, node and component_id of every row."""
+    """row_key, doc_id, n_shingles and component (identity of the group, null if empty) of every row."""
     members = written(document_sets(docs, id_col, text_col), "document-sets")
     comp = node_components(docs, threshold, text_col).select(F.col("node").alias("c_node"), "component")
-    rows = members.join(comp, F.col("node") == F.col("c_node"), "left").select("doc_id", "n_shingles", "node", F.coalesce("component", "node").alias("component"))
-    first = rows.where("n_shingles > 0").groupBy(F.col("component").alias("f_component")).agg(F.min("doc_id").alias("smallest"))
-    return (rows.join(first, F.col("component") == F.col("f_component"), "left")
-            .select("doc_id", "n_shingles", "node", F.when(F.col("n_shingles") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id")))
+    return (members.join(comp, F.col("node") == F.col("c_node"), "left")
+            .select("row_key", "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).alias("component")))
+
+
+def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, with their columns, that come first of their group of near copies.
+
+    First is the smallest doc_id (nulls last); rows without words are groups of
+    their own; of equal rows one stays.
+    """
+    rows = written(jaccard_groups(docs, threshold).where("n_shingles > 0").select("row_key", "doc_id", "component"), "jaccard-groups")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")
+    first = rows.groupBy("component").agg(F.min(place).alias("first"), F.max(place).alias("final")).where("first <> final").select("component", "first")
+    gone = rows.join(first, "component").where(place != F.col("first")).select(F.col("row_key").alias("__gone")).distinct()
+    return (docs.withColumn("__key", _row_key()).join(written(gone, "near-copies"), F.col("__key") == F.col("__gone"), "left_anti")
+            .dropDuplicates(["__key"]).drop("__key"))
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its set size and the smallest document it is linked with."""
-    return jaccard_groups(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")
+    rows = jaccard_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    smallest = rows.where("component is not null").groupBy(F.col("component").alias("s_component")).agg(F.min("doc_id").alias("smallest"))
+    return (rows.join(smallest, F.col("component") == F.col("s_component"), "left")
+            .select("doc_id", "n_shingles", F.when(F.col("component").isNotNull(), F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id")))

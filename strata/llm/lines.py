@@ -4,7 +4,9 @@ Lines are compared by the set of their character shingles (SHINGLE code
 points; a shorter line is one shingle).  MinHash signatures are cut into bands
 that make candidates of lines alike with high recall (0.9895 at the threshold,
 rising above it); candidates are verified by the exact Jaccard index of their
-shingles; links are closed by distributed union-find.  Of each component, the
+shingles; links are closed by distributed union-find.  Bands that many unlike
+lines share (lines around one common passage) are not compared pair by pair:
+their lines meet by their rarest shingles, which no similar pair lacks.  Of each component, the
 line that comes first by doc_id and line number stays and all others go; equal
 lines are one node from the start.
 
@@ -25,8 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.graph import NodeFilter, link_groups, shared_keys
+from strata.llm.jaccard import possible, prefix_keys
 from strata.llm.store import written
-from strata.llm.text import PrefixHash, is_space, mix, text_batches
+from strata.llm.text import PrefixHash, is_space, mix, row_sets, text_batches
 
 SHINGLE = 8
 THRESHOLD = 0.75
@@ -104,6 +107,19 @@ def band_entries(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate(keys), np.tile(node, BANDS), np.zeros(len(node) * BANDS, np.uint32)
 
 
+def line_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of each line's set, ascending, and the sets' sizes; rows are lines."""
+    hashes = PrefixHash(data)
+    chars = np.flatnonzero((data & 0xC0) != 0x80)
+    bounds = np.searchsorted(chars, offsets)
+    size = np.diff(bounds)
+    n = np.where(size >= SHINGLE, size - SHINGLE + 1, (size > 0).astype(size.dtype))
+    row = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + bounds[row]
+    ends = np.append(chars, len(data))[np.minimum(at + SHINGLE, bounds[row + 1])]
+    return row_sets(hashes.slices(chars[at], ends), n)
+
+
 def jaccard(a: str, b: str, width: int = SHINGLE) -> tuple[int, int]:
     """Sizes of intersection and union of the two shingle sets."""
     x = {a[i : i + width] for i in range(max(1, len(a) - width + 1))}
@@ -151,7 +167,16 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         x, y = lines.toDF("a", "line_a"), lines.toDF("b", "line_b")
         return pairs.join(x, "a").join(y, "b").select("a", "b", "line_a", "line_b").mapInArrow(check, "a long, b long")
 
-    comp = link_groups(shared, verify, "lines").select(F.col("node").alias("c_node"), "component")
+    def line_nodes(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        nodes = batch.column(0).to_numpy(zero_copy_only=False)
+        for i, j, data, offsets in text_batches(batch.column(1)):
+            yield *line_sets(data, offsets), nodes[i:j]
+
+    def rest(nodes: DataFrame) -> tuple[DataFrame, object]:
+        """Exact keys of the lines in bands that unlike lines share, as lines around one common passage do."""
+        return prefix_keys(lines.join(nodes, "node"), line_nodes, threshold, "line-prefixes"), possible(threshold)
+
+    comp = link_groups(shared, verify, "lines", rounds=2, rest=rest).select(F.col("node").alias("c_node"), "component")
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
