@@ -12,13 +12,19 @@ from strata.llm import ann, decontamination, html, jaccard, lines, packing, pii,
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Let Python workers of a local session import this package wherever the driver was started."""
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers of a local session import this package wherever the driver was started.
+
+    On a cluster the package is shipped with the job (``--py-files``) or installed.
+    """
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
 
+
+def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
-        if ROOT not in paths:
-            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+        workers_import(spark)
         return query(spark, sf_dir)
 
     return run

@@ -35,6 +35,8 @@ WORD_DIM, CHAR_DIM, HIDDEN, ATT = 10, 6, 8, 8
 TRIGRAMS = 4096
 MIN_DOCS = 4
 EPOCHS = 6
+#: Small samples are passed over more often, up to about so many batches.
+LEAST_BATCHES = 900
 
 _LETTER = np.zeros(256, bool)
 _LETTER[48:58] = _LETTER[97:123] = _LETTER[128:] = True
@@ -252,6 +254,8 @@ def fit(rows: list[tuple[int, int, str]], toxic_share: float, epochs: int = EPOC
     vocab = net.lookup(words.hash)
     first, length = np.cumsum(counts) - counts, np.minimum(counts, WINDOW)
     history = {k: np.full_like(v, 1e-7) for k, v in net.p.items()}
+    moment = {k: np.zeros_like(v) for k, v in net.p.items() if k not in ("word", "char")}
+    steps = 0
     weight = {0: (1 - toxic_share) / max(1, (label == 0).sum()), 1: toxic_share / max(1, (label == 1).sum())}
     scale = np.array([weight[0], weight[1]]) / (weight[0] + weight[1])
     scale = np.maximum(scale, 0.25) * 2
@@ -281,6 +285,7 @@ def fit(rows: list[tuple[int, int, str]], toxic_share: float, epochs: int = EPOC
         return out
 
     learn = np.flatnonzero(~held[doc])
+    epochs = max(epochs, min(60, -(-LEAST_BATCHES * 128 // max(1, len(learn)))))
     for epoch in range(epochs):
         chosen = learn
         if epoch:
@@ -301,9 +306,11 @@ def fit(rows: list[tuple[int, int, str]], toxic_share: float, epochs: int = EPOC
             y = label[doc[part]]
             d_logit = ((_sigmoid(logit) - y) * scale[y] / len(part)).astype(np.float32)
             g, d_x = net.backward(proj, tape, d_logit)
-            for k, v in g.items():
-                history[k] += v * v
-                net.p[k] -= np.float32(rate) * v / np.sqrt(history[k])
+            steps += 1
+            for k, v in g.items():  # Adam for the dense parameters, Adagrad for the vectors of words and trigrams
+                moment[k] += np.float32(0.1) * (v - moment[k])
+                history[k] += np.float32(0.01) * (v * v - history[k])
+                net.p[k] -= np.float32(rate / 5 / (1 - 0.9**steps)) * moment[k] / (np.sqrt(history[k] / np.float32(1 - 0.99**steps)) + np.float32(1e-6))
             for k, at, v in (("word", ids, d_x[:, :WORD_DIM]), ("char", grams, np.repeat(d_x[:, WORD_DIM:] / np.maximum(1, sizes)[:, None], sizes, axis=0))):
                 rows_at, inverse = np.unique(at, return_inverse=True)
                 total = np.zeros((len(rows_at), v.shape[1]), np.float32)
@@ -317,14 +324,17 @@ def fit(rows: list[tuple[int, int, str]], toxic_share: float, epochs: int = EPOC
     ok = np.isfinite(best)
     x, y = best[ok], label[ok]
     wy = np.where(y == 1, toxic_share / max(1, (y == 1).sum()), (1 - toxic_share) / max(1, (y == 0).sum()))
-    a, b = 1.0, 0.0
-    for _ in range(400):
+    center, spread = float((wy * x).sum() / wy.sum()), float(x.std()) or 1.0
+    x = (x - center) / spread
+    a, b = 1.0, -1.0
+    for _ in range(300):
         q = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        r, s = wy * (q - y), wy * q * (1 - q) + 1e-9
-        m = np.array([[(s * x * x).sum() + 1e-3, (s * x).sum()], [(s * x).sum(), s.sum() + 1e-6]])
-        step = np.linalg.solve(m, np.array([(r * x).sum() + 1e-3 * (a - 1), r.sum()]))
-        a, b = a - 0.5 * step[0], b - 0.5 * step[1]
-    net.calibration = (float(max(a, 0.05)), float(b))
+        r, s = wy * (q - y), wy * q * (1 - q)
+        m = np.array([[(s * x * x).sum() + 1e-3, (s * x).sum()], [(s * x).sum(), s.sum() + 1e-3]])
+        step = np.linalg.solve(m, np.array([(r * x).sum() + 1e-3 * a, r.sum() + 1e-3 * (b + 1)]))
+        a, b = a - np.clip(0.5 * step[0], -0.5, 0.5), b - np.clip(0.5 * step[1], -0.5, 0.5)
+    a = max(a, 0.05)
+    net.calibration = (float(a / spread), float(b - a * center / spread))
     return net
 
 
@@ -391,7 +401,8 @@ def score(docs: DataFrame, model: tuple[Network | None, float], carry: tuple[str
 
     fields = docs.select(*carry).schema.fields if carry else []
     schema = ", ".join(["doc_id long", "score double", *(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"), *(F.col(c) for c in carry)).mapInArrow(run, schema)
+    return (docs.select(F.col("doc_id").cast("long").alias("in_id"), F.col("text").cast("string").alias("in_text"), *(F.col(c).alias(f"carry_{k}") for k, c in enumerate(carry)))
+            .mapInArrow(run, schema))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
