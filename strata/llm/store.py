@@ -16,7 +16,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     schema = df.schema
-    df.write.mode("overwrite").parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -41,14 +41,14 @@ from strata.llm.store import partitions, written
 from strata.llm.text import PrefixHash, text_batches
 
 WIDTH = 50
-GRAM = 24
+GRAM = 20
 #: Documents with a minimizer from which its strings are dealt by their own hash.
 SPLIT_FROM = 2000
 #: Strings that a bucket sorts at once.
 SORT_ROWS = 1_000_000
 
 _LAST_ID = (1 << 63) - 1
-_CONTEXT = np.dtype([("row", "<i8"), ("doc", "<i8"), ("pos", "<i8"), ("n", "<u4"), ("sub", "<u4")])
+_CONTEXT = np.dtype([("row", "<i8"), ("doc", "<i8"), ("pos", "<u4"), ("sub", "<u2"), ("n", "u1")])
 _SPAN = np.dtype([("row", "<i8"), ("start", "<i8"), ("end", "<i8")])
 
 
@@ -129,6 +129,25 @@ def repeated_windows(data: np.ndarray, starts: np.ndarray, docs: np.ndarray, wid
     return out
 
 
+def _first_of_equal(own: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For equal values of ``own``: which belong to a later document than the first, and one entry for each of the first's."""
+    order = np.lexsort((docs, own))
+    lead = np.ones(len(order), bool)
+    lead[1:] = own[order][1:] != own[order][:-1]
+    least = docs[order][lead][np.cumsum(lead) - 1]
+    later = np.zeros(len(order), bool)
+    later[order] = docs[order] > least
+    return later, ~later
+
+
+def _packed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> bytes:
+    return pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return (docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID)).alias("doc"), F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
@@ -252,16 +271,11 @@ def _spans(chosen: DataFrame, width: int, gram: int) -> DataFrame:
                 meta["pos"], meta["n"] = start - offsets[of_row], size
                 meta["sub"] = (group >> np.uint64(8)) & np.uint64(0xFFFF)
                 # equal contexts of a batch: those of later documents go at once, the first one's is asked for
-                order = np.lexsort((meta["doc"], own))
-                lead = np.ones(len(order), bool)
-                lead[1:] = own[order][1:] != own[order][:-1]
-                least = meta["doc"][order][lead][np.cumsum(lead) - 1]
-                later = np.zeros(len(order), bool)
-                later[order] = meta["doc"][order] > least
+                later, asked = _first_of_equal(own, meta["doc"])
                 gone = np.empty(int(later.sum()), _SPAN)
                 gone["row"], gone["start"] = meta["row"][later], meta["pos"][later]
                 gone["end"] = gone["start"] + size[later] + width - 1
-                ask = np.flatnonzero(~later)
+                ask = np.flatnonzero(asked)
                 bucket = ((group[ask] >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
                 at = np.argsort(bucket, kind="stable")
                 ask, bucket = ask[at], bucket[at]
@@ -269,8 +283,8 @@ def _spans(chosen: DataFrame, width: int, gram: int) -> DataFrame:
                 metas, datas = [], []
                 for a, b in zip(f, [*f[1:], len(ask)]):
                     part = ask[a:b]
-                    metas.append(meta[part].tobytes())
-                    datas.append(b"".join([data[x:y].tobytes() for x, y in zip(start[part].tolist(), end[part].tolist())]))
+                    metas.append(_packed(meta[part].tobytes()))
+                    datas.append(_packed(b"".join([data[x:y].tobytes() for x, y in zip(start[part].tolist(), end[part].tolist())])))
                 n = len(ids)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([*ids, int(row_keys[i]) % buckets], pa.int32()), pa.array([*metas, None], pa.binary()), pa.array([*datas, None], pa.binary()),
@@ -290,8 +304,8 @@ def _spans(chosen: DataFrame, width: int, gram: int) -> DataFrame:
                 if s.is_valid:
                     yield homes(np.frombuffer(s.as_py(), _SPAN))
                 else:
-                    metas.append(np.frombuffer(m.as_py(), _CONTEXT))
-                    datas.append(np.frombuffer(d.as_py(), np.uint8))
+                    metas.append(np.frombuffer(_unpacked(m.as_py()), _CONTEXT))
+                    datas.append(np.frombuffer(_unpacked(d.as_py()), np.uint8))
         if not metas:
             return
         meta, data = np.concatenate(metas), np.concatenate(datas)
@@ -299,7 +313,20 @@ def _spans(chosen: DataFrame, width: int, gram: int) -> DataFrame:
         datas.clear()
         length = meta["n"].astype(np.int64) + width - 1
         begin = np.cumsum(length) - length
-        order = np.argsort(meta["sub"], kind="stable")
+        own = np.empty(len(meta), np.uint64)
+        for a in range(0, len(meta), 10_000):
+            b = min(len(meta), a + 10_000)
+            lo = begin[a]
+            own[a:b] = PrefixHash(data[lo : begin[b - 1] + length[b - 1]]).slices(begin[a:b] - lo, begin[a:b] - lo + length[a:b])
+        # what several batches hold as a whole goes without sorting
+        later, asked = _first_of_equal(own, meta["doc"])
+        whole = np.empty(int(later.sum()), _SPAN)
+        whole["row"], whole["start"] = meta["row"][later], meta["pos"][later]
+        whole["end"] = whole["start"] + length[later]
+        if len(whole):
+            yield homes(whole)
+        order = np.flatnonzero(asked)
+        order = order[np.argsort(meta["sub"][order], kind="stable")]
         total = np.cumsum(meta["n"][order].astype(np.int64))
         sub = meta["sub"][order]
         a = 0
@@ -357,8 +384,11 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, split_
     # one document stands for all with its text
     first = facts.groupBy("h1", "h2").agg(F.min(F.struct("doc", "row_key")).alias("f")).select(
         F.col("h1").alias("f1"), F.col("h2").alias("f2"), F.col("f.doc").alias("first_doc"), F.col("f.row_key").alias("first_key"))
-    wanted = written(found.join(first.select(F.col("first_key").alias("row_key")), "row_key", "left_semi"), "wanted")
-    chosen = written(rows.select("row_key", "doc", "text").join(wanted, "row_key").dropDuplicates(["row_key"]), "chosen")
+    # one exchange of the texts by row serves both joins: contexts go out from it and spans come back to it
+    texts = rows.select("row_key", "doc", "text").repartition("row_key")
+    wanted = written(found.join(first.select(F.col("first_key").alias("w_key")), F.col("row_key") == F.col("w_key"), "left_semi")
+                     .toDF("w_key", "keys", "split"), "wanted")
+    chosen = texts.join(wanted, F.col("row_key") == F.col("w_key"))
     spans = _spans(chosen, width, gram).select(F.col("row_key").alias("s_key"), "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,9 +407,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, split_
                 digest.append(hashlib.sha256(rest).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(pieces, pa.int64()), pa.array(kept, pa.binary()), pa.array(digest, pa.string())], ["c_key", "removed", "pieces", "kept", "digest"])
 
-    cuts = (chosen.select("row_key", "text").join(spans, F.col("row_key") == F.col("s_key")).select("row_key", "text", "spans")
-            .mapInArrow(cut, "c_key long, removed long, pieces long, kept binary, digest string"))
-    cuts = written(cuts, "cuts")
+    cuts = (texts.join(spans, F.col("row_key") == F.col("s_key")).select("row_key", "text", "spans", "doc")  # doc too: the exchange is the same
+            .mapInArrow(cut, "c_key long, removed long, pieces long, kept binary, digest string").dropDuplicates(["c_key"]))
     copy = (F.col("doc") > F.col("first_doc")) & (F.col("n_bytes") >= width)
     empty = hashlib.sha256(b"").hexdigest()
     return (facts.join(first, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2"))).join(cuts, F.col("row_key") == F.col("c_key"), "left")

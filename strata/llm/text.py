@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SUB_BATCH_BYTES = 4 << 20
+SUB_BATCH_BYTES = 1 << 20
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20260)
@@ -90,15 +90,14 @@ def text_batches(column: pa.Array, limit: int = SUB_BATCH_BYTES, max_rows: int =
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    if not pa.types.is_large_string(column.type):
-        column = column.cast(pa.large_string())
     if column.null_count:
         column = column.fill_null("")
     n = len(column)
     if n == 0:
         return
     _, offsets_buffer, data_buffer = column.buffers()
-    offsets = np.frombuffer(offsets_buffer, np.int64)[column.offset : column.offset + n + 1]
+    wide = pa.types.is_large_string(column.type)
+    offsets = np.frombuffer(offsets_buffer, np.int64 if wide else np.int32)[column.offset : column.offset + n + 1].astype(np.int64)
     data = np.frombuffer(data_buffer, np.uint8) if data_buffer is not None else np.empty(0, np.uint8)
     row = 0
     while row < n:
