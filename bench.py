@@ -17,7 +17,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from strata.plans.queries import registry  # noqa: E402
+from strata.harness.queries import registry  # noqa: E402
 from strata.session import get_session  # noqa: E402
 
 HEADLINE = [

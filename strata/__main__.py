@@ -30,24 +30,30 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = get_session()
     failed = 0
+
+    def show(df) -> None:
+        # a status row per table: print all of them in full
+        for row in df.collect():
+            print(" | ".join("" if v is None else str(v) for v in row))
+
     if args.cmd == "ingest":
         from strata.plans.ingest_jobs import snapshot, split_batch
         st = split_batch(spark, args.raw, args.bronze, args.start, args.end, label=args.label)
         st = st.unionByName(snapshot(spark, args.raw, args.bronze, label=args.snapshot_label))
-        st.show(100, truncate=False)
-        failed = st.where("status = 'failed'").count()
+        show(st)
+        failed = st.where("status IN ('failed', 'missing')").count()
     elif args.cmd == "run":
         from strata.operators.quality import run_summary
         from strata.plans.runner import run_all
         status, policy = run_all(spark, args.bronze, args.silver, args.gold, workers=args.workers)
-        status.show(100, truncate=False)
-        policy.where("status <> 'ok'").show(200, truncate=False)
-        run_summary(status).show()
+        show(status)
+        show(policy.where("status <> 'ok'"))
+        show(run_summary(status))
         failed = status.where("status = 'failed'").count()
     elif args.cmd == "publish":
         from strata.sources.publish import publish_layer
         st = publish_layer(spark, args.src, args.dst, fmt=args.format, domains=args.domains)
-        st.show(100, truncate=False)
+        show(st)
         failed = st.where("status = 'failed'").count()
     return 1 if failed else 0
 

@@ -34,12 +34,18 @@ def null_tokens_to_null(c, tokens=NULL_TOKENS) -> Column:
     return F.when(~c.isin(*tokens), c)
 
 
-def _in_ns_range(ts: Column) -> Column:
-    return ts.between(F.lit(NS_MIN).cast("timestamp_ntz"), F.lit(NS_MAX).cast("timestamp_ntz"))
+def in_range(ts: Column, lo: str | None = NS_MIN, hi: str | None = NS_MAX) -> Column:
+    """Whether a timestamp lies within the bounds (None: no bound)."""
+    ok = F.lit(True)
+    if lo is not None:
+        ok = ok & (ts >= F.lit(lo).cast("timestamp_ntz"))
+    if hi is not None:
+        ok = ok & (ts <= F.lit(hi).cast("timestamp_ntz"))
+    return ok
 
 
-def to_timestamp_coerce(c, fmt: str | None = None) -> Column:
-    """Parse text to ``timestamp_ntz``; unparseable or out-of-range -> null.
+def parse_timestamp(c, fmt: str | None = None) -> Column:
+    """Text to ``timestamp_ntz`` without a range; unparseable text is null.
 
     Without ``fmt`` the ISO forms (``yyyy-MM-dd``, ``yyyy-MM-dd HH:mm:ss[.f]``,
     ``T`` separator) are accepted.  With ``fmt`` a Spark datetime pattern is
@@ -50,47 +56,89 @@ def to_timestamp_coerce(c, fmt: str | None = None) -> Column:
     """
     c = _col(c).cast("string")
     if fmt is None:
-        ts = c.try_cast("timestamp_ntz")
-    else:
-        f = F.lit(fmt)
-        ts = F.when(F.try_to_timestamp(c, f).isNotNull(), F.to_timestamp_ntz(c, f))
-    return F.when(_in_ns_range(ts), ts)
+        return c.try_cast("timestamp_ntz")
+    f = F.lit(fmt)
+    return F.when(F.try_to_timestamp(c, f).isNotNull(), F.to_timestamp_ntz(c, f))
+
+
+def to_timestamp_coerce(c, fmt: str | None = None, lo: str | None = NS_MIN, hi: str | None = NS_MAX) -> Column:
+    """Parse text to ``timestamp_ntz``; unparseable or out of ``lo``..``hi`` -> null.
+
+    The bounds are those of the warehouse's clock unless others (or None) are
+    given; ``cast_failures`` reports how many values either rule nulls.
+    """
+    ts = parse_timestamp(c, fmt)
+    return F.when(in_range(ts, lo, hi), ts)
+
+
+def _exact_bigint(c: Column) -> Column:
+    """``'12'``, ``'12.0'``, ``'+12.000'`` and exponents to bigint without a detour through double; else null."""
+    text = F.trim(c.cast("string"))
+    exact = text.try_cast("decimal(38,10)")
+    whole = F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+    # more fraction digits than the decimal holds are integral only if they are all zeros
+    plain = F.regexp_replace(text, r"\.0*$", "")
+    fraction = text.rlike(r"\.[0-9]*[1-9]")
+    exponent = text.rlike("[eE]")
+    return F.coalesce(plain.try_cast("bigint"), F.when(exponent | ~fraction, whole))
 
 
 def nullable_bigint(c, strict: bool = True) -> Column:
-    """Numbers written as text (``'12'``, ``'12.0'``) to nullable bigint.
+    """Numbers written as text (``'12'``, ``'12.0'``) to nullable bigint, exact over its whole range.
 
-    A non-integral value (``'12.5'``) is an error when ``strict`` (the reference
-    behaviour), else it becomes null.
+    Null and the text ``NaN`` stay null.  Anything else that is no whole number
+    of the type (``'12.5'``, ``'abc'``, ``'1,234'``, beyond 64 bits) is an error
+    when ``strict``, else it becomes null and ``cast_failures`` counts it.
     """
     c = _col(c)
-    d = c.try_cast("double")
-    ok = d.isNull() | (d == F.floor(d))
-    as_long = d.cast("bigint")
-    if strict:
-        return F.when(ok, as_long).otherwise(
-            F.raise_error(F.concat(F.lit("non-integral value for an integer column: "), c.cast("string")))
-        ).cast("bigint")
-    return F.when(ok, as_long)
+    value = _exact_bigint(c)
+    if not strict:
+        return value
+    missing = c.isNull() | (F.lower(F.trim(c.cast("string"))) == "nan")
+    return F.when(value.isNotNull() | missing, value).otherwise(
+        F.raise_error(F.concat(F.lit("non-integral value for an integer column: "), c.cast("string")))).cast("bigint")
+
+
+def strict_double(c, strict: bool = True) -> Column:
+    """Text to double; text that is no number is an error when ``strict``, else null."""
+    c = _col(c)
+    value = c.try_cast("double")
+    if not strict:
+        return value
+    return F.when(value.isNotNull() | c.isNull(), value).otherwise(
+        F.raise_error(F.concat(F.lit("not a number for a double column: "), c.cast("string")))).cast("double")
+
+
+def cast_failed(c, kind: str) -> Column:
+    """Whether a value present in the source has none in the silver type (``kind`` as in a table definition)."""
+    c = _col(c)
+    present = c.isNotNull() & (F.lower(F.trim(c.cast("string"))) != "nan")
+    value = {"bigint": lambda: nullable_bigint(c, strict=False), "double": lambda: c.try_cast("double"),
+             "timestamp": lambda: to_timestamp_coerce(c), "number_text": lambda: c.try_cast("double")}.get(kind)
+    return present & value().isNull() if value else F.lit(False)
 
 
 def number_to_text(c, integral: bool = False) -> Column:
     """A float column rendered as plain decimal text, NaN/null -> null.
 
     Integral values keep one decimal (``8302039293929.0``) as the float-typed
-    source column printed them; ``integral=True`` drops the ``.0``.
+    source column printed them; ``integral=True`` drops the ``.0``.  Text that
+    is a plain decimal already keeps its digits, whatever their number; other
+    values (exponents, numeric columns) are written out from the double.
     """
     c = _col(c)
     d = c.try_cast("double")
-    valid = d.isNotNull() & ~F.isnan(d)
+    valid = d.isNotNull() & ~F.isnan(d) & (F.abs(d) < float("inf"))
+    text = F.trim(c.cast("string"))
+    plain = text.rlike(r"^[+-]?[0-9]+(\.[0-9]*)?$")
+    written = F.when(d == F.floor(d), F.format_string("%.0f", d)).otherwise(F.format_string("%.340f", d))
+    txt = F.when(plain, text).otherwise(written)
+    # no plus sign, no zeros before the whole part or after the fraction
+    txt = F.regexp_replace(F.regexp_replace(txt, r"^[+]?(-?)0*(?=[0-9])", "$1"), r"[.]0*$|([.][0-9]*[1-9])0+$", "$1")
     if integral:
-        txt = d.cast("decimal(38,0)").cast("string")
+        txt = F.substring_index(txt, ".", 1)
     else:
-        whole = d == F.floor(d)
-        txt = F.when(whole, d.cast("decimal(38,1)").cast("string")).otherwise(
-            d.cast("decimal(38,10)").cast("string"))
-        # strip trailing zeros of non-integral values (12.5000000000 -> 12.5)
-        txt = F.when(whole, txt).otherwise(F.regexp_replace(txt, "0+$", ""))
+        txt = F.when(txt.contains("."), txt).otherwise(F.concat(txt, F.lit(".0")))
     return F.when(valid, txt)
 
 

@@ -2,7 +2,7 @@
 
 An independent formulation of every query over the same parquet views
 (region, nation, customer, supplier, part, orders, lineitem, ...): the
-silver mapping of ``strata.plans.tpch`` as CTEs, then plain SQL joins.  Used
+silver mapping of ``strata.harness.tpch`` as CTEs, then plain SQL joins.  Used
 by the correctness check; never executed by the library itself.
 """
 
@@ -10,7 +10,10 @@ from __future__ import annotations
 
 import re
 
-# silver-shaped CTEs over the TPC-H-like views (mirror of strata.plans.tpch)
+from strata.harness.extracts import SOURCES, silver_sql
+from strata.plans.specs import TABLES
+
+# silver-shaped CTEs over the TPC-H-like views (mirror of strata.harness.tpch)
 SILVER_CTES: dict[str, str] = {
     "s_countries": """SELECT CAST(r_regionkey AS BIGINT) AS country_id, r_name AS country_name,
         upper(substring(r_name, 1, 3)) AS iso_alpha3_code, r_name AS continent,
@@ -223,13 +226,13 @@ GOLD_SQL: dict[str, str] = {
 }
 
 
-def with_ctes(body: str) -> str:
+def with_ctes(body: str, silver: dict[str, str] = SILVER_CTES) -> str:
     """Prefix ``body`` with the silver CTEs it mentions.
 
     A body starting with ``,`` continues the WITH list with its own CTEs.
     """
-    used = [n for n in SILVER_CTES if re.search(rf"\b{n}\b", body)]
-    ctes = ",\n".join(f"{n} AS ({SILVER_CTES[n]})" for n in used)
+    used = [n for n in silver if re.search(rf"\b{n}\b", body)]
+    ctes = ",\n".join(f"{n} AS ({silver[n]})" for n in used)
     body = body.strip()
     if body.startswith(","):
         return f"WITH {ctes}\n{body}" if ctes else f"WITH {body[1:]}"
@@ -304,7 +307,8 @@ SILVER_CUSTOMERS = """
     FROM customer"""
 
 # null policy of the orders table (same policy as strata.plans.specs)
-ORDERS_EXPECTED = ["picked_by_id", "backorder_order_id", "picking_completed_when"]
+ORDERS_EXPECTED = {"picked_by_id": "nobody has picked the order yet", "backorder_order_id": "no backorder followed",
+                   "picking_completed_when": "picking not finished"}
 ORDERS_REQUIRED = ["order_id", "customer_id", "order_date", "salesperson_id"]
 
 # the supplied tables' columns (for the overview and profile oracles)
@@ -325,46 +329,81 @@ SPLIT_TABLES = ["purchase.order", "purchase.orderline", "sales.incvoiceslines",
 
 
 def _null_policy_sql() -> str:
-    parts = [f"""SELECT '{c}' AS "column", 'expected' AS kind, 'optional by table policy' AS reason,
-        count(*) FILTER (WHERE {c} IS NULL) AS nulls, 'expected' AS status FROM s""" for c in ORDERS_EXPECTED]
+    parts = [f"""SELECT '{c}' AS "column", 'expected' AS kind, '{why}' AS reason,
+        count(*) FILTER (WHERE {c} IS NULL) AS nulls, 'expected' AS status FROM s""" for c, why in ORDERS_EXPECTED.items()]
     parts += [f"""SELECT '{c}', 'required', CAST(NULL AS VARCHAR), count(*) FILTER (WHERE {c} IS NULL),
         CASE WHEN count(*) FILTER (WHERE {c} IS NULL) = 0 THEN 'ok' ELSE 'unexpected' END FROM s"""
               for c in ORDERS_REQUIRED]
     return f"WITH s AS ({SILVER_ORDERS})\n" + "\nUNION ALL\n".join(parts)
 
 
+CUSTOMER_TYPES = {
+    "customer_id": "bigint", "customer_name": "string", "bill_to_customer_id": "bigint", "credit_limit": "double",
+    "delivery_method_id": "bigint", "delivery_city_id": "bigint", "primary_contact_person_id": "bigint", "phone_number": "string",
+    "fax_number": "string", "website_url": "string", "delivery_address_line1": "string", "delivery_address_line2": "string",
+    "delivery_postal_code": "bigint", "postal_address_line1": "string", "postal_address_line2": "string", "postal_postal_code": "bigint",
+}
+
+
 def _profile_sql() -> str:
-    cols = TPCH_COLUMNS["orders"]
-    return "\nUNION ALL\n".join(
+    return with_ctes("\nUNION ALL\n".join(
         f"""SELECT '{c}' AS "column", '{t}' AS data_type, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
-            count({c}) AS non_nulls FROM orders""" for c, t in zip(cols, ORDERS_TYPES))
+            count({c}) AS non_nulls FROM s_customers""" for c, t in CUSTOMER_TYPES.items()))
+
+
+def _columns(sql: str) -> list[str]:
+    """Output names of a silver CTE, in order."""
+    flat = re.sub(r"\([^()]*\)", "", re.sub(r"\([^()]*\)", "", re.sub(r"\([^()]*\)", "", sql)))
+    return re.findall(r"\bAS\s+(\w+)", flat)
+
+
+def _nulls_of(cols) -> str:
+    return " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
 
 
 def _overview_sql() -> str:
-    parts = []
-    for t, cols in TPCH_COLUMNS.items():
-        nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
-        parts.append(f"""SELECT 'testdata' AS layer, '{t}' AS "table", count(*) AS "rows",
-            CAST({len(cols)} AS BIGINT) AS cols, CAST({nulls} AS BIGINT) AS nulls FROM {t}""")
-    return "\nUNION ALL\n".join(parts)
+    parts = [f"""SELECT 'silver' AS layer, '{n[2:]}' AS "table", count(*) AS "rows", CAST({len(_columns(q))} AS BIGINT) AS cols,
+            CAST({_nulls_of(_columns(q))} AS BIGINT) AS nulls FROM {n}""" for n, q in SILVER_CTES.items()]
+    return with_ctes("\nUNION ALL\n".join(parts))
+
+
+def _sizes_sql() -> str:
+    return "\nUNION ALL\n".join(
+        f"""SELECT 'testdata' AS layer, '{t}' AS "table", count(*) AS "rows",
+            CAST({len(cols)} AS BIGINT) AS cols, CAST({_nulls_of(cols)} AS BIGINT) AS nulls, true AS has_size FROM {t}""" for t, cols in TPCH_COLUMNS.items())
+
+
+def _ratio_sql() -> str:
+    return with_ctes("\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS "column", count(*) AS "rows", count(*) FILTER (WHERE {c} IS NULL) AS nulls,
+            round(count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*), 2) AS missing_pct FROM s_customers"""
+        for c in ("credit_limit", "delivery_city_id", "fax_number", "customer_id")))
 
 
 def _suspicious_sql() -> str:
-    flagged = {"sales/orders": ("orders", ["CustomerID", "OrderDate", "ExpectedDeliveryDate",
-                                           "CustomerPurchaseOrderNumber", "PickingCompletedWhen",
-                                           "LastEditedWhen"]),
-               "sales/order_lines": ("lineitem", ["StockItemID", "PickingCompletedWhen", "LastEditedWhen"])}
+    """Every value of these columns is present; which ones read as a timestamp is stated by column."""
+    late = "count(*) FILTER (WHERE o_orderkey % 13 <> 0 AND o_orderkey % 11 <> 0)"
+    flagged = {
+        "sales/orders": ("orders", {"CustomerID": "count(*) FILTER (WHERE o_custkey BETWEEN 1678 AND 2262)", "OrderDate": "count(*)", "ExpectedDeliveryDate": late,
+                                    "CustomerPurchaseOrderNumber": "count(*) FILTER (WHERE length(CAST(o_orderkey + 100000 AS VARCHAR)) = 4)",
+                                    "PickingCompletedWhen": "count(*) FILTER (WHERE o_orderstatus = 'F')", "LastEditedWhen": "count(*)"}),
+        "sales/order_lines": ("lineitem", {"StockItemID": "count(*) FILTER (WHERE l_partkey BETWEEN 1678 AND 2262)",
+                                           "PickingCompletedWhen": "count(*) FILTER (WHERE l_linestatus = 'F')", "LastEditedWhen": "count(*)"})}
     return "\nUNION ALL\n".join(
-        f"""SELECT '{t}' AS "table", '{c}' AS "column", 'string' AS data_type, count(*) AS non_nulls FROM {src}"""
-        for t, (src, cols) in flagged.items() for c in cols)
+        f"""SELECT '{t}' AS "table", '{c}' AS "column", 'string' AS data_type, count(*) AS non_nulls, {n} AS parseable FROM {src}"""
+        for t, (src, cols) in flagged.items() for c, n in cols.items())
 
 
 def _impute_audit_sql() -> str:
     pairs = [("credit_limit", "credit_limit_amount"), ("full_name", "contact_full_name"),
              ("email_address", "contact_email")]
+
+    def pct(c: str, t: str) -> str:
+        return f"(SELECT round(count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*), 2) FROM {t})"
+
     body = "\nUNION ALL\n".join(
         f"""SELECT '{b}' AS "column", (SELECT count(*) FILTER (WHERE {b} IS NULL) FROM base) AS nulls_before,
-            (SELECT count(*) FILTER (WHERE {a} IS NULL) FROM fin) AS nulls_after""" for b, a in pairs)
+            (SELECT count(*) FILTER (WHERE {a} IS NULL) FROM fin) AS nulls_after, {pct(b, 'base')} AS pct_before, {pct(a, 'fin')} AS pct_after""" for b, a in pairs)
     return with_ctes(f", base AS ({CUSTOMER_BASE}), fin AS ({CUSTOMER_FINAL})\n{body}")
 
 
@@ -403,21 +442,72 @@ SILVER_TABLE_ORDER = ["cities", "colors", "countries", "customers", "delivery_me
                       "transaction_types"]
 
 
+RUN_SILVER = {**{n: silver_sql(n) for n in SOURCES}, "orders": SILVER_ORDERS, "order_lines": SILVER_ORDER_LINES,
+              "customers": SILVER_CUSTOMERS, "stock_items": SILVER_STOCK_ITEMS}
+# the silver tables that a whole run writes, under the names of the gold SQL
+RUN_CTES = {f"s_{n}": q for n, q in RUN_SILVER.items()}
+
+
 def _silver_run_sql() -> str:
-    fed = {"orders": "orders", "order_lines": "lineitem", "customers": "customer", "stock_items": "part"}
-    rows = [f"('silver', '{t}', 'ok', (SELECT count(*) FROM {fed[t]}))" if t in fed
-            else f"('silver', '{t}', 'failed', NULL)" for t in SILVER_TABLE_ORDER]
+    rows = [f"('silver', '{t}', 'failed', NULL)" if t == "transaction_types"
+            else f"('silver', '{t}', 'ok', (SELECT count(*) FROM ({RUN_SILVER[t]}) AS s))" for t in SILVER_TABLE_ORDER]
     return ('SELECT layer, "table", status, CAST("rows" AS BIGINT) AS "rows" FROM (VALUES '
             + ", ".join(rows) + ') AS v(layer, "table", status, "rows")')
 
 
+def _key_check_sql() -> str:
+    parts = []
+    for t in TABLES:
+        k = t.silver_key
+        parts.append(f"""SELECT '{t.name}' AS "table", '{k}' AS "key", count(*) AS "rows", count(*) FILTER (WHERE {k} IS NULL) AS null_keys,
+            (SELECT count(*) FROM (SELECT {k} FROM ({RUN_SILVER[t.name]}) AS a WHERE {k} IS NOT NULL GROUP BY {k} HAVING count(*) > 1) AS d) AS duplicate_keys
+            FROM ({RUN_SILVER[t.name]}) AS s""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _join_growth_sql() -> str:
+    """Lookups keep the rows; the fan-outs give a row a detail and one for each header without any."""
+    market = "(SELECT count(*) FROM s_provinces p LEFT JOIN s_cities c ON p.state_province_id = c.state_province_id)"
+    cities = {"provinces": "(SELECT count(*) FROM s_provinces)", "provinces + countries": "(SELECT count(*) FROM s_provinces)", "provinces + cities": market}
+    steps = {
+        "dim_customer": cities | {"customers" + x: "(SELECT count(*) FROM s_customers)" for x in ("", " + delivery methods", " + market", " + contacts")},
+        "dim_geography": cities,
+        "dim_stock_item": {"stock items" + x: "(SELECT count(*) FROM s_stock_items)" for x in ("", " + colors", " + unit packages", " + outer packages")},
+        "dim_supplier": {"suppliers" + x: "(SELECT count(*) FROM s_suppliers)" for x in ("", " + delivery methods", " + contacts", " + delivery cities", " + postal cities")},
+        "fact_orders": {"orders" + x: "(SELECT count(*) FROM s_orders)" for x in ("", " + customers", " + salespeople", " + contacts")} | {
+            "orders + order lines": "(SELECT count(*) FROM s_orders o LEFT JOIN s_order_lines l ON o.order_id = l.order_id)"},
+        "fact_purchases": {"purchase orders" + x: "(SELECT count(*) FROM s_purchase_orders)" for x in ("", " + contacts")} | {
+            "purchase orders + purchase order lines": "(SELECT count(*) FROM s_purchase_orders o LEFT JOIN s_purchase_order_lines l ON o.purchase_order_id = l.purchase_order_id)"},
+    }
+    return with_ctes("\nUNION ALL\n".join(f"SELECT '{job}: {step}' AS step, {n} AS \"rows\"" for job, of in steps.items() for step, n in of.items()))
+
+
+ODD_SQL = """list_extract(['plain', 'two' || chr(10) || 'lines', 'a;b,c', 'say "hi"', '  lead and trail  ', '',
+    chr(9) || 'tab' || chr(9), 'a' || chr(13) || chr(10) || 'b', '"', ','], CAST(o_orderkey % 10 + 1 AS INTEGER))"""
+ODD_ROWS = f"""SELECT CAST(o_orderkey AS VARCHAR) AS id,
+    CASE WHEN o_orderkey % 7 <> 0 THEN {ODD_SQL} || CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'x' END END AS note,
+    CASE WHEN o_orderkey % 5 <> 0 THEN {ODD_SQL} END AS more FROM orders"""
+
+_BIG = "o_orderkey + 9007199254740992"
+
+
+def _cast_failures_sql() -> str:
+    n, none = "count(*)", "CAST(0 AS BIGINT)"
+    back = "count(*) FILTER (WHERE o_orderkey % 9 = 0)"
+    rows = [("order_id", "bigint", n, none), ("customer_id", "bigint", n, "count(*) FILTER (WHERE o_orderkey % 10 = 0)"), ("salesperson_id", "bigint", n, none),
+            ("picked_by_id", "bigint", "count(*) FILTER (WHERE o_orderstatus <> 'O')", none), ("contact_person_id", "bigint", n, none),
+            ("backorder_order_id", "bigint", back, none), ("order_date", "timestamp", n, none),
+            ("expected_delivery_date", "timestamp", n, "count(*) FILTER (WHERE o_orderkey % 13 = 0 OR o_orderkey % 11 = 0)"),
+            ("customer_po_number", "bigint", n, none), ("is_undersupply_backordered", "bigint", n, none),
+            ("picking_completed_when", "timestamp", "count(*) FILTER (WHERE o_orderstatus = 'F')", none),
+            ("last_edited_by", "bigint", n, none), ("last_edited_when", "timestamp", n, none)]
+    return "\nUNION ALL\n".join(f"""SELECT '{c}' AS "column", '{k}' AS kind, {v} AS "values", {f} AS failed FROM orders""" for c, k, v, f in rows)
+
+
 def oracle_queries() -> dict[str, str]:
     q = {name: with_ctes(sql) for name, sql in GOLD_SQL.items()}
     q.update({
-        "silver_orders": SILVER_ORDERS,
-        "silver_order_lines": SILVER_ORDER_LINES,
-        "silver_stock_items": SILVER_STOCK_ITEMS,
-        "silver_customers": SILVER_CUSTOMERS,
+        **{f"silver_{n}": q for n, q in RUN_SILVER.items()},
         "silver_csv_roundtrip": SILVER_ORDERS,
         "silver_incremental": f"""SELECT *, CAST(NULL AS VARCHAR) AS "Comments",
             CAST(NULL AS VARCHAR) AS "DeliveryInstructions", CAST(NULL AS VARCHAR) AS "InternalComments"
@@ -453,5 +543,27 @@ def oracle_queries() -> dict[str, str]:
         "publish_roundtrip": _publish_sql(),
         "silver_run_status": _silver_run_sql(),
         "run_all_status": _run_all_sql(),
+        "run_fact_orders": with_ctes(GOLD_SQL["fact_orders"], RUN_CTES),
+        "run_dim_customer": with_ctes(GOLD_SQL["dim_customer"], RUN_CTES),
+        "run_summary": """SELECT 'gold' AS layer, CAST(2 AS BIGINT) AS jobs, CAST(1 AS BIGINT) AS ok, CAST(1 AS BIGINT) AS failed, CAST(0 AS BIGINT) AS skipped
+            UNION ALL SELECT 'silver', 21, 21, 0, 0""",
+        "bigint_exact": f"""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 5 = 1 THEN {_BIG}
+            WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN NULL ELSE {_BIG} END AS id FROM orders""",
+        "cast_failures": _cast_failures_sql(),
+        "csv_fidelity": ODD_ROWS,
+        "pass_through_rows": ODD_ROWS,
+        "snapshot_rows": """SELECT CAST(o_orderkey AS VARCHAR) AS "OrderID", CAST(o_custkey AS VARCHAR) AS "CustomerID",
+            CASE WHEN o_orderkey % 13 = 0 THEN '9999-12-31 23:59:59.9999999' WHEN o_orderkey % 11 = 0 THEN 'garbage'
+                 ELSE strftime(o_orderdate + INTERVAL 7 DAY, '%Y-%m-%d %H:%M:%S') END AS "ExpectedDeliveryDate",
+            strftime(o_orderdate, '%d/%m/%Y') AS "LastEditedWhen" FROM orders""",
+        "publish_rows": "SELECT * FROM lineitem",
+        "missing_ratio": _ratio_sql(),
+        "layer_sizes": _sizes_sql(),
+        "table_sample": "SELECT * FROM orders ORDER BY o_custkey, o_orderkey LIMIT 5",
+        "key_check": _key_check_sql(),
+        "join_growth": _join_growth_sql(),
+        "contains_or_false": with_ctes("SELECT customer_id, COALESCE(contains(delivery_address_line1, '1'), false) AS has_one FROM s_customers"),
+        "lookup_null_safe": with_ctes("""SELECT customer_id, delivery_city_id, COALESCE('city ' || CAST(delivery_city_id AS VARCHAR), 'none') AS label FROM s_customers"""),
+        "register_views": "SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey",
     })
     return q

@@ -1,8 +1,8 @@
 """Registered queries: the gold jobs and every operator, run over the test tables.
 
 Each query is a callable ``(spark, sf_dir) -> DataFrame`` reading the
-TPC-H-like parquet tables in ``sf_dir`` (through ``strata.plans.tpch`` for the
-silver contracts and ``strata.plans.bronze_tpch`` for raw text extracts) and
+TPC-H-like parquet tables in ``sf_dir`` (through ``strata.harness.tpch`` for the
+silver contracts and ``strata.harness.bronze_tpch`` for raw text extracts) and
 running the library's own builders and operators over the whole tables.
 Queries that exercise writers (CSV round trip, ingest split, publishing,
 whole run) write into a fresh folder under the session's checkpoint root.
@@ -19,20 +19,23 @@ from strata.functions.casts import null_tokens_to_null, nullable_bigint, number_
 from strata.operators.columns import dedup_columns, drop_empty_columns, drop_strict, rename_columns, select_strict
 from strata.operators.impute import impute_report
 from strata.operators.ingest import parse_first_format
-from strata.operators.quality import (duplicate_keys, layer_overview, suspicious_dates, table_profile,
-                                      validate_nulls)
+from strata.functions.text import contains_or_false
+from strata.operators.joins import lookup_join
+from strata.operators.quality import (duplicate_keys, file_sizes, join_growth, key_check, layer_overview, missing_ratio,
+                                      run_summary, suspicious_dates, table_profile, table_sample, validate_nulls)
 from strata.plans import gold
-from strata.plans.bronze_tpch import bronze_customers, bronze_order_lines, bronze_orders, bronze_stock_items
+from strata.harness.bronze_tpch import bronze_order_lines, bronze_orders
+from strata.harness.extracts import bronze_extract
 from strata.plans.ingest_jobs import snapshot, split_batch
-from strata.plans.oracle import oracle_queries
-from strata.plans.runner import run_gold, run_silver
-from strata.plans.silver import build_silver, clean_silver, expected_nulls
-from strata.plans.specs import BY_NAME
-from strata.plans.tpch import TPCH_TABLES, read_tpch, silver_tables
+from strata.harness.oracle import oracle_queries
+from strata.plans.runner import run_all, run_gold, run_silver
+from strata.plans.silver import build_silver, cast_failures, expected_nulls
+from strata.plans.specs import BY_NAME, TABLES
+from strata.harness.tpch import TPCH_TABLES, read_tpch, silver_tables
 from strata.session import scratch_dir
-from strata.streaming.incremental import BATCH_COLUMN, incremental_silver
-from strata.sources.csv import map_null_tokens, write_csv
-from strata.sources.parquet import read_table
+from strata.streaming.incremental import BATCH_COLUMN, SOURCE_COLUMN, incremental_silver
+from strata.sources.csv import map_null_tokens, read_csv_text, write_csv
+from strata.sources.parquet import read_table, register_views
 from strata.sources.publish import publish_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,45 +59,43 @@ def _gold(name: str) -> Query:
 
 # ---------------------------------------------------------------- silver jobs
 
-def silver_orders(spark, sf_dir):
-    return clean_silver(map_null_tokens(bronze_orders(read_tpch(spark, sf_dir, "orders"))), BY_NAME["orders"])
-
-
-def silver_order_lines(spark, sf_dir):
-    return clean_silver(map_null_tokens(bronze_order_lines(read_tpch(spark, sf_dir, "lineitem"))),
-                        BY_NAME["order_lines"])
+def written_silver(spark, sf_dir, name: str, sep: str = ",") -> DataFrame:
+    """A table's extract written as CSV, the silver job run on it, and the table it wrote."""
+    root = scratch_dir(spark, f"silver-{name}")
+    tdef = BY_NAME[name]
+    write_csv(bronze_extract(spark, sf_dir, name), f"{root}/bronze/{tdef.bronze_file}", sep=sep)
+    status, _ = build_silver(spark, tdef, f"{root}/bronze", f"{root}/silver")
+    if status["status"] != "ok":
+        raise RuntimeError(f"silver job failed: {status}")
+    return read_table(spark, f"{root}/silver/{tdef.output_path}")
 
 
-def silver_stock_items(spark, sf_dir):
-    return clean_silver(map_null_tokens(bronze_stock_items(read_tpch(spark, sf_dir, "part"))), BY_NAME["stock_items"])
+def _silver(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return written_silver(spark, sf_dir, name)
+    run.__name__ = f"silver_{name}"
+    return run
 
 
-def silver_customers(spark, sf_dir):
-    return clean_silver(map_null_tokens(bronze_customers(read_tpch(spark, sf_dir, "customer"))), BY_NAME["customers"])
+def silver_orders(spark, sf_dir):
+    return written_silver(spark, sf_dir, "orders")
 
 
 def silver_csv_roundtrip(spark, sf_dir):
     """orders extract written as ';'-separated CSV, then the full silver job on it."""
-    root = scratch_dir(spark, "bronze-roundtrip")
-    tdef = BY_NAME["orders"]
-    write_csv(bronze_orders(read_tpch(spark, sf_dir, "orders")), f"{root}/bronze/{tdef.bronze_file}", sep=";")
-    status, _ = build_silver(spark, tdef, f"{root}/bronze", f"{root}/silver")
-    if status["status"] != "ok":
-        raise RuntimeError(f"silver job failed: {status}")
-    return read_table(spark, f"{root}/silver/{tdef.output_path}")
+    return written_silver(spark, sf_dir, "orders", sep=";")
 
 
 def silver_incremental(spark, sf_dir):
     """orders extract landed as CSV part files and loaded by the streaming job in micro-batches."""
     root = scratch_dir(spark, "stream")
     tdef = BY_NAME["orders"]
-    write_csv(bronze_orders(read_tpch(spark, sf_dir, "orders")).repartition(4), f"{root}/landing")
-    q = incremental_silver(spark, tdef, f"{root}/landing", f"{root}/silver", checkpoint=f"{root}/ckpt",
-                           max_files_per_trigger=2)
+    write_csv(bronze_orders(read_tpch(spark, sf_dir, "orders")).repartition(4), f"{root}/landing", sep=";")
+    q = incremental_silver(spark, tdef, f"{root}/landing", f"{root}/silver", max_files_per_trigger=2)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
-    return read_table(spark, f"{root}/silver/{tdef.output_path}").drop(BATCH_COLUMN)
+    return read_table(spark, f"{root}/silver/{tdef.output_path}").drop(BATCH_COLUMN, SOURCE_COLUMN)
 
 
 def null_policy(spark, sf_dir):
@@ -173,17 +174,67 @@ def q_dedup_columns(spark, sf_dir):
 # ------------------------------------------------------------ quality reports
 
 def q_table_profile(spark, sf_dir):
-    return table_profile(read_tpch(spark, sf_dir, "orders"))
+    return table_profile(silver_tables(spark, sf_dir)["customers"])
 
 
 def q_layer_overview(spark, sf_dir):
-    return layer_overview({t: read_tpch(spark, sf_dir, t) for t in TPCH_TABLES}, "testdata")
+    return layer_overview(dict(silver_tables(spark, sf_dir)), "silver")
+
+
+def q_missing_ratio(spark, sf_dir):
+    return missing_ratio(silver_tables(spark, sf_dir)["customers"], ["credit_limit", "delivery_city_id", "fax_number", "customer_id"])
+
+
+def q_layer_sizes(spark, sf_dir):
+    """The overview of the supplied tables with their sizes, given as whether the size is that of the listing."""
+    paths = {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TPCH_TABLES}
+    sizes = {r["table"]: r["bytes"] for r in file_sizes(spark, paths).collect()}
+    out = layer_overview({t: read_tpch(spark, sf_dir, t) for t in TPCH_TABLES}, "testdata", sizes)
+    return out.withColumn("has_size", F.col("size_kb") > 0).drop("size_kb")
+
+
+def q_table_sample(spark, sf_dir):
+    return table_sample(read_tpch(spark, sf_dir, "orders"), 5, ["o_custkey", "o_orderkey"])
+
+
+def q_key_check(spark, sf_dir):
+    """The declared keys of all 21 silver tables, over the tables that the silver jobs wrote."""
+    root = _whole_run(spark, sf_dir, gold=False)
+    tables = {t.name: read_table(spark, f"{root}/silver/{t.output_path}") for t in TABLES}
+    return key_check(tables, {t.name: t.silver_key for t in TABLES})
+
+
+def q_join_growth(spark, sf_dir):
+    """Rows after each join of the six joining gold jobs."""
+    tables, steps = silver_tables(spark, sf_dir), []
+    for name in gold.JOINING:
+        trace: list = []
+        gold.GOLD_BUILDERS[name](tables, trace=trace)
+        steps += [(f"{name}: {label}", df) for label, df in trace]
+    return join_growth(steps)
+
+
+def q_contains_or_false(spark, sf_dir):
+    c = silver_tables(spark, sf_dir)["customers"]
+    return c.select("customer_id", contains_or_false("delivery_address_line1", "1").alias("has_one"))
+
+
+def q_lookup_null_safe(spark, sf_dir):
+    """Null keys matched with the null key of the lookup table."""
+    c = silver_tables(spark, sf_dir)["customers"].select("customer_id", "delivery_city_id")
+    names = c.select(F.col("delivery_city_id").alias("k")).distinct().withColumn("label", F.coalesce(F.concat(F.lit("city "), F.col("k").cast("string")), F.lit("none")))
+    return lookup_join(c, names, "delivery_city_id", "k", ["label"], null_safe=True)
+
+
+def q_register_views(spark, sf_dir):
+    views = register_views(spark, sf_dir, ["nation.parquet", "region.parquet"])
+    return spark.sql(f"SELECT n_name, r_name FROM {views[0]} JOIN {views[1]} ON n_regionkey = r_regionkey")
 
 
 def q_suspicious_dates(spark, sf_dir):
     out = suspicious_dates({"sales/orders": bronze_orders(read_tpch(spark, sf_dir, "orders")),
                             "sales/order_lines": bronze_order_lines(read_tpch(spark, sf_dir, "lineitem"))})
-    return out.drop("parseable")
+    return out
 
 
 def q_duplicate_keys(spark, sf_dir):
@@ -233,15 +284,114 @@ def q_publish_roundtrip(spark, sf_dir):
     return status.drop("error")
 
 
+def q_publish_rows(spark, sf_dir):
+    """A published copy's contents: line items, copied and read back."""
+    dst = scratch_dir(spark, "publish")
+    publish_tables(spark, sf_dir, dst, ["lineitem.parquet"])
+    return spark.read.parquet(f"{dst}/lineitem.parquet")
+
+
+#: Text that CSV must keep: line breaks, delimiters, quotes, blanks and both kinds of nothing.
+ODD_TEXT = ("plain", "two\nlines", "a;b,c", 'say "hi"', "  lead and trail  ", "", "\ttab\t", "a\r\nb", '"', ",")
+
+
+def _odd_rows(spark, sf_dir):
+    k = F.col("o_orderkey")
+    odd = F.element_at(F.array(*[F.lit(t) for t in ODD_TEXT]), (k % len(ODD_TEXT) + 1).cast("int"))
+    return _orders(spark, sf_dir).select(k.cast("string").alias("id"), F.when(k % 7 != 0, F.concat(odd, F.when(k % 3 == 0, F.lit("")).otherwise(F.lit("x")))).alias("note"),
+                                         F.when(k % 5 != 0, odd).alias("more"))
+
+
+def q_csv_fidelity(spark, sf_dir):
+    """Odd text written as CSV and read back."""
+    root = scratch_dir(spark, "fidelity")
+    write_csv(_odd_rows(spark, sf_dir), f"{root}/odd.csv", sep=";")
+    return read_csv_text(spark, f"{root}/odd.csv")
+
+
+def q_pass_through_rows(spark, sf_dir):
+    """Odd text through the pass-through copy of an ingest batch."""
+    root = scratch_dir(spark, "pass")
+    write_csv(_odd_rows(spark, sf_dir), f"{root}/raw/odd.table.csv")
+    split_batch(spark, f"{root}/raw", f"{root}/bronze", *SPLIT_YEARS, label="actual").collect()
+    return read_csv_text(spark, f"{root}/bronze/actual/odd.table.csv")
+
+
+def q_snapshot_rows(spark, sf_dir):
+    """The order extract through the unfiltered snapshot."""
+    root = scratch_dir(spark, "snapshot")
+    _raw_extract(spark, sf_dir, root)
+    snapshot(spark, f"{root}/raw", f"{root}/bronze", label="upcoming").collect()
+    return read_csv_text(spark, f"{root}/bronze/upcoming/sales.order.csv").select("OrderID", "CustomerID", "ExpectedDeliveryDate", "LastEditedWhen")
+
+
+# ------------------------------------------------------------ exact casts
+
+def _big_numbers(spark, sf_dir):
+    k = F.col("o_orderkey")
+    big = (k + 9007199254740992).cast("string")
+    return _orders(spark, sf_dir).select("o_orderkey", F.when(k % 5 == 0, F.lit("abc")).when(k % 5 == 1, F.concat(big, F.lit(".0"))).when(k % 7 == 0, F.lit("1,234"))
+                                         .when(k % 11 == 0, F.lit("12.5")).when(k % 13 != 0, big).alias("n"))
+
+
+def q_bigint_exact(spark, sf_dir):
+    """Ids beyond the whole numbers of a double, with and without a fraction of zero."""
+    return _big_numbers(spark, sf_dir).select("o_orderkey", nullable_bigint("n", strict=False).alias("id"))
+
+
+def q_cast_failures(spark, sf_dir):
+    """Values of an order extract that have no silver value, by column."""
+    k = F.col("OrderID").cast("bigint")
+    spoilt = bronze_orders(read_tpch(spark, sf_dir, "orders")).withColumn("CustomerID", F.when(k % 10 == 0, F.lit("abc")).otherwise(F.col("CustomerID")))
+    return cast_failures(map_null_tokens(spoilt), BY_NAME["orders"])
+
+
+# ------------------------------------------------------------------ whole run
+
+def _write_extracts(spark, sf_dir, root) -> None:
+    for t in TABLES:
+        write_csv(bronze_extract(spark, sf_dir, t.name), f"{root}/bronze/{t.bronze_file}")
+
+
+def _whole_run(spark, sf_dir, gold: bool = True) -> str:
+    """All extracts, silver jobs and (with ``gold``) gold jobs on written tables; returns their root."""
+    root = scratch_dir(spark, "whole-run")
+    _write_extracts(spark, sf_dir, root)
+    if gold:
+        status, _ = run_all(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold", workers=4)
+        bad = status.where("status <> 'ok'").collect()
+    else:
+        bad = [r for r in run_silver(spark, f"{root}/bronze", f"{root}/silver", workers=4)[0] if r["status"] != "ok"]
+    if bad:
+        raise RuntimeError(f"failed jobs: {bad}")
+    return root
+
+
+def q_run_fact_orders(spark, sf_dir):
+    """Bronze extracts to silver to gold, read from the table that the run wrote."""
+    return read_table(spark, f"{_whole_run(spark, sf_dir)}/gold/fact_orders")
+
+
+def q_run_dim_customer(spark, sf_dir):
+    out = read_table(spark, f"{_whole_run(spark, sf_dir)}/gold/dim_customer")
+    return out.withColumn("credit_limit_amount", F.round("credit_limit_amount", MEAN_DIGITS))
+
+
+def q_run_summary(spark, sf_dir):
+    """Tallies of a run of all silver jobs, a gold job, and one that does not exist."""
+    root = scratch_dir(spark, "summary")
+    _write_extracts(spark, sf_dir, root)
+    silver, _ = run_silver(spark, f"{root}/bronze", f"{root}/silver", workers=4)
+    made = run_gold(spark, silver_tables(spark, sf_dir), f"{root}/gold", ["dim_people", "fact_invoices"])
+    return run_summary(spark.createDataFrame([(r["layer"], r["status"]) for r in silver + made], "layer string, status string"))
+
+
 def q_silver_run_status(spark, sf_dir):
-    """All 21 silver jobs over a bronze folder holding the four extracts the test data can feed."""
+    """All 21 silver jobs over their extracts, one of which lacks its file."""
     root = scratch_dir(spark, "silver-run")
-    extracts = {"orders": bronze_orders(read_tpch(spark, sf_dir, "orders")),
-                "order_lines": bronze_order_lines(read_tpch(spark, sf_dir, "lineitem")),
-                "customers": bronze_customers(read_tpch(spark, sf_dir, "customer")),
-                "stock_items": bronze_stock_items(read_tpch(spark, sf_dir, "part"))}
-    for name, df in extracts.items():
-        write_csv(df, f"{root}/bronze/{BY_NAME[name].bronze_file}")
+    for t in TABLES:
+        if t.name != "transaction_types":
+            write_csv(bronze_extract(spark, sf_dir, t.name), f"{root}/bronze/{t.bronze_file}")
     status, _ = run_silver(spark, f"{root}/bronze", f"{root}/silver", workers=4)
     return spark.createDataFrame([(r["layer"], r["table"], r["status"], r["rows"]) for r in status],
                                  "layer string, table string, status string, rows bigint")
@@ -258,10 +408,7 @@ def q_run_all_status(spark, sf_dir):
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {name: _gold(name) for name in gold.GOLD_BUILDERS}
     q.update({
-        "silver_orders": silver_orders,
-        "silver_order_lines": silver_order_lines,
-        "silver_stock_items": silver_stock_items,
-        "silver_customers": silver_customers,
+        **{f"silver_{t.name}": _silver(t.name) for t in TABLES},
         "silver_csv_roundtrip": silver_csv_roundtrip,
         "silver_incremental": silver_incremental,
         "null_policy": null_policy,
@@ -285,6 +432,23 @@ def registry() -> dict[str, Query]:
         "publish_roundtrip": q_publish_roundtrip,
         "silver_run_status": q_silver_run_status,
         "run_all_status": q_run_all_status,
+        "run_fact_orders": q_run_fact_orders,
+        "run_dim_customer": q_run_dim_customer,
+        "run_summary": q_run_summary,
+        "bigint_exact": q_bigint_exact,
+        "cast_failures": q_cast_failures,
+        "csv_fidelity": q_csv_fidelity,
+        "pass_through_rows": q_pass_through_rows,
+        "snapshot_rows": q_snapshot_rows,
+        "publish_rows": q_publish_rows,
+        "missing_ratio": q_missing_ratio,
+        "layer_sizes": q_layer_sizes,
+        "table_sample": q_table_sample,
+        "key_check": q_key_check,
+        "join_growth": q_join_growth,
+        "contains_or_false": q_contains_or_false,
+        "lookup_null_safe": q_lookup_null_safe,
+        "register_views": q_register_views,
     })
     return q
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.joins import self_lookup
+from strata.operators.quality import is_missing
 
 
 def fill_constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -32,16 +33,26 @@ def fill_from_parent_then_mean(df: DataFrame, id_col: str, parent_col: str, valu
 
 
 def impute_report(before: DataFrame, after: DataFrame, cols: Sequence[str] | Mapping[str, str]) -> DataFrame:
-    """Null counts before and after imputation: (column, nulls_before, nulls_after).
+    """Missing values before and after imputation: (column, nulls_before, nulls_after, pct_before, pct_after).
 
     ``cols`` lists the audited columns, or maps a column's name before to its
-    name after (when the imputation step also renames).  One aggregation per
-    side; the two one-row results are combined by scalar subqueries.
+    name after (when the imputation step also renames).  Each side is one
+    aggregation: the counts after come back as one struct, so the pipeline
+    behind ``after`` runs once whatever the number of columns.
     """
     cmap = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
-    b = before.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"b{i}") for i, c in enumerate(cmap)])
-    a = after.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"a{i}") for i, c in enumerate(cmap.values())])
-    return b.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"b{i}").alias("nulls_before"),
-                 a.select(f"a{i}").scalar().alias("nulls_after"))
+
+    def counts(df: DataFrame, names) -> list:
+        return [F.count(F.lit(1)).alias("rows"), *(F.count_if(is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(names))]
+
+    b = before.agg(F.struct(*counts(before, cmap)).alias("b"))
+    a = after.agg(F.struct(*counts(after, cmap.values())).alias("a"))
+    both = b.withColumn("a", a.scalar())
+
+    def pct(side: str, i: int):
+        return F.round(F.try_divide(F.col(f"{side}.n{i}") * 100.0, F.col(f"{side}.rows")), 2)
+
+    return both.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"b.n{i}").alias("nulls_before"), F.col(f"a.n{i}").alias("nulls_after"),
+                 pct("b", i).alias("pct_before"), pct("a", i).alias("pct_after"))
         for i, c in enumerate(cmap)])))

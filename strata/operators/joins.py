@@ -4,16 +4,12 @@
   brings named attributes under role-specific aliases.  The dimension side is
   pruned to key + attributes before the join.
 * ``header_detail_join`` - header (one) -> detail (many) fan-out that keeps
-  headers without details.  Written as inner join + anti join so a hot key on
-  the detail side can be split by AQE (a left outer join can only split its
-  preserved side).
+  headers without details, in a form in which a hot detail key can be split.
 * ``self_lookup`` - a row's parent attribute through the same table.
 
-Broadcast policy: by default no hint is given and Spark decides from size
-statistics (``spark.sql.autoBroadcastJoinThreshold``) and, with AQE, from the
-runtime size of the shuffled side.  ``broadcast=True`` forces the hint, but
-only after a bounded count proves the dimension has at most
-``max_broadcast_rows`` rows; beyond that the join stays a shuffle join.
+No broadcast is forced: Spark decides from size statistics
+(``spark.sql.autoBroadcastJoinThreshold``) and, with AQE, from the runtime
+size of the shuffled side.
 """
 
 from __future__ import annotations
@@ -26,8 +22,6 @@ from pyspark.sql import functions as F
 
 _ids = itertools.count()
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
 
 def _attr_map(attrs) -> dict[str, str]:
     if attrs is None:
@@ -37,20 +31,17 @@ def _attr_map(attrs) -> dict[str, str]:
     return {a: a for a in attrs}
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None,
                 attrs: Mapping[str, str] | Sequence[str] | None = None, *, how: str = "left",
-                broadcast: bool | str = "auto", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                null_safe: bool = False) -> DataFrame:
+                null_safe: bool = False, few_keys: bool = False) -> DataFrame:
     """Left-join ``dim`` attributes onto ``fact`` by ``fact_key = dim_key``.
 
     ``attrs`` maps dimension column -> output name (a list keeps names).  The
     dimension key is not carried into the output, so repeated lookups of the
     same dimension in different roles never produce ambiguous names.
+    ``few_keys`` says that the facts name few distinct keys of a large
+    dimension: it is cut down to these first, so that the facts need not be
+    shuffled by a key with few values.
     """
     dim_key = dim_key or fact_key
     amap = _attr_map(attrs)
@@ -60,9 +51,11 @@ def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | N
     tag = next(_ids)
     k = f"__lk{tag}_key"
     right = dim.select(F.col(f"`{dim_key}`").alias(k), *[F.col(f"`{s}`").alias(d) for s, d in amap.items()])
-    if broadcast is True and fits_broadcast(right, max_broadcast_rows):
-        right = F.broadcast(right)
     left_key = F.col(f"`{fact_key}`")
+    if few_keys:
+        used = f"__lk{tag}_used"
+        named = fact.select(left_key.alias(used)).distinct()
+        right = right.join(named, (F.col(k).eqNullSafe(F.col(used)) if null_safe else F.col(k) == F.col(used)), "left_semi")
     cond = left_key.eqNullSafe(F.col(k)) if null_safe else left_key == F.col(k)
     return fact.join(right, cond, how).drop(k)
 
@@ -72,10 +65,12 @@ def header_detail_join(header: DataFrame, detail: DataFrame, key: str,
                        detail_key: str | None = None) -> DataFrame:
     """Every header row with each of its detail rows; headers without details once, with nulls.
 
-    Same rows as ``header LEFT JOIN detail``.  Built as
-    ``(header JOIN detail) UNION ALL (header ANTI JOIN distinct detail keys)``:
-    the inner join lets AQE split a hot detail key across tasks, and the anti
-    join only sees the detail keys after a map-side distinct.
+    Same rows as ``header LEFT JOIN detail``, built as inner join + anti join
+    (+ the headers without a key): the inner join lets AQE split a hot detail
+    key across tasks, which a left join can't.  Both joins take the header
+    with the same columns and filter, so its plan, with all lookups before it,
+    runs once and its exchange is reused; the anti join adds only the detail's
+    key column after a map-side distinct.
     """
     detail_key = detail_key or key
     amap = _attr_map(detail_cols)
@@ -87,12 +82,14 @@ def header_detail_join(header: DataFrame, detail: DataFrame, key: str,
     right = detail.select(F.col(f"`{detail_key}`").alias(k), *[F.col(f"`{s}`").alias(d) for s, d in amap.items()])
     types = {f.name: f.dataType for f in right.schema.fields}
     hk = F.col(f"`{key}`")
-    matched = header.join(right, hk == F.col(k), "inner").drop(k)
-    keys = detail.select(F.col(f"`{detail_key}`").alias(k)).where(F.col(k).isNotNull()).distinct()
-    unmatched = header.join(keys, hk == F.col(k), "left_anti").select(
-        *[F.col(f"`{c}`") for c in header.columns],
-        *[F.lit(None).cast(types[d]).alias(d) for d in amap.values()])
-    return matched.unionByName(unmatched)
+    nulls = [F.lit(None).cast(types[d]).alias(d) for d in amap.values()]
+    columns = [F.col(f"`{c}`") for c in header.columns]
+    keyed = header.where(hk.isNotNull())
+    matched = keyed.join(right, hk == F.col(k), "inner").drop(k)
+    keys = right.select(k).where(F.col(k).isNotNull()).distinct()
+    unmatched = keyed.join(keys, hk == F.col(k), "left_anti").select(*columns, *nulls)
+    keyless = header.where(hk.isNull()).select(*columns, *nulls)
+    return matched.unionByName(unmatched).unionByName(keyless)
 
 
 def self_lookup(df: DataFrame, id_col: str, parent_col: str, value_col: str, alias: str,

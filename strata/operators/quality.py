@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.casts import to_timestamp_coerce
+from strata.sources.paths import folder_bytes
 
 # Name fragments that mark a column as holding a date.
 DATE_NAME_HINTS = ("date", "when", "time", "from", "to")
@@ -24,10 +25,16 @@ def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
+def is_missing(df: DataFrame, c: str) -> Column:
+    """Null, or NaN in a floating-point column."""
+    kind = df.schema[c].dataType.simpleString() if c in df.columns else ""
+    return _q(c).isNull() | F.isnan(_q(c)) if kind in ("double", "float") else _q(c).isNull()
+
+
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Long form (column, nulls) of the null count of each column (one pass)."""
     cols = list(cols if cols is not None else df.columns)
-    agg = df.agg(*[F.count_if(_q(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
+    agg = df.agg(*[F.count_if(is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(cols)])
     return agg.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("nulls")) for i, c in enumerate(cols)])))
 
@@ -57,9 +64,11 @@ def validate_nulls(df: DataFrame, expected: Mapping[str, str] | None = None,
     The table itself is not changed.
     """
     policy = null_policy_rows(df.columns, expected, required)
+    if not policy:
+        return df.sparkSession.createDataFrame([], POLICY_SCHEMA)
     present = sorted({c for c, _, _ in policy if c in df.columns})
     idx = {c: i for i, c in enumerate(present)}
-    agg = df.agg(*[F.count_if(_q(c).isNull()).alias(f"n{i}") for c, i in idx.items()]) if present \
+    agg = df.agg(*[F.count_if(is_missing(df, c)).alias(f"n{i}") for c, i in idx.items()]) if present \
         else df.limit(1).agg(F.count(F.lit(1)).alias("_"))
     structs = []
     for c, kind, reason in policy:
@@ -77,31 +86,75 @@ def table_profile(df: DataFrame) -> DataFrame:
     cols = df.columns
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     agg = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[F.count_if(_q(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
+                 *[F.count_if(is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(cols)])
     return agg.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("data_type"),
                  F.col(f"n{i}").alias("nulls"), (F.col("_rows") - F.col(f"n{i}")).alias("non_nulls"))
         for i, c in enumerate(cols)])))
 
 
-def layer_overview(tables: Mapping[str, DataFrame], layer: str) -> DataFrame:
-    """One row per table: (layer, table, rows, cols, nulls) - nulls summed over all columns."""
+def missing_ratio(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 2) -> DataFrame:
+    """(column, rows, nulls, missing_pct): percentage of missing values, rounded; null for an empty table."""
+    cols = list(cols if cols is not None else df.columns)
+    agg = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(cols)])
+    return agg.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col("_rows").alias("rows"), F.col(f"n{i}").alias("nulls"),
+                 F.round(F.try_divide(F.col(f"n{i}") * 100.0, F.col("_rows")), digits).alias("missing_pct")) for i, c in enumerate(cols)])))
+
+
+def layer_overview(tables: Mapping[str, DataFrame], layer: str, sizes: Mapping[str, int] | None = None) -> DataFrame:
+    """One row per table, ordered by name: (layer, table, rows, cols, nulls[, size_kb]).
+
+    Nulls are summed over all columns; ``sizes`` (bytes by table, from
+    ``file_sizes``) adds the size in KB rounded to one digit.
+    """
     parts = []
     for name, df in tables.items():
-        nulls = sum((F.count_if(_q(c).isNull()) for c in df.columns), F.lit(0).cast("bigint"))
-        parts.append(df.agg(F.count(F.lit(1)).alias("rows"), nulls.alias("nulls")).select(
-            F.lit(layer).alias("layer"), F.lit(name).alias("table"), "rows",
-            F.lit(len(df.columns)).cast("bigint").alias("cols"), "nulls"))
+        nulls = sum((F.count_if(is_missing(df, c)) for c in df.columns), F.lit(0).cast("bigint"))
+        columns = [F.lit(layer).alias("layer"), F.lit(name).alias("table"), F.col("rows"),
+                   F.lit(len(df.columns)).cast("bigint").alias("cols"), F.col("nulls")]
+        if sizes is not None:
+            columns.append(F.round(F.lit(sizes[name]) / 1024.0, 1).alias("size_kb"))
+        parts.append(df.agg(F.count(F.lit(1)).alias("rows"), nulls.alias("nulls")).select(*columns))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.orderBy("table")
 
 
-def file_sizes(df: DataFrame) -> DataFrame:
-    """Total bytes of the distinct files behind a file-based table: (files, bytes)."""
-    files = df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s")).distinct()
-    return files.agg(F.count(F.lit(1)).alias("files"), F.sum("s").alias("bytes"))
+def file_sizes(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """(table, files, bytes) of each table's data files, from their listing; no data is read."""
+    return spark.createDataFrame([(name, *folder_bytes(spark, path)) for name, path in paths.items()],
+                                 "table string, files bigint, bytes bigint")
+
+
+def key_check(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> DataFrame:
+    """(table, key, rows, null_keys, duplicate_keys) of each table's declared key, ordered by table.
+
+    ``duplicate_keys`` counts key values that occur more than once.
+    """
+    parts = []
+    for name, df in tables.items():
+        k = keys[name]
+        per_key = df.groupBy(_q(k).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+                                 F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
+                                 F.count_if(F.col("k").isNotNull() & (F.col("n") > 1)).alias("duplicate_keys"))
+                     .select(F.lit(name).alias("table"), F.lit(k).alias("key"), "rows", "null_keys", "duplicate_keys"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.orderBy("table")
+
+
+def join_growth(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+    """(step, rows): row counts of a job's intermediate tables, in order, to see which join adds or loses rows."""
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(i).alias("at"), F.lit(label).alias("step"), "rows")
+             for i, (label, df) in enumerate(steps)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.orderBy("at").select("step", "rows")
 
 
 def is_date_like_name(name: str, whole_token: bool = False) -> bool:
@@ -153,20 +206,10 @@ def table_sample(df: DataFrame, n: int = 2, order_by: Sequence[str] | None = Non
     return df.orderBy(*[_q(k) for k in keys]).limit(n)
 
 
-def observe_rows(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
-    """Attach a row counter to ``df``; read ``obs.get['rows']`` after the next action.
-
-    Used as a join-growth audit: observing the output of each join costs no
-    extra job, the counts are gathered while the final table is written.
-    """
-    obs = Observation(label)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
 def run_summary(status: DataFrame) -> DataFrame:
-    """Per layer: jobs, ok, failed, skipped (from a run status table)."""
+    """Per layer: jobs, ok, failed (or missing), skipped (from a run status table)."""
     return status.groupBy("layer").agg(
         F.count(F.lit(1)).alias("jobs"),
         F.count_if(F.col("status") == "ok").alias("ok"),
-        F.count_if(F.col("status") == "failed").alias("failed"),
+        F.count_if(F.col("status").isin("failed", "missing")).alias("failed"),
         F.count_if(F.col("status") == "skipped_empty").alias("skipped")).orderBy("layer")

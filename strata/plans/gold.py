@@ -20,22 +20,18 @@ from strata.operators.calendar import calendar_dim, date_bounds
 from strata.operators.columns import dedup_columns, rename_columns, select_strict
 from strata.operators.impute import fill_constants, fill_from_parent_then_mean
 from strata.operators.joins import header_detail_join, lookup_join
-from strata.operators.quality import observe_rows
 
 Tables = Mapping[str, DataFrame]
-Audit = list | None
+Trace = list | None
 
 
-def _audit(df: DataFrame, audit: Audit, label: str) -> DataFrame:
-    """Join-growth audit: when ``audit`` is a list, count the rows of ``df`` during the next action.
+def _step(df: DataFrame, trace: Trace, label: str) -> DataFrame:
+    """Note the table after a join as (label, table) when a trace is asked for; the plan is the same.
 
-    Appends ``(label, Observation)``; read ``obs.get["rows"]`` after the table is
-    written.  No extra job runs.
+    ``quality.join_growth`` counts the noted tables.
     """
-    if audit is None:
-        return df
-    df, obs = observe_rows(df, f"{label}_{len(audit)}_{id(audit)}")
-    audit.append((label, obs))
+    if trace is not None:
+        trace.append((label, df))
     return df
 
 # Gold column lists and renames of the warehouse contract.
@@ -171,32 +167,37 @@ CALENDAR_SOURCES = {
 }
 
 
-def responsible_market(tables: Tables) -> DataFrame:
+def responsible_market(tables: Tables, trace: Trace = None) -> DataFrame:
     """provinces -> countries, then fan out to cities (provinces without a city kept)."""
-    m = lookup_join(tables["provinces"], tables["countries"], "country_id",
+    m = _step(tables["provinces"], trace, "provinces")
+    m = lookup_join(m, tables["countries"], "country_id",
                     attrs=["country_name", "iso_alpha3_code", "continent", "region", "subregion"])
-    return header_detail_join(m, tables["cities"], "state_province_id", ["city_id", "city_name"])
+    m = _step(m, trace, "provinces + countries")
+    return _step(header_detail_join(m, tables["cities"], "state_province_id", ["city_id", "city_name"]), trace, "provinces + cities")
 
 
-def dim_geography(tables: Tables) -> DataFrame:
-    df = select_strict(responsible_market(tables), GEOGRAPHY_COLUMNS)
+def dim_geography(tables: Tables, trace: Trace = None) -> DataFrame:
+    df = select_strict(responsible_market(tables, trace), GEOGRAPHY_COLUMNS)
     return select_strict(rename_columns(df, GEOGRAPHY_RENAME), GEOGRAPHY_ORDER)
 
 
-def customer_base(tables: Tables, customers: DataFrame | None = None) -> DataFrame:
+def customer_base(tables: Tables, customers: DataFrame | None = None, trace: Trace = None) -> DataFrame:
     """Customers with delivery method, market and contact attached (the 25 dimension columns)."""
-    market = responsible_market(tables)
-    df = customers if customers is not None else tables["customers"]
+    market = responsible_market(tables, trace)
+    df = _step(customers if customers is not None else tables["customers"], trace, "customers")
     df = lookup_join(df, tables["delivery_methods"], "delivery_method_id", attrs=["delivery_method_name"])
+    df = _step(df, trace, "customers + delivery methods")
     df = lookup_join(df, market, "delivery_city_id", "city_id",
                      attrs=["city_name", "country_name", "state_province_code", "state_province_name",
                             "iso_alpha3_code", "continent", "region", "subregion", "sales_territory"])
+    df = _step(df, trace, "customers + market")
     df = lookup_join(df, tables["people"], "primary_contact_person_id", "person_id",
                      attrs=["full_name", "email_address"])
+    df = _step(df, trace, "customers + contacts")
     return select_strict(df, CUSTOMER_COLUMNS)
 
 
-def dim_customer(tables: Tables, mean_digits: int | None = None) -> DataFrame:
+def dim_customer(tables: Tables, mean_digits: int | None = None, trace: Trace = None) -> DataFrame:
     """Customer dimension with credit limit and contact imputation.
 
     The credit limit is imputed on the customers table itself, before the
@@ -207,7 +208,7 @@ def dim_customer(tables: Tables, mean_digits: int | None = None) -> DataFrame:
     """
     customers = fill_from_parent_then_mean(tables["customers"], "customer_id", "bill_to_customer_id",
                                            "credit_limit", mean_digits=mean_digits)
-    df = customer_base(tables, customers)
+    df = customer_base(tables, customers, trace)
     df = df.withColumns({
         "full_name": F.coalesce("full_name", F.lit(CUSTOMER_CONTACT_DEFAULT)),
         "email_address": F.coalesce("email_address", email_from_name("customer_name")),
@@ -221,51 +222,66 @@ def dim_people(tables: Tables) -> DataFrame:
     return df.where(~F.col("person_id").eqNullSafe(SYSTEM_PERSON_ID))
 
 
-def dim_stock_item(tables: Tables) -> DataFrame:
-    df = lookup_join(tables["stock_items"], tables["colors"], "color_id", attrs={"color_name": "color"})
+def dim_stock_item(tables: Tables, trace: Trace = None) -> DataFrame:
+    df = _step(tables["stock_items"], trace, "stock items")
+    df = lookup_join(df, tables["colors"], "color_id", attrs={"color_name": "color"})
+    df = _step(df, trace, "stock items + colors")
     df = lookup_join(df, tables["package_types"], "unit_package_id", "package_type_id",
                      attrs={"package_type_name": "unit_package"})
+    df = _step(df, trace, "stock items + unit packages")
     df = lookup_join(df, tables["package_types"], "outer_package_id", "package_type_id",
                      attrs={"package_type_name": "outer_package"})
+    df = _step(df, trace, "stock items + outer packages")
     df = select_strict(df, STOCK_ITEM_COLUMNS)
     return rename_columns(df, STOCK_ITEM_RENAME)
 
 
-def dim_supplier(tables: Tables) -> DataFrame:
-    df = lookup_join(tables["suppliers"], tables["delivery_methods"], "delivery_method_id",
-                     attrs=["delivery_method_name"])
+def dim_supplier(tables: Tables, trace: Trace = None) -> DataFrame:
+    df = _step(tables["suppliers"], trace, "suppliers")
+    df = lookup_join(df, tables["delivery_methods"], "delivery_method_id", attrs=["delivery_method_name"])
+    df = _step(df, trace, "suppliers + delivery methods")
     # the contact's phone, not the supplier's own number
     df = lookup_join(df, tables["people"], "primary_contact_person_id", "person_id",
                      attrs={"full_name": "full_name", "email_address": "email_address",
                             "phone_number": "contact_phone"})
+    df = _step(df, trace, "suppliers + contacts")
     df = lookup_join(df, tables["cities"], "delivery_city_id", "city_id", attrs={"city_name": "delivery_city"})
+    df = _step(df, trace, "suppliers + delivery cities")
     df = lookup_join(df, tables["cities"], "postal_city_id", "city_id", attrs={"city_name": "postal_city"})
+    df = _step(df, trace, "suppliers + postal cities")
     df = fill_constants(select_strict(df, SUPPLIER_COLUMNS), SUPPLIER_FILL)
     return rename_columns(df, SUPPLIER_RENAME)
 
 
-def fact_orders(tables: Tables, audit: Audit = None) -> DataFrame:
-    df = lookup_join(tables["orders"], tables["customers"], "customer_id", attrs=["customer_name"])
-    df = lookup_join(df, tables["people"], "salesperson_id", "person_id", attrs={"full_name": "sales_person"})
+def fact_orders(tables: Tables, trace: Trace = None) -> DataFrame:
+    df = _step(tables["orders"], trace, "orders")
+    df = lookup_join(df, tables["customers"], "customer_id", attrs=["customer_name"])
+    df = _step(df, trace, "orders + customers")
+    df = lookup_join(df, tables["people"], "salesperson_id", "person_id", attrs={"full_name": "sales_person"}, few_keys=True)
+    df = _step(df, trace, "orders + salespeople")
     df = lookup_join(df, tables["people"], "contact_person_id", "person_id", attrs={"full_name": "contact_person"})
-    df = _audit(df, audit, "orders_after_lookups")
+    df = _step(df, trace, "orders + contacts")
     df = header_detail_join(df, tables["order_lines"], "order_id", ORDER_LINE_COLUMNS)
-    df = _audit(df, audit, "after_order_lines")
+    df = _step(df, trace, "orders + order lines")
     df = select_strict(df, FACT_ORDERS_COLUMNS)
     return rename_columns(df, FACT_ORDERS_RENAME)
 
 
-def fact_purchases(tables: Tables, audit: Audit = None) -> DataFrame:
-    df = lookup_join(tables["purchase_orders"], tables["people"], "contact_person_id", "person_id",
-                     attrs={"full_name": "contact_person"})
-    df = _audit(df, audit, "purchase_orders_after_lookups")
+def fact_purchases(tables: Tables, trace: Trace = None) -> DataFrame:
+    df = _step(tables["purchase_orders"], trace, "purchase orders")
+    df = lookup_join(df, tables["people"], "contact_person_id", "person_id", attrs={"full_name": "contact_person"})
+    df = _step(df, trace, "purchase orders + contacts")
     df = header_detail_join(df, tables["purchase_order_lines"], "purchase_order_id", PURCHASE_LINE_COLUMNS)
-    df = _audit(df, audit, "after_purchase_order_lines")
+    df = _step(df, trace, "purchase orders + purchase order lines")
     df = select_strict(dedup_columns(df), FACT_PURCHASES_COLUMNS)
     df = df.withColumn("is_order_finalized", truthy("is_order_finalized"))
     return rename_columns(df, FACT_PURCHASES_RENAME)
 
 
+#: Builders that join, whose steps ``join_growth`` can count.
+JOINING = ("dim_customer", "dim_geography", "dim_stock_item", "dim_supplier", "fact_orders", "fact_purchases")
+
+
 def dim_calendar(tables: Tables, sources: Mapping[str, list[str]] | None = None) -> DataFrame:
     sources = sources or CALENDAR_SOURCES
     return calendar_dim(date_bounds([(tables[t], cols) for t, cols in sources.items() if t in tables]))

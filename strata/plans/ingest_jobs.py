@@ -5,21 +5,25 @@
 * ``pass_through`` - every other raw table copied unfiltered into the same batch.
 * ``snapshot``     - unfiltered copies of the date-tracked tables (``upcoming``).
 
-Each table is read once with its detected delimiter and written once; the
-format check is one aggregation.  Returns a status DataFrame
-(label, table, status, rows, error).
+Each table is read once with its detected delimiter and written once: the date
+format is guessed from the first rows and verified on all of them during the
+write, and an earlier batch is replaced only by a complete, verified, non-empty
+one.  Returns a status DataFrame (label, table, status, rows, error).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from strata.operators.ingest import SPLIT_FORMATS, failure_counts, first_fitting, split_by_year
+from strata.operators.ingest import SPLIT_FORMATS, choose_format, failure_counts, first_fitting, split_by_year
 from strata.plans.specs import SPLIT_DATE_COLUMNS
 from strata.sources.csv import list_entries, read_csv_text, write_csv
 
+#: Rows from which the date format is guessed; the guess is then verified on all rows.
+GUESS_ROWS = 100
+
 STATUS_SCHEMA = "label string, table string, status string, rows bigint, error string"
 
 
@@ -32,38 +36,42 @@ def _out_path(bronze_dir: str, label: str, table: str) -> str:
 
 
 def _err(e: Exception) -> str:
-    return f"{type(e).__name__}: {str(e).splitlines()[0][:300] if str(e) else ''}"
+    return f"{type(e).__name__}: {e}"
 
 
 def split_table(spark: SparkSession, raw_dir: str, bronze_dir: str, table: str, date_col: str,
                 start_year: int, end_year: int, label: str, on_unparsed: str = "raise",
                 formats: Sequence[str] = SPLIT_FORMATS) -> tuple:
-    """Split one table in a single read when its dates are in the first format.
-
-    The window is written with the first format while every format's failure
-    count is observed over all rows.  If the first format failed on some
-    value, the table is written again with the first format that parses every
-    value (the same result as detecting the format first, which would always
-    cost an extra pass).  When no format fits, the output is emptied and the
-    job fails, or with ``on_unparsed='keep'`` all rows are written unfiltered.
+    """Split one table, in a single read unless the first rows mislead about its date format.
+
+    The format is guessed from the first rows and every format's failures are
+    observed over all rows while the window is written beside its place.  If
+    the guess failed on some value, the window is written again with the first
+    format that parses every value.  When none does, the job fails and the
+    earlier batch stays, or with ``on_unparsed='keep'`` all rows are written
+    unfiltered.  An empty window writes nothing.
     """
     df = read_csv_text(spark, _raw_path(raw_dir, table))
     out = _out_path(bronze_dir, label, table)
     if date_col not in df.columns:
         return (label, table, "failed", None, f"date column {date_col!r} not found")
-    obs = Observation(f"formats_{table}")
-    observed = df.observe(obs, *failure_counts(date_col, formats))
-    rows = write_csv(split_by_year(observed, date_col, start_year, end_year, fmt=formats[0]), out)
-    fmt = first_fitting(obs.get, formats)
-    if fmt != formats[0]:
-        if fmt is not None:
-            rows = write_csv(split_by_year(df, date_col, start_year, end_year, fmt=fmt), out)
-        elif on_unparsed == "keep":
-            rows = write_csv(df, out)
-        else:
-            write_csv(df.limit(0), out)
+    guess = choose_format(df.limit(GUESS_ROWS), date_col, formats) or formats[0]
+
+    def window(fmt: str, accept: Callable[[dict], bool] | None) -> dict:
+        obs = Observation(f"formats_{table}")
+        found = write_csv(split_by_year(df.observe(obs, *failure_counts(date_col, formats)), date_col, start_year, end_year, fmt=fmt),
+                          out, skip_empty=True, publish=accept and (lambda: accept(obs.get)))
+        return {"rows": found, **obs.get}
+
+    seen = window(guess, lambda m: first_fitting(m, formats) is not None and not m[f"f{formats.index(guess)}"])
+    fmt = guess if not seen[f"f{formats.index(guess)}"] else first_fitting(seen, formats)
+    if fmt is None:
+        if on_unparsed != "keep":
             return (label, table, "failed", None, f"column {date_col!r}: no date format fits every value")
-    return (label, table, "ok" if rows else "empty", rows, None)
+        seen = {"rows": write_csv(df, out, skip_empty=True)}
+    elif fmt != guess:
+        seen = window(fmt, None)
+    return (label, table, "ok" if seen["rows"] else "empty", seen["rows"], None)
 
 
 def split_batch(spark: SparkSession, raw_dir: str, bronze_dir: str, start_year: int, end_year: int,

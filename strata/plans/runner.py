@@ -23,7 +23,7 @@ POLICY_SCHEMA = "table string, column string, kind string, reason string, nulls
 
 
 def _err(e: Exception) -> str:
-    return f"{type(e).__name__}: {str(e).splitlines()[0][:300] if str(e) else ''}"
+    return f"{type(e).__name__}: {e}"
 
 
 class SilverTables(Mapping):
@@ -58,14 +58,17 @@ def _map_jobs(fn: Callable, items: Sequence, workers: int) -> list:
 
 def run_gold(spark: SparkSession, tables: Mapping[str, DataFrame], gold_root: str,
              names: list[str] | None = None, workers: int = 1) -> list[dict]:
-    """Build and write each gold table; one failure is recorded and the rest still run."""
+    """Build and write each gold table; one failure is recorded and the rest still run.
+
+    An empty result leaves an earlier table as it is and reports ``skipped_empty``.
+    """
     def one(name: str) -> dict:
         t0 = time.perf_counter()
         try:
             if name not in gold.GOLD_BUILDERS:
                 raise KeyError(f"unknown gold job {name!r}")
             df = gold.GOLD_BUILDERS[name](tables)
-            rows = int(write_table(df, f"{gold_root.rstrip('/')}/{name}")["rows"])
+            rows = int(write_table(df, f"{gold_root.rstrip('/')}/{name}", skip_empty=True)["rows"])
             status = "ok" if rows else "skipped_empty"
             return {"layer": "gold", "table": name, "status": status, "rows": rows,
                     "seconds": time.perf_counter() - t0, "error": None}
@@ -76,12 +79,12 @@ def run_gold(spark: SparkSession, tables: Mapping[str, DataFrame], gold_root: st
 
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str,
-               workers: int = 1) -> tuple[list[dict], list[tuple]]:
+               workers: int = 1, strict: bool = True) -> tuple[list[dict], list[tuple]]:
     """Every silver job (independent of each other); returns status rows and null-policy rows."""
     def one(tdef) -> tuple[dict, list[tuple]]:
         t0 = time.perf_counter()
         try:
-            return build_silver(spark, tdef, bronze_root, silver_root)
+            return build_silver(spark, tdef, bronze_root, silver_root, strict=strict)
         except Exception as e:  # noqa: BLE001
             return ({"layer": "silver", "table": tdef.name, "status": "failed", "rows": None,
                      "seconds": time.perf_counter() - t0, "error": _err(e)}, [])

@@ -2,9 +2,9 @@
 
 load (all-string CSV, null tokens mapped) -> drop wholly-empty optional
 columns -> rename -> typed casts -> drop helper columns -> write Parquet.  The
-null-policy counts and the row count are observed while the Parquet is
-written, so validation costs no extra pass; the only extra job is the
-one-aggregation emptiness check of the optional columns.
+null-policy counts, the counts of values that have no silver type and the row
+count are observed while the Parquet is written, so validation costs no extra
+pass.
 """
 
 from __future__ import annotations
@@ -14,21 +14,19 @@ import time
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.casts import nullable_bigint, number_to_text, to_timestamp_coerce
+from strata.functions.casts import cast_failed, nullable_bigint, number_to_text, strict_double, to_timestamp_coerce
 from strata.operators.columns import empty_columns, rename_columns
+from strata.operators.quality import is_missing
 from strata.plans.specs import TableDef
 from strata.sources.csv import read_bronze
 from strata.sources.parquet import write_table
 
-REASON_VALID_TO = "currently active record"
-REASON_DEFAULT = "optional by table policy"
 
-
-def _cast(c: Column, kind: str) -> Column:
+def _cast(c: Column, kind: str, strict: bool) -> Column:
     if kind == "bigint":
-        return nullable_bigint(c)
+        return nullable_bigint(c, strict)
     if kind == "double":
-        return c.try_cast("double")
+        return strict_double(c, strict)
     if kind == "timestamp":
         return to_timestamp_coerce(c)
     if kind == "number_text":
@@ -36,13 +34,16 @@ def _cast(c: Column, kind: str) -> Column:
     return c.cast("string")
 
 
-def clean_silver(bronze: DataFrame, tdef: TableDef, drop_empty: bool = True) -> DataFrame:
-    """Typed silver table from a bronze text table.
+def clean_silver(bronze: DataFrame, tdef: TableDef, drop_empty: bool = False, strict: bool = True) -> DataFrame:
+    """Typed silver table from a bronze text table, lazily.
 
     Optional (``empty``) columns are dropped when wholly null; typed columns
     missing from the file are added as typed nulls so the silver schema is
     stable; ``_parsed`` helper columns are dropped when present; columns the
-    definition does not know are kept as text.
+    definition does not know are kept as text.  ``strict`` fails on text that
+    is no number in a numeric column; else it becomes null (``cast_failures``
+    counts it).  ``drop_empty`` runs one aggregation to find the empty optional
+    columns; ``build_silver`` learns them while it writes instead.
     """
     df = bronze
     optional = [c.bronze for c in tdef.cols if c.kind == "empty" and c.bronze in df.columns]
@@ -56,7 +57,7 @@ def clean_silver(bronze: DataFrame, tdef: TableDef, drop_empty: bool = True) ->
     exprs = []
     for name in df.columns:
         col = F.col(f"`{name}`")
-        exprs.append(_cast(col, typed[name]).alias(name) if name in typed else col)
+        exprs.append(_cast(col, typed[name], strict).alias(name) if name in typed else col)
     for name, kind in typed.items():
         if name not in df.columns:
             exprs.append(F.lit(None).cast(_spark_type(kind)).alias(name))
@@ -68,48 +69,67 @@ def _spark_type(kind: str) -> str:
 
 
 def expected_nulls(tdef: TableDef) -> dict[str, str]:
-    return {c: (REASON_VALID_TO if c == "valid_to" else REASON_DEFAULT) for c in tdef.expected_nulls}
+    """Columns that may hold nulls, with the reason."""
+    return dict(tdef.expected_nulls)
+
+
+def cast_failures(bronze: DataFrame, tdef: TableDef) -> DataFrame:
+    """(column, kind, values, failed) of every typed column: values present, and those without a silver value."""
+    typed = [c for c in tdef.cols if c.kind in ("bigint", "double", "timestamp", "number_text") and c.bronze in bronze.columns]
+    agg = bronze.agg(*[F.count(F.col(f"`{c.bronze}`")).alias(f"v{i}") for i, c in enumerate(typed)],
+                     *[F.count_if(cast_failed(F.col(f"`{c.bronze}`"), c.kind)).alias(f"f{i}") for i, c in enumerate(typed)])
+    return agg.select(F.inline(F.array(*[
+        F.struct(F.lit(c.silver).alias("column"), F.lit(c.kind).alias("kind"), F.col(f"v{i}").alias("values"), F.col(f"f{i}").alias("failed"))
+        for i, c in enumerate(typed)])))
 
 
 def build_silver(spark: SparkSession, tdef: TableDef, bronze_root: str, silver_root: str,
-                 sep: str | None = None) -> tuple[dict, list[tuple]]:
+                 sep: str | None = None, strict: bool = True) -> tuple[dict, list[tuple]]:
     """Run one silver job; returns (status row dict, null-policy rows).
 
     One pass over the bronze data in the expected case: the optional columns
     (declared as normally empty) are left out of the write while their
-    non-null counts are observed together with the row count and the
-    null-policy counts.  Only if an optional column turns out to hold data is
-    the table written a second time with that column kept, so the result is
-    the same as checking emptiness first.  An empty source writes nothing and
-    reports ``skipped_empty``.
+    non-null counts are observed together with the row count, the null-policy
+    counts and the values that the casts turn into nulls.  Only if an optional
+    column turns out to hold data is the table written again with that column
+    kept.  The earlier table is replaced once, by a complete new one; an empty
+    source leaves it as it is and reports ``skipped_empty``.
     """
     t0 = time.perf_counter()
     src = f"{bronze_root.rstrip('/')}/{tdef.bronze_file}"
     target = f"{silver_root.rstrip('/')}/{tdef.output_path}"
-    bronze = read_bronze(spark, src, sep=sep)
-    if bronze.isEmpty():
-        return ({"layer": "silver", "table": tdef.name, "status": "skipped_empty", "rows": 0,
-                 "seconds": time.perf_counter() - t0, "error": None}, [])
-    full = clean_silver(bronze, tdef, drop_empty=False)
-    optional = [c.bronze for c in tdef.cols if c.kind == "empty" and c.bronze in full.columns]
+    bronze = read_bronze(spark, src, sep=sep, splittable=tdef.splittable)
+    names = {c.bronze: c for c in tdef.cols}
+    optional = [c.bronze for c in tdef.cols if c.kind == "empty" and c.bronze in bronze.columns]
+    typed = [c for b, c in names.items() if b in bronze.columns and c.kind in ("bigint", "double", "timestamp", "number_text")]
+    flags = {f"__bad_{c.silver}": cast_failed(F.col(f"`{c.bronze}`"), c.kind) for c in typed}
+    full = clean_silver(bronze.withColumns(flags) if flags else bronze, tdef, strict=strict)
     exp = expected_nulls(tdef)
-    req = tdef.required_columns
-    policy = [(c, "expected", r) for c, r in exp.items()] + [(c, "required", None) for c in req]
+    policy = [(c, "expected", r) for c, r in exp.items()] + [(c, "required", None) for c in tdef.required_columns]
     present = sorted({c for c, _, _ in policy if c in full.columns})
-    metrics = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{c}") for c in present]
+    metrics = [F.count_if(is_missing(full, c)).alias(f"null_{c}") for c in present]
     metrics += [F.count(F.col(f"`{c}`")).alias(f"filled_{c}") for c in optional]
-    m = write_table(full, target, metrics=metrics, drop=optional)
-    filled = [c for c in optional if m[f"filled_{c}"] > 0]
-    if filled:
+    metrics += [F.count_if(F.col(f"`{f}`")).alias(f) for f in flags]
+
+    def filled(m: dict) -> list[str]:
+        return [c for c in optional if m[f"filled_{c}"] > 0]
+
+    m = write_table(full, target, metrics=metrics, drop=[*optional, *flags], skip_empty=True, publish=lambda m: not filled(m))
+    if not m["rows"]:
+        return ({"layer": "silver", "table": tdef.name, "status": "skipped_empty", "rows": 0,
+                 "seconds": time.perf_counter() - t0, "error": None}, [])
+    if filled(m):
         # an optional column holds data after all: keep it (second pass, rare by definition)
-        m = write_table(full, target, metrics=metrics, drop=[c for c in optional if c not in filled])
+        m = write_table(full, target, metrics=metrics, drop=[*(c for c in optional if c not in filled(m)), *flags])
     rows = []
     for c, kind, reason in policy:
         n = m.get(f"null_{c}")
         status = "missing" if n is None else ("expected" if kind == "expected" else ("ok" if n == 0 else "unexpected"))
         rows.append((tdef.name, c, kind, reason, n, status))
+    rows += [(tdef.name, c.silver, "cast", f"present in the source, without a {c.kind} value", m[f"__bad_{c.silver}"], "coerced")
+             for c in typed if m[f"__bad_{c.silver}"]]
     return ({"layer": "silver", "table": tdef.name, "status": "ok", "rows": int(m["rows"]),
              "seconds": time.perf_counter() - t0, "error": None}, rows)
 
 
-__all__ = ["clean_silver", "build_silver", "expected_nulls"]
+__all__ = ["build_silver", "cast_failures", "clean_silver", "expected_nulls"]

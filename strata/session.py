@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -43,16 +42,24 @@ def get_session(master: str | None = None, app_name: str = "strata",
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one machine's process."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator to a path every executor can reach
-    (HDFS, object store).  Only when it is unset (local runs, tests) do we pick a
-    fresh local folder and register it, so checkpoint() works there too.
+    (HDFS, object store); it is an error if it is not.  Only a local session
+    gets a fresh local folder when it is unset.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
@@ -60,9 +67,5 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique folder under the shared checkpoint root for written tables."""
-    root = checkpoint_root(spark)
-    path = f"{root}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    """A new, unique folder name under the shared checkpoint root for written tables (writers make it)."""
+    return f"{checkpoint_root(spark)}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"

@@ -2,29 +2,35 @@
 
 Files are read with an explicit all-string schema (no inference pass) so every
 column keeps its exact text until the silver casts; the missing-value tokens
-are mapped to null in one projection.  Reads are splittable (``multiLine``
-off) unless a table is known to carry quoted line breaks.
+are mapped to null in one projection.  A quoted value may hold line breaks, so
+a file is one task by default.  ``splittable=True`` reads large files in
+parallel for tables declared free of quoted line breaks, and fails if a line
+with an unclosed quote shows that the declaration is wrong.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.functions.casts import null_tokens_to_null
+from strata.sources.paths import discard, list_entries, replace, staging_path
+
+__all__ = ["DEFAULT_DELIMITERS", "detect_delimiter", "header_line", "list_entries", "map_null_tokens", "pick_delimiter",
+           "read_bronze", "read_csv_text", "split_header", "write_csv"]
 
 DEFAULT_DELIMITERS = (",", ";")
+#: Stands for a field without any text while a file is read, so that a quoted empty text stays one.
+NO_VALUE = "\ue000"
 
 
 def header_line(spark: SparkSession, path: str) -> str | None:
-    """The first line of the CSV at ``path`` (one row reaches the driver)."""
-    try:
-        row = spark.read.text(path).limit(1).first()
-    except Exception:  # noqa: BLE001 - unreadable -> caller falls back
-        return None
+    """The first line of the CSV at ``path`` (one row reaches the driver), None if it is empty."""
+    row = spark.read.text(path).limit(1).first()
     return row[0] if row else None
 
 
@@ -41,16 +47,24 @@ def detect_delimiter(spark: SparkSession, path: str,
     return pick_delimiter(header_line(spark, path), delimiters)
 
 
-def _split_header(header: str, sep: str) -> list[str]:
-    return [h.strip().strip('"') for h in header.split(sep)]
+def split_header(header: str, sep: str) -> list[str]:
+    """Column names of a header line."""
+    return [h.strip() for h in next(csv.reader([header], delimiter=sep))]
+
+
+def _check_closed_quotes(spark: SparkSession, path: str) -> None:
+    quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
+    if not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty():
+        raise ValueError(f"a quoted value goes over a line end in {path}: read it with splittable=False")
 
 
 def read_csv_text(spark: SparkSession, path: str, sep: str | None = None,
-                  schema: StructType | None = None, multi_line: bool = False) -> DataFrame:
+                  schema: StructType | None = None, splittable: bool = False) -> DataFrame:
     """Read CSV with a header as all-string columns.
 
     Without ``schema`` the column names come from the header line.  Rows with
-    too many fields are cut, rows with too few are padded with null.
+    too many fields are cut, rows with too few are padded with null.  Blanks,
+    quotes, delimiters and line breaks within quoted values are kept.
     """
     header = None
     if sep is None or schema is None:
@@ -60,11 +74,14 @@ def read_csv_text(spark: SparkSession, path: str, sep: str | None = None,
     if schema is None:
         if header is None:
             raise FileNotFoundError(f"no readable CSV header at {path}")
-        schema = StructType([StructField(n, StringType(), True) for n in _split_header(header, sep)])
+        schema = StructType([StructField(n, StringType(), True) for n in split_header(header, sep)])
+    if splittable:
+        _check_closed_quotes(spark, path)
     return (spark.read.schema(schema)
             .option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
-            .option("mode", "PERMISSIVE").option("multiLine", multi_line)
-            .option("enforceSchema", True)
+            .option("mode", "PERMISSIVE").option("multiLine", not splittable)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .option("nullValue", NO_VALUE).option("maxCharsPerColumn", -1).option("enforceSchema", True)
             .csv(path))
 
 
@@ -80,33 +97,28 @@ def read_bronze(spark: SparkSession, path: str, sep: str | None = None, **kw) ->
     return map_null_tokens(read_csv_text(spark, path, sep=sep, **kw))
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> int:
+def write_csv(df: DataFrame, path: str, sep: str = ",", skip_empty: bool = False,
+              publish: Callable[[], bool] | None = None) -> int:
     """Write a CSV table (a folder of part files) with a header line; returns the row count.
 
-    The count is observed during the write, not computed by a second pass.
+    The count is observed during the write, not computed by a second pass.  The
+    folder replaces an earlier one only when it is complete and accepted by
+    ``publish``; with ``skip_empty`` an empty result leaves the earlier one as
+    it is.
     """
+    spark = df.sparkSession
+    staging = staging_path(path)
     obs = Observation("strata_csv")
-    (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-     .write.mode(mode).option("header", True).option("sep", sep)
-     .option("quote", '"').option("escape", '"').csv(path))
-    return int(obs.get["rows"])
-
-
-def list_entries(spark: SparkSession, folder: str, suffix: str = "", glob: str | None = None) -> list[str]:
-    """Names of the entries (files or table folders) directly under ``folder``.
-
-    Lists with the ``binaryFile`` source (file metadata only: the content
-    column is never selected, so no file is read), for any filesystem the
-    session can reach.  Only the entry names reach the driver.
-    """
-    pattern = glob or (f"*{suffix}" if suffix else "*")
-    root = folder.rstrip("/")
-    bare = root.split("://", 1)[-1] if "://" in root else root.split(":", 1)[-1]
     try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .option("pathGlobFilter", pattern).load(root).select("path"))
-    except Exception:  # noqa: BLE001 - a missing folder lists as empty
-        return []
-    rel = F.substr(F.col("path"), F.instr(F.col("path"), f"{bare}/") + F.lit(len(bare) + 1))
-    names = files.select(F.substring_index(rel, "/", 1).alias("name")).distinct().collect()
-    return sorted(r.name for r in names if r.name.endswith(suffix) and not r.name.startswith(("_", ".")))
+        (df.observe(obs, F.count(F.lit(1)).alias("rows"))
+         .write.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(staging))
+        rows = int(obs.get["rows"])
+        if (rows or not skip_empty) and (publish is None or publish()):
+            replace(spark, staging, path)
+            return rows
+    except Exception:
+        discard(spark, staging)
+        raise
+    discard(spark, staging)
+    return rows

@@ -2,35 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.paths import discard, replace, staging_path
+
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Read a Parquet table; a missing path fails at once with the path in the message."""
     return spark.read.parquet(path)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite",
-                partition_by: Sequence[str] | None = None,
-                metrics: Sequence[Column] = (), drop: Sequence[str] = ()) -> dict:
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
+                metrics: Sequence[Column] = (), drop: Sequence[str] = (), skip_empty: bool = False,
+                publish: Callable[[dict], bool] | None = None) -> dict:
     """Write ``df`` as Parquet and return observed metrics, at least ``rows``.
 
     The metrics are computed while the data is written (``DataFrame.observe``),
     so counting the output costs no second pass over the plan.  ``drop`` names
-    columns that feed the metrics but are not written.
+    columns that feed the metrics but are not written.  The table is written
+    beside its place and replaces an earlier one only when it is complete, not
+    empty (with ``skip_empty``) and accepted by ``publish`` (given the metrics).
     """
+    spark = df.sparkSession
+    staging = staging_path(path)
     obs = Observation("strata_write")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
     if drop:
         observed = observed.drop(*drop)
-    w = observed.write.mode(mode)
+    w = observed.write
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return dict(obs.get)
+    try:
+        w.parquet(staging)
+        found = dict(obs.get)
+        if (found["rows"] or not skip_empty) and (publish is None or publish(found)):
+            replace(spark, staging, path)
+            return found
+    except Exception:
+        discard(spark, staging)
+        raise
+    discard(spark, staging)
+    return found
 
 
 def register_views(spark: SparkSession, root: str, names: Sequence[str], fmt: str = "parquet") -> list[str]:

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.sources.csv import list_entries, read_csv_text, write_csv
+from strata.sources.csv import read_csv_text, write_csv
 from strata.sources.parquet import write_table
+from strata.sources.paths import list_entries
 
 STATUS_SCHEMA = "table string, status string, rows bigint, error string"
 
@@ -28,16 +29,20 @@ def publish_tables(spark: SparkSession, src_root: str, dst_root: str, tables: li
                 rows = write_table(spark.read.format(fmt).load(src), dst)["rows"]
             out.append((rel, "ok", int(rows), None))
         except Exception as e:  # noqa: BLE001 - isolate per-table failures
-            out.append((rel, "failed", None, f"{type(e).__name__}: {str(e)[:200]}"))
+            out.append((rel, "failed", None, f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(out, STATUS_SCHEMA)
 
 
 def publish_layer(spark: SparkSession, src_root: str, dst_root: str, fmt: str = "parquet",
                   domains: list[str] | None = None) -> DataFrame:
-    """Publish every table found under ``src_root`` (optionally one level of domain folders)."""
-    glob = f"*.{fmt}"
+    """Publish every table found under ``src_root`` (optionally one level of domain folders).
+
+    A CSV table is an entry named ``*.csv``; a Parquet layer's tables are all its
+    entries.  A root or domain that cannot be listed is an error.
+    """
+    suffix = ".csv" if fmt == "csv" else ""
     if domains is None:
-        tables = list_entries(spark, src_root, glob=glob)
+        tables = list_entries(spark, src_root, suffix)
     else:
-        tables = [f"{d}/{t}" for d in domains for t in list_entries(spark, f"{src_root}/{d}", glob=glob)]
+        tables = [f"{d}/{t}" for d in domains for t in list_entries(spark, f"{src_root}/{d}", suffix)]
     return publish_tables(spark, src_root, dst_root, tables, fmt)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.columns import (dedup_columns, drop_empty_columns, drop_strict, rename_columns,
                                       select_strict)
-from strata.operators.joins import fits_broadcast, header_detail_join, lookup_join, self_lookup
+from strata.operators.joins import header_detail_join, lookup_join, self_lookup
 
 
 def test_rename_ignores_missing(spark):
@@ -43,7 +43,7 @@ def test_lookup_join_roles_keep_rows(spark, people):
                                    "order_id bigint, salesperson_id bigint, contact_person_id bigint")
     out = lookup_join(orders, people, "salesperson_id", "person_id", {"full_name": "sales_person"})
     out = lookup_join(out, people, "contact_person_id", "person_id", {"full_name": "contact_person"},
-                      broadcast=True)
+                      few_keys=True)
     rows = {r.order_id: (r.sales_person, r.contact_person) for r in out.collect()}
     assert rows == {10: ("Ann", "Bob"), 11: ("Bob", None), 12: (None, "Ann")}
     assert out.columns == ["order_id", "salesperson_id", "contact_person_id", "sales_person", "contact_person"]
@@ -61,10 +61,6 @@ def test_lookup_rejects_shadowing(spark, people):
         lookup_join(people, people, "person_id", attrs=["full_name"])
 
 
-def test_fits_broadcast(spark, people):
-    assert fits_broadcast(people, 3) and not fits_broadcast(people, 2)
-
-
 def test_header_detail_equals_left_join(spark):
     h = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "order_id bigint, h string")
     d = spark.createDataFrame([(1, 11, 1.0), (1, 12, 2.0), (3, 31, 3.0), (None, 99, 9.0), (7, 71, 7.0)],

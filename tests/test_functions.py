@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import (email_from_name, null_tokens_to_null, nullable_bigint, number_to_text,
                               to_timestamp_coerce, truthy)
+from strata.functions.casts import cast_failed
 from strata.functions.dates import calendar_columns
 
 
@@ -76,3 +77,25 @@ def test_formatted_parse_ignores_session_zone(spark):
         assert got == [dt.datetime(2013, 3, 10, 2, 30), None, None]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_bigint_is_exact_and_loud(spark):
+    vals = ["9007199254740993", "9007199254740993.0", "9223372036854775807", "-5.000", " 8 ", "+7", "1e3", None, "NaN"]
+    assert one_col(spark, vals, nullable_bigint) == [9007199254740993, 9007199254740993, 9223372036854775807, -5, 8, 7, 1000, None, None]
+    junk = ["abc", "1,234", "12.5", "1.00000000000000001", "9223372036854775808"]
+    assert one_col(spark, junk, lambda c: nullable_bigint(c, strict=False)) == [None] * 5
+    for v in junk:
+        with pytest.raises(Exception, match="integer column"):
+            one_col(spark, [v], nullable_bigint)
+    assert one_col(spark, [*junk, "7", None], lambda c: cast_failed(c, "bigint")) == [True] * 5 + [False, False]
+
+
+def test_number_to_text_keeps_all_digits(spark):
+    vals = ["0.00000000001", "1e22", "123456789012345678901.123456789012345", "1.5e-7", "12.500", "007.10", "-2"]
+    assert one_col(spark, vals, number_to_text) == ["0.00000000001", "10000000000000000000000.0", "123456789012345678901.123456789012345",
+                                                    "0.00000015", "12.5", "7.1", "-2.0"]
+
+
+def test_timestamp_range_is_a_parameter(spark):
+    wide = one_col(spark, ["9999-12-31 00:00:00"], lambda c: to_timestamp_coerce(c, hi=None))
+    assert wide == [dt.datetime(9999, 12, 31)]

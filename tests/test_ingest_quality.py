@@ -10,7 +10,7 @@ from strata.operators.ingest import choose_format, parse_first_format, split_by_
 from strata.operators.quality import (duplicate_keys, is_date_like_name, layer_overview, run_summary,
                                       suspicious_dates, table_profile, table_sample, validate_nulls)
 from strata.plans.ingest_jobs import snapshot, split_batch
-from strata.sources.csv import detect_delimiter, pick_delimiter, read_bronze, read_csv_text
+from strata.sources.csv import detect_delimiter, pick_delimiter, read_bronze, read_csv_text, write_csv
 from strata.sources.publish import publish_layer
 
 
@@ -120,8 +120,8 @@ def test_impute_helpers(spark):
     assert got == {1: 10.0, 2: 10.0, 3: 20.0, 4: 30.0}
     filled = fill_constants(df, {"s": "n/a"})
     assert sorted(r.s for r in filled.collect()) == ["n/a", "n/a", "n/a", "x"]
-    rep = {r.column: (r.nulls_before, r.nulls_after) for r in impute_report(df, out, ["v"]).collect()}
-    assert rep == {"v": (2, 0)}
+    rep = {r.column: (r.nulls_before, r.nulls_after, r.pct_before, r.pct_after) for r in impute_report(df, out, ["v"]).collect()}
+    assert rep == {"v": (2, 0, 50.0, 0.0)}
 
 
 def test_publish_layer_isolates_failures(spark, tmp):
@@ -145,7 +145,7 @@ def test_run_summary(spark):
 def test_file_sizes(spark, tmp):
     from strata.operators.quality import file_sizes
     spark.range(1000).repartition(3).write.parquet(f"{tmp}/t")
-    r = file_sizes(spark.read.parquet(f"{tmp}/t")).first()
+    r = file_sizes(spark, {"t": f"{tmp}/t"}).first()
     on_disk = sum(os.path.getsize(f"{tmp}/t/{f}") for f in os.listdir(f"{tmp}/t") if f.endswith(".parquet"))
     assert r.files == 3 and r.bytes == on_disk
 
@@ -162,7 +162,7 @@ def test_split_batch_second_format_and_unparseable(spark, tmp):
     kept = read_csv_text(spark, f"{tmp}/bronze/actual/sales.order.csv")
     assert sorted(r.OrderID for r in kept.collect()) == ["2", "3"]
     assert st["sales.invoices"].status == "failed"
-    assert read_csv_text(spark, f"{tmp}/bronze/actual/sales.invoices.csv").count() == 0
+    assert not os.path.exists(f"{tmp}/bronze/actual/sales.invoices.csv")
     st = {r.table: r for r in split_batch(spark, raw, f"{tmp}/bronze2", 2013, 2014, on_unparsed="keep",
                                           tables={"sales.invoices": "LastEditedWhen"}).collect()}
     assert (st["sales.invoices"].status, st["sales.invoices"].rows) == ("ok", 2)
@@ -185,9 +185,77 @@ def test_cli_ingest_and_views(spark, tmp):
     raw = f"{tmp}/raw3"
     write_text(f"{raw}/sales.order.csv", "OrderID,LastEditedWhen\n1,2013-05-01 10:00:00\n2,2016-01-01 00:00:00\n")
     write_text(f"{raw}/warehouse.colors.csv", "ColorID,ColorName\n1,Red\n")
-    assert main(["ingest", raw, f"{tmp}/bronze3"]) == 0
+    assert main(["ingest", raw, f"{tmp}/bronze3"]) == 1      # other configured tables are missing
     assert read_csv_text(spark, f"{tmp}/bronze3/actual/sales.order.csv").count() == 1
     assert read_csv_text(spark, f"{tmp}/bronze3/upcoming/sales.order.csv").count() == 2
     spark.range(3).write.parquet(f"{tmp}/lake/dimensions/colors")
     assert register_views(spark, f"{tmp}/lake", ["dimensions/colors"]) == ["colors"]
     assert spark.sql("SELECT count(*) AS n FROM colors").first().n == 3
+
+
+def test_validate_nulls_without_policy_and_nan(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
+    assert validate_nulls(df).collect() == []
+    assert validate_nulls(df, required=["x"]).first().nulls == 2
+
+
+def test_failed_or_empty_split_keeps_the_earlier_batch(spark, tmp):
+    raw, out = f"{tmp}/raw", f"{tmp}/bronze"
+    tables = {"sales.order": "LastEditedWhen"}
+    write_text(f"{raw}/sales.order.csv", "OrderID,LastEditedWhen\n1,2013-05-01\n")
+    split_batch(spark, raw, out, 2013, 2014, tables=tables).collect()
+    for text, status in (("OrderID,LastEditedWhen\n1,2013-05-01\n2,May 5th\n", "failed"), ("OrderID,LastEditedWhen\n1,1999-05-01\n", "empty")):
+        write_text(f"{raw}/sales.order.csv", text)
+        assert split_batch(spark, raw, out, 2013, 2014, tables=tables).first().status == status
+        assert read_csv_text(spark, f"{out}/actual/sales.order.csv").count() == 1
+    assert [n for n in os.listdir(f"{out}/actual")] == ["sales.order.csv"]
+
+
+def test_guess_misled_by_the_first_rows(spark, tmp):
+    raw = f"{tmp}/raw"
+    rows = "".join(f"{i},2013-05-01\n" for i in range(300)) + "300,2013-06-01 10:00:00\n"
+    write_text(f"{raw}/a.csv", "id,d\n" + rows.replace("2013-05-01", "01/05/2013").replace("2013-06-01 10:00:00", "02/06/2013"))
+    assert split_batch(spark, raw, f"{tmp}/b", 2013, 2013, tables={"a": "d"}).first().rows == 301
+    write_text(f"{raw}/a.csv", "id,d\n" + rows)
+    assert split_batch(spark, raw, f"{tmp}/b", 2013, 2013, tables={"a": "d"}).first().status == "failed"
+
+
+def test_csv_gives_back_what_went_in(spark, tmp):
+    rows = [(1, "two\nlines"), (2, "  lead and trail  "), (3, ""), (4, None), (5, 'q"uo;te,"'), (6, "a\r\nb"), (7, "\t")]
+    df = spark.createDataFrame([(str(i), v) for i, v in rows], "id string, v string")
+    for sep in ",;":
+        write_csv(df, f"{tmp}/t.csv", sep=sep)
+        assert sorted((int(r.id), r.v) for r in read_csv_text(spark, f"{tmp}/t.csv").collect()) == rows
+    with pytest.raises(ValueError, match="line end"):
+        read_csv_text(spark, f"{tmp}/t.csv", splittable=True)
+    write_text(f"{tmp}/h.csv", '"a;b",c\n1,2\n')
+    assert read_csv_text(spark, f"{tmp}/h.csv").columns == ["a;b", "c"]
+
+
+def test_missing_folders_are_errors(spark, tmp):
+    from strata.__main__ import main
+    with pytest.raises(FileNotFoundError):
+        publish_layer(spark, f"{tmp}/none", f"{tmp}/out")
+    with pytest.raises(FileNotFoundError):
+        main(["ingest", f"{tmp}/none", f"{tmp}/bronze"])
+
+
+def test_whole_error_text_is_kept(spark, tmp):
+    os.makedirs(f"{tmp}/src/t")
+    write_text(f"{tmp}/src/t/part-0.parquet", "not parquet")
+    assert len(publish_layer(spark, f"{tmp}/src", f"{tmp}/out").first().error) > 200
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    import strata.session as session
+    monkeypatch.setattr(session, "is_local", lambda s: False)
+
+    class Bare:
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Bare)

@@ -96,16 +96,17 @@ def test_lookup_preserves_rows_with_null_and_hot_keys(spark):
     assert out.where("k IS NULL AND v IS NULL").count() == fact.where("k IS NULL").count()
 
 
-def test_broadcast_hint_only_within_bound(spark):
+def test_header_of_the_fan_out_is_shuffled_once(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        fact = spark.range(0, 1000).select(F.col("id"), (F.col("id") % 50).alias("k"))
-        dim = spark.range(0, 50).select(F.col("id").alias("k"), F.col("id").alias("v"))
-        small = lookup_join(fact, dim, "k", attrs=["v"], broadcast=True, max_broadcast_rows=100)
-        big = lookup_join(fact, dim, "k", attrs=["v"], broadcast=True, max_broadcast_rows=10)
-        assert "BroadcastHashJoin" in _final_plan(small)
-        assert "BroadcastHashJoin" not in _final_plan(big) and "SortMergeJoin" in _final_plan(big)
-        assert sorted(small.collect()) == sorted(big.collect())
+        header = spark.range(0, 2000).select(F.col("id").alias("order_id"), (F.col("id") % 7).alias("h")).withColumn("order_id", F.when(F.col("h") != 3, F.col("order_id")))
+        dim = spark.range(0, 7).select(F.col("id").alias("h"), F.col("id").cast("string").alias("name"))
+        header = lookup_join(header, dim, "h", attrs=["name"])
+        detail = spark.range(0, 5000).select((F.col("id") % 1500).alias("order_id"), F.col("id").alias("line_id"))
+        out = header_detail_join(header, detail, "order_id", ["line_id"])
+        expected = header.join(detail, "order_id", "left").select(*out.columns)
+        assert sorted(map(str, out.collect())) == sorted(map(str, expected.collect()))
+        assert "ReusedExchange" in _final_plan(out)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

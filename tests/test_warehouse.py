@@ -6,6 +6,7 @@ import os
 import pytest
 
 from fixtures import write_bronze
+from strata.operators.quality import join_growth
 from strata.plans import gold
 from strata.plans.runner import run_all, silver_inputs
 
@@ -135,8 +136,52 @@ def test_command_line_run(spark, tmp_path):
 
 
 def test_join_growth_audit(spark, warehouse):
-    audit = []
-    out = gold.fact_orders(warehouse["tables"], audit=audit)
-    out.write.format("noop").mode("overwrite").save()
-    counts = {label: obs.get["rows"] for label, obs in audit}
-    assert counts == {"orders_after_lookups": 3, "after_order_lines": 4}
+    steps = []
+    gold.fact_orders(warehouse["tables"], trace=steps)
+    counts = {r.step: r.rows for r in join_growth(steps).collect()}
+    assert counts == {"orders": 3, "orders + customers": 3, "orders + salespeople": 3, "orders + contacts": 3,
+                      "orders + order lines": 4}
+
+
+def test_empty_source_and_result_keep_the_earlier_tables(spark, tmp_path):
+    from strata.plans.runner import run_gold
+    from strata.plans.silver import build_silver
+    from strata.plans.specs import BY_NAME
+    root = str(tmp_path)
+    bronze = write_bronze(os.path.join(root, "bronze"))
+    tdef = BY_NAME["people"]
+    build_silver(spark, tdef, bronze, f"{root}/silver")
+    path = f"{root}/silver/{tdef.output_path}"
+    rows = spark.read.parquet(path).count()
+    people = spark.read.parquet(path)
+    assert run_gold(spark, {"people": people}, f"{root}/gold", ["dim_people"])[0]["status"] == "ok"
+    kept = spark.read.parquet(f"{root}/gold/dim_people").count()
+    assert run_gold(spark, {"people": people.limit(0)}, f"{root}/gold", ["dim_people"])[0]["status"] == "skipped_empty"
+    assert spark.read.parquet(f"{root}/gold/dim_people").count() == kept
+    with open(f"{bronze}/{tdef.bronze_file}") as f:
+        header = f.readline()
+    with open(f"{bronze}/{tdef.bronze_file}", "w") as f:
+        f.write(header)
+    assert build_silver(spark, tdef, bronze, f"{root}/silver")[0]["status"] == "skipped_empty"
+    assert spark.read.parquet(path).count() == rows
+
+
+def test_junk_in_a_numeric_column_is_an_error_or_counted(spark, tmp_path):
+    from strata.plans.silver import build_silver
+    from strata.plans.specs import BY_NAME
+    root = str(tmp_path)
+    bronze = write_bronze(os.path.join(root, "bronze"))
+    tdef = BY_NAME["orders"]
+    file = f"{bronze}/{tdef.bronze_file}"
+    lines = open(file).read().split("\n")
+    at = lines[0].split(",").index("CustomerID")
+    cells = lines[1].split(",")
+    cells[at] = "abc"
+    lines[1] = ",".join(cells)
+    open(file, "w").write("\n".join(lines))
+    with pytest.raises(Exception, match="abc"):
+        build_silver(spark, tdef, bronze, f"{root}/silver")
+    assert not os.path.exists(f"{root}/silver/{tdef.output_path}")
+    status, policy = build_silver(spark, tdef, bronze, f"{root}/silver", strict=False)
+    assert status["status"] == "ok"
+    assert [(r[1], r[4]) for r in policy if r[2] == "cast" and r[1] == "customer_id"] == [("customer_id", 1)]
