@@ -37,8 +37,9 @@ _IP_RUN = re.compile(r"[0-9.]+")
 _CARD_RUN = re.compile(r"[0-9\x20-]+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 _URL = re.compile(r"(?:https?|ftp)://[^\s<>\"']+|mailto:[^\s<>\"']+", re.I)
-_VALUE = re.compile(r"(?:\s{0,3}(?:no\.?|number|nr\.?|id|is|#|:|=)){0,3}\s{0,3}((?=[A-Z0-9 -]*[0-9])[A-Z0-9](?:[ -]?[A-Z0-9]){4,33})(?![A-Za-z0-9])", re.I)
-_SPREAD_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\Z")
+_LABEL = re.compile(r"(?:\s{0,3}(?:no\.?|number|nr\.?|id|is|#|:|=)){0,3}\s{0,3}", re.I)
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_VALUE = re.compile(r"(?=[A-Z0-9-]*[0-9])[A-Z0-9](?:-?[A-Z0-9]){4,33}(?![A-Za-z0-9])", re.I)
 
 _automaton: list[ahocorasick.Automaton] = []
 
@@ -138,13 +139,14 @@ def find_spans(text: str) -> list[tuple[int, int, str]]:
             start = last + 1 - size
             if start < account_end or (start and text[start - 1].isalnum()):
                 continue
-            m = _VALUE.match(text, last + 1)
+            at = _LABEL.match(text, last + 1).end()
+            m = _IBAN.match(text, at)
+            if m and not _iban_ok(m.group().replace(" ", "")):
+                continue
+            m = m or _VALUE.match(text, at)
             if m:
-                value = m.group(1).replace(" ", "").replace("-", "").upper()
-                if _SPREAD_IBAN.match(value) and not _iban_ok(value):
-                    continue
-                account_end = m.end(1)
-                found.append((m.start(1), m.end(1), "account"))
+                account_end = m.end()
+                found.append((m.start(), m.end(), "account"))
     found.sort(key=lambda s: (s[0], KINDS.index(s[2])))
     return found
 
