@@ -9,6 +9,7 @@ words, shingles and lines.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,12 @@ import pyarrow as pa
 
 SUB_BATCH_BYTES = 1 << 20
 
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.malloc_trim  # noqa: B018 - a C library without it has no such memory to give back
+except (OSError, AttributeError):
+    _libc = None
+
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20260)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -83,6 +90,13 @@ def is_space(data: np.ndarray) -> np.ndarray:
     return (data == 32) | ((data >= 9) & (data <= 13))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a reused worker otherwise keeps what its largest batch took."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
 def text_batches(column: pa.Array, limit: int = SUB_BATCH_BYTES, max_rows: int = 60_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, offsets) of sub-batches; null is empty.
 
@@ -105,6 +119,7 @@ def text_batches(column: pa.Array, limit: int = SUB_BATCH_BYTES, max_rows: int =
         last = min(n, max(last, row + 1), row + max_rows)
         yield row, last, data[offsets[row] : offsets[last]], offsets[row : last + 1] - offsets[row]
         row = last
+    give_back()
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
