@@ -47,11 +47,13 @@ def shingle_hashes(words: Column, width: int) -> Column:
 
 
 def item_shingles(items: DataFrame) -> DataFrame:
-    """item_id, width, n_item and the sorted distinct shingle hashes of every item with words."""
-    words = items.select(F.col("item_id").cast("long").alias("item_id"), word_hashes(F.col("text")).alias("words")).where(F.col("words").isNotNull())
+    """item_key, item_id, width, n_item and the sorted distinct shingle hashes of every item with words."""
+    words = (items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+             .select(F.xxhash64("item_id", "text").alias("item_key"), "item_id", word_hashes(F.col("text")).alias("words"))
+             .where(F.col("words").isNotNull()).dropDuplicates(["item_key"]))
     size = F.size("words")
     hashes = F.when(size >= WIDTH, shingle_hashes(F.col("words"), WIDTH)).otherwise(F.array(F.xxhash64("words")))
-    return (words.select("item_id", F.least(size, F.lit(WIDTH)).alias("width"), F.array_sort(F.array_distinct(hashes)).alias("hashes"))
+    return (words.select("item_key", "item_id", F.least(size, F.lit(WIDTH)).alias("width"), F.array_sort(F.array_distinct(hashes)).alias("hashes"))
             .withColumn("n_item", F.size("hashes")))
 
 
@@ -78,36 +80,36 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, threshold: float = THR
     sets = written(item_shingles(items), "items")
     needed = F.ceil(F.col("n_item") * F.lit(threshold) - F.lit(1e-9)).cast("int")
     sketches = (sets.withColumn("needed", needed)
-                .select("item_id", F.col("width").alias("s_width"), F.floor(F.log2("n_item")).cast("int").alias("size_class"), "needed",
+                .select("item_key", F.col("width").alias("s_width"), F.floor(F.log2("n_item")).cast("int").alias("size_class"), "needed",
                         F.explode(F.slice("hashes", F.lit(1), F.col("n_item") - F.col("needed") + 1)).alias("sketch_hash")))
     # one entry per hash and size class, with the smallest item of the class that has it
     entries = sketches.groupBy("s_width", "size_class", "sketch_hash").agg(
-        F.min("needed").alias("least"), F.collect_set("item_id").alias("item_ids"))
+        F.min("needed").alias("least"), F.collect_set("item_key").alias("item_keys"))
     stats = sets.groupBy("width").agg(F.sum("n_item").alias("n")).collect()
     widths = sorted(r["width"] for r in stats) or [WIDTH]
     small = sum(r["n"] for r in stats) <= BROADCAST_ROWS
     probe = _document_shingles(rows.select("row_key", "text"), widths, ["row_key"])
     hits = probe.join(F.broadcast(entries) if small else entries,
                       (F.col("hash") == F.col("sketch_hash")) & (F.col("width") == F.col("s_width")) & (F.col("n_words") >= F.col("least")))
-    candidates = written(hits.select("row_key", F.explode("item_ids").alias("item_id")).distinct(), "candidates")
+    candidates = written(hits.select("row_key", F.explode("item_keys").alias("item_key")).distinct(), "candidates")
     keys = candidates.select("row_key").distinct()
-    full = sets.select(F.col("item_id").alias("f_item"), F.col("width").alias("f_width"), "n_item", F.explode("hashes").alias("f_hash"))
+    full = sets.select("item_key", "item_id", F.col("width").alias("f_width"), "n_item", F.explode("hashes").alias("f_hash"))
     chosen = rows.join(keys, "row_key", "left_semi").dropDuplicates(["row_key"])
     held = _document_shingles(chosen, widths, ["row_key", "doc_id"])
     found = (held.join(F.broadcast(full) if small else full, (F.col("hash") == F.col("f_hash")) & (F.col("width") == F.col("f_width")))
-             .select("row_key", "doc_id", F.col("f_item").alias("item_id"), "n_item", "hash").distinct()
-             .groupBy("row_key", "doc_id", "item_id", "n_item").agg(F.count(F.lit(1)).alias("n_common")))
+             .select("row_key", "doc_id", "item_key", "item_id", "n_item", "hash").distinct()
+             .groupBy("row_key", "doc_id", "item_key", "item_id", "n_item").agg(F.count(F.lit(1)).alias("n_common")))
     # a pair outside the candidates can't reach the threshold: the join keeps the method's pairs only
     return (found.where(F.col("n_common") >= F.col("n_item") * F.lit(threshold) - F.lit(1e-9))
-            .join(candidates, ["row_key", "item_id"], "left_semi")
+            .join(candidates, ["row_key", "item_key"], "left_semi")
             .select("row_key", "doc_id", "item_id", F.col("n_item").cast("long"), "n_common", (F.col("n_common") / F.col("n_item")).alias("containment")))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that hold no item, with their columns."""
-    bad = written(contaminated_pairs(docs, items, threshold).select("row_key").distinct(), "contaminated")
+    bad = written(contaminated_pairs(docs, items, threshold).select(F.col("row_key").alias("__bad_key")).distinct(), "contaminated")
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return docs.withColumn("__row_key", key).join(bad, F.col("__row_key") == F.col("row_key"), "left_anti").drop("__row_key")
+    return docs.withColumn("__row_key", key).join(bad, F.col("__row_key") == F.col("__bad_key"), "left_anti").drop("__row_key")
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
