@@ -24,6 +24,7 @@ HEADLINE = [
     "fact_orders", "fact_purchases", "dim_customer", "dim_geography", "dim_people",
     "dim_stock_item", "dim_supplier", "dim_calendar", "silver_orders", "silver_order_lines",
     "silver_csv_roundtrip", "null_policy", "ingest_split", "impute_audit", "layer_overview",
+    "silver_incremental", "publish_rows", "run_fact_orders",
 ]
 WARMUP_DIR = "/root/testdata/sf0.001"
 

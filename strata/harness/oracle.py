@@ -558,6 +558,8 @@ def oracle_queries() -> dict[str, str]:
             strftime(o_orderdate, '%d/%m/%Y') AS "LastEditedWhen" FROM orders""",
         "publish_rows": "SELECT * FROM lineitem",
         "missing_ratio": _ratio_sql(),
+        "nonzero_nulls": with_ctes("SELECT * FROM (" + "\nUNION ALL\n".join(
+            f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM s_customers""" for c in CUSTOMER_TYPES) + ") AS n WHERE nulls > 0"),
         "layer_sizes": _sizes_sql(),
         "table_sample": "SELECT * FROM orders ORDER BY o_custkey, o_orderkey LIMIT 5",
         "key_check": _key_check_sql(),

@@ -21,7 +21,7 @@ from strata.operators.impute import impute_report
 from strata.operators.ingest import parse_first_format
 from strata.functions.text import contains_or_false
 from strata.operators.joins import lookup_join
-from strata.operators.quality import (duplicate_keys, file_sizes, join_growth, key_check, layer_overview, missing_ratio,
+from strata.operators.quality import (duplicate_keys, file_sizes, join_growth, key_check, layer_overview, missing_ratio, null_counts,
                                       run_summary, suspicious_dates, table_profile, table_sample, validate_nulls)
 from strata.plans import gold
 from strata.harness.bronze_tpch import bronze_order_lines, bronze_orders
@@ -185,6 +185,10 @@ def q_missing_ratio(spark, sf_dir):
     return missing_ratio(silver_tables(spark, sf_dir)["customers"], ["credit_limit", "delivery_city_id", "fax_number", "customer_id"])
 
 
+def q_nonzero_nulls(spark, sf_dir):
+    return null_counts(silver_tables(spark, sf_dir)["customers"], nonzero=True)
+
+
 def q_layer_sizes(spark, sf_dir):
     """The overview of the supplied tables with their sizes, given as whether the size is that of the listing."""
     paths = {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TPCH_TABLES}
@@ -442,6 +446,7 @@ def registry() -> dict[str, Query]:
         "snapshot_rows": q_snapshot_rows,
         "publish_rows": q_publish_rows,
         "missing_ratio": q_missing_ratio,
+        "nonzero_nulls": q_nonzero_nulls,
         "layer_sizes": q_layer_sizes,
         "table_sample": q_table_sample,
         "key_check": q_key_check,

@@ -31,12 +31,13 @@ def is_missing(df: DataFrame, c: str) -> Column:
     return _q(c).isNull() | F.isnan(_q(c)) if kind in ("double", "float") else _q(c).isNull()
 
 
-def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Long form (column, nulls) of the null count of each column (one pass)."""
+def null_counts(df: DataFrame, cols: Sequence[str] | None = None, nonzero: bool = False) -> DataFrame:
+    """Long form (column, nulls) of the null count of each column (one pass), or of those that have any."""
     cols = list(cols if cols is not None else df.columns)
     agg = df.agg(*[F.count_if(is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(cols)])
-    return agg.select(F.inline(F.array(*[
+    out = agg.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("nulls")) for i, c in enumerate(cols)])))
+    return out.where("nulls > 0") if nonzero else out
 
 
 def null_policy_rows(df_columns: Sequence[str], expected: Mapping[str, str] | None,
