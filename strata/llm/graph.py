@@ -18,6 +18,8 @@ from strata.llm.store import partitions, written
 
 #: Fields of an entry: the key, the node that has it, and 32 bits for the caller.
 ENTRY = np.dtype([("key", "<u8"), ("node", "<i8"), ("note", "<u4")])
+#: Components of a key up to which their nodes are compared by that key.
+MANY = 16
 #: Entries that a task folds at once.
 HELD_ENTRIES = 400_000
 _ENTRIES = "bucket int, key long, node long, note long, blob binary"
@@ -200,7 +202,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 def link_groups(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str,
                 possible: Callable[[str, str], object] | None = None, rounds: int = 8, least_yield: float = 0.05,
-                rest: Callable[[DataFrame], tuple[DataFrame, Callable[[str, str], object]]] | None = None) -> DataFrame:
+                rest: Callable[[DataFrame, bool], DataFrame] | None = None) -> DataFrame:
     """Components of the verified links between nodes that share a key.
 
     Pairs within a component need no check.  In each round every key that
@@ -211,26 +213,39 @@ def link_groups(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], nam
     round links fewer than ``least_yield`` of its pairs (or after ``rounds``),
     all pairs that could still join two components are checked, so no link is
     lost.  ``possible`` narrows the pairs of a key by the notes of both nodes.
-    For keys that many unlike nodes have, ``rest`` takes the nodes of the keys
-    that are still open and gives sharper keys, and bounds for them, that no
-    linked pair lacks; rounds and the last check then go by these.
+    For keys that many unlike nodes have (more than MANY components), ``rest``
+    takes their nodes and components (node, comp) and gives pairs of them that
+    can still link, found by other keys: first those with the other keys'
+    leaders, then, by the components these leave, all.
     """
     links: list[DataFrame] = []
     tried: list[DataFrame] = []
     entries = _rounds(shared.select("key", "node", "note", F.col("node").alias("comp")), verify, name, possible, rounds, least_yield, links, tried)
+    pairs = []
     if rest is not None:
-        mixed = entries.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-        open_nodes = written(entries.join(mixed, "key", "left_semi").select("node", "comp").distinct(), f"{name}-rest")
-        sharper, possible = rest(open_nodes.select("node"))
-        entries = _rounds(sharper.select("key", "node", "note").join(open_nodes, "node"), verify, f"{name}-rest", possible, 8, least_yield, links, tried)
+        per_key = entries.groupBy("key").agg(F.count_distinct("comp").alias("comps"))
+        entries = written(entries.join(per_key.where("comps > 1"), "key"), f"{name}-mixed")
+        crowd = written(entries.where(F.col("comps") > MANY).select("node", "comp").distinct(), f"{name}-rest")
+        entries = entries.where(F.col("comps") <= MANY).drop("comps")
+        tried.append(written(_untried(rest(crowd, True), tried), f"{name}-pairs"))
+        links.append(written(verify(tried[-1]).select("a", "b"), f"{name}-links"))
+        up = components(_union(links), f"{name}-round").toDF("u_node", "up")
+        crowd = crowd.join(up, F.col("node") == F.col("u_node"), "left").select("node", F.coalesce("up", "comp").alias("comp"))
+        pairs.append(rest(crowd, False))
+    pairs.append(_cross(entries, possible))
+    left = written(_untried(_union(pairs).distinct(), tried), f"{name}-cross")
+    links.append(written(verify(left).select("a", "b"), f"{name}-links"))
+    return components(_union(links), f"{name}-components")
+
+
+def _cross(entries: DataFrame, possible: Callable | None) -> DataFrame:
+    """Pairs of nodes of a key that stand in different components."""
     x = entries.select("key", F.col("node").alias("a"), F.col("note").alias("a_note"), F.col("comp").alias("ca"))
     y = entries.select("key", F.col("node").alias("b"), F.col("note").alias("b_note"), F.col("comp").alias("cb"))
     cross = x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
     if possible is not None:
         cross = cross.where(possible("a_note", "b_note"))
-    left = written(_untried(cross.select("a", "b").distinct(), tried), f"{name}-cross")
-    links.append(written(verify(left).select("a", "b"), f"{name}-links"))
-    return components(_union(links), f"{name}-components")
+    return cross.select("a", "b")
 
 
 def _rounds(entries: DataFrame, verify: Callable, name: str, possible: Callable | None, rounds: int, least_yield: float,

@@ -34,8 +34,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.graph import NodeFilter, link_groups, shared_keys
-from strata.llm.store import written
-from strata.llm.text import PrefixHash, lower_ascii, mix, row_sets, shingles, text_batches, words
+from strata.llm.store import partitions, written
+from strata.llm.text import PrefixHash, give_back, lower_ascii, mix, row_sets, shingles, text_batches, words
 
 WIDTH = 5
 THRESHOLD = 0.75
@@ -137,6 +137,82 @@ def prefix_keys(source: DataFrame, sets: Sets, threshold: float, name: str) -> D
     return shared_keys(source, entries, name)
 
 
+_CROWD = np.dtype([("key", "<u8"), ("node", "<i8"), ("comp", "<i8"), ("note", "<u4")])
+
+
+def crowd_pairs(source: DataFrame, sets: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]],
+                threshold: float, name: str, leaders: bool = False) -> DataFrame:
+    """Pairs (a, b) of sets of different components that size and position bounds let link.
+
+    With ``leaders`` only pairs with the set of each list that has the fewest
+    shingles rarer than the list's own: what is left of a family links with it.
+
+    ``sets`` gives (values, sizes, node, comp) of a batch.  Postings of the
+    prefixes move once, packed; a bucket compares the postings of each shingle
+    in order of size, as far as the sizes allow, and gives possible pairs only.
+    """
+    buckets = 2 * partitions(source.sparkSession)
+    order = source.sparkSession.sparkContext.broadcast(Order(_sketch(source, lambda batch: (x[:3] for x in sets(batch)))))
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for values, sizes, node, comp in sets(batch):
+                key, at, note = prefix_entries(values, sizes, np.arange(len(node)), order.value, 0, threshold)
+                e = np.empty(len(key), _CROWD)
+                e["key"], e["node"], e["comp"], e["note"] = key, node[at], comp[at], note
+                bucket = ((key >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
+                by = np.argsort(bucket, kind="stable")
+                e, bucket = e[by], bucket[by]
+                ids, first = np.unique(bucket, return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([e[a:b].tobytes() for a, b in zip(first, [*first[1:], len(e)])], pa.binary())], ["bucket", "blob"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = [np.frombuffer(b.as_buffer(), _CROWD) for batch in batches for b in batch.column(1)]
+        if not blobs:
+            return
+        e = np.concatenate(blobs)
+        blobs.clear()
+        size = (e["note"] & np.uint32((1 << 20) - 1)).astype(np.int64)
+        by = np.lexsort((size, e["key"]))
+        e, size = e[by], size[by]
+        key, node, comp, pos = e["key"], e["node"], e["comp"], (e["note"] >> np.uint32(20)).astype(np.int64)
+
+        def pairs_of(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            small, large = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
+            most = np.minimum(size[x] - pos[x], size[y] - pos[y]) + 1
+            bound = (small >= threshold * large - 1e-9) & ((1 + threshold) * most >= threshold * (small + large) - 1e-9)
+            ok = (comp[x] != comp[y]) & (bound | (large >= (1 << 20) - 1) | (np.maximum(pos[x], pos[y]) >= 4095))
+            return np.stack([np.minimum(node[x], node[y])[ok], np.maximum(node[x], node[y])[ok]], axis=1)
+
+        def batch_of(pairs: list[np.ndarray]) -> pa.RecordBatch:
+            found = np.unique(np.concatenate(pairs), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, k])) for k in (0, 1)], ["a", "b"])
+
+        if leaders:
+            by = np.lexsort((pos, key))
+            first = np.ones(len(by), bool)
+            first[1:] = key[by][1:] != key[by][:-1]
+            yield batch_of([pairs_of(by[first][np.cumsum(first) - 1], by)])
+            return
+        here, step, held, n = np.arange(len(e)), 1, [], 0
+        while len(here):
+            here = here[here + step < len(e)]
+            there = here + step
+            wide = size[there] >= (1 << 20) - 1
+            near = (key[there] == key[here]) & (wide | (size[here] >= threshold * size[there] - 1e-9))
+            here = here[near]  # sizes grow: who is out of reach once stays so
+            held.append(pairs_of(here, here + step))
+            n += len(held[-1])
+            step += 1
+            if n > 200_000 or (not len(here) and n):
+                yield batch_of(held)
+                held, n = [], 0
+        give_back()
+
+    dealt = source.mapInArrow(emit, "bucket int, blob binary").repartitionById(buckets, F.col("bucket"))
+    return written(dealt.mapInArrow(meet, "a long, b long").distinct(), name)
+
+
 def prefix_entries(values: np.ndarray, sizes: np.ndarray, node: np.ndarray, order: Order, limit: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(key, node, note) of the distinct sets; the note holds size class and position of heavy keys.
 

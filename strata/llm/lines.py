@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.graph import NodeFilter, link_groups, shared_keys
-from strata.llm.jaccard import possible, prefix_keys
+from strata.llm.jaccard import crowd_pairs
 from strata.llm.store import written
 from strata.llm.text import PrefixHash, is_space, mix, row_sets, text_batches
 
@@ -120,14 +120,6 @@ def line_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return row_sets(hashes.slices(chars[at], ends), n)
 
 
-def jaccard(a: str, b: str, width: int = SHINGLE) -> tuple[int, int]:
-    """Sizes of intersection and union of the two shingle sets."""
-    x = {a[i : i + width] for i in range(max(1, len(a) - width + 1))}
-    y = {b[i : i + width] for i in range(max(1, len(b) - width + 1))}
-    both = len(x & y)
-    return both, len(x) + len(y) - both
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("row_key"),
                        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -157,24 +149,39 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            a, b = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            text = dict(zip(a, batch.column(2))) | dict(zip(b, batch.column(3)))
+            values, sizes = [], []
+            for _, _, data, offsets in text_batches(pa.array([t.as_py() for t in text.values()], pa.string())):
+                v, s = line_sets(data, offsets)
+                values.append(v)
+                sizes.append(s)
+            values, bounds = np.concatenate([*values, np.empty(0, np.uint64)]), np.concatenate([[0], np.cumsum(np.concatenate([*sizes, np.empty(0, np.int64)]))])
+            sets = {n: values[bounds[k] : bounds[k + 1]] for k, n in enumerate(text)}
             ok = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                both, union = jaccard(x, y)
-                ok.append(both >= threshold * union - 1e-9)
+            for x, y in zip(a, b):
+                both = np.concatenate([sets[x], sets[y]])
+                if min(len(sets[x]), len(sets[y])) < threshold * max(len(sets[x]), len(sets[y])) - 1e-9:
+                    ok.append(False)
+                    continue
+                both.sort(kind="stable")
+                n = int((both[1:] == both[:-1]).sum())
+                ok.append(n >= threshold * (len(both) - n) - 1e-9)
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     def verify(pairs: DataFrame) -> DataFrame:
         x, y = lines.toDF("a", "line_a"), lines.toDF("b", "line_b")
         return pairs.join(x, "a").join(y, "b").select("a", "b", "line_a", "line_b").mapInArrow(check, "a long, b long")
 
-    def line_nodes(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        nodes = batch.column(0).to_numpy(zero_copy_only=False)
+    def line_nodes(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        nodes, comps = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
         for i, j, data, offsets in text_batches(batch.column(1)):
-            yield *line_sets(data, offsets), nodes[i:j]
+            yield *line_sets(data, offsets), nodes[i:j], comps[i:j]
 
-    def rest(nodes: DataFrame) -> tuple[DataFrame, object]:
-        """Exact keys of the lines in bands that unlike lines share, as lines around one common passage do."""
-        return prefix_keys(lines.join(nodes, "node"), line_nodes, threshold, "line-prefixes"), possible(threshold)
+    def rest(crowd: DataFrame, leaders: bool) -> DataFrame:
+        """Pairs of the lines in bands that unlike lines share, as lines around one common passage do, by exact keys."""
+        source = written(lines.join(crowd, "node").select("node", "line", "comp"), "line-crowd")
+        return crowd_pairs(source, line_nodes, threshold, "line-crowd-pairs", leaders)
 
     comp = link_groups(shared, verify, "lines", rounds=2, rest=rest).select(F.col("node").alias("c_node"), "component")
 
