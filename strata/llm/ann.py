@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.store import written
+from strata.llm.store import hashed_sample, written
 
 CENTROIDS = 64
 SAMPLE = 20_000
@@ -124,7 +124,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, centroids: in
     dim = sizes[0]["n"]
     half = dim // 2
     rows = rows.where(F.size("v") == dim)
-    picked = rows.orderBy(F.xxhash64(F.lit(2), "vec_id"), "vec_id").limit(sample).select("v").toArrow()
+    picked = hashed_sample(rows, "vec_id", sample, sizes[0]["c"], 2).select("v").toArrow()
     unit = _unit(_matrix(picked.column(0)))
     books = spark.sparkContext.broadcast((codebook(unit[:, :half], centroids, seed=1), codebook(unit[:, half:], centroids, seed=2)))
 

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.store import hashed_sample
+
 SAMPLE_PAGES = 160
 VARIANTS = 6
 
@@ -351,8 +353,8 @@ def main_text(page: str, model: Model) -> str:
 
 def train(pages: DataFrame, sample: int = SAMPLE_PAGES, max_chars: int = 200_000) -> Model:
     """Fit on a bounded sample: ``sample`` pages of at most ``max_chars`` characters, by a hash of the page id."""
-    rows = (pages.where(F.length("html").between(1, max_chars)).select("page_id", "html")
-            .orderBy(F.xxhash64(F.lit(1), "page_id"), "page_id").limit(sample).collect())
+    fit_for = pages.where(F.length("html").between(1, max_chars)).select("page_id", "html")
+    rows = hashed_sample(fit_for, "page_id", sample, pages.count(), 1).collect()
     return fit(training_pages([r["html"] for r in rows]))
 
 

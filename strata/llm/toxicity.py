@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.store import hashed_sample
 from strata.llm.text import PrefixHash, lower_ascii, text_batches
 
 WINDOW = 64
@@ -350,10 +351,11 @@ def _training_windows(docs: DataFrame, labels: DataFrame, sample: int, per_doc:
     count = labelled.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t")).first()
     if not count["n"]:
         return [], 0.0
-    share = (count["t"] or 0) / count["n"]
+    share = count["t"] / count["n"]
     picked = []
     for y, n in ((1, sample * 3 // 8), (0, sample - sample * 3 // 8)):
-        picked += labelled.where(F.col("toxic") == y).orderBy(F.xxhash64(F.lit(3), "l_id"), "l_id").limit(n).collect()
+        of_class = count["t"] if y else count["n"] - count["t"]
+        picked += hashed_sample(labelled.where(F.col("toxic") == y), "l_id", n, of_class, 3).collect()
     chosen = docs.sparkSession.createDataFrame([(r["l_id"], r["toxic"]) for r in picked], "l_id long, toxic int")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import html, pii, toxicity
-from strata.llm.text import lower_ascii, text_batches
+from strata.llm.text import text_batches
 
 from .conftest import documents, odd_texts, sentence
 
