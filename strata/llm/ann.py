@@ -16,9 +16,10 @@ cells (at most ``centroids`` squared) reach the driver.
 structure, where each query's neighbours are spread over the whole space, and
 more on clustered ones.  Vectors that are null, empty, zero, or hold null or
 non-finite components take no part, nor do null ids and vectors of another
-length than most.  Rows that repeat an id are the same candidate; a query's
-own id is none of its candidates.  Fewer candidates than asked for give fewer
-rows; an empty table gives none.
+length than most.  Rows that repeat an id are the same candidate, scored by its
+best row (of the query's rows too); repeats of a row with the same vector go
+before the cells are counted.  A query's own id is none of its candidates.
+Fewer candidates than asked for give fewer rows; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -137,12 +138,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, centroids: in
                 batch.column(0), pa.array(nearest(u[:, :half], ca).astype(np.int32)), pa.array(nearest(u[:, half:], cb).astype(np.int32)),
                 pa.array([r.tobytes() for r in x], pa.binary())], ["vec_id", "a", "b", "v"])
 
-    index = written(rows.where(F.size("v") > 0).mapInArrow(assign, "vec_id long, a int, b int, v binary"), "ann-index")
+    index = written(rows.where(F.size("v") > 0).mapInArrow(assign, "vec_id long, a int, b int, v binary").dropDuplicates(["vec_id", "v"]), "ann-index")
     ka, kb = len(books.value[0]), len(books.value[1])
     counts = np.zeros((ka, kb), np.int64)
     for r in index.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).collect():
         counts[r["a"], r["b"]] = r["n"]
     total = int(counts.sum())
+    of_id = index.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    least = (k + 1) * of_id  # so many rows hold k ids beside the query's
     of_group = counts.sum(axis=1)
     blocks = [max(1, -(-int(n) // BLOCK_ROWS)) for n in of_group]
     queries = index.where(is_query)
@@ -154,7 +157,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, centroids: in
             out: list[tuple] = []
             for q, v in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
                 u = _unit(np.frombuffer(v)[None])
-                cells = walk(distances(u[:, :half], ca)[0], distances(u[:, half:], cb)[0], counts, max(share * total, k + 1))
+                cells = walk(distances(u[:, :half], ca)[0], distances(u[:, half:], cb)[0], counts, max(share * total, least))
                 masks: dict[int, int] = {}
                 for a, b in cells:
                     if counts[a, b]:
@@ -167,11 +170,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, centroids: in
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["a", "s", "qb", "query_id", "mask", "v"])
 
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
-        """The k best of a block of vectors for each query of a block."""
+        """The k best ids of a block of vectors for each query of a block, each by its best row."""
         found: list[tuple] = []
         ids = left.column("vec_id").to_numpy()
         cell = left.column("b").to_numpy().astype(np.uint64)
         x = np.frombuffer(b"".join(left.column("v").to_pylist())).reshape(len(ids), -1) if len(ids) else None
+        by = np.argsort(ids, kind="stable")
+        first = np.ones(len(ids), bool)
+        first[1:] = ids[by][1:] != ids[by][:-1]
+        first = np.flatnonzero(first)
+        if len(first) < len(ids):  # rows of one id side by side
+            ids, cell, x = ids[by], cell[by], x[by]
         unit = _unit(x) if len(ids) else None
         for lo in range(0, len(right) if len(ids) else 0, 64):
             part = right.slice(lo, 64)
@@ -180,15 +189,19 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, centroids: in
             s = _unit(qv) @ unit.T
             s[((masks[:, None] >> cell[None]) & np.uint64(1)) == 0] = -np.inf
             s[qs[:, None] == ids[None]] = -np.inf
-            for q, v, scores in zip(qs, qv, s):
-                if len(scores) > k:
-                    edge = np.partition(scores, len(scores) - k)[len(scores) - k]
+            tops = s if len(first) == len(ids) else np.maximum.reduceat(s, first, axis=1)
+            for q, v, scores, top in zip(qs, qv, s, tops):
+                if len(top) > k:
+                    edge = np.partition(top, len(top) - k)[len(top) - k]
                     near = np.flatnonzero(scores >= edge - 1e-9)  # ties at the edge are settled below
                 else:
                     near = np.arange(len(scores))
                 near = near[np.isfinite(scores[near])]
                 exact = cosine(v, x[near])
-                order = np.lexsort((ids[near], -exact))[:k]
+                order = np.lexsort((ids[near], -exact))
+                if len(first) < len(ids):
+                    order = order[np.sort(np.unique(ids[near[order]], return_index=True)[1])]
+                order = order[:k]
                 found += [(int(q), int(ids[near[o]]), float(exact[o])) for o in order]
         columns = list(zip(*found)) or [()] * 3
         return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
@@ -206,7 +219,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, centroids: in
     probes = queries.select("vec_id", "a", "b", "v").mapInArrow(probe, "a int, s int, qb int, query_id long, mask long, v binary")
     keys = ["a", "s", "qb"]
     best = (entries.groupBy(*keys).cogroup(probes.groupBy(*keys)).applyInArrow(rank, "query_id long, vec_id long, score double")
-            .groupBy("query_id").agg(F.slice(F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("far"), "vec_id"))), 1, k).alias("best")))
+            .groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+            .groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id"))), 1, k).alias("best")))
     return (best.select("query_id", F.posexplode("best").alias("at", "hit"))
             .select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.far")).alias("score")))
 

@@ -121,6 +121,48 @@ def test_neighbours_edge_cases(spark):
     assert ann.search(vectors(spark, []), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def brute_neighbours(rows, k=5):
+    """Ids and scores by query: an id counts by its best row, and so does the query."""
+    ids = np.array([i for i, _ in rows])
+    unit = np.array([v for _, v in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    out = {}
+    for q in {int(i) for i in ids if i % 50 == 0}:
+        best = {}
+        for i, s in zip(ids.tolist(), (unit @ unit[ids == q].T).max(axis=1).tolist()):
+            best[i] = max(best.get(i, -2), s)
+        best.pop(q)
+        out[q] = sorted(((i, s) for i, s in best.items()), key=lambda x: -x[1])[:k]
+    return out
+
+
+@pytest.mark.parametrize("block_rows", [65_536, 300])
+def test_neighbours_of_repeated_rows(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", block_rows)
+    rng = np.random.default_rng(5)
+    once = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((400, 8)).astype(np.float32).astype(np.float64))]
+    some = [(i, (np.array(v) + (0.01, *[0.0] * 7)).astype(np.float32).astype(np.float64).tolist()) for i, v in once if i % 3 == 0 for _ in range(2)]
+    unlike = [(i, once[(7 * i + 1) % 400][1]) for i in range(0, 400, 2)]
+    for rows in (once * 6, once + some + unlike):
+        want = brute_neighbours(rows)
+        out = ann.search(vectors(spark, [(i, v, 0) for i, v in rows]), F.col("vec_id") % 50 == 0, centroids=8, share=1.0)
+        got = defaultdict(list)
+        for r in out.orderBy("query_id", "rank").collect():
+            got[r.query_id].append((r.rank, r.vec_id, r.score))
+        assert set(got) == set(want)
+        for q in want:
+            assert [r for r, _, _ in got[q]] == [1, 2, 3, 4, 5] and len({i for _, i, _ in got[q]}) == 5
+            assert np.allclose([s for *_, s in got[q]], [s for _, s in want[q]], rtol=0, atol=1e-9)
+
+
+def test_neighbours_of_few_ids_with_many_vectors(spark):
+    """A near id with many vectors doesn't end the walk before k ids are met."""
+    rng = np.random.default_rng(6)
+    rows = [(0, [1.0, 0.0, 0.0, 0.0])] + [(1, [1.0, float(e), 0.0, 0.0]) for e in rng.random(300) / 50] + [(i, rng.standard_normal(4).tolist()) for i in range(2, 12)]
+    out = ann.search(vectors(spark, [(i, v, 0) for i, v in rows]), F.col("vec_id") == 0, centroids=8).orderBy("rank").collect()
+    assert len({r.vec_id for r in out}) == 5 and out[0].vec_id == 1
+
+
 # ------------------------------------------------------------------ sharding
 
 def test_matrix_has_exact_margins_and_the_right_law():
