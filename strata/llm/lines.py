@@ -78,11 +78,16 @@ def band_entries(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     chars = np.flatnonzero((data & 0xC0) != 0x80)
     a, b = np.searchsorted(chars, start), np.searchsorted(chars, end)
     n = b - a - SHINGLE + 1
-    long = n >= 3  # sets of one or two shingles have no near copies but equal ones
-    node, a, n = node[long], a[long], n[long]
+    chars = np.concatenate([chars, [len(data)]])
+    # One or two shingles have no near sets but equal ones, and another line has an equal set
+    # only if the shingles' ends (one character shorter) repeat, as in rules and rows of dots.
+    may = n >= 3
+    short = np.flatnonzero((n == 1) | (n == 2))
+    x, y, z = (hashes.slices(chars[at], chars[at + SHINGLE - 1]) for at in (a[short], a[short] + 1, a[short] + n[short]))
+    may[short] = (x == y) | (x == z) | ((y == z) & (n[short] == 2))
+    node, a, n = node[may], a[may], n[may]
     if not len(node):
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint32)
-    chars = np.concatenate([chars, [len(data)]])
     signature = np.empty((len(node), BANDS * ROWS), np.uint32)
     bounds = np.concatenate(([0], np.cumsum(n)))
     lo = 0

@@ -183,6 +183,17 @@ def test_lines_of_a_crowded_passage(spark, rng, monkeypatch):
     assert [got[i] for i, _ in rows] == brute_lines(rows)
 
 
+def test_short_lines_with_equal_sets(spark, rng):
+    """Lines of 8 and 9 characters meet longer ones of the same shingles."""
+    short = ["-" * 8, "=" * 9, "é" * 8, "ab" * 4, "ba" * 4 + "b", "a" * 8 + "b", "b" + "a" * 8, "abcabcab", "abcabcabc", "-" * 7, "one line", "two lines"]
+    longer = ["-" * 11, "=" * 30, "é" * 10, "ab" * 6, "a" * 12 + "b", "b" + "a" * 11, "abcabcabcabc", "one lines", "=" * 8]
+    for first, second in ((short, longer), (longer, short)):
+        rows = [(1, "\n".join(first)), (2, "\n".join(second)), (3, sentence(rng, 9))]
+        got = {r.doc_id: r.text for r in lines.dedup_lines(documents(spark, rows).repartition(2)).collect()}
+        assert [got[i] for i, _ in rows] == brute_lines(rows)
+        assert got[2] != rows[1][1]
+
+
 def test_lines_of_empty_table_and_equal_rows(spark):
     assert lines.dedup_lines(documents(spark, [])).count() == 0
     out = lines.dedup_lines(documents(spark, [(1, "a line"), (1, "a line"), (None, "a line"), (None, "b")])).collect()
