@@ -14,8 +14,8 @@ block labelled where it is made.
 
 A null page is empty; a page without main blocks gives the empty text; null
 ids and urls are kept; repeated rows are read each; unclosed or unbalanced
-markup is read as browsers do in the main cases (implied ends, ignored stray
-ends).  A page of any length is read whole.
+markup is read as browsers do in the main cases (implied ends, also of a head
+by the first tag or text that can't stand in it; ignored stray ends).  A page of any length is read whole.
 """
 
 from __future__ import annotations
@@ -37,7 +37,8 @@ VARIANTS = 6
 
 _RAW = "script|style|noscript|template|svg|textarea|select|iframe|object|canvas"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<svg(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>|<title\b[^>]*>(?:(?!<title\b).)*?</title\s*>"
+    rf"|<(?P<raw>{_RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9-]*)(?P<attrs>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
     r"|<[!?/a-zA-Z][^>]*>", re.S | re.I)
 _ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -48,6 +49,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 #: A start tag on the left ends an open element on the right, within the nearest list, table or section.
 IMPLIED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPE = frozenset("ul ol dl table body html div section article aside nav form main".split())
+#: What may stand in a head; any other start tag ends it.
+_IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes script style template".split())
 _UNSEEN = frozenset("head title button option".split())
 _LANDMARK_OUT = frozenset("nav footer aside form header menu dialog".split())
 
@@ -79,15 +82,18 @@ def leaf_blocks(page: str) -> list[Block]:
             parts.clear()
         linked, path = 0, None
 
-    def pop() -> None:
+    def pop() -> str:
         nonlocal links, hidden
         tag = stack.pop()[0]
         links -= tag == "a"
         hidden -= tag in _UNSEEN
+        return tag
 
     at = 0
     for m in [*_TOKEN.finditer(page), None]:
         end = m.start() if m else len(page)
+        if hidden and end > at and stack[-1][0] == "head" and page[at:end].strip():
+            pop()
         if end > at and not hidden:
             run = page[at:end]
             if "&" in run:
@@ -113,6 +119,9 @@ def leaf_blocks(page: str) -> list[Block]:
             elif tag == "p":
                 flush()
             continue
+        if hidden and tag not in _IN_HEAD and any(s[0] == "head" for s in stack):
+            while pop() != "head":
+                pass
         if tag == "br":
             parts.append(" ")
         if tag not in INLINE:

@@ -186,6 +186,21 @@ def test_extraction_of_a_page(model):
         "One point of the story.", "Another point of the story."]
 
 
+@pytest.mark.parametrize("head", [
+    "<head><title>The <b>title</b></title><meta charset=utf-8><link rel=x href=y><style>p{}</style><body>",
+    "<head><title>Title</title>", "<head><title>Unclosed title<body>", "<head><meta charset=utf-8><script>var a='<p>'</script></head><body>",
+    "<body><svg viewBox='0 0 1 1' aria-label=\"a > b\"/>", "<body><svg/><svg class=x />", "<body><svg><path d='x'/><title>icon</title></svg>"])
+def test_extraction_of_pages_without_end_of_head_or_with_closed_svg(model, head):
+    article = PAGE[PAGE.index("<article>") :]
+    want = html.main_text(f"<html><body>{article}", model)
+    assert want.startswith("A headline & more") and html.main_text(f"<!DOCTYPE html><html>{head}{article}", model) == want
+
+
+def test_text_ends_a_head():
+    assert [b.text for b in html.leaf_blocks("<head><title>t</title>\n One <b>text</b>.<p>Two")] == ["One text.", "Two"]
+    assert [b.text for b in html.leaf_blocks("<head><title>How to use <body> tags</title></head><body><p>One")] == ["One"]
+
+
 def test_extraction_of_unseen_layouts(model):
     pages = html.training_pages(own_pages(random.Random(2), 40), variants=5, seed=5)
     wrong = sum(a != b for rows, y in pages for a, b in zip(model.decode(rows), y))
