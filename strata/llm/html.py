@@ -178,12 +178,12 @@ def features(blocks: list[Block]) -> list[tuple[str, ...]]:
                 f"leaf:{blocky[-1] if blocky else 'none'}", f"depth:{min(6, len(blocky))}")
         t = b.text
         length = len(t)
-        letters = sum(c.isalpha() for c in t[:400])
+        letters = sum(map(str.isalpha, t))
         out.append(of_path + (
             f"len:{_bucket(length, (12, 25, 50, 100, 200, 400))}",
             f"link:{_bucket(b.linked / length, (0.05, 0.33, 0.8))}",
             f"stop:{t[-1] in '.!?:;…'}",
-            f"alpha:{_bucket(letters / min(400, length), (0.3, 0.6, 0.8))}",
+            f"alpha:{_bucket(letters / length, (0.3, 0.6, 0.8))}",
             f"copy:{'©' in t}", f"bars:{'|' in t or '»' in t or '·' in t}",
             f"place:{_bucket(k / n, (0.1, 0.3, 0.7, 0.9))}", f"first:{k == 0}", f"last:{k == n - 1}"))
     return out
@@ -361,10 +361,16 @@ def main_text(page: str, model: Model) -> str:
 
 
 def train(pages: DataFrame, sample: int = SAMPLE_PAGES, max_chars: int = 200_000) -> Model:
-    """Fit on a bounded sample: ``sample`` pages of at most ``max_chars`` characters, by a hash of the page id."""
-    fit_for = pages.where(F.length("html").between(1, max_chars)).select("page_id", "html")
-    rows = hashed_sample(fit_for, "page_id", sample, pages.count(), 1).collect()
-    return fit(training_pages([r["html"] for r in rows]))
+    """Fit on a bounded sample: ``sample`` pages with landmark tags, of at most ``max_chars`` characters, by a hash of the page id.
+
+    Without a labelled page there is nothing to learn from, and a table that holds pages raises.
+    """
+    fit_for = pages.where(F.length("html").between(1, max_chars) & F.col("html").rlike(r"(?i)<(article|main)[\s/>]")).select("page_id", "html")
+    rows = hashed_sample(fit_for, "page_id", sample, fit_for.count(), 1).collect()
+    labelled = training_pages([r["html"] for r in rows])
+    if not labelled and not pages.where(F.length("html") > 0).isEmpty():
+        raise ValueError("no sampled page has an article or main element to learn from")
+    return fit(labelled)
 
 
 def extract(pages: DataFrame, model: Model) -> DataFrame:

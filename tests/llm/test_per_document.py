@@ -220,6 +220,22 @@ def test_viterbi_and_likelihood_equal_enumeration():
     assert model.decode(rows) == list(best)
 
 
+def test_fit_samples_pages_with_landmarks(spark):
+    own = own_pages(random.Random(4), 6)
+    plain = [(100 + i, "u", f"<html><body><div><p>page {i} of no landmark</p></div></body></html>") for i in range(3000)]
+    schema = "page_id long, url string, html string"
+    model = html.train(spark.createDataFrame([*plain, *((i, "u", p) for i, p in enumerate(own))], schema), sample=6)
+    alone = html.train(spark.createDataFrame([(i, "u", p) for i, p in enumerate(own)], schema), sample=6)
+    assert model.weights and model.weights == alone.weights
+    with pytest.raises(ValueError):
+        html.train(spark.createDataFrame(plain, schema))
+
+
+def test_letters_of_a_whole_block():
+    blocks = html.leaf_blocks("<p>" + "a" * 400 + "1" * 1600 + "</p>")
+    assert "alpha:0" in html.features(blocks)[0]
+
+
 def test_extraction_edge_cases(spark, model):
     pages = [(1, "u", None), (2, None, ""), (3, "u", "plain text without any markup"), (4, "u", PAGE), (4, "u", PAGE), (None, "u", "<p>unclosed <b>x"),
              (5, "u", "</div></p><<< a < b <!-- "), (6, "u", "<article>" + "<p>para graph of words.</p>" * 3000 + "</article>")]
