@@ -47,6 +47,12 @@ def test_values_planted_in_text():
     assert pii.find_spans("passport no. AB1234567 here")[0] == (13, 22, "account")
 
 
+def test_cues_and_schemes_beside_letters_that_grow_in_lower_case():
+    text = "İstanbul IBAN DE89 3704 0044 0532 0130 00, SSN 123-45-6789, HTTP://X.example/a"
+    assert [(kind, text[a:b]) for a, b, kind in pii.find_spans(text) if kind in ("account", "url")] == [
+        ("account", "DE89 3704 0044 0532 0130 00"), ("account", "123-45-6789"), ("url", "HTTP://X.example/a")]
+
+
 def test_pii_rows_and_edge_cases(spark, rng):
     rows = list(enumerate([*odd_texts(rng), "a@b.co " * 3, "a@b.co " * 3])) + [(None, "1.2.3.4")]
     out = pii.find_pii(documents(spark, rows, extra=True)).collect()
