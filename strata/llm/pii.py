@@ -41,8 +41,6 @@ _LABEL = re.compile(r"(?:\s{0,3}(?:no\.?|number|nr\.?|id|is|#|:|=)){0,3}\s{0,3}"
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _VALUE = re.compile(r"(?=[A-Z0-9-]*[0-9])[A-Z0-9](?:-?[A-Z0-9]){4,33}(?![A-Za-z0-9])", re.I)
 
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
 _automaton: list[ahocorasick.Automaton] = []
 
 
@@ -99,7 +97,7 @@ def find_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of all spans, by start and then kind as listed."""
     found: list[tuple[int, int, str]] = []
     email_end = ip_end = card_end = phone_end = url_end = account_end = 0
-    low = text.translate(_LOWER)  # str.lower may change a text's length
+    low = text.encode().lower().decode()  # A-Z only: str.lower may change a text's length
     for last, (what, size) in _anchors().iter(low):
         if what == "0":
             if last >= ip_end:
