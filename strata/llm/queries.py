@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import ann, decontamination, html, jaccard, lines, packing, pii, sharding, suffix, toxicity
+from strata.llm import ann, decontamination, html, jaccard, language, lines, manifest, packing, pii, prefix_trie, sharding, suffix, toxicity
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -43,10 +43,14 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit_packing": packing.op8_best_fit_packing,
         "op9_line_dedup": lines.op9_line_dedup,
         "op10_pii": pii.op10_pii,
+        "op11_merkle_manifest": manifest.op11_merkle_manifest,
+        "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+        "op13_language": language.op13_language,
     }
     return {name: _ready(q) for name, q in queries.items()}
 
 
 def oracle() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op1_benchmark_decontamination": decontamination.ORACLE_SQL}
+    return {"op1_benchmark_decontamination": decontamination.ORACLE_SQL, "op11_merkle_manifest": manifest.ORACLE_SQL,
+            "op12_prefix_trie": prefix_trie.ORACLE_SQL}
