@@ -48,7 +48,8 @@ def dictionaries(labelled: DataFrame, snippets: int = SNIPPETS, seed: int = 13)
         return []
     # the hash cuts every language down to about its sample before texts are grouped
     limits = [(r["lang"], int(min(1.0, (1.5 * snippets + 60) / max(1, r["texts"])) * (1 << 30))) for r in counts]
-    near = rows.join(rows.sparkSession.createDataFrame(limits, "l_lang string, l_limit long"), F.col("lang") == F.col("l_lang"))
+    few = F.broadcast(rows.sparkSession.createDataFrame(limits, "l_lang string, l_limit long"))  # a row a language
+    near = rows.join(few, F.col("lang") == F.col("l_lang"))
     near = near.where(F.pmod(F.xxhash64("h"), F.lit(1 << 30)) < F.col("l_limit"))
     room = F.greatest(F.lit(1), F.char_length("text") - F.lit(SNIPPET - 1))
     piece = F.substring("text", (F.pmod("h", room) + 1).cast("int"), F.lit(SNIPPET))
