@@ -23,9 +23,12 @@ def main(argv: list[str] | None = None) -> int:
     r = sub.add_parser("run")
     r.add_argument("bronze"), r.add_argument("silver"), r.add_argument("gold")
     r.add_argument("--workers", type=int, default=4)
+    r.add_argument("--database", help="publish tables as catalog entries <database>_silver.* and <database>_gold.*")
+    r.add_argument("--status", help="folder that keeps the status; a run after a failed one goes on from it")
     p = sub.add_parser("publish")
     p.add_argument("src"), p.add_argument("dst")
     p.add_argument("--format", default="parquet"), p.add_argument("--domains", nargs="*")
+    p.add_argument("--recursive", action="store_true", help="publish the tables at any depth")
     args = ap.parse_args(argv)
 
     spark = get_session()
@@ -45,14 +48,14 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "run":
         from strata.operators.quality import run_summary
         from strata.plans.runner import run_all
-        status, policy = run_all(spark, args.bronze, args.silver, args.gold, workers=args.workers)
+        status, policy = run_all(spark, args.bronze, args.silver, args.gold, workers=args.workers, database=args.database, status_path=args.status)
         show(status)
         show(policy.where("status <> 'ok'"))
         show(run_summary(status))
-        failed = status.where("status = 'failed'").count()
+        failed = status.where("status IN ('failed', 'blocked')").count()
     elif args.cmd == "publish":
         from strata.sources.publish import publish_layer
-        st = publish_layer(spark, args.src, args.dst, fmt=args.format, domains=args.domains)
+        st = publish_layer(spark, args.src, args.dst, fmt=args.format, domains=args.domains, recursive=args.recursive)
         show(st)
         failed = st.where("status = 'failed'").count()
     return 1 if failed else 0

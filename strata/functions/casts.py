@@ -72,15 +72,29 @@ def to_timestamp_coerce(c, fmt: str | None = None, lo: str | None = NS_MIN, hi:
 
 
 def _exact_bigint(c: Column) -> Column:
-    """``'12'``, ``'12.0'``, ``'+12.000'`` and exponents to bigint without a detour through double; else null."""
+    """``'12'``, ``'12.0'``, ``'+12.000'`` and exponents to bigint, by their digits; else null.
+
+    With an exponent the point is shifted in the text, so no digit is rounded:
+    the number is whole if no digit but zeros stands behind the point.
+    """
     text = F.trim(c.cast("string"))
-    exact = text.try_cast("decimal(38,10)")
-    whole = F.when(exact == F.floor(exact), exact.try_cast("bigint"))
-    # more fraction digits than the decimal holds are integral only if they are all zeros
-    plain = F.regexp_replace(text, r"\.0*$", "")
-    fraction = text.rlike(r"\.[0-9]*[1-9]")
-    exponent = text.rlike("[eE]")
-    return F.coalesce(plain.try_cast("bigint"), F.when(exponent | ~fraction, whole))
+    zeros = F.when(text.rlike(r"^[+-]?[0-9]+\.0*$"), F.substring_index(text, ".", 1).try_cast("bigint"))
+    # a rare case of many steps: within an array function it stays out of the generated code
+    shifted = F.element_at(F.transform(F.array(text), _shifted_bigint), 1)
+    return F.coalesce(text.try_cast("bigint"), zeros, F.when(text.rlike("^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{1,9})?$"), shifted))
+
+
+def _shifted_bigint(text: Column) -> Column:
+    """A decimal number of the accepted shape to bigint if it is whole and of the type's range; else null."""
+    mantissa = F.regexp_replace(F.substring_index(F.lower(text), "e", 1), "^[+-]", "")
+    digits = F.replace(mantissa, F.lit("."), F.lit(""))
+    point = F.length(F.substring_index(mantissa, ".", 1)) + F.when(F.lower(text).contains("e"), F.substring_index(F.lower(text), "e", -1).try_cast("int")).otherwise(0)
+    whole = F.regexp_replace(digits, "0+$", "")
+    core = F.regexp_replace(whole, "^0+", "")
+    behind = point - F.length(whole)  # zeros between the last digit and the point
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    return (F.when(core == "", F.lit(0).cast("bigint"))
+            .when((behind >= 0) & (behind + F.length(core) <= 19), F.concat(sign, core, F.repeat(F.lit("0"), behind)).try_cast("bigint")))
 
 
 def nullable_bigint(c, strict: bool = True) -> Column:
@@ -95,26 +109,35 @@ def nullable_bigint(c, strict: bool = True) -> Column:
     if not strict:
         return value
     missing = c.isNull() | (F.lower(F.trim(c.cast("string"))) == "nan")
-    return F.when(value.isNotNull() | missing, value).otherwise(
-        F.raise_error(F.concat(F.lit("non-integral value for an integer column: "), c.cast("string")))).cast("bigint")
+    wrong = F.raise_error(F.concat(F.lit("non-integral value for an integer column: "), c.cast("string"))).cast("bigint")
+    return F.coalesce(value, F.when(~missing, wrong))
+
+
+def _number(c: Column) -> Column:
+    """Text to double if it is a decimal number or one of the words for infinity and not-a-number; else null.
+
+    The cast alone also takes type suffixes (``1d``, ``2f``) and hexadecimal.
+    """
+    if_text = F.trim(c.cast("string")).rlike(r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:nan|inf|infinity)$")
+    return F.when(if_text, c.try_cast("double"))
 
 
 def strict_double(c, strict: bool = True) -> Column:
     """Text to double; text that is no number is an error when ``strict``, else null."""
     c = _col(c)
-    value = c.try_cast("double")
+    value = _number(c)
     if not strict:
         return value
-    return F.when(value.isNotNull() | c.isNull(), value).otherwise(
-        F.raise_error(F.concat(F.lit("not a number for a double column: "), c.cast("string")))).cast("double")
+    wrong = F.raise_error(F.concat(F.lit("not a number for a double column: "), c.cast("string"))).cast("double")
+    return F.coalesce(value, F.when(c.isNotNull(), wrong))
 
 
-def cast_failed(c, kind: str) -> Column:
+def cast_failed(c, kind: str, fmt: str | None = None) -> Column:
     """Whether a value present in the source has none in the silver type (``kind`` as in a table definition)."""
     c = _col(c)
     present = c.isNotNull() & (F.lower(F.trim(c.cast("string"))) != "nan")
-    value = {"bigint": lambda: nullable_bigint(c, strict=False), "double": lambda: c.try_cast("double"),
-             "timestamp": lambda: to_timestamp_coerce(c), "number_text": lambda: c.try_cast("double")}.get(kind)
+    value = {"bigint": lambda: nullable_bigint(c, strict=False), "double": lambda: _number(c),
+             "timestamp": lambda: to_timestamp_coerce(c, fmt), "number_text": lambda: _number(c.cast("string"))}.get(kind)
     return present & value().isNull() if value else F.lit(False)
 
 
@@ -127,7 +150,7 @@ def number_to_text(c, integral: bool = False) -> Column:
     values (exponents, numeric columns) are written out from the double.
     """
     c = _col(c)
-    d = c.try_cast("double")
+    d = _number(c.cast("string"))
     valid = d.isNotNull() & ~F.isnan(d) & (F.abs(d) < float("inf"))
     text = F.trim(c.cast("string"))
     plain = text.rlike(r"^[+-]?[0-9]+(\.[0-9]*)?$")

@@ -494,14 +494,48 @@ _BIG = "o_orderkey + 9007199254740992"
 def _cast_failures_sql() -> str:
     n, none = "count(*)", "CAST(0 AS BIGINT)"
     back = "count(*) FILTER (WHERE o_orderkey % 9 = 0)"
-    rows = [("order_id", "bigint", n, none), ("customer_id", "bigint", n, "count(*) FILTER (WHERE o_orderkey % 10 = 0)"), ("salesperson_id", "bigint", n, none),
+    rows = [("order_id", "bigint", n, none), ("customer_id", "bigint", n, "count(*) FILTER (WHERE o_orderkey % 10 IN (0, 1))"), ("salesperson_id", "bigint", n, none),
             ("picked_by_id", "bigint", "count(*) FILTER (WHERE o_orderstatus <> 'O')", none), ("contact_person_id", "bigint", n, none),
             ("backorder_order_id", "bigint", back, none), ("order_date", "timestamp", n, none),
             ("expected_delivery_date", "timestamp", n, "count(*) FILTER (WHERE o_orderkey % 13 = 0 OR o_orderkey % 11 = 0)"),
             ("customer_po_number", "bigint", n, none), ("is_undersupply_backordered", "bigint", n, none),
             ("picking_completed_when", "timestamp", "count(*) FILTER (WHERE o_orderstatus = 'F')", none),
             ("last_edited_by", "bigint", n, none), ("last_edited_when", "timestamp", n, none)]
-    return "\nUNION ALL\n".join(f"""SELECT '{c}' AS "column", '{k}' AS kind, {v} AS "values", {f} AS failed FROM orders""" for c, k, v, f in rows)
+    lines = [(c, "bigint", n, none) for c in ("order_line_id", "order_id", "stock_item_id", "package_type_id", "quantity")]
+    lines += [("unit_price", "double", n, "count(*) FILTER (WHERE (l_orderkey * 100 + l_linenumber) % 8 IN (1, 2, 3))"), ("tax_rate", "double", n, none), ("picked_quantity", "bigint", n, none),
+              ("picking_completed_when", "timestamp", "count(*) FILTER (WHERE l_linestatus = 'F')", none), ("last_edited_by", "bigint", n, none), ("last_edited_when", "timestamp", n, none)]
+    return "\nUNION ALL\n".join(f"""SELECT '{c}' AS "column", '{k}' AS kind, {v} AS "values", {f} AS failed, '{name}' AS "table" FROM {source}"""
+                                for of, name, source in ((rows, "orders", "orders"), (lines, "order_lines", "lineitem")) for c, k, v, f in of)
+
+
+def _key_bitmaps_sql() -> str:
+    parts = []
+    for t, c, v in (("orders", "o_orderkey", "o_orderkey"), ("orders", "o_custkey", "CASE WHEN o_custkey % 10 <> 0 THEN o_custkey END"), ("lineitem", "l_orderkey", "l_orderkey"),
+                    ("part", "p_partkey", "p_partkey"), ("customer", "c_name", "c_name"), ("events", "user_id", "user_id")):
+        parts.append(f"""SELECT '{t}.{c}' AS "key", count(*) AS "rows", count(*) FILTER (WHERE {v} IS NULL) AS null_keys,
+            (SELECT count(*) FROM (SELECT {v} AS k FROM {t} WHERE {v} IS NOT NULL GROUP BY 1 HAVING count(*) > 1) AS d) AS duplicate_keys FROM {t}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _footer_overview_sql() -> str:
+    parts = []
+    for t, columns in TPCH_COLUMNS.items():
+        nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in columns)
+        parts.append(f"""SELECT 'testdata' AS layer, '{t}' AS "table", count(*) AS "rows", CAST({len(columns)} AS BIGINT) AS cols, {nulls} AS nulls FROM {t}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _run_resumed_sql() -> str:
+    parts = []
+    for run in (1, 2):
+        for t in SILVER_TABLE_ORDER:
+            late = run == 1 and t == "order_lines"
+            rows = "CAST(NULL AS BIGINT)" if late else f"(SELECT count(*) FROM ({RUN_SILVER[t]}) AS s)"
+            parts.append(f"SELECT CAST({run} AS INTEGER) AS run, 'silver' AS layer, '{t}' AS \"table\", '{'failed' if late else 'ok'}' AS status, {rows} AS \"rows\"")
+        for g, sql in GOLD_SQL.items():
+            late = run == 1 and g == "fact_orders"
+            parts.append(f"""SELECT {run}, 'gold', '{g}', '{'blocked' if late else 'ok'}', {'NULL' if late else f'(SELECT count(*) FROM ({with_ctes(sql, RUN_CTES)}) AS g)'}""")
+    return "\nUNION ALL\n".join(parts)
 
 
 def oracle_queries() -> dict[str, str]:
@@ -545,10 +579,11 @@ def oracle_queries() -> dict[str, str]:
         "run_all_status": _run_all_sql(),
         "run_fact_orders": with_ctes(GOLD_SQL["fact_orders"], RUN_CTES),
         "run_dim_customer": with_ctes(GOLD_SQL["dim_customer"], RUN_CTES),
-        "run_summary": """SELECT 'gold' AS layer, CAST(2 AS BIGINT) AS jobs, CAST(1 AS BIGINT) AS ok, CAST(1 AS BIGINT) AS failed, CAST(0 AS BIGINT) AS skipped
-            UNION ALL SELECT 'silver', 21, 21, 0, 0""",
+        "run_summary": """SELECT 'gold' AS layer, CAST(2 AS BIGINT) AS jobs, CAST(1 AS BIGINT) AS ok, CAST(1 AS BIGINT) AS failed, CAST(0 AS BIGINT) AS skipped, CAST(0 AS BIGINT) AS blocked
+            UNION ALL SELECT 'silver', 21, 21, 0, 0, 0""",
         "bigint_exact": f"""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 5 = 1 THEN {_BIG}
-            WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN NULL ELSE {_BIG} END AS id FROM orders""",
+            WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 17 = 0 THEN {_BIG} WHEN o_orderkey % 19 = 0 OR o_orderkey % 23 = 0 THEN NULL
+            WHEN o_orderkey % 29 = 0 THEN {_BIG} WHEN o_orderkey % 31 = 0 OR o_orderkey % 13 = 0 THEN NULL ELSE {_BIG} END AS id FROM orders""",
         "cast_failures": _cast_failures_sql(),
         "csv_fidelity": ODD_ROWS,
         "pass_through_rows": ODD_ROWS,
@@ -566,6 +601,28 @@ def oracle_queries() -> dict[str, str]:
         "join_growth": _join_growth_sql(),
         "contains_or_false": with_ctes("SELECT customer_id, COALESCE(contains(delivery_address_line1, '1'), false) AS has_one FROM s_customers"),
         "lookup_null_safe": with_ctes("""SELECT customer_id, delivery_city_id, COALESCE('city ' || CAST(delivery_city_id AS VARCHAR), 'none') AS label FROM s_customers"""),
+        "double_exact": """SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN NULL WHEN 3 THEN CAST(0.25 AS DOUBLE) WHEN 4 THEN NULL WHEN 5 THEN CAST(50 AS DOUBLE)
+            WHEN 6 THEN NULL ELSE l_extendedprice END AS price FROM lineitem""",
+        "csv_many_splits": ODD_ROWS,
+        "snapshot_rest": """SELECT CAST(o_orderkey AS VARCHAR) AS "OrderID", CAST(o_custkey AS VARCHAR) AS "CustomerID", strftime(o_orderdate, '%d/%m/%Y') AS "LastEditedWhen"
+            FROM orders WHERE year(o_orderdate) NOT IN (1996, 1997)""",
+        "silver_null_policy_fails": """SELECT 'clean' AS extract, 'ok' AS status, count(*) AS "rows", CAST(0 AS BIGINT) AS customer_nulls FROM orders
+            UNION ALL SELECT 'spoilt', 'failed', NULL, count(*) FILTER (WHERE o_orderkey % 3 = 0) FROM orders""",
+        "published_versions": """SELECT l_orderkey, l_linenumber, l_quantity, 'early' AS reader FROM lineitem WHERE l_linenumber <= 3
+            UNION ALL SELECT l_orderkey, l_linenumber, l_quantity + 1, 'late' FROM lineitem""",
+        "publish_nested": "\nUNION ALL\n".join(
+            f"""SELECT '{''.join(f'level{k}/' for k in range(i % 4))}{t}' AS "table", 'ok' AS status, count(*) AS "rows" FROM {t}""" for i, t in enumerate(TPCH_COLUMNS)),
+        "key_bitmaps": _key_bitmaps_sql(),
+        "footer_overview": _footer_overview_sql(),
+        "calendar_from_footers": with_ctes(GOLD_SQL["dim_calendar"]),
+        "inferred_dates": """SELECT o_orderkey AS order_id,
+            CASE WHEN o_orderkey = lead THEN TIMESTAMP '1995-12-25 00:00:00' WHEN o_orderkey % 10 <> 3 THEN o_orderdate END AS order_date,
+            CASE WHEN o_orderkey = lead THEN TIMESTAMP '1996-02-01 10:30:00' WHEN o_orderkey % 10 <> 4 THEN o_orderdate END AS picking_completed_when,
+            CASE WHEN o_orderkey % 4 <> 0 THEN o_orderdate END AS expected_delivery_date FROM (SELECT *, min(o_orderkey) OVER () AS lead FROM orders) AS o""",
+        "facts_of_a_period": with_ctes(f"""SELECT order_id, order_line_id, order_date, quantity FROM ({GOLD_SQL["fact_orders"]}) AS f
+            WHERE year(order_date) IN (1996, 1997) AND isodow(order_date) IN (6, 7)"""),
+        "run_resumed": _run_resumed_sql(),
+        "run_catalog": with_ctes(GOLD_SQL["fact_orders"], RUN_CTES),
         "register_views": "SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey",
     })
     return q

@@ -15,15 +15,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.casts import null_tokens_to_null, nullable_bigint, number_to_text, to_timestamp_coerce, truthy
+from strata.functions.casts import null_tokens_to_null, nullable_bigint, number_to_text, strict_double, to_timestamp_coerce, truthy
 from strata.operators.columns import dedup_columns, drop_empty_columns, drop_strict, rename_columns, select_strict
 from strata.operators.impute import impute_report
 from strata.operators.ingest import parse_first_format
 from strata.functions.text import contains_or_false
 from strata.operators.joins import lookup_join
-from strata.operators.quality import (duplicate_keys, file_sizes, join_growth, key_check, layer_overview, missing_ratio, null_counts,
+from strata.operators.quality import (check_key, duplicate_keys, file_sizes, key_check, layer_overview, missing_ratio, null_counts,
                                       run_summary, suspicious_dates, table_profile, table_sample, validate_nulls)
 from strata.plans import gold
+from strata.plans.by_year import read_period, write_by_year
 from strata.harness.bronze_tpch import bronze_order_lines, bronze_orders
 from strata.harness.extracts import bronze_extract
 from strata.plans.ingest_jobs import snapshot, split_batch
@@ -34,9 +35,12 @@ from strata.plans.specs import BY_NAME, TABLES
 from strata.harness.tpch import TPCH_TABLES, read_tpch, silver_tables
 from strata.session import scratch_dir
 from strata.streaming.incremental import BATCH_COLUMN, SOURCE_COLUMN, incremental_silver
+from strata.sources.catalog import CatalogTable
 from strata.sources.csv import map_null_tokens, read_csv_text, write_csv
-from strata.sources.parquet import read_table, register_views
-from strata.sources.publish import publish_tables
+from strata.sources.footers import footer_date_bounds, footer_overview
+from strata.sources.parquet import read_table, register_views, write_table
+from strata.sources.paths import find_files
+from strata.sources.publish import publish_layer, publish_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -194,7 +198,16 @@ def q_layer_sizes(spark, sf_dir):
     paths = {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TPCH_TABLES}
     sizes = {r["table"]: r["bytes"] for r in file_sizes(spark, paths).collect()}
     out = layer_overview({t: read_tpch(spark, sf_dir, t) for t in TPCH_TABLES}, "testdata", sizes)
-    return out.withColumn("has_size", F.col("size_kb") > 0).drop("size_kb")
+    listed = {t: find_files(spark, paths[t]).agg(F.sum("bytes")).first()[0] for t in TPCH_TABLES}
+    same = F.lit(False)
+    for t, size in listed.items():
+        same = F.when(F.col("table") == t, F.col("size_kb") == F.round(F.lit(size) / 1024.0, 1)).otherwise(same)
+    return out.withColumn("has_size", (F.col("size_kb") > 0) & same).drop("size_kb")
+
+
+def q_footer_overview(spark, sf_dir):
+    """Rows and missing values of the supplied tables, from their footers."""
+    return footer_overview(spark, {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TPCH_TABLES}, "testdata")
 
 
 def q_table_sample(spark, sf_dir):
@@ -209,13 +222,35 @@ def q_key_check(spark, sf_dir):
 
 
 def q_join_growth(spark, sf_dir):
-    """Rows after each join of the six joining gold jobs."""
-    tables, steps = silver_tables(spark, sf_dir), []
-    for name in gold.JOINING:
-        trace: list = []
-        gold.GOLD_BUILDERS[name](tables, trace=trace)
-        steps += [(f"{name}: {label}", df) for label, df in trace]
-    return join_growth(steps)
+    """Rows after each join of the six joining gold jobs, counted by the runs that write their tables."""
+    growth: dict = {}
+    status = run_gold(spark, silver_tables(spark, sf_dir), scratch_dir(spark, "growth"), list(gold.JOINING), growth=growth)
+    if any(r["status"] != "ok" for r in status):
+        raise RuntimeError(f"gold jobs failed: {status}")
+    return spark.createDataFrame([row for name in gold.JOINING for row in growth[name]], "step string, rows bigint")
+
+
+def q_key_bitmaps(spark, sf_dir):
+    """Keys of the supplied tables, single and shared ones, with and without nulls."""
+    parts = []
+    for t, c in (("orders", "o_orderkey"), ("orders", "o_custkey"), ("lineitem", "l_orderkey"), ("part", "p_partkey"), ("customer", "c_name"), ("events", "user_id")):
+        df = read_tpch(spark, sf_dir, t) if t in TPCH_TABLES else spark.read.parquet(f"{sf_dir}/{t}.parquet")
+        if c == "o_custkey":
+            df = df.withColumn(c, F.when(F.col(c) % 10 != 0, F.col(c)))
+        parts.append(check_key(df, c).select(F.lit(f"{t}.{c}").alias("key"), "rows", "null_keys", "duplicate_keys"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_calendar_from_footers(spark, sf_dir):
+    """The calendar of the written purchase tables, its bounds read from their footers."""
+    root = scratch_dir(spark, "footers")
+    tables = silver_tables(spark, sf_dir)
+    for name in gold.CALENDAR_SOURCES:
+        write_table(tables[name], f"{root}/{name}")
+    return gold.dim_calendar(tables, bounds=footer_date_bounds(spark, [(f"{root}/{t}", c) for t, c in gold.CALENDAR_SOURCES.items()]))
 
 
 def q_contains_or_false(spark, sf_dir):
@@ -295,6 +330,26 @@ def q_publish_rows(spark, sf_dir):
     return spark.read.parquet(f"{dst}/lineitem.parquet")
 
 
+def q_publish_nested(spark, sf_dir):
+    """Tables at several depths, found by their files and published."""
+    root, dst = scratch_dir(spark, "nested"), scratch_dir(spark, "publish")
+    for i, t in enumerate(TPCH_TABLES):
+        write_table(read_tpch(spark, sf_dir, t), "/".join([root, *(f"level{k}" for k in range(i % 4)), t]))
+    return publish_layer(spark, root, dst, recursive=True).drop("error")
+
+
+def q_published_versions(spark, sf_dir):
+    """Line items as read by a reader that came before a second version was published, and by a later one."""
+    lines = read_tpch(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    root = scratch_dir(spark, "versions")
+    table = CatalogTable("strata_" + root.rsplit("-", 1)[1], "lines", root)
+    write_table(lines.where("l_linenumber <= 3"), table)
+    early = read_table(spark, table)
+    write_table(lines.withColumn("l_quantity", F.col("l_quantity") + 1), table)
+    late = read_table(spark, table)
+    return early.withColumn("reader", F.lit("early")).unionByName(late.withColumn("reader", F.lit("late")))
+
+
 #: Text that CSV must keep: line breaks, delimiters, quotes, blanks and both kinds of nothing.
 ODD_TEXT = ("plain", "two\nlines", "a;b,c", 'say "hi"', "  lead and trail  ", "", "\ttab\t", "a\r\nb", '"', ",")
 
@@ -313,6 +368,20 @@ def q_csv_fidelity(spark, sf_dir):
     return read_csv_text(spark, f"{root}/odd.csv")
 
 
+def q_csv_many_splits(spark, sf_dir):
+    """Odd text in files cut into splits of a few kilobytes, read in parallel through the silver reader."""
+    root = scratch_dir(spark, "splits")
+    write_csv(_odd_rows(spark, sf_dir), f"{root}/odd.csv", sep=";")
+    other = spark.newSession()
+    other.conf.set("spark.sql.files.maxPartitionBytes", "16KB")
+    other.conf.set("spark.sql.files.openCostInBytes", "1KB")
+    rows = read_csv_text(other, f"{root}/odd.csv")
+    if rows.rdd.getNumPartitions() < 2:
+        raise RuntimeError("the file was not cut")
+    write_table(rows, f"{root}/odd.parquet")
+    return read_table(spark, f"{root}/odd.parquet")
+
+
 def q_pass_through_rows(spark, sf_dir):
     """Odd text through the pass-through copy of an ingest batch."""
     root = scratch_dir(spark, "pass")
@@ -329,13 +398,38 @@ def q_snapshot_rows(spark, sf_dir):
     return read_csv_text(spark, f"{root}/bronze/upcoming/sales.order.csv").select("OrderID", "CustomerID", "ExpectedDeliveryDate", "LastEditedWhen")
 
 
+def q_snapshot_rest(spark, sf_dir):
+    """The order extract's rows beyond the years of the split batch."""
+    root = scratch_dir(spark, "snapshot-rest")
+    _raw_extract(spark, sf_dir, root)
+    snapshot(spark, f"{root}/raw", f"{root}/bronze", label="upcoming", exclude_years=SPLIT_YEARS).collect()
+    return read_csv_text(spark, f"{root}/bronze/upcoming/sales.order.csv").select("OrderID", "CustomerID", "LastEditedWhen")
+
+
+def q_silver_null_policy_fails(spark, sf_dir):
+    """Status of silver jobs that must hold no null in required columns, over an extract of orders that does."""
+    root = scratch_dir(spark, "null-fail")
+    tdef, out = BY_NAME["orders"], []
+    for label, spoilt in (("clean", False), ("spoilt", True)):
+        rows = bronze_extract(spark, sf_dir, "orders")
+        if spoilt:
+            rows = rows.withColumn("CustomerID", F.when(F.col("OrderID").cast("bigint") % 3 == 0, F.lit("NA")).otherwise(F.col("CustomerID")))
+        write_csv(rows, f"{root}/{label}/{tdef.bronze_file}")
+        status, policy = build_silver(spark, tdef, f"{root}/{label}", f"{root}/silver-{label}", fail_on_nulls=True)
+        nulls = {p[1]: p[4] for p in policy if p[2] == "required"}
+        out.append((label, status["status"], status["rows"], nulls["customer_id"]))
+    return spark.createDataFrame(out, "extract string, status string, rows bigint, customer_nulls bigint")
+
+
 # ------------------------------------------------------------ exact casts
 
 def _big_numbers(spark, sf_dir):
     k = F.col("o_orderkey")
     big = (k + 9007199254740992).cast("string")
     return _orders(spark, sf_dir).select("o_orderkey", F.when(k % 5 == 0, F.lit("abc")).when(k % 5 == 1, F.concat(big, F.lit(".0"))).when(k % 7 == 0, F.lit("1,234"))
-                                         .when(k % 11 == 0, F.lit("12.5")).when(k % 13 != 0, big).alias("n"))
+                                         .when(k % 11 == 0, F.lit("12.5")).when(k % 17 == 0, F.concat(big, F.lit("00e-2"))).when(k % 19 == 0, F.lit("1e-11"))
+                                         .when(k % 23 == 0, F.lit("1.00000000001e0")).when(k % 29 == 0, F.concat(F.lit("0."), big, F.lit("E+16")))
+                                         .when(k % 31 == 0, F.lit("1e19")).when(k % 13 != 0, big).alias("n"))
 
 
 def q_bigint_exact(spark, sf_dir):
@@ -346,8 +440,49 @@ def q_bigint_exact(spark, sf_dir):
 def q_cast_failures(spark, sf_dir):
     """Values of an order extract that have no silver value, by column."""
     k = F.col("OrderID").cast("bigint")
-    spoilt = bronze_orders(read_tpch(spark, sf_dir, "orders")).withColumn("CustomerID", F.when(k % 10 == 0, F.lit("abc")).otherwise(F.col("CustomerID")))
-    return cast_failures(map_null_tokens(spoilt), BY_NAME["orders"])
+    spoilt = bronze_orders(read_tpch(spark, sf_dir, "orders")).withColumn("CustomerID", F.when(k % 10 == 0, F.lit("abc")).when(k % 10 == 1, F.lit("1e-11")).otherwise(F.col("CustomerID")))
+    orders = cast_failures(map_null_tokens(spoilt), BY_NAME["orders"]).withColumn("table", F.lit("orders"))
+    price = F.col("UnitPrice")
+    number = F.col("OrderLineID").cast("bigint") % 8
+    lines = bronze_order_lines(read_tpch(spark, sf_dir, "lineitem")).withColumn(
+        "UnitPrice", F.when(number == 1, F.concat(price, F.lit("d"))).when(number == 2, F.lit("2f")).when(number == 3, F.lit("0x1p3")).when(number == 4, F.lit("-inf")).otherwise(price))
+    return orders.unionByName(cast_failures(map_null_tokens(lines), BY_NAME["order_lines"]).withColumn("table", F.lit("order_lines")))
+
+
+def q_double_exact(spark, sf_dir):
+    """Prices with exponents and signs, and text that only looks like a number."""
+    li = read_tpch(spark, sf_dir, "lineitem")
+    text = F.col("l_extendedprice").cast("string")
+    n = F.col("l_linenumber")
+    odd = (F.when(n == 1, F.concat(text, F.lit("d"))).when(n == 2, F.concat(F.lit(" +"), text, F.lit(" "))).when(n == 3, F.lit("2.5e-1"))
+           .when(n == 4, F.lit("0x1p3")).when(n == 5, F.lit(".5E+2")).when(n == 6, F.lit("1e")).otherwise(text))
+    return li.select("l_orderkey", "l_linenumber", strict_double(odd, strict=False).alias("price"))
+
+
+def q_inferred_dates(spark, sf_dir):
+    """Orders through the silver job with formats by first values: day first, month first, and strays of other forms."""
+    root, tdef = scratch_dir(spark, "formats"), BY_NAME["orders"]
+    k = F.col("OrderID").cast("bigint")
+    day = F.to_timestamp("LastEditedWhen")
+    lead = read_tpch(spark, sf_dir, "orders").agg(F.min("o_orderkey")).first()[0]
+    rows = bronze_orders(read_tpch(spark, sf_dir, "orders")).withColumns({
+        "OrderDate": F.when(k == lead, F.lit("25/12/1995")).when(k % 10 == 3, F.date_format(day, "yyyy-MM-dd")).otherwise(F.date_format(day, "dd/MM/yyyy")),
+        "PickingCompletedWhen": F.when(k == lead, F.lit("02/01/1996 10:30")).when(k % 10 == 4, F.lit("13/13/1996 00:00")).otherwise(F.date_format(day, "MM/dd/yyyy HH:mm")),
+        "ExpectedDeliveryDate": F.when(k % 4 == 0, F.lit(None)).otherwise(F.date_format(day, "yyyyMMdd"))})
+    write_csv(rows.orderBy(k), f"{root}/bronze/{tdef.bronze_file}")
+    status, _ = build_silver(spark, tdef, f"{root}/bronze", f"{root}/silver", infer_dates=True)
+    if status["status"] != "ok":
+        raise RuntimeError(f"silver job failed: {status}")
+    return read_table(spark, f"{root}/silver/{tdef.output_path}").select("order_id", "order_date", "picking_completed_when", "expected_delivery_date")
+
+
+def q_facts_of_a_period(spark, sf_dir):
+    """Order lines of the weekends of two years, from a fact table stored by year."""
+    tables, root = silver_tables(spark, sf_dir), scratch_dir(spark, "by-year")
+    write_by_year(gold.fact_orders(tables), f"{root}/fact_orders", "order_date")
+    calendar = gold.dim_calendar(tables)
+    out = read_period(spark, f"{root}/fact_orders", "order_date", calendar, f"is_weekend AND year IN ({SPLIT_YEARS[0]}, {SPLIT_YEARS[1]})")
+    return out.select("order_id", "order_line_id", "order_date", "quantity")
 
 
 # ------------------------------------------------------------------ whole run
@@ -390,6 +525,34 @@ def q_run_summary(spark, sf_dir):
     return run_summary(spark.createDataFrame([(r["layer"], r["status"]) for r in silver + made], "layer string, status string"))
 
 
+def q_run_resumed(spark, sf_dir):
+    """A run that lacks the extract of order lines, and the run that goes on from it once the extract is there."""
+    root = scratch_dir(spark, "resumed")
+    late = BY_NAME["order_lines"]
+    for t in TABLES:
+        if t.name != late.name:
+            write_csv(bronze_extract(spark, sf_dir, t.name), f"{root}/bronze/{t.bronze_file}")
+    roots = (f"{root}/bronze", f"{root}/silver", f"{root}/gold")
+    first, _ = run_all(spark, *roots, workers=4, status_path=f"{root}/status")
+    out = [(1, r["layer"], r["table"], r["status"], r["rows"]) for r in first.collect()]
+    write_csv(bronze_extract(spark, sf_dir, late.name), f"{root}/bronze/{late.bronze_file}")
+    second, _ = run_all(spark, *roots, workers=4, status_path=f"{root}/status")
+    out += [(2, r["layer"], r["table"], r["status"], r["rows"]) for r in second.collect()]
+    return spark.createDataFrame(out, "run int, layer string, table string, status string, rows bigint")
+
+
+def q_run_catalog(spark, sf_dir):
+    """The order facts of a whole run published by catalog entries."""
+    root = scratch_dir(spark, "catalog-run")
+    _write_extracts(spark, sf_dir, root)
+    database = "strata_" + root.rsplit("-", 1)[1]
+    status, _ = run_all(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold", workers=4, database=database)
+    bad = status.where("status <> 'ok'").collect()
+    if bad:
+        raise RuntimeError(f"failed jobs: {bad}")
+    return spark.table(f"{database}_gold.fact_orders")
+
+
 def q_silver_run_status(spark, sf_dir):
     """All 21 silver jobs over their extracts, one of which lacks its file."""
     root = scratch_dir(spark, "silver-run")
@@ -454,6 +617,19 @@ def registry() -> dict[str, Query]:
         "contains_or_false": q_contains_or_false,
         "lookup_null_safe": q_lookup_null_safe,
         "register_views": q_register_views,
+        "double_exact": q_double_exact,
+        "snapshot_rest": q_snapshot_rest,
+        "silver_null_policy_fails": q_silver_null_policy_fails,
+        "csv_many_splits": q_csv_many_splits,
+        "published_versions": q_published_versions,
+        "publish_nested": q_publish_nested,
+        "key_bitmaps": q_key_bitmaps,
+        "footer_overview": q_footer_overview,
+        "calendar_from_footers": q_calendar_from_footers,
+        "inferred_dates": q_inferred_dates,
+        "facts_of_a_period": q_facts_of_a_period,
+        "run_resumed": q_run_resumed,
+        "run_catalog": q_run_catalog,
     })
     return q
 

@@ -56,9 +56,10 @@ def parse_first_format(df: DataFrame, col: str, formats: Sequence[str] = SPLIT_F
 
 def split_by_year(df: DataFrame, col: str, start_year: int, end_year: int,
                   formats: Sequence[str] = SPLIT_FORMATS, on_unparsed: str = "raise",
-                  fmt: str | None = None) -> DataFrame:
+                  fmt: str | None = None, outside: bool = False) -> DataFrame:
     """Rows whose date in ``col`` falls in [start_year, end_year]; null dates are dropped.
 
+    With ``outside`` it is the other rows, those without a date among them.
     The parsed column ``<col>_parsed`` is kept.  When no format fits, raise
     (default) or, with ``on_unparsed='keep'``, return every row unfiltered.
     A known ``fmt`` skips the detection pass.
@@ -76,4 +77,4 @@ def split_by_year(df: DataFrame, col: str, start_year: int, end_year: int,
     # a timestamp range (rather than year()) keeps the predicate pushable on typed sources
     lo = F.make_timestamp_ntz(F.lit(start_year), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
     hi = F.make_timestamp_ntz(F.lit(end_year + 1), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-    return df.where((ts >= lo) & (ts < hi))
+    return df.where(ts.isNull() | (ts < lo) | (ts >= hi)) if outside else df.where((ts >= lo) & (ts < hi))

@@ -62,7 +62,7 @@ def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | N
 
 def header_detail_join(header: DataFrame, detail: DataFrame, key: str,
                        detail_cols: Sequence[str] | Mapping[str, str],
-                       detail_key: str | None = None) -> DataFrame:
+                       detail_key: str | None = None, observed: bool = False) -> DataFrame:
     """Every header row with each of its detail rows; headers without details once, with nulls.
 
     Same rows as ``header LEFT JOIN detail``, built as inner join + anti join
@@ -84,6 +84,11 @@ def header_detail_join(header: DataFrame, detail: DataFrame, key: str,
     hk = F.col(f"`{key}`")
     nulls = [F.lit(None).cast(types[d]).alias(d) for d in amap.values()]
     columns = [F.col(f"`{c}`") for c in header.columns]
+    if observed:
+        given = right.where(F.col(k).isNotNull())
+        matched = header.join(given, hk.eqNullSafe(F.col(k)), "inner").drop(k)
+        unmatched = header.join(given.select(k).distinct(), hk.eqNullSafe(F.col(k)), "left_anti").select(*columns, *nulls)
+        return matched.unionByName(unmatched)
     keyed = header.where(hk.isNotNull())
     matched = keyed.join(right, hk == F.col(k), "inner").drop(k)
     keys = right.select(k).where(F.col(k).isNotNull()).distinct()

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.casts import to_timestamp_coerce
@@ -137,17 +138,60 @@ def key_check(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> DataF
     parts = []
     for name, df in tables.items():
         k = keys[name]
-        per_key = df.groupBy(_q(k).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-                                 F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
-                                 F.count_if(F.col("k").isNotNull() & (F.col("n") > 1)).alias("duplicate_keys"))
-                     .select(F.lit(name).alias("table"), F.lit(k).alias("key"), "rows", "null_keys", "duplicate_keys"))
+        parts.append(check_key(df, k).select(F.lit(name).alias("table"), F.lit(k).alias("key"), "rows", "null_keys", "duplicate_keys"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.orderBy("table")
 
 
+#: Bytes of a bitmap, values that it covers, and bytes that a key costs when it is shuffled with its count.
+BITMAP_BYTES, BITMAP_VALUES, KEY_BYTES = 4096, 32768, 16
+
+
+def bitmap_cost(df: DataFrame, key: str) -> dict:
+    """``rows``, ``null_keys`` and ``bitmaps``, the bitmaps that the tasks of a scan would send.
+
+    A task sends a bitmap for every run of 32768 values that its keys touch, at
+    most those between its smallest and its largest key.
+    """
+    bucket = F.bitmap_bucket_number(_q(key).cast("bigint"))
+    tasks = df.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"), F.count(_q(key)).alias("keys"), F.min(bucket).alias("lo"), F.max(bucket).alias("hi"))
+    row = tasks.agg(F.sum("n").alias("rows"), F.sum("keys").alias("keys"), F.sum(F.least(F.col("hi") - F.col("lo") + 1, F.col("keys"))).alias("bitmaps")).first()
+    rows = row["rows"] or 0
+    return {"rows": rows, "null_keys": rows - (row["keys"] or 0), "bitmaps": row["bitmaps"] or 0}
+
+
+def key_bitmaps(df: DataFrame, key: str) -> DataFrame:
+    """(bucket, n, different): of each run of 32768 key values how many rows have one, and how many values occur."""
+    k = _q(key).cast("bigint")
+    return (df.where(_q(key).isNotNull()).groupBy(F.bitmap_bucket_number(k).alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("n"), F.bitmap_construct_agg(F.bitmap_bit_position(k)).alias("bits"))
+            .select("bucket", "n", F.bitmap_count("bits").alias("different")))
+
+
+def check_key(df: DataFrame, key: str, cost: Mapping[str, int] | None = None) -> DataFrame:
+    """(rows, null_keys, duplicate_keys) of a table's key, without shuffling the keys where that can be saved.
+
+    Whole-number keys that lie close together in every task, as those written
+    in order do, are marked in bitmaps; only the keys of runs in which a value
+    occurs more than once are grouped.  Where bitmaps would be larger than the
+    keys, and for other types, all keys are grouped.  Runs the scan that tells
+    (``bitmap_cost``) at once unless its result is given.
+    """
+    whole = df.schema[key].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    cost = cost or (bitmap_cost(df, key) if whole else None)
+    if cost is None or cost["bitmaps"] * BITMAP_BYTES > cost["rows"] * KEY_BYTES:
+        per_key = df.groupBy(_q(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        return per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+                           F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
+                           F.count_if(F.col("k").isNotNull() & (F.col("n") > 1)).alias("duplicate_keys"))
+    crowded = key_bitmaps(df, key).where("n > different").select(F.col("bucket").alias("crowded"))
+    suspects = df.select(_q(key).alias("k")).join(crowded, F.bitmap_bucket_number(F.col("k").cast("bigint")) == F.col("crowded"), "left_semi")
+    return (suspects.groupBy("k").agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"))
+            .select(F.lit(cost["rows"]).cast("bigint").alias("rows"), F.lit(cost["null_keys"]).cast("bigint").alias("null_keys"), "duplicate_keys"))
+
+
 def join_growth(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """(step, rows): row counts of a job's intermediate tables, in order, to see which join adds or loses rows."""
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(i).alias("at"), F.lit(label).alias("step"), "rows")
@@ -158,6 +202,35 @@ def join_growth(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     return out.orderBy("at").select("step", "rows")
 
 
+class JoinGrowth:
+    """Row counts after each join, gathered by the run that writes the result.
+
+    ``note`` puts a named observation behind a join; where a plan reads a noted
+    table in two branches both see all of its rows, so one count is kept.
+    """
+
+    def __init__(self, job: str):
+        self.job = job
+        self._noted: list[tuple[str, Observation]] = []
+
+    def note(self, label: str, df: DataFrame) -> DataFrame:
+        seen = Observation(f"{self.job} {label} {len(self._noted)}")
+        self._noted.append((label, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    def rows(self) -> list[tuple[str, int]]:
+        """(step, rows) in order, once the run is done."""
+        return [(f"{self.job}: {label}", self._count(seen)) for label, seen in self._noted]
+
+    @staticmethod
+    def _count(seen: Observation) -> int:
+        try:
+            return int(seen.get["rows"])
+        except Py4JJavaError:
+            # the part of the plan that held it was found to be empty and did not run
+            return 0
+
+
 def is_date_like_name(name: str, whole_token: bool = False) -> bool:
     low = name.lower()
     if whole_token:
@@ -208,9 +281,10 @@ def table_sample(df: DataFrame, n: int = 2, order_by: Sequence[str] | None = Non
 
 
 def run_summary(status: DataFrame) -> DataFrame:
-    """Per layer: jobs, ok, failed (or missing), skipped (from a run status table)."""
+    """Per layer: jobs, ok, failed (or missing), skipped, blocked by a failed input (from a run status table)."""
     return status.groupBy("layer").agg(
         F.count(F.lit(1)).alias("jobs"),
         F.count_if(F.col("status") == "ok").alias("ok"),
         F.count_if(F.col("status").isin("failed", "missing")).alias("failed"),
-        F.count_if(F.col("status") == "skipped_empty").alias("skipped")).orderBy("layer")
+        F.count_if(F.col("status") == "skipped_empty").alias("skipped"),
+        F.count_if(F.col("status") == "blocked").alias("blocked")).orderBy("layer")

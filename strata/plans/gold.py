@@ -20,20 +20,34 @@ from strata.operators.calendar import calendar_dim, date_bounds
 from strata.operators.columns import dedup_columns, rename_columns, select_strict
 from strata.operators.impute import fill_constants, fill_from_parent_then_mean
 from strata.operators.joins import header_detail_join, lookup_join
+from strata.operators.quality import JoinGrowth
 
 Tables = Mapping[str, DataFrame]
-Trace = list | None
+Trace = list | JoinGrowth | None
 
 
 def _step(df: DataFrame, trace: Trace, label: str) -> DataFrame:
-    """Note the table after a join as (label, table) when a trace is asked for; the plan is the same.
+    """Note the table after a join when a trace is asked for.
 
-    ``quality.join_growth`` counts the noted tables.
+    A list takes (label, table), and the plan is the same: ``quality.join_growth``
+    counts the noted tables.  A ``JoinGrowth`` has the rows counted by the run
+    that is made anyway.
     """
+    if isinstance(trace, JoinGrowth):
+        return trace.note(label, df)
     if trace is not None:
         trace.append((label, df))
     return df
 
+
+def _fan_out(trace: Trace, header: DataFrame, detail: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    return header_detail_join(header, detail, key, columns, observed=isinstance(trace, JoinGrowth))
+
+
+def _keep(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns that a job uses; counting rows on the way would keep Spark from leaving out the others."""
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c in columns])
+
 # Gold column lists and renames of the warehouse contract.
 CUSTOMER_COLUMNS = [
     "customer_id", "customer_name", "full_name", "email_address", "phone_number",
@@ -169,11 +183,11 @@ CALENDAR_SOURCES = {
 
 def responsible_market(tables: Tables, trace: Trace = None) -> DataFrame:
     """provinces -> countries, then fan out to cities (provinces without a city kept)."""
-    m = _step(tables["provinces"], trace, "provinces")
+    m = _step(_keep(tables["provinces"], *GEOGRAPHY_COLUMNS), trace, "provinces")
     m = lookup_join(m, tables["countries"], "country_id",
                     attrs=["country_name", "iso_alpha3_code", "continent", "region", "subregion"])
     m = _step(m, trace, "provinces + countries")
-    return _step(header_detail_join(m, tables["cities"], "state_province_id", ["city_id", "city_name"]), trace, "provinces + cities")
+    return _step(_fan_out(trace, m, tables["cities"], "state_province_id", ["city_id", "city_name"]), trace, "provinces + cities")
 
 
 def dim_geography(tables: Tables, trace: Trace = None) -> DataFrame:
@@ -184,7 +198,8 @@ def dim_geography(tables: Tables, trace: Trace = None) -> DataFrame:
 def customer_base(tables: Tables, customers: DataFrame | None = None, trace: Trace = None) -> DataFrame:
     """Customers with delivery method, market and contact attached (the 25 dimension columns)."""
     market = responsible_market(tables, trace)
-    df = _step(customers if customers is not None else tables["customers"], trace, "customers")
+    df = customers if customers is not None else tables["customers"]
+    df = _step(_keep(df, *CUSTOMER_COLUMNS, "delivery_method_id", "delivery_city_id", "primary_contact_person_id"), trace, "customers")
     df = lookup_join(df, tables["delivery_methods"], "delivery_method_id", attrs=["delivery_method_name"])
     df = _step(df, trace, "customers + delivery methods")
     df = lookup_join(df, market, "delivery_city_id", "city_id",
@@ -223,7 +238,7 @@ def dim_people(tables: Tables) -> DataFrame:
 
 
 def dim_stock_item(tables: Tables, trace: Trace = None) -> DataFrame:
-    df = _step(tables["stock_items"], trace, "stock items")
+    df = _step(_keep(tables["stock_items"], *STOCK_ITEM_COLUMNS, "color_id", "unit_package_id", "outer_package_id"), trace, "stock items")
     df = lookup_join(df, tables["colors"], "color_id", attrs={"color_name": "color"})
     df = _step(df, trace, "stock items + colors")
     df = lookup_join(df, tables["package_types"], "unit_package_id", "package_type_id",
@@ -237,7 +252,8 @@ def dim_stock_item(tables: Tables, trace: Trace = None) -> DataFrame:
 
 
 def dim_supplier(tables: Tables, trace: Trace = None) -> DataFrame:
-    df = _step(tables["suppliers"], trace, "suppliers")
+    df = _keep(tables["suppliers"], *SUPPLIER_COLUMNS, "delivery_method_id", "primary_contact_person_id", "delivery_city_id", "postal_city_id")
+    df = _step(df, trace, "suppliers")
     df = lookup_join(df, tables["delivery_methods"], "delivery_method_id", attrs=["delivery_method_name"])
     df = _step(df, trace, "suppliers + delivery methods")
     # the contact's phone, not the supplier's own number
@@ -254,24 +270,24 @@ def dim_supplier(tables: Tables, trace: Trace = None) -> DataFrame:
 
 
 def fact_orders(tables: Tables, trace: Trace = None) -> DataFrame:
-    df = _step(tables["orders"], trace, "orders")
+    df = _step(_keep(tables["orders"], *FACT_ORDERS_COLUMNS, "salesperson_id", "contact_person_id"), trace, "orders")
     df = lookup_join(df, tables["customers"], "customer_id", attrs=["customer_name"])
     df = _step(df, trace, "orders + customers")
     df = lookup_join(df, tables["people"], "salesperson_id", "person_id", attrs={"full_name": "sales_person"}, few_keys=True)
     df = _step(df, trace, "orders + salespeople")
     df = lookup_join(df, tables["people"], "contact_person_id", "person_id", attrs={"full_name": "contact_person"})
     df = _step(df, trace, "orders + contacts")
-    df = header_detail_join(df, tables["order_lines"], "order_id", ORDER_LINE_COLUMNS)
+    df = _fan_out(trace, df, tables["order_lines"], "order_id", ORDER_LINE_COLUMNS)
     df = _step(df, trace, "orders + order lines")
     df = select_strict(df, FACT_ORDERS_COLUMNS)
     return rename_columns(df, FACT_ORDERS_RENAME)
 
 
 def fact_purchases(tables: Tables, trace: Trace = None) -> DataFrame:
-    df = _step(tables["purchase_orders"], trace, "purchase orders")
+    df = _step(_keep(tables["purchase_orders"], *FACT_PURCHASES_COLUMNS, "contact_person_id"), trace, "purchase orders")
     df = lookup_join(df, tables["people"], "contact_person_id", "person_id", attrs={"full_name": "contact_person"})
     df = _step(df, trace, "purchase orders + contacts")
-    df = header_detail_join(df, tables["purchase_order_lines"], "purchase_order_id", PURCHASE_LINE_COLUMNS)
+    df = _fan_out(trace, df, tables["purchase_order_lines"], "purchase_order_id", PURCHASE_LINE_COLUMNS)
     df = _step(df, trace, "purchase orders + purchase order lines")
     df = select_strict(dedup_columns(df), FACT_PURCHASES_COLUMNS)
     df = df.withColumn("is_order_finalized", truthy("is_order_finalized"))
@@ -282,7 +298,10 @@ def fact_purchases(tables: Tables, trace: Trace = None) -> DataFrame:
 JOINING = ("dim_customer", "dim_geography", "dim_stock_item", "dim_supplier", "fact_orders", "fact_purchases")
 
 
-def dim_calendar(tables: Tables, sources: Mapping[str, list[str]] | None = None) -> DataFrame:
+def dim_calendar(tables: Tables, sources: Mapping[str, list[str]] | None = None, bounds: DataFrame | None = None) -> DataFrame:
+    """The days of the years of the sources' dates; ``bounds`` if they are known, as from Parquet footers."""
+    if bounds is not None:
+        return calendar_dim(bounds)
     sources = sources or CALENDAR_SOURCES
     return calendar_dim(date_bounds([(tables[t], cols) for t, cols in sources.items() if t in tables]))
 

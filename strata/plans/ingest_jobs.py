@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators.ingest import SPLIT_FORMATS, choose_format, failure_counts, first_fitting, split_by_year
 from strata.plans.specs import SPLIT_DATE_COLUMNS
@@ -41,9 +42,11 @@ def _err(e: Exception) -> str:
 
 def split_table(spark: SparkSession, raw_dir: str, bronze_dir: str, table: str, date_col: str,
                 start_year: int, end_year: int, label: str, on_unparsed: str = "raise",
-                formats: Sequence[str] = SPLIT_FORMATS) -> tuple:
+                formats: Sequence[str] = SPLIT_FORMATS, outside: bool = False) -> tuple:
     """Split one table, in a single read unless the first rows mislead about its date format.
 
+    With ``outside`` the rows beyond the window are written, as they are.
+
     The format is guessed from the first rows and every format's failures are
     observed over all rows while the window is written beside its place.  If
     the guess failed on some value, the window is written again with the first
@@ -59,8 +62,8 @@ def split_table(spark: SparkSession, raw_dir: str, bronze_dir: str, table: str,
 
     def window(fmt: str, accept: Callable[[dict], bool] | None) -> dict:
         obs = Observation(f"formats_{table}")
-        found = write_csv(split_by_year(df.observe(obs, *failure_counts(date_col, formats)), date_col, start_year, end_year, fmt=fmt),
-                          out, skip_empty=True, publish=accept and (lambda: accept(obs.get)))
+        rows = split_by_year(df.observe(obs, *failure_counts(date_col, formats)), date_col, start_year, end_year, fmt=fmt, outside=outside)
+        found = write_csv(rows.select(*[F.col(f"`{c}`") for c in df.columns]) if outside else rows, out, skip_empty=True, publish=accept and (lambda: accept(obs.get)))
         return {"rows": found, **obs.get}
 
     seen = window(guess, lambda m: first_fitting(m, formats) is not None and not m[f"f{formats.index(guess)}"])
@@ -110,10 +113,24 @@ def pass_through(spark: SparkSession, raw_dir: str, bronze_dir: str, label: str,
 
 
 def snapshot(spark: SparkSession, raw_dir: str, bronze_dir: str, label: str = "upcoming",
-             tables: Mapping[str, str] | None = None) -> DataFrame:
-    """Unfiltered copies of the date-tracked tables."""
+             tables: Mapping[str, str] | None = None, exclude_years: tuple[int, int] | None = None) -> DataFrame:
+    """Unfiltered copies of the date-tracked tables.
+
+    ``exclude_years`` (first, last) leaves out the rows of these years, so that
+    the snapshot doesn't repeat a batch that was split by the same window; rows
+    without a date stay.
+    """
     tables = dict(tables or SPLIT_DATE_COLUMNS)
     present = {n[:-4] for n in list_entries(spark, raw_dir, ".csv")}
-    out = [_copy(spark, raw_dir, bronze_dir, label, t) if t in present
-           else (label, t, "missing", None, "raw file not found") for t in tables]
+    out = []
+    for t, col in tables.items():
+        if t not in present:
+            out.append((label, t, "missing", None, "raw file not found"))
+        elif exclude_years is None:
+            out.append(_copy(spark, raw_dir, bronze_dir, label, t))
+        else:
+            try:
+                out.append(split_table(spark, raw_dir, bronze_dir, t, col, *exclude_years, label, outside=True))
+            except Exception as e:  # noqa: BLE001 - one table's failure does not stop the snapshot
+                out.append((label, t, "failed", None, _err(e)))
     return spark.createDataFrame(out, STATUS_SCHEMA)

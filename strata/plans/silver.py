@@ -10,31 +10,39 @@ pass.
 from __future__ import annotations
 
 import time
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.casts import cast_failed, nullable_bigint, number_to_text, strict_double, to_timestamp_coerce
+from strata.functions.formats import inferred_formats
 from strata.operators.columns import empty_columns, rename_columns
 from strata.operators.quality import is_missing
 from strata.plans.specs import TableDef
+from strata.sources.catalog import CatalogTable
 from strata.sources.csv import read_bronze
 from strata.sources.parquet import write_table
 
 
-def _cast(c: Column, kind: str, strict: bool) -> Column:
+#: Column by which a bronze table's rows are put in file order.
+PLACE = "__place"
+
+
+def _cast(c: Column, kind: str, strict: bool, fmt: str | None = None) -> Column:
     if kind == "bigint":
         return nullable_bigint(c, strict)
     if kind == "double":
         return strict_double(c, strict)
     if kind == "timestamp":
-        return to_timestamp_coerce(c)
+        return to_timestamp_coerce(c, fmt)
     if kind == "number_text":
         return number_to_text(c)
     return c.cast("string")
 
 
-def clean_silver(bronze: DataFrame, tdef: TableDef, drop_empty: bool = False, strict: bool = True) -> DataFrame:
+def clean_silver(bronze: DataFrame, tdef: TableDef, drop_empty: bool = False, strict: bool = True,
+                 formats: Mapping[str, str | None] | None = None) -> DataFrame:
     """Typed silver table from a bronze text table, lazily.
 
     Optional (``empty``) columns are dropped when wholly null; typed columns
@@ -42,7 +50,8 @@ def clean_silver(bronze: DataFrame, tdef: TableDef, drop_empty: bool = False, st
     stable; ``_parsed`` helper columns are dropped when present; columns the
     definition does not know are kept as text.  ``strict`` fails on text that
     is no number in a numeric column; else it becomes null (``cast_failures``
-    counts it).  ``drop_empty`` runs one aggregation to find the empty optional
+    counts it).  ``formats`` gives the formats of date columns by their bronze
+    name; others are ISO.  ``drop_empty`` runs one aggregation to find the empty optional
     columns; ``build_silver`` learns them while it writes instead.
     """
     df = bronze
@@ -54,10 +63,11 @@ def clean_silver(bronze: DataFrame, tdef: TableDef, drop_empty: bool = False, st
     df = df.drop(*[c for c in helper if c in df.columns])
     df = rename_columns(df, tdef.rename)
     typed = {c.silver: c.kind for c in tdef.cols if c.kind not in ("empty", "parsed")}
+    fmt = {c.silver: (formats or {}).get(c.bronze) for c in tdef.cols}
     exprs = []
     for name in df.columns:
         col = F.col(f"`{name}`")
-        exprs.append(_cast(col, typed[name], strict).alias(name) if name in typed else col)
+        exprs.append(_cast(col, typed[name], strict, fmt[name]).alias(name) if name in typed else col)
     for name, kind in typed.items():
         if name not in df.columns:
             exprs.append(F.lit(None).cast(_spark_type(kind)).alias(name))
@@ -84,9 +94,16 @@ def cast_failures(bronze: DataFrame, tdef: TableDef) -> DataFrame:
 
 
 def build_silver(spark: SparkSession, tdef: TableDef, bronze_root: str, silver_root: str,
-                 sep: str | None = None, strict: bool = True) -> tuple[dict, list[tuple]]:
+                 sep: str | None = None, strict: bool = True, target: str | CatalogTable | None = None,
+                 infer_dates: bool = False, fail_on_nulls: bool = False) -> tuple[dict, list[tuple]]:
     """Run one silver job; returns (status row dict, null-policy rows).
 
+    The table goes to its folder under ``silver_root``, or to ``target``.  With
+    ``infer_dates`` a date column has the format of its first value, which
+    takes a pass over these columns before the one that writes.  With
+    ``fail_on_nulls`` a table whose required columns hold nulls, or lack, is not
+    published and its job failed.
+
     One pass over the bronze data in the expected case: the optional columns
     (declared as normally empty) are left out of the write while their
     non-null counts are observed together with the row count, the null-policy
@@ -97,13 +114,19 @@ def build_silver(spark: SparkSession, tdef: TableDef, bronze_root: str, silver_r
     """
     t0 = time.perf_counter()
     src = f"{bronze_root.rstrip('/')}/{tdef.bronze_file}"
-    target = f"{silver_root.rstrip('/')}/{tdef.output_path}"
+    target = target or f"{silver_root.rstrip('/')}/{tdef.output_path}"
     bronze = read_bronze(spark, src, sep=sep, splittable=tdef.splittable)
+    formats: dict = {}
+    if infer_dates:
+        placed = read_bronze(spark, src, sep=sep, splittable=tdef.splittable, place=PLACE)
+        formats = inferred_formats(placed, [c.bronze for c in tdef.cols if c.kind == "timestamp" and c.bronze in bronze.columns], PLACE)
     names = {c.bronze: c for c in tdef.cols}
     optional = [c.bronze for c in tdef.cols if c.kind == "empty" and c.bronze in bronze.columns]
-    typed = [c for b, c in names.items() if b in bronze.columns and c.kind in ("bigint", "double", "timestamp", "number_text")]
-    flags = {f"__bad_{c.silver}": cast_failed(F.col(f"`{c.bronze}`"), c.kind) for c in typed}
-    full = clean_silver(bronze.withColumns(flags) if flags else bronze, tdef, strict=strict)
+    # a strict job stops at text that is no number; what else has no silver value is counted
+    counted = ("timestamp", "number_text") if strict else ("bigint", "double", "timestamp", "number_text")
+    typed = [c for b, c in names.items() if b in bronze.columns and c.kind in counted]
+    flags = {f"__bad_{c.silver}": cast_failed(F.col(f"`{c.bronze}`"), c.kind, formats.get(c.bronze)) for c in typed}
+    full = clean_silver(bronze.withColumns(flags) if flags else bronze, tdef, strict=strict, formats=formats)
     exp = expected_nulls(tdef)
     policy = [(c, "expected", r) for c, r in exp.items()] + [(c, "required", None) for c in tdef.required_columns]
     present = sorted({c for c, _, _ in policy if c in full.columns})
@@ -114,11 +137,14 @@ def build_silver(spark: SparkSession, tdef: TableDef, bronze_root: str, silver_r
     def filled(m: dict) -> list[str]:
         return [c for c in optional if m[f"filled_{c}"] > 0]
 
-    m = write_table(full, target, metrics=metrics, drop=[*optional, *flags], skip_empty=True, publish=lambda m: not filled(m))
+    def broken(m: dict) -> list[str]:
+        return [c for c in tdef.required_columns if m.get(f"null_{c}") != 0] if fail_on_nulls else []
+
+    m = write_table(full, target, metrics=metrics, drop=[*optional, *flags], skip_empty=True, publish=lambda m: not filled(m) and not broken(m))
     if not m["rows"]:
         return ({"layer": "silver", "table": tdef.name, "status": "skipped_empty", "rows": 0,
                  "seconds": time.perf_counter() - t0, "error": None}, [])
-    if filled(m):
+    if m["rows"] and filled(m) and not broken(m):
         # an optional column holds data after all: keep it (second pass, rare by definition)
         m = write_table(full, target, metrics=metrics, drop=[*(c for c in optional if c not in filled(m)), *flags])
     rows = []
@@ -128,6 +154,9 @@ def build_silver(spark: SparkSession, tdef: TableDef, bronze_root: str, silver_r
         rows.append((tdef.name, c, kind, reason, n, status))
     rows += [(tdef.name, c.silver, "cast", f"present in the source, without a {c.kind} value", m[f"__bad_{c.silver}"], "coerced")
              for c in typed if m[f"__bad_{c.silver}"]]
+    if broken(m):
+        return ({"layer": "silver", "table": tdef.name, "status": "failed", "rows": None, "seconds": time.perf_counter() - t0,
+                 "error": f"null policy: required columns with nulls: {', '.join(broken(m))}"}, rows)
     return ({"layer": "silver", "table": tdef.name, "status": "ok", "rows": int(m["rows"]),
              "seconds": time.perf_counter() - t0, "error": None}, rows)
 

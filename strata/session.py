@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -69,3 +70,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder name under the shared checkpoint root for written tables (writers make it)."""
     return f"{checkpoint_root(spark)}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers of a local session import this package wherever the driver was started.
+
+    On a cluster the package is shipped with the job (``--py-files``) or installed.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])

@@ -2,15 +2,17 @@
 
 Files are read with an explicit all-string schema (no inference pass) so every
 column keeps its exact text until the silver casts; the missing-value tokens
-are mapped to null in one projection.  A quoted value may hold line breaks, so
-a file is one task by default.  ``splittable=True`` reads large files in
-parallel for tables declared free of quoted line breaks, and fails if a line
-with an unclosed quote shows that the declaration is wrong.
+are mapped to null in one projection.  A quoted value may hold line breaks: a
+file of more than one split is read in parallel by way of ``sources.records``,
+which finds out where records begin, a smaller one by a task of its own.
+``splittable=True`` saves that pass for tables declared free of quoted line
+breaks, and fails if a line with an unclosed quote shows that they aren't.
 """
 
 from __future__ import annotations
 
 import csv
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,14 +20,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.functions.casts import null_tokens_to_null
+from strata.session import workers_import
 from strata.sources.paths import discard, list_entries, replace, staging_path
+from strata.sources.records import csv_records, split_maps, worth_splitting
 
 __all__ = ["DEFAULT_DELIMITERS", "detect_delimiter", "header_line", "list_entries", "map_null_tokens", "pick_delimiter",
            "read_bronze", "read_csv_text", "split_header", "write_csv"]
 
 DEFAULT_DELIMITERS = (",", ";")
 #: Stands for a field without any text while a file is read, so that a quoted empty text stays one.
-NO_VALUE = "\ue000"
+#: Drawn anew by every process, so that no file holds it.
+NO_VALUE = f"\ue000{uuid.uuid4().hex}"
+#: Fields as they are written; a quote within a quoted value is doubled.
+FIELD_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+                 "nullValue": NO_VALUE, "maxCharsPerColumn": "-1"}
 
 
 def header_line(spark: SparkSession, path: str) -> str | None:
@@ -59,12 +67,15 @@ def _check_closed_quotes(spark: SparkSession, path: str) -> None:
 
 
 def read_csv_text(spark: SparkSession, path: str, sep: str | None = None,
-                  schema: StructType | None = None, splittable: bool = False) -> DataFrame:
+                  schema: StructType | None = None, splittable: bool = False, place: str | None = None) -> DataFrame:
     """Read CSV with a header as all-string columns.
 
     Without ``schema`` the column names come from the header line.  Rows with
     too many fields are cut, rows with too few are padded with null.  Blanks,
     quotes, delimiters and line breaks within quoted values are kept.
+    ``place`` names a column to add by which rows can be put in the order of
+    their file (files in the order of their paths, those read in parallel in
+    that of the paths' hashes).
     """
     header = None
     if sep is None or schema is None:
@@ -77,12 +88,40 @@ def read_csv_text(spark: SparkSession, path: str, sep: str | None = None,
         schema = StructType([StructField(n, StringType(), True) for n in split_header(header, sep)])
     if splittable:
         _check_closed_quotes(spark, path)
-    return (spark.read.schema(schema)
-            .option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
-            .option("mode", "PERMISSIVE").option("multiLine", not splittable)
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .option("nullValue", NO_VALUE).option("maxCharsPerColumn", -1).option("enforceSchema", True)
-            .csv(path))
+    elif worth_splitting(spark, path) and len(sep) == 1 and sep.isascii():
+        parallel = _read_in_parallel(spark, path, sep, schema, place)
+        if parallel is not None:
+            return parallel
+    return _read_files(spark, path, sep, schema, {"multiLine": not splittable}, place)
+
+
+def _read_files(spark: SparkSession, path: str, sep: str, schema: StructType, options: dict, place: str | None = None) -> DataFrame:
+    rows = (spark.read.schema(schema).options(**FIELD_OPTIONS).option("header", True).option("sep", sep)
+            .option("enforceSchema", True).options(**options).csv(path))
+    if place is None:
+        return rows
+    at = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    return rows.select("*", at.alias(place))
+
+
+def _read_in_parallel(spark: SparkSession, path: str, sep: str, schema: StructType, place: str | None) -> DataFrame | None:
+    """The table with every file read in splits; None if its lines end with a lone CR."""
+    row = spark.read.option("lineSep", "\n").text(path).limit(1).first()
+    first = row[0] if row else ""
+    if "\r" in first[:-1]:
+        return None
+    workers_import(spark)
+    maps = split_maps(spark, path, sep)
+    crlf = first.endswith("\r")
+    if not crlf and not any(r["opens"] for r in maps) and len(schema) > 1 and not sep.isspace():
+        return _read_files(spark, path, sep, schema, {"multiLine": False, "lineSep": "\n"}, place)  # every line is a record
+    fields = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(schema.fields))
+    parsed = F.from_csv("value", fields, {**FIELD_OPTIONS, "sep": sep, "multiLine": "true"})
+    records = csv_records(spark, path, sep, crlf, maps)
+    if place is None:
+        return records.select(F.inline(F.array(parsed))).toDF(*schema.names)
+    at = F.struct("file", "start", F.monotonically_increasing_id())
+    return records.select("value", at.alias("at")).select(F.inline(F.array(parsed)), "at").toDF(*schema.names, place)
 
 
 def map_null_tokens(df: DataFrame) -> DataFrame:

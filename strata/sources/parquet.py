@@ -7,15 +7,16 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.catalog import CatalogTable
 from strata.sources.paths import discard, replace, staging_path
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a Parquet table; a missing path fails at once with the path in the message."""
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str | CatalogTable) -> DataFrame:
+    """Read a Parquet table; a missing path or entry fails at once with its name in the message."""
+    return path.read(spark) if isinstance(path, CatalogTable) else spark.read.parquet(path)
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
+def write_table(df: DataFrame, path: str | CatalogTable, partition_by: Sequence[str] | None = None,
                 metrics: Sequence[Column] = (), drop: Sequence[str] = (), skip_empty: bool = False,
                 publish: Callable[[dict], bool] | None = None) -> dict:
     """Write ``df`` as Parquet and return observed metrics, at least ``rows``.
@@ -25,9 +26,14 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     columns that feed the metrics but are not written.  The table is written
     beside its place and replaces an earlier one only when it is complete, not
     empty (with ``skip_empty``) and accepted by ``publish`` (given the metrics).
+    A ``CatalogTable`` gets a new version and is pointed to it instead, so that
+    readers of the earlier one aren't disturbed and nothing is renamed.
     """
     spark = df.sparkSession
-    staging = staging_path(path)
+    entry = isinstance(path, CatalogTable)
+    if entry and partition_by:
+        raise ValueError(f"{path.name}: versions of a catalog table aren't partitioned")
+    staging = path.new_version(spark) if entry else staging_path(path)
     obs = Observation("strata_write")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
     if drop:
@@ -39,7 +45,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
         w.parquet(staging)
         found = dict(obs.get)
         if (found["rows"] or not skip_empty) and (publish is None or publish(found)):
-            replace(spark, staging, path)
+            path.point_to(spark, staging) if entry else replace(spark, staging, path)
             return found
     except Exception:
         discard(spark, staging)

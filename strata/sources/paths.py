@@ -6,9 +6,11 @@ through them.  Errors (rights, network, a missing folder) are raised.
 
 from __future__ import annotations
 
+import re
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _fs(spark: SparkSession, path: str):
@@ -35,6 +37,34 @@ def list_entries(spark: SparkSession, folder: str, suffix: str = "") -> list[str
     return sorted(n for n in names if n.endswith(suffix) and not n.startswith(("_", ".")))
 
 
+def find_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """(path, bytes): data files at any depth below a folder, ``path`` relative to it, whose name fits a pattern.
+
+    A scan that reads no content; large listings are made by tasks.
+    """
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        raise FileNotFoundError(f"no such folder: {root}")
+    base = fs.makeQualified(p).toString().rstrip("/")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    # local paths are written with one slash or three
+    relative = F.regexp_replace(F.regexp_replace("path", "^([a-z]+:)/+", "$1/"), "^" + re.escape(re.sub("^([a-z]+:)/+", r"\1/", base)) + "/", "")
+    return found.select(relative.alias("path"), F.col("length").alias("bytes"))
+
+
+def find_tables(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
+    """(table, files, bytes) of the tables at any depth below a folder, by the paths of their files.
+
+    With a suffix a table is the path up to the first name that ends with it (a
+    file or a folder of part files); else it is the folder that holds files,
+    without the folders of its partitions.
+    """
+    name = F.regexp_extract("path", f"^(.*?{re.escape(suffix)})(?:/|$)", 1) if suffix else (
+        F.regexp_replace(F.regexp_extract("path", "^(.*)/[^/]*$", 1), "(?:/|^)[^/=]+=.*$", ""))
+    return (find_files(spark, root).select(name.alias("table"), "bytes").where("table <> ''")
+            .groupBy("table").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes")))
+
+
 def folder_bytes(spark: SparkSession, path: str) -> tuple[int, int]:
     """(files, bytes) of a file or of the data files below a folder, from the listing alone."""
     fs, p = _fs(spark, path)
@@ -49,6 +79,22 @@ def folder_bytes(spark: SparkSession, path: str) -> tuple[int, int]:
     return files, total
 
 
+def file_lengths(spark: SparkSession, path: str) -> list[int]:
+    """Bytes of each data file at a path, below a folder or matching a pattern; empty if there is none."""
+    fs, p = _fs(spark, path)
+    out = []
+    for status in fs.globStatus(p) or []:
+        if status.isFile():
+            out.append(status.getLen())
+            continue
+        found = fs.listFiles(status.getPath(), True)
+        while found.hasNext():
+            inner = found.next()
+            if not inner.getPath().getName().startswith(("_", ".")):
+                out.append(inner.getLen())
+    return out
+
+
 def staging_path(target: str) -> str:
     """A new folder beside ``target``, hidden from listings until it replaces it."""
     root, _, name = target.rstrip("/").rpartition("/")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.sources.csv import read_csv_text, write_csv
 from strata.sources.parquet import write_table
-from strata.sources.paths import list_entries
+from strata.sources.paths import find_tables, list_entries
 
 STATUS_SCHEMA = "table string, status string, rows bigint, error string"
 
@@ -34,14 +34,17 @@ def publish_tables(spark: SparkSession, src_root: str, dst_root: str, tables: li
 
 
 def publish_layer(spark: SparkSession, src_root: str, dst_root: str, fmt: str = "parquet",
-                  domains: list[str] | None = None) -> DataFrame:
+                  domains: list[str] | None = None, recursive: bool = False) -> DataFrame:
     """Publish every table found under ``src_root`` (optionally one level of domain folders).
 
     A CSV table is an entry named ``*.csv``; a Parquet layer's tables are all its
-    entries.  A root or domain that cannot be listed is an error.
+    entries.  With ``recursive`` tables are found at any depth, by their files.
+    A root or domain that cannot be listed is an error.
     """
     suffix = ".csv" if fmt == "csv" else ""
-    if domains is None:
+    if recursive:
+        tables = sorted(r["table"] for r in find_tables(spark, src_root, suffix).select("table").collect())
+    elif domains is None:
         tables = list_entries(spark, src_root, suffix)
     else:
         tables = [f"{d}/{t}" for d in domains for t in list_entries(spark, f"{src_root}/{d}", suffix)]
