@@ -45,15 +45,27 @@ def communication_matrix(rows: list[int], shards: int, seed: int) -> np.ndarray:
 
 
 def _draw(rng: np.random.Generator, good: int, bad: int, sample: int) -> int:
-    """Hypergeometric draw; numpy's range is 10**9, larger draws are split."""
-    if good + bad < 10**9:
-        return int(rng.hypergeometric(good, bad, sample))
-    # a large population: the draw from the two halves of the sample, exact by
-    # conditioning, would recurse too deep; sampling without replacement of a
-    # huge population is drawn from the normal limit, then held in its support
-    mean = sample * good / (good + bad)
-    spread = (mean * bad / (good + bad) * (good + bad - sample) / max(1, good + bad - 1)) ** 0.5
-    return int(min(good, sample, max(0, sample - bad, round(rng.normal(mean, spread)))))
+    """Hypergeometric draw of any size: the law's distribution function, inverted.
+
+    Probabilities follow from the mode by the exact ratios of neighbours, so
+    there are no large factorials to cancel; they are summed over twelve
+    standard deviations and more, beyond which less lies than a double tells
+    from nothing.
+    """
+    low, high = max(0, sample - bad), min(good, sample)
+    total = good + bad
+    if low == high:
+        return low
+    mode = min(high, max(low, (good + 1) * (sample + 1) // (total + 2)))
+    spread = (sample * (good / total) * (bad / total) * ((total - sample) / max(1, total - 1))) ** 0.5
+    reach = int(13 * spread) + 60
+    first, last = max(low, mode - reach), min(high, mode + reach)
+    k = np.arange(first, last, dtype=np.float64)
+    # log of P(k + 1) / P(k)
+    step = np.log((good - k) / (k + 1)) + np.log((sample - k) / (bad - sample + k + 1))
+    log = np.concatenate(([0.0], np.cumsum(step)))
+    weight = np.cumsum(np.exp(log - log[mode - first]))
+    return first + int(np.searchsorted(weight, rng.random() * weight[-1], side="right"))
 
 
 def shuffle_into_shards(docs: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS, seed: int = SEED,
