@@ -124,6 +124,18 @@ def _sketch(source: DataFrame, sets: Sets) -> np.ndarray:
     return out
 
 
+def checked(threshold: float) -> float:
+    """The threshold, if the join is exact for it.
+
+    From 2/3 down, sets of one or two shingles may link with others, and sets of
+    three with ones that they share a single shingle with; the subsets of two
+    don't find these.
+    """
+    if not 2 / 3 < threshold <= 1:
+        raise ValueError(f"the join is exact for thresholds over 2/3 and up to 1, not for {threshold}")
+    return threshold
+
+
 def prefix_keys(source: DataFrame, sets: Sets, threshold: float, name: str) -> DataFrame:
     """Keys of light subsets and heavy prefixes that at least two sets share, for ``link_groups``."""
     order = Order(_sketch(source, sets))
@@ -293,6 +305,7 @@ def node_components(docs: DataFrame, threshold: float = THRESHOLD, text_col: str
             values, sizes = text_sets(data, offsets)
             yield values, sizes, fingerprints(values, sizes)
 
+    checked(threshold)
     shared = prefix_keys(texts, text_nodes, threshold, "prefixes")
     nodes = shared.select("node").distinct()
     wanted = NodeFilter(nodes, "node")

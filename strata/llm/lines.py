@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.graph import NodeFilter, link_groups, shared_keys
-from strata.llm.jaccard import crowd_pairs
+from strata.llm.jaccard import checked, crowd_pairs
 from strata.llm.store import written
 from strata.llm.text import PrefixHash, is_space, mix, row_sets, text_batches
 
@@ -132,6 +132,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """row_key, doc_id and the numbers (from 0) of the lines that go, for documents that lose any."""
+    checked(threshold)
     texts = docs.select(F.col("text").cast("string").alias("text"))
 
     def entries(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
