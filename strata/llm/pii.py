@@ -39,7 +39,8 @@ _NOT_DIGIT = re.compile(r"[^0-9]")
 _URL = re.compile(r"(?:https?|ftp)://[^\s<>\"']+|mailto:[^\s<>\"']+", re.I)
 _LABEL = re.compile(r"(?:\s{0,3}(?:no\.?|number|nr\.?|id|is|#|:|=)){0,3}\s{0,3}", re.I)
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-_VALUE = re.compile(r"(?=[A-Z0-9-]*[0-9])[A-Z0-9](?:-?[A-Z0-9]){4,33}(?![A-Za-z0-9])", re.I)
+# a value and its hyphens have 67 characters at most, so a digit is looked for within as many
+_VALUE = re.compile(r"(?=[A-Z0-9-]{0,66}[0-9])[A-Z0-9](?:-?[A-Z0-9]){4,33}(?![A-Za-z0-9])", re.I)
 
 _automaton: list[ahocorasick.Automaton] = []
 
