@@ -16,8 +16,10 @@ so equal strings have equal minimizers at equal places.
    strings assigned to it, to the minimizer's bucket (contexts that a batch
    holds several times go once).  A minimizer that very many documents have is
    split: its strings go to buckets by their own hash.
-3. A bucket sorts the suffixes that start its strings, finds the longest
-   previous factors and returns what goes, by document.
+3. A bucket sorts the suffixes that start its strings, up to the ends of their
+   contexts, with the bytes that neighbours share; previous and next smaller
+   documents give every suffix the length of its longest previous factor, and
+   where it reaches WIDTH the string goes.
 
 Equal texts are one text from the start; its first document stands for it.
 
@@ -45,7 +47,7 @@ GRAM = 20
 #: Documents with a minimizer from which its strings are dealt by their own hash.
 SPLIT_FROM = 2000
 #: Strings that a bucket sorts at once.
-SORT_ROWS = 1_000_000
+SORT_ROWS = 250_000
 
 _LAST_ID = (1 << 63) - 1
 _CONTEXT = np.dtype([("row", "<i8"), ("doc", "<i8"), ("pos", "<u4"), ("sub", "<u2"), ("n", "u1")])
@@ -84,51 +86,86 @@ def anchors(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram: int
     return row[first], grams[at[first]] >> np.uint64(16), start[first], count, hashes
 
 
-def suffix_order(data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the suffixes by their first ``width`` bytes, and which equal the one before in all of them."""
-    heads = np.lib.stride_tricks.sliding_window_view(data, width)[starts]
-    order = np.argsort(heads.view(f"S{width}").ravel(), kind="stable")
-    heads = heads[order]
-    same = np.zeros(len(order), bool)
-    same[1:] = (heads[1:] == heads[:-1]).all(axis=1)
-    return order, same
+def suffix_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes data[start:end] in order, and how many bytes each shares with the one before it.
 
-
-def previous_smaller(values: np.ndarray, joined: np.ndarray) -> np.ndarray:
-    """Place of the nearest earlier smaller value, -1 if none; joined[i] says that i still goes with i - 1."""
+    A suffix ends with its context, so all bytes are compared.
+    """
+    size = ends - starts
+    span = int(size.max())
+    short = int(starts.max()) + span - len(data)
+    if short > 0:
+        data = np.concatenate([data, np.zeros(short, np.uint8)])
+    heads = np.lib.stride_tricks.sliding_window_view(data, span)[starts]
+    heads[np.arange(span) >= size[:, None]] = 0
+    order = np.argsort(size, kind="stable")  # of suffixes alike up to zero bytes the shorter comes first
+    order = order[np.argsort(heads[order].view(f"S{span}").ravel(), kind="stable")]
+    heads, size = heads[order], size[order]
+    differ = heads[1:] != heads[:-1]
+    lcp = np.zeros(len(order), np.int64)
+    first = differ.argmax(axis=1)
+    first[~differ[np.arange(len(first)), first]] = span
+    lcp[1:] = np.minimum(first, np.minimum(size[1:], size[:-1]))
+    return order, lcp
+
+
+def previous_smaller(values: np.ndarray, joined: np.ndarray, lcp: np.ndarray | None = None):
+    """Place of the nearest earlier smaller value, -1 if none; joined[i] says that i still goes with i - 1.
+
+    With ``lcp`` also the least of it between the two, from behind the earlier
+    one up to i itself.
+    """
     n = len(values)
     group = np.cumsum(~joined)
     at = np.arange(-1, n - 1)
     at[~joined] = -1
+    low = None if lcp is None else lcp.copy()
     while True:
         look = np.flatnonzero(at >= 0)
         look = look[values[at[look]] >= values[look]]
         if not len(look):
-            return at
-        up = at[at[look]]
+            return at if low is None else (at, low)
+        over = at[look]
+        if low is not None:
+            low[look] = np.minimum(low[look], low[over])
+        up = at[over]
         at[look] = np.where((up >= 0) & (group[up] == group[look]), up, -1)
 
 
-def repeated_windows(data: np.ndarray, starts: np.ndarray, docs: np.ndarray, width: int = WIDTH) -> np.ndarray:
-    """Which of the strings data[start:start + width] also start in a smaller document.
+def nearest_smaller(values: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """Bytes shared with the nearest earlier smaller value's suffix, 0 if there is none.
 
-    The longest previous factor of a suffix is the longer of its matches with
-    the previous and the next smaller suffix; cut at ``width`` bytes, a match
-    reaches it where no shorter common prefix lies between the two.
+    ``lcp[i]`` is what suffix i shares with the one before it; what two suffixes
+    share is the least of those between them.
     """
-    out = np.zeros(len(starts), bool)
+    joined = np.ones(len(values), bool)
+    joined[:1] = False
+    at, low = previous_smaller(values, joined, lcp)
+    return np.where(at >= 0, low, 0)
+
+
+def longest_previous_factors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """For each suffix data[start:end] the most bytes of its begin that a suffix of a smaller document begins with.
+
+    In suffix order the longest match with a smaller document is that with the
+    previous or that with the next smaller one.
+    """
+    out = np.zeros(len(starts), np.int64)
     if not len(starts):
         return out
-    order, same = suffix_order(data, starts, width)
+    order, lcp = suffix_array(data, starts, ends)
     d = docs[order]
-    before = previous_smaller(d, same) >= 0
-    back = np.zeros(len(d), bool)
-    back[1:] = same[1:][::-1]
-    after = (previous_smaller(d[::-1], back) >= 0)[::-1]
-    out[order] = before | after
+    before = nearest_smaller(d, lcp)
+    after = nearest_smaller(d[::-1], np.concatenate(([0], lcp[1:][::-1])))[::-1]
+    out[order] = np.maximum(before, after)
     return out
 
 
+def repeated_windows(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, docs: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """Which of the strings data[start:start + width] also start in a smaller document: previous factors reach ``width``."""
+    return longest_previous_factors(data, starts, ends, docs) >= width
+
+
 def _first_of_equal(own: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For equal values of ``own``: which belong to a later document than the first, and one entry for each of the first's."""
     order = np.lexsort((docs, own))
@@ -338,7 +375,8 @@ def _spans(chosen: DataFrame, width: int, gram: int) -> DataFrame:
             n = meta["n"][part].astype(np.int64)
             context = np.repeat(np.arange(len(part)), n)
             inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            hit = repeated_windows(data, begin[part][context] + inside, meta["doc"][part][context], width)
+            stop = (begin[part] + length[part])[context]
+            hit = repeated_windows(data, begin[part][context] + inside, stop, meta["doc"][part][context], width)
             # runs of removed strings within a context are one span
             runs = hit.copy()
             runs[1:] &= ~(hit[:-1] & (context[1:] == context[:-1]))
