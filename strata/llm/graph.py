@@ -168,8 +168,10 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     Union-find in rounds: batches of edges are first replaced by spanning
     forests, then every node moves to its smallest neighbour and the edges
-    follow, until none is left.  Each round at least halves the nodes that
-    still have edges.  Only the number of edges reaches the driver.
+    follow, until none is left.  Nodes are hashes, in no order along a path, and
+    on such paths a round leaves a fixed share of the nodes; ids in the order
+    of a path would take a round a node.  Whether edges are left is all that
+    reaches the driver.
     """
 
     def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
