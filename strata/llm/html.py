@@ -15,7 +15,9 @@ block labelled where it is made.
 A null page is empty; a page without main blocks gives the empty text; null
 ids and urls are kept; repeated rows are read each; unclosed or unbalanced
 markup is read as browsers do in the main cases (implied ends, also of a head
-by the first tag or text that can't stand in it; ignored stray ends).  A page of any length is read whole.
+by the first tag or text that can't stand in it; ignored stray ends).  A page of
+any length is read whole, in time that grows with its length.  An empty table
+gives no rows; extra columns are dropped, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +42,8 @@ _RAW = "script|style|noscript|template|svg|textarea|select|iframe|object|canvas"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<svg(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>|<title\b[^>]*>(?:(?!<title\b).)*?</title\s*>"
     rf"|<(?P<raw>{_RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9-]*)(?P<attrs>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
+    # a quote delimits a value only behind an equals sign
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9-]*)(?P<attrs>(?:[^>=]|=(?!\s*[\"'])|=\s*\"[^\"]*\"|=\s*'[^']*')*)>"
     r"|<[!?/a-zA-Z][^>]*>", re.S | re.I)
 _ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _WORD = re.compile(r"[a-z]+")
@@ -52,6 +56,8 @@ _SCOPE = frozenset("ul ol dl table body html div section article aside nav form
 #: What may stand in a head; any other start tag ends it.
 _IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes script style template".split())
 _UNSEEN = frozenset("head title button option".split())
+#: Elements nested deeper than this don't open a further one, as in browsers; so time grows with the page alone.
+MAX_DEPTH = 512
 _LANDMARK_OUT = frozenset("nav footer aside form header menu dialog".split())
 
 
@@ -72,6 +78,8 @@ def leaf_blocks(page: str) -> list[Block]:
     linked = 0
     links = hidden = 0
     path: tuple | None = None
+    opened: Counter[str] = Counter()
+    skipped: Counter[str] = Counter()  # elements beyond the depth, whose ends are no one else's
 
     def flush() -> None:
         nonlocal linked, path
@@ -85,12 +93,14 @@ def leaf_blocks(page: str) -> list[Block]:
     def pop() -> str:
         nonlocal links, hidden
         tag = stack.pop()[0]
+        opened[tag] -= 1
         links -= tag == "a"
         hidden -= tag in _UNSEEN
         return tag
 
     at = 0
-    for m in [*_TOKEN.finditer(page), None]:
+    # nothing behind the last '>' is a tag, and looking for its end from every '<' would take long
+    for m in [*_TOKEN.finditer(page, 0, page.rfind(">") + 1), None]:
         end = m.start() if m else len(page)
         if hidden and end > at and stack[-1][0] == "head" and page[at:end].strip():
             pop()
@@ -110,7 +120,9 @@ def leaf_blocks(page: str) -> list[Block]:
         if not tag:
             continue
         if m.group("end"):
-            if any(s[0] == tag for s in stack):
+            if skipped[tag]:
+                skipped[tag] -= 1
+            elif opened[tag]:
                 if tag not in INLINE:
                     flush()
                 while stack[-1][0] != tag:
@@ -119,19 +131,19 @@ def leaf_blocks(page: str) -> list[Block]:
             elif tag == "p":
                 flush()
             continue
-        if hidden and tag not in _IN_HEAD and any(s[0] == "head" for s in stack):
+        if hidden and tag not in _IN_HEAD and opened["head"]:
             while pop() != "head":
                 pass
         if tag == "br":
             parts.append(" ")
         if tag not in INLINE:
             flush()
-            if any(s[0] == "p" for s in stack):  # a block element ends an open paragraph
+            if opened["p"]:  # a block element ends an open paragraph
                 k = max(i for i, s in enumerate(stack) if s[0] == "p")
                 if not any(s[0] in _SCOPE for s in stack[k + 1 :]):
                     while len(stack) > k:
                         pop()
-            for other in IMPLIED.get(tag, ()):
+            for other in [t for t in IMPLIED.get(tag, ()) if opened[t]]:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == other:
                         while len(stack) > i:
@@ -151,7 +163,10 @@ def leaf_blocks(page: str) -> list[Block]:
                     words += tuple(_WORD.findall("".join(value).lower()))
                 elif name == "data-y":
                     note = "".join(value)
-        if not attrs.rstrip().endswith("/") or tag not in ("path", "circle"):
+        if len(stack) >= MAX_DEPTH:
+            skipped[tag] += 1
+        elif not attrs.rstrip().endswith("/") or tag not in ("path", "circle"):
+            opened[tag] += 1
             stack.append((tag, words, note))
             links += tag == "a"
             hidden += tag in _UNSEEN
@@ -265,7 +280,7 @@ def landmark_labels(blocks: list[Block]) -> list[int] | None:
     for b in blocks:
         tags = [s[0] for s in b.path]
         inside = [i for i, t in enumerate(tags) if t in ("article", "main")]
-        outer = any(t in _LANDMARK_OUT - {"header"} for t in tags) or any(_BOILERPLATE & set(s[1]) for s in b.path)
+        outer = any(t in _LANDMARK_OUT - {"header"} for t in tags) or any(_BOILERPLATE & set(s[1]) for s in b.path if s[0] not in ("html", "body"))
         out.append(int(bool(inside) and not outer))
     return out
 
@@ -285,6 +300,27 @@ _LAYOUTS = {  # what stands around and inside an article, with the names that pa
 _HOSTS = ('<article>{}</article>', '<main>{}</main>', '<main><article>{}</article></main>', '<div class="content">{}</div>', '<div id="content">{}</div>', '<div class="post">{}</div>', '<div class="entry-content">{}</div>', '<div class="article-body">{}</div>', '<section class="story">{}</section>', '<div id="main"><div class="text">{}</div></div>', '<div>{}</div>', '<article class="post"><div class="body">{}</div></article>')
 
 
+def inset(text: str, rng: random.Random) -> str:
+    """What an article holds beside paragraphs: a table, a list of links, code, a figure, terms or a short line."""
+    words = [entities.escape(w) for w in text.split()] or ["x"]
+    few = lambda: " ".join(rng.choice(words) for _ in range(rng.randint(1, 4)))
+    cell = lambda: few() if rng.random() < 0.6 else str(rng.randint(0, 99_999))
+    kind = rng.randrange(6)
+    if kind == 0:
+        rows = ["<tr>" + "".join(f"<{c}>{cell()}</{c}>" for c in (rng.choice(("td", "th")), "td", "td")) + "</tr>" for _ in range(rng.randint(1, 4))]
+        return f"<table>{''.join(rows)}</table>"
+    if kind == 1:
+        tag = rng.choice(("ul", "ol"))
+        return f"<{tag}>" + "".join(f'<li><a href="/x">{few()}</a></li>' if rng.random() < 0.6 else f"<li>{few()}</li>" for _ in range(rng.randint(1, 4))) + f"</{tag}>"
+    if kind == 2:
+        return f"<pre>{few()}</pre>" if rng.random() < 0.5 else f"<pre><code>{few()} = {cell()}</code></pre>"
+    if kind == 3:
+        return f'<figure><img src="/x"><figcaption>{few()}</figcaption></figure>'
+    if kind == 4:
+        return "<dl>" + "".join(f"<dt>{few()}</dt><dd>{cell()}</dd>" for _ in range(rng.randint(1, 3))) + "</dl>"
+    return rng.choice(("<p>{}</p>", "<h3>{}</h3>", "<p><a href='/x'>{}</a></p>", "<blockquote>{}</blockquote>")).format(few())
+
+
 def variant(main: list[str], other: list[str], rng: random.Random) -> str:
     """A labelled page of main blocks and other texts; data-y holds the labels."""
     esc = entities.escape
@@ -314,6 +350,8 @@ def variant(main: list[str], other: list[str], rng: random.Random) -> str:
             words[i] = f'<a href="/x">{words[i]}</a>'
             text = " ".join(words)
         body.append(f"<{tag}>{text}</{tag}>")
+        if rng.random() < 0.2:
+            body.append(inset(t, rng))
     inner = []
     for b in body:
         inner.append(b)
@@ -360,16 +398,33 @@ def main_text(page: str, model: Model) -> str:
     return "\n\n".join(b.text for b, y in zip(blocks, model.decode(features(blocks))) if y)
 
 
-def train(pages: DataFrame, sample: int = SAMPLE_PAGES, max_chars: int = 200_000) -> Model:
+#: Texts for pages of our own, for tables none of whose pages says what its main text is.
+OWN_MAIN = (
+    "The river rose overnight and took the lower bridge with it.", "People in the valley had been told to expect rain, but not this much of it.",
+    "By noon the water stood at the doors of the mill.", "Three boats were sent out; two of them came back before dark.", "What the flood left",
+    "Nobody was hurt, though many lost a good part of their harvest, and the school will stay closed until the end of the month.",
+    "The council met in the church and agreed on a plan for a new bridge, higher and of stone.", "Work begins in spring.")
+OWN_OTHER = (
+    "Home News Weather Sport Archive Contact", "Sign up for our letter", "All rights reserved", "We use cookies to make this site better. Accept or change your settings.",
+    "Buy two and get the third for free until Sunday", "Most read today", "Leave a reply", "Share this page with your friends", "Log in or register to comment", "Terms and privacy")
+
+
+def train(pages: DataFrame, sample: int = SAMPLE_PAGES, max_chars: int = 200_000, own: bool = False) -> Model:
     """Fit on a bounded sample: ``sample`` pages with landmark tags, of at most ``max_chars`` characters, by a hash of the page id.
 
-    Without a labelled page there is nothing to learn from, and a table that holds pages raises.
+    Without a labelled page a table that holds pages raises, or with ``own`` the
+    model is fitted on layouts of texts of this module.  For an empty table the
+    model holds nothing.
     """
     fit_for = pages.where(F.length("html").between(1, max_chars) & F.col("html").rlike(r"(?i)<(article|main)[\s/>]")).select("page_id", "html")
     rows = hashed_sample(fit_for, "page_id", sample, fit_for.count(), 1).collect()
     labelled = training_pages([r["html"] for r in rows])
     if not labelled and not pages.where(F.length("html") > 0).isEmpty():
-        raise ValueError("no sampled page has an article or main element to learn from")
+        if not own:
+            raise ValueError("no sampled page has an article or main element to learn from")
+        around = "".join(f"<p>{t}</p>" for t in OWN_OTHER)
+        bodies = ["".join(f"<p>{t}</p>" for t in OWN_MAIN[k:] + OWN_MAIN[:k][: 8 - 2 * k]) for k in range(4)]
+        labelled = training_pages([f"<html><body><aside>{around}</aside><article>{body}</article></body></html>" for body in bodies], variants=80)
     return fit(labelled)
 
 
@@ -391,4 +446,4 @@ def extract(pages: DataFrame, model: Model) -> DataFrame:
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return extract(pages, train(pages))
+    return extract(pages, train(pages, own=True))
