@@ -12,13 +12,15 @@ whole text is scored.  Labels come only from rows whose crc32(doc_id as text)
 mod 5 is not 0.
 
 Null and empty texts are one window without words; null ids are kept; repeated
-rows are scored each; extra columns play no part; without labelled rows of
-both classes every score is the share of toxic labels (0 if there are none).
+rows are scored each; extra columns play no part, whatever their names; an empty
+table gives no rows; a text of any length is scored whole, in pieces of memory
+that its longest text bounds; without labelled rows of both classes every score
+is the share of toxic labels (0 if there are none).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,10 @@ from strata.llm.store import hashed_sample
 from strata.llm.text import PrefixHash, lower_ascii, text_batches
 
 WINDOW = 64
+#: Words from window to window, of those that are learnt from and of those that are scored: a passage
+#: of up to WINDOW - SCORE_STRIDE + 1 words lies whole in a scored window.
 STRIDE = 48
+SCORE_STRIDE = 24
 SAMPLE = 4000
 WINDOWS_PER_DOC = 12
 WORD_DIM, CHAR_DIM, HIDDEN, ATT = 10, 6, 8, 8
@@ -213,13 +218,13 @@ def _index(row_words: np.ndarray, first: np.ndarray, length: np.ndarray, padding
     return np.where(inside, row_words[np.where(inside, first[:, None] + t[None], 0)], padding)
 
 
-def score_bytes(net: Network, data: np.ndarray, offsets: np.ndarray, chunk: int = 4096) -> np.ndarray:
+def score_bytes(net: Network, data: np.ndarray, offsets: np.ndarray, chunk: int = 4096, stride: int = STRIDE) -> np.ndarray:
     """The largest window logit of each row of a byte batch."""
     low = lower_ascii(data)
     start, end, counts = word_spans(low, offsets)
     words = Words(low, start, end)
     proj = net.project(net.lookup(words.hash), char_means(words, net.p["char"]))
-    row, first, length = windows_of(counts, WINDOW, STRIDE)
+    row, first, length = windows_of(counts, WINDOW, stride)
     logits = np.empty(len(row), np.float32)
     order = np.argsort(length, kind="stable")  # windows of like length together: little padding
     for a in range(0, len(order), chunk):
@@ -230,9 +235,13 @@ def score_bytes(net: Network, data: np.ndarray, offsets: np.ndarray, chunk: int
     return best
 
 
-def fit(rows: list[tuple[int, int, str]], toxic_share: float, epochs: int = EPOCHS, seed: int = 11) -> Network | None:
+def fit(rows: list[tuple[int, int, str]], toxic_share: float, epochs: int = EPOCHS, seed: int = 11,
+        whole: Callable[[Network, list[int]], dict[int, float]] | None = None) -> Network | None:
     """A network from (document, label, window text) rows; None without both classes.
 
+    ``whole`` gives the largest logit over all windows of documents, on which
+    those held back are calibrated; without it their rows have to do.
+
     A document's label holds for its largest logit: the first epoch takes all
     windows of clean and a third of toxic documents' weight each, later ones
     take a toxic document's best window and all of a clean one's.
@@ -319,9 +328,14 @@ def fit(rows: list[tuple[int, int, str]], toxic_share: float, epochs: int = EPOC
                 history[k][rows_at] += total * total
                 net.p[k][rows_at] -= np.float32(rate) * total / np.sqrt(history[k][rows_at])
     # calibration: logistic fit of the label on a document's largest logit
-    part = np.flatnonzero(held[doc]) if len(set(label[held])) == 2 else np.arange(len(doc))
+    aside = held if len(set(label[held])) == 2 else np.ones(len(doc_ids), bool)
     best = np.full(len(doc_ids), -np.inf)
-    np.maximum.at(best, doc[part], logits_of(part))
+    if whole is not None:
+        scored = whole(net, [int(d) for d in doc_ids[aside]])
+        best[aside] = [scored.get(int(d), -np.inf) for d in doc_ids[aside]]
+    else:
+        part = np.flatnonzero(aside[doc])
+        np.maximum.at(best, doc[part], logits_of(part))
     ok = np.isfinite(best)
     x, y = best[ok], label[ok]
     wy = np.where(y == 1, toxic_share / max(1, (y == 1).sum()), (1 - toxic_share) / max(1, (y == 0).sum()))
@@ -375,15 +389,35 @@ def _training_windows(docs: DataFrame, labels: DataFrame, sample: int, per_doc:
             columns = list(zip(*out)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.string())], ["d", "y", "t"])
 
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))
-            .select("doc_id", "text", "toxic").mapInArrow(cut, "d long, y int, t string").collect())
+    # an id that stands in several rows counts once, by its smallest text
+    one = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))
+           .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic"))
+    rows = one.mapInArrow(cut, "d long, y int, t string").collect()
     return sorted((r["d"], r["y"], r["t"]) for r in rows), share
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, windows_per_doc: int = WINDOWS_PER_DOC) -> tuple[Network | None, float]:
     """The fitted network (None without both classes) and the share of toxic labels."""
     rows, share = _training_windows(docs, labels, sample, windows_per_doc)
-    return (fit(rows, share) if rows else None), share
+    return (fit(rows, share, whole=lambda net, ids: whole_logits(docs, net, ids)) if rows else None), share
+
+
+def whole_logits(docs: DataFrame, net: Network, ids: list[int]) -> dict[int, float]:
+    """The largest logit over all windows of the whole texts of some documents (no more than the sample has), scored by tasks."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(net)
+    chosen = spark.createDataFrame([(i,) for i in ids], "w_id long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.empty(batch.num_rows)
+            for i, j, data, offsets in text_batches(batch.column(1)):
+                out[i:j] = score_bytes(shared.value, data, offsets, stride=SCORE_STRIDE)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["id", "logit"])
+
+    few = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("w_id"))
+    rows = few.select("doc_id", "text").mapInArrow(run, "id long, logit double").groupBy("id").agg(F.max("logit").alias("logit")).collect()
+    return {r["id"]: r["logit"] for r in rows}
 
 
 def score(docs: DataFrame, model: tuple[Network | None, float], carry: tuple[str, ...] = ()) -> DataFrame:
@@ -398,7 +432,7 @@ def score(docs: DataFrame, model: tuple[Network | None, float], carry: tuple[str
             if net is not None:
                 a, b = net.calibration
                 for i, j, data, offsets in text_batches(text):
-                    out[i:j] = 1 / (1 + np.exp(-np.clip(a * score_bytes(net, data, offsets) + b, -500, 500)))
+                    out[i:j] = 1 / (1 + np.exp(-np.clip(a * score_bytes(net, data, offsets, stride=SCORE_STRIDE) + b, -500, 500)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64()), *batch.columns[2:]], ["doc_id", "score", *carry])
 
     fields = docs.select(*carry).schema.fields if carry else []
