@@ -20,6 +20,7 @@ length than most.  Rows that repeat an id are the same candidate, scored by its
 best row (of the query's rows too); repeats of a row with the same vector go
 before the cells are counted.  A query's own id is none of its candidates.
 Fewer candidates than asked for give fewer rows; an empty table gives none.
+Extra columns are dropped, whatever their names.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ An item with fewer than five words is one shingle of all its words, and is
 looked for among the documents' shingles of that many words.  Null or empty
 texts and items match nothing; rows with null ids are judged like others;
 repeated document rows give one row of the result; equal items are reported
-each; empty tables give no rows.
+each; empty tables give no rows.  Texts of any length are searched whole.
+Extra columns stay in the cleaned documents and are dropped from the report;
+their names clash with none of the operator's own.
 """
 
 from __future__ import annotations

@@ -20,7 +20,9 @@ by their exact sets; links are closed by union-find.  Equal sets are one node.
 Nulls and texts without words have the empty set, which links with nothing; a
 text of fewer than five words has its whole sequence as its only shingle; null
 ids are kept (with no id to offer as component); repeated rows are rows each;
-an empty table gives none.
+an empty table gives none.  A text of any length is read whole, one batch of
+bytes at a time, and its set is as large as it has shingles.  Extra columns are
+left aside, whatever their names; only ``one_of_each`` keeps them.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ Lines are what line feeds separate.  Lines of white space only are neither
 compared nor removed.  A null text has no lines and stays null; an empty text
 stays empty; a document all of whose lines go gets the empty text.  Null ids
 come last in order.  Equal rows are one document: they keep the same lines.
-Empty tables give no rows.
+Empty tables give no rows.  A text of any length is split whole, a line of any
+length is one line.  Extra columns stay; ``n_lines`` and ``n_removed`` of the
+input give way to those of the result.
 """
 
 from __future__ import annotations

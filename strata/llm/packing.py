@@ -10,7 +10,9 @@ equal pieces into runs of equal bins, and every piece then finds its place
 from its rank among the pieces of its length.
 
 Nulls and ties: a null text is empty and gives one piece (the end id alone);
-null ids are kept; repeated rows are packed each; an empty table gives none.
+null ids are kept; repeated rows are packed each; an empty table gives none.  A
+text of any length is tokenised whole and cut into as many pieces as it needs.
+Extra columns are dropped, whatever their names.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ gives the same leftmost, non-overlapping values as reading the text.
 Base kinds: email, ip, card (Luhn), phone.  The method adds url (scheme
 anchors) and account (identifier cues followed by a value; IBAN check digits
 where the value has that form).  Nulls and empty texts have no spans; repeated
-rows are separate rows; an empty table gives none.
+rows are separate rows; an empty table gives none.  A text of any length is read
+whole, in time that grows with its length.  Extra columns are dropped, whatever
+their names.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ row at most whatever the data.
 Only block and cell counts reach the driver: ``blocks`` numbers, fixed by a
 parameter.  Null ids and texts are kept (null text: size 8, crc32 of the empty
 string); repeated rows are separate rows and tied ones are interchangeable; an
-empty table gives no rows.
+empty table gives no rows; texts are read for their size and checksum only,
+whatever their length; extra columns are dropped, whatever their names.
 """
 
 from __future__ import annotations

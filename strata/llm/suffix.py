@@ -25,7 +25,9 @@ Equal texts are one text from the start; its first document stands for it.
 
 A null text is empty.  Null ids come after all others and are equal to each
 other; repeated rows are equal too, so neither removes the other.  Texts
-shorter than WIDTH bytes lose nothing.  An empty table gives no rows.
+shorter than WIDTH bytes lose nothing.  An empty table gives no rows.  A text of
+any length is cut whole; a task holds a batch's texts, so the longest one bounds
+it.  Extra columns are dropped, whatever their names.
 """
 
 from __future__ import annotations
