@@ -12,12 +12,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table into the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs only the tasks that run, and
-    a table that is read several times is computed once.
+    a table that is read several times is computed once.  The shuffle files of
+    the write are of no more use; Spark deletes them once the driver's garbage
+    collector finds their plan, which else may be long after.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
 
