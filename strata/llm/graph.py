@@ -11,27 +11,46 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.store import partitions, written
 
-#: Fields of an entry: the key, the node that has it, and 32 bits for the caller.
-ENTRY = np.dtype([("key", "<u8"), ("node", "<i8"), ("note", "<u4")])
 #: Components of a key up to which their nodes are compared by that key.
 MANY = 16
 #: Entries that a task folds at once.
 HELD_ENTRIES = 400_000
-_ENTRIES = "bucket int, key long, node long, note long, blob binary"
+#: Nodes of a piece: an entry holds 48 bits of its key and 16 that number the piece's nodes.
+PIECE_NODES = 1 << 16
+_ENTRIES = "bucket int, piece long, key long, node long, note long, entries binary, notes binary"
+_ANSWERS = "home int, piece long, key long, node long, note long, entries binary, notes binary"
 
 
-def entry_rows(key: np.ndarray, node: np.ndarray, note: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """A batch's entries as rows for ``shared_keys``.
+def _rows(n: int, first: str = "bucket", **columns: object) -> pa.RecordBatch:
+    """A batch with the columns of _ENTRIES; those that aren't given are null."""
+    types = {"at": pa.int32(), "piece": pa.int64(), "key": pa.int64(), "node": pa.int64(), "note": pa.int64(), "entries": pa.binary(), "notes": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in types.items()], [first, *list(types)[1:]])
 
-    Entries of a key that several nodes of the batch have are rows of their
+
+def _blobs(parts: np.ndarray, entries: np.ndarray, notes: np.ndarray) -> tuple[np.ndarray, list[bytes], list[bytes | None]]:
+    """The distinct ``parts`` with their entries and notes as bytes; notes that are all 0 are null."""
+    at = np.argsort(parts, kind="stable")
+    entries, notes = entries[at], notes[at]
+    ids, first = np.unique(parts[at], return_index=True)
+    cut = list(zip(first.tolist(), [*first[1:].tolist(), len(entries)]))
+    return ids, [entries[a:b].tobytes() for a, b in cut], [notes[a:b].tobytes() if notes[a:b].any() else None for a, b in cut]
+
+
+def entry_rows(key: np.ndarray, node: np.ndarray, note: np.ndarray, buckets: int, piece: int) -> Iterator[pa.RecordBatch]:
+    """A piece's entries as rows for ``shared_keys``.
+
+    Entries of a key that several nodes of the piece have are rows of their
     own, dealt to salted buckets; of every key the entry of its smallest node
-    goes on in the blob of the key's bucket.
+    goes on, as 8 bytes (and 4 where it has a note), in the blob of the key's
+    bucket.  The piece's nodes go along once, to meet the answers.
     """
+    key = key >> np.uint64(16)
     order = np.lexsort((node, key))
     key, node, note = key[order], node[order], note[order]
     fresh = np.ones(len(key), bool)
@@ -41,77 +60,111 @@ def entry_rows(key: np.ndarray, node: np.ndarray, note: np.ndarray, buckets: int
     lead[1:] = key[1:] != key[:-1]
     many = ~lead
     many[:-1] |= ~lead[1:]
-    blob = np.empty(int(lead.sum()), ENTRY)
-    blob["key"], blob["node"], blob["note"] = key[lead], node[lead], note[lead]
-    bucket = ((blob["key"] >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
-    at = np.argsort(bucket, kind="stable")
-    blob, bucket = blob[at], bucket[at]
-    ids, first = np.unique(bucket, return_index=True)
-    blobs = [blob[a:b].tobytes() for a, b in zip(first, [*first[1:], len(blob)])]
-    k, m = int(many.sum()), len(ids)
-    salt = int(key[0]) & 0xFFFF if len(key) else 0
-    none = np.zeros(m, np.int64)
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.concatenate([(np.arange(k) + salt) % buckets, ids]).astype(np.int32)),
-        pa.array(np.concatenate([key[many].view(np.int64), none])), pa.array(np.concatenate([node[many], none])),
-        pa.array(np.concatenate([note[many].astype(np.int64), none])), pa.array([None] * k + blobs, pa.binary())],
-        ["bucket", "key", "node", "note", "blob"])
+    k = int(many.sum())
+    if k:
+        yield _rows(k, at=((np.arange(k) + piece) % buckets).astype(np.int32), key=key[many].view(np.int64), node=node[many], note=note[many].astype(np.int64))
+    nodes, row = np.unique(node[lead], return_inverse=True)
+    entries = (key[lead] << np.uint64(16)) | row.astype(np.uint64)
+    ids, blobs, notes = _blobs(((entries >> np.uint64(16)) % np.uint64(buckets)).astype(np.int32), entries, note[lead])
+    yield _rows(len(ids), at=ids, piece=[piece] * len(ids), entries=blobs, notes=notes)
+    yield _rows(1, at=[piece % buckets], piece=[piece], node=[len(nodes)], entries=[nodes.tobytes()])
+
+
+def _pieces(key: np.ndarray, node: np.ndarray, note: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The entries in pieces of at most PIECE_NODES nodes."""
+    nodes, row = np.unique(node, return_inverse=True)
+    if len(nodes) <= PIECE_NODES:
+        yield key, node, note
+        return
+    order = np.argsort(row, kind="stable")
+    cuts = np.searchsorted(row[order], np.arange(0, len(nodes) + PIECE_NODES, PIECE_NODES))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        if b > a:
+            yield key[order[a:b]], node[order[a:b]], note[order[a:b]]
 
 
 def shared_keys(source: DataFrame, entries: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]],
                 name: str) -> DataFrame:
-    """key, node and note of every key that at least two nodes have.
+    """key (its upper 48 bits), node and note of every key that at least two nodes have.
 
-    ``entries`` gives (key, node, note) arrays of a batch.  All entries move
-    once, packed as blobs, to the bucket of their key; only keys met in several
-    batches are written from there, beside those shared within a batch.
+    ``entries`` gives (key, node, note) arrays of a batch.  Most keys have one
+    node, so it takes two steps: 8 bytes an entry move to the bucket of their
+    key, where keys met in several pieces are found; only for those an answer
+    goes back to the piece's nodes.  Keys that agree in 48 bits by chance make
+    candidates that verification refuses.
     """
     buckets = 2 * partitions(source.sparkSession)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        number = (task.partitionId() if task else 0) << 32
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal number
+            for piece in _pieces(*(np.concatenate(c) for c in zip(*held))):
+                yield from entry_rows(*piece, buckets, number)
+                number += 1
+
         for batch in batches:
             for part in entries(batch):
                 held.append(part)
                 size += len(part[0])
                 if size >= HELD_ENTRIES:
-                    yield entry_rows(*(np.concatenate(c) for c in zip(*held)), buckets)
+                    yield from flush()
                     held, size = [], 0
         if size:
-            yield entry_rows(*(np.concatenate(c) for c in zip(*held)), buckets)
+            yield from flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs: list[np.ndarray] = []
+        parts, notes, pieces = [], [], []
         for batch in batches:
-            rows = batch.select(["key", "node", "note"])
-            plain = pa.compute.is_null(batch.column("blob"))
-            yield rows.filter(plain)
-            blobs += [np.frombuffer(b.as_buffer(), ENTRY) for b in batch.column("blob").drop_null()]
-        if not blobs:
+            plain = pa.compute.or_(pa.compute.is_valid(batch.column("node")), pa.compute.is_null(batch.column("entries")))
+            yield pa.RecordBatch.from_arrays(batch.filter(plain).columns, ["home", *batch.schema.names[1:]])
+            found = batch.filter(pa.compute.invert(plain))
+            for blob, note, piece in zip(found.column("entries"), found.column("notes"), found.column("piece").to_pylist()):
+                parts.append(np.frombuffer(blob.as_buffer(), np.uint64))
+                notes.append(np.frombuffer(note.as_buffer(), np.uint32) if note.is_valid else np.zeros(len(parts[-1]), np.uint32))
+                pieces.append(piece)
+        if not parts:
             return
-        all_entries = np.concatenate(blobs)
-        blobs.clear()
-        order = np.argsort(all_entries["key"], kind="stable")
-        key = all_entries["key"][order]
-        lead = np.ones(len(key) + 1, bool)
-        lead[1:-1] = key[1:] != key[:-1]
-        pick = order[~(lead[:-1] & lead[1:])]  # keys that stand alone are gone from here on
-        pick = all_entries[pick]
-        key, node, note = pick["key"], pick["node"], pick["note"]
-        order = np.lexsort((node, key))
-        key, node, note = key[order], node[order], note[order]
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-        key, node, note = key[fresh], node[fresh], note[fresh]
+        numbers = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
+        met = np.concatenate(parts)
+        note = np.concatenate(notes)
+        parts.clear()
+        notes.clear()
+        order = np.argsort(met)
+        key = met[order] >> np.uint64(16)
         lead = np.ones(len(key) + 1, bool)
         lead[1:-1] = key[1:] != key[:-1]
-        keep = ~(lead[:-1] & lead[1:])
-        yield pa.RecordBatch.from_arrays([pa.array(key[keep].view(np.int64)), pa.array(node[keep]), pa.array(note[keep].astype(np.int64))], ["key", "node", "note"])
+        order = order[~(lead[:-1] & lead[1:])]  # keys that stand alone are gone from here on
+        if not len(order):
+            return
+        ids, blobs, back = _blobs(numbers[order], met[order], note[order])
+        home = np.array([pieces[k] for k in ids])
+        yield _rows(len(ids), "home", at=(home % buckets).astype(np.int32), piece=home, entries=blobs, notes=back)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes: dict[int, np.ndarray] = {}
+        found: dict[int, list] = {}
+        for batch in batches:
+            plain = pa.compute.is_null(batch.column("entries"))
+            yield batch.filter(plain).select(["key", "node", "note"])
+            rest = batch.filter(pa.compute.invert(plain))
+            for piece, names, blob, note in zip(rest.column("piece").to_pylist(), rest.column("node"), rest.column("entries"), rest.column("notes")):
+                if names.is_valid:
+                    nodes[piece] = np.frombuffer(blob.as_py(), np.int64)
+                else:
+                    e = np.frombuffer(blob.as_py(), np.uint64)
+                    found.setdefault(piece, []).append((e, np.frombuffer(note.as_py(), np.uint32) if note.is_valid else np.zeros(len(e), np.uint32)))
+        for piece, some in found.items():
+            e, note = (np.concatenate(c) for c in zip(*some))
+            yield pa.RecordBatch.from_arrays([pa.array((e >> np.uint64(16)).view(np.int64)), pa.array(nodes[piece][(e & np.uint64(0xFFFF)).astype(np.int64)]), pa.array(note.astype(np.int64))], ["key", "node", "note"])
 
     # a partition is a bucket; mapInArrow sees all of its rows
-    dealt = source.mapInArrow(emit, _ENTRIES).repartitionById(buckets, F.col("bucket"))
-    return written(dealt.mapInArrow(meet, "key long, node long, note long"), name)
+    dealt = source.mapInArrow(emit, _ENTRIES).repartitionById(buckets, F.col("bucket")).mapInArrow(meet, _ANSWERS)
+    return written(dealt.repartitionById(buckets, F.col("home")).mapInArrow(answer, "key long, node long, note long"), name)
 
 
 class NodeFilter:
@@ -163,39 +216,59 @@ def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[keep], nodes[root[keep]]
 
 
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b) as spanning forests of up to HELD_ENTRIES edges at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)))
+        size += len(batch)
+        if size >= HELD_ENTRIES:
+            held = [local_forest(*(np.concatenate(c) for c in zip(*held)))]
+            size = len(held[0][0])
+            if 2 * size >= HELD_ENTRIES:  # little is left to fold
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], ["a", "b"])
+                held, size = [], 0
+    if size:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in local_forest(*(np.concatenate(c) for c in zip(*held)))], ["a", "b"])
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node a has one edge and no b is itself an a, so that edges lead to components."""
+    ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
+    open_ = ends.groupBy("n").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 or (up > 0 and down > 0)")
+    return not open_.limit(1).count()
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """node and component (its smallest node) of every node of the edges (a, b).
 
-    Union-find in rounds: batches of edges are first replaced by spanning
+    Union-find in rounds: the edges of a task are first replaced by spanning
     forests, then every node moves to its smallest neighbour and the edges
-    follow, until none is left.  Nodes are hashes, in no order along a path, and
-    on such paths a round leaves a fixed share of the nodes; ids in the order
-    of a path would take a round a node.  Whether edges are left is all that
-    reaches the driver.
+    follow, until all that is left are stars.  Nodes are hashes, in no order
+    along a path, and on such paths a round leaves a fixed share of the nodes;
+    ids in the order of a path would take a round a node beyond what a task
+    folds.  Whether the edges are stars is all that reaches the driver.
     """
 
-    def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in local_forest(a, b)], ["a", "b"])
+    def folded(e: DataFrame) -> DataFrame:
+        return written(e.where("a <> b").distinct().mapInArrow(_forests, "a long, b long"), f"{name}-edges")
 
-    left = written(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
-                   .mapInArrow(forest, "a long, b long").distinct(), f"{name}-edges")
+    left = folded(edges.select(F.col("a").cast("long"), F.col("b").cast("long")))
     maps: list[DataFrame] = []
-    while left.limit(1).count():
+    while not _all_stars(left):
         both = left.union(left.select("b", "a"))
         up = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                      .select("node", F.least("node", "m").alias("up")), f"{name}-round")
         maps.append(up)
         x, y = up.toDF("na", "ua"), up.toDF("nb", "ub")
-        moved = (left.join(x, F.col("a") == F.col("na")).join(y, F.col("b") == F.col("nb"))
-                 .select(F.col("ua").alias("a"), F.col("ub").alias("b")).where("a <> b"))
-        left = written(moved.mapInArrow(forest, "a long, b long").distinct(), f"{name}-edges")
-    if not maps:
-        return left.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        left = folded(left.join(x, F.col("a") == F.col("na")).join(y, F.col("b") == F.col("nb"))
+                      .select(F.col("ua").alias("a"), F.col("ub").alias("b")))
     # a node's way up through the rounds; later maps hold ever fewer nodes
-    out = maps[-1].select("node", F.col("up").alias("component"))
-    for up in reversed(maps[:-1]):
+    out = left.toDF("node", "component").union(left.select("b", "b").distinct())
+    if not maps:
+        return out
+    for up in reversed(maps):
         later = out.select(F.col("node").alias("l_node"), F.col("component").alias("l_component"))
         out = (up.join(later, F.col("up") == F.col("l_node"), "left")
                .select("node", F.coalesce("l_component", "up").alias("component")))
