@@ -1,7 +1,9 @@
 """Fuzzy line dedup: one line of each component of near copies stays.
 
-Lines are compared by the set of their character shingles (SHINGLE code
-points; a shorter line is one shingle).  MinHash signatures are cut into bands
+Lines are compared by the set of their character shingles (``shingle`` code
+points; a shorter line is one shingle).  With 8 code points a changed character
+breaks 8 shingles, so only lines from 63 characters on stay alike; the query and
+the pipeline take 5 (from 39 on).  MinHash signatures are cut into bands
 that make candidates of lines alike with high recall (0.9895 at the threshold,
 rising above it); candidates are verified by the exact Jaccard index of their
 shingles; links are closed by distributed union-find.  Bands that many unlike
@@ -33,7 +35,9 @@ from strata.llm.jaccard import checked, crowd_pairs
 from strata.llm.store import written
 from strata.llm.text import PrefixHash, is_space, mix, row_sets, text_batches
 
+#: Code points of a shingle: of the functions, and of the query and the pipeline.
 SHINGLE = 8
+QUERY_SHINGLE = 5
 THRESHOLD = 0.75
 BANDS, ROWS = 12, 4
 
@@ -70,7 +74,7 @@ def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[PrefixHash, np.ndarra
     return hashes, row, number, start, end, hashes.slices(start, end).view(np.int64)
 
 
-def band_entries(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def band_entries(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(band key, node, 0) of the distinct lines of a byte batch that may have near copies."""
     hashes, _, _, start, end, node = _lines(data, offsets)
     node, first = np.unique(node, return_index=True)
@@ -79,13 +83,13 @@ def band_entries(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     node, start, end = node[order], start[order], end[order]
     chars = np.flatnonzero((data & 0xC0) != 0x80)
     a, b = np.searchsorted(chars, start), np.searchsorted(chars, end)
-    n = b - a - SHINGLE + 1
+    n = b - a - shingle + 1
     chars = np.concatenate([chars, [len(data)]])
     # One or two shingles have no near sets but equal ones, and another line has an equal set
     # only if the shingles' ends (one character shorter) repeat, as in rules and rows of dots.
     may = n >= 3
     short = np.flatnonzero((n == 1) | (n == 2))
-    x, y, z = (hashes.slices(chars[at], chars[at + SHINGLE - 1]) for at in (a[short], a[short] + 1, a[short] + n[short]))
+    x, y, z = (hashes.slices(chars[at], chars[at + shingle - 1]) for at in (a[short], a[short] + 1, a[short] + n[short]))
     may[short] = (x == y) | (x == z) | ((y == z) & (n[short] == 2))
     node, a, n = node[may], a[may], n[may]
     if not len(node):
@@ -98,7 +102,7 @@ def band_entries(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
         size = n[lo:hi]
         first_of = bounds[lo:hi] - bounds[lo]
         at = np.arange(bounds[hi] - bounds[lo]) - np.repeat(first_of, size) + np.repeat(a[lo:hi], size)
-        x = (hashes.slices(chars[at], chars[at + SHINGLE]) >> np.uint64(32)).astype(np.uint32)
+        x = (hashes.slices(chars[at], chars[at + shingle]) >> np.uint64(32)).astype(np.uint32)
         y = np.empty_like(x)
         for k in range(BANDS * ROWS):
             np.multiply(x, _FACTORS[k], out=y)
@@ -114,16 +118,16 @@ def band_entries(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate(keys), np.tile(node, BANDS), np.zeros(len(node) * BANDS, np.uint32)
 
 
-def line_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def line_sets(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of each line's set, ascending, and the sets' sizes; rows are lines."""
     hashes = PrefixHash(data)
     chars = np.flatnonzero((data & 0xC0) != 0x80)
     bounds = np.searchsorted(chars, offsets)
     size = np.diff(bounds)
-    n = np.where(size >= SHINGLE, size - SHINGLE + 1, (size > 0).astype(size.dtype))
+    n = np.where(size >= shingle, size - shingle + 1, (size > 0).astype(size.dtype))
     row = np.repeat(np.arange(len(n)), n)
     at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + bounds[row]
-    ends = np.append(chars, len(data))[np.minimum(at + SHINGLE, bounds[row + 1])]
+    ends = np.append(chars, len(data))[np.minimum(at + shingle, bounds[row + 1])]
     return row_sets(hashes.slices(chars[at], ends), n)
 
 
@@ -132,14 +136,14 @@ def _keyed(docs: DataFrame) -> DataFrame:
                        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
     """row_key, doc_id and the numbers (from 0) of the lines that go, for documents that lose any."""
     checked(threshold)
     texts = docs.select(F.col("text").cast("string").alias("text"))
 
     def entries(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         for _, _, data, offsets in text_batches(batch.column(0)):
-            yield band_entries(data, offsets)
+            yield band_entries(data, offsets, shingle)
 
     shared = shared_keys(texts, entries, "line-bands")
     wanted = NodeFilter(shared.select("node").distinct(), "node")
@@ -161,7 +165,7 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             text = dict(zip(a, batch.column(2))) | dict(zip(b, batch.column(3)))
             values, sizes = [], []
             for _, _, data, offsets in text_batches(pa.array([t.as_py() for t in text.values()], pa.string())):
-                v, s = line_sets(data, offsets)
+                v, s = line_sets(data, offsets, shingle)
                 values.append(v)
                 sizes.append(s)
             values, bounds = np.concatenate([*values, np.empty(0, np.uint64)]), np.concatenate([[0], np.cumsum(np.concatenate([*sizes, np.empty(0, np.int64)]))])
@@ -184,7 +188,7 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def line_nodes(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         nodes, comps = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
         for i, j, data, offsets in text_batches(batch.column(1)):
-            yield *line_sets(data, offsets), nodes[i:j], comps[i:j]
+            yield *line_sets(data, offsets, shingle), nodes[i:j], comps[i:j]
 
     def rest(crowd: DataFrame, leaders: bool) -> DataFrame:
         """Pairs of the lines in bands that unlike lines share, as lines around one common passage do, by exact keys."""
@@ -211,9 +215,9 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return gone.groupBy("row_key", "doc_id").agg(F.array_sort(F.collect_list("line")).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
     """The documents with their columns, ``text`` without the lines that go, plus n_lines and n_removed."""
-    gone = written(removed_lines(docs, threshold), "lines-gone").select(F.col("row_key").alias("__key"), F.col("gone").alias("__gone"))
+    gone = written(removed_lines(docs, threshold, shingle), "lines-gone").select(F.col("row_key").alias("__key"), F.col("gone").alias("__gone"))
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     split = F.split(F.col("text"), "\n", -1)
     kept = F.array_join(F.filter(split, lambda line, i: ~F.array_contains(F.col("__gone"), i.cast("long"))), "\n")
@@ -227,5 +231,5 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines before, lines removed and digest of what stays."""
-    out = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    out = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=QUERY_SHINGLE)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))

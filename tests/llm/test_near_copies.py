@@ -128,7 +128,7 @@ def test_node_filter_has_no_false_negatives(spark, rng):
     assert f.has(others).mean() < 0.02
 
 
-def brute_lines(rows):
+def brute_lines(rows, shingle=8):
     """Lines that stay, by row: the first place of each component of similar lines."""
     places = defaultdict(list)
     for at, (i, t) in enumerate(rows):
@@ -136,7 +136,7 @@ def brute_lines(rows):
             if line.strip(" \t\n\r\x0b\x0c"):
                 places[line].append((i is None, i or 0, at, k))
     texts = sorted(places)
-    sets = [{t[i : i + 8] for i in range(max(1, len(t) - 7))} for t in texts]
+    sets = [{t[i : i + shingle] for i in range(max(1, len(t) - shingle + 1))} for t in texts]
     parent = list(range(len(texts)))
     for a in range(len(texts)):
         for b in range(a):
@@ -174,6 +174,36 @@ def test_lines_equal_brute_force(spark, rng):
     assert all(got[i].n_removed == (0 if t is None else t.count("\n") - expected[i].count("\n") + (1 if got[i].n_lines == got[i].n_removed else 0)) for i, t in rows)
 
 
+def test_lines_of_the_query_equal_brute_force(spark, rng):
+    """Shingles of 5: short footers with another year link too."""
+    rows = list(enumerate(line_texts(rng) + [f"all rights reserved by the owners of this site {y}" for y in (2019, 2021, 2024)] + ["ab" * 3, "-" * 6, "-" * 9]))
+    out = lines.dedup_lines(documents(spark, rows).repartition(4), shingle=lines.QUERY_SHINGLE)
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert [got[i] for i, _ in rows] == brute_lines(rows, lines.QUERY_SHINGLE)
+    assert got[len(rows) - 5] == got[len(rows) - 4] == ""
+
+
+def test_shared_keys_equal_a_count(spark, rng, monkeypatch):
+    """Keys of several nodes, within a piece or over pieces, with their notes."""
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(graph, "HELD_ENTRIES", 50)
+    monkeypatch.setattr(graph, "PIECE_NODES", 16)
+    rows = [(rng.choice((rng.randrange(40), rng.randrange(1 << 30))) << 20, rng.randrange(-60, 60), rng.randrange(3)) for _ in range(900)]
+    rows = list({(k, n): (k, n, note) for k, n, note in rows}.values())
+
+    def entries(batch):
+        yield tuple(np.array(batch.column(c).to_pylist(), t) for c, t in ((0, np.uint64), (1, np.int64), (2, np.uint32)))
+
+    source = spark.createDataFrame(rows, "key long, node long, note long").repartition(6)
+    got = {(r.key, r.node, r.note) for r in graph.shared_keys(source, entries, "counted").collect()}
+    nodes = defaultdict(set)
+    for k, n, _ in rows:
+        nodes[k].add(n)
+    assert got == {(k >> 16, n, note) for k, n, note in rows if len(nodes[k]) > 1}
+
+
 def test_lines_of_a_crowded_passage(spark, rng, monkeypatch):
     """Many unlike lines around one passage: the exact keys find the same links."""
     monkeypatch.setattr(graph, "MANY", 2)
