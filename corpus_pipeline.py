@@ -53,7 +53,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     lines all go becomes empty.
     """
     workers_import(spark)
-    out = lines.dedup_lines(docs.select(*COLUMNS))
+    out = lines.dedup_lines(docs.select(*COLUMNS), shingle=lines.QUERY_SHINGLE)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
