@@ -2,8 +2,8 @@
 
 Lines are compared by the set of their character shingles (``shingle`` code
 points; a shorter line is one shingle).  With 8 code points a changed character
-breaks 8 shingles, so only lines from 63 characters on stay alike; the query and
-the pipeline take 5 (from 39 on).  MinHash signatures are cut into bands
+breaks 8 shingles, so only lines from 63 characters on stay alike; with 5, lines
+from 39 on do, at several times the candidates.  MinHash signatures are cut into bands
 that make candidates of lines alike with high recall (0.9895 at the threshold,
 rising above it); candidates are verified by the exact Jaccard index of their
 shingles; links are closed by distributed union-find.  Bands that many unlike
@@ -35,9 +35,8 @@ from strata.llm.jaccard import checked, crowd_pairs
 from strata.llm.store import written
 from strata.llm.text import PrefixHash, is_space, mix, row_sets, text_batches
 
-#: Code points of a shingle: of the functions, and of the query and the pipeline.
+#: Code points of a shingle, if the caller says nothing else.
 SHINGLE = 8
-QUERY_SHINGLE = 5
 THRESHOLD = 0.75
 BANDS, ROWS = 12, 4
 
@@ -231,5 +230,5 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SH
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines before, lines removed and digest of what stays."""
-    out = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=QUERY_SHINGLE)
+    out = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))

@@ -174,12 +174,12 @@ def test_lines_equal_brute_force(spark, rng):
     assert all(got[i].n_removed == (0 if t is None else t.count("\n") - expected[i].count("\n") + (1 if got[i].n_lines == got[i].n_removed else 0)) for i, t in rows)
 
 
-def test_lines_of_the_query_equal_brute_force(spark, rng):
+def test_lines_by_shorter_shingles_equal_brute_force(spark, rng):
     """Shingles of 5: short footers with another year link too."""
     rows = list(enumerate(line_texts(rng) + [f"all rights reserved by the owners of this site {y}" for y in (2019, 2021, 2024)] + ["ab" * 3, "-" * 6, "-" * 9]))
-    out = lines.dedup_lines(documents(spark, rows).repartition(4), shingle=lines.QUERY_SHINGLE)
+    out = lines.dedup_lines(documents(spark, rows).repartition(4), shingle=5)
     got = {r.doc_id: r.text for r in out.collect()}
-    assert [got[i] for i, _ in rows] == brute_lines(rows, lines.QUERY_SHINGLE)
+    assert [got[i] for i, _ in rows] == brute_lines(rows, 5)
     assert got[len(rows) - 5] == got[len(rows) - 4] == ""
 
 
@@ -202,6 +202,9 @@ def test_shared_keys_equal_a_count(spark, rng, monkeypatch):
     for k, n, _ in rows:
         nodes[k].add(n)
     assert got == {(k >> 16, n, note) for k, n, note in rows if len(nodes[k]) > 1}
+    pieces = list(graph._pieces(*(np.array(c) for c in zip(*rows))))
+    assert len(pieces) > 1 and all(len(np.unique(n)) <= 16 for _, n, _ in pieces)
+    assert sorted(tuple(map(int, e)) for p in pieces for e in zip(*p)) == sorted(rows)
 
 
 def test_lines_of_a_crowded_passage(spark, rng, monkeypatch):
