@@ -23,6 +23,11 @@ NULL_TOKENS = (
 NS_MIN = "1677-09-21 00:12:43.145225"
 NS_MAX = "2262-04-11 23:47:16.854775"
 
+# Text that the cast to a whole number takes: digits with a sign, within blanks and control characters.
+PLAIN_INTEGER = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*\z"
+# Text that begins with a year of six digits beyond those of a timestamp (294247), as large ids do.
+YEAR_TOO_FAR = r"^[\x00-\x20\x7f]*[+-]?(?:29424[89]|2942[5-9][0-9]|294[3-9][0-9]{2}|29[5-9][0-9]{3}|[3-9][0-9]{5})(?:[^0-9]|\z)"
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -56,7 +61,8 @@ def parse_timestamp(c, fmt: str | None = None) -> Column:
     """
     c = _col(c).cast("string")
     if fmt is None:
-        return c.try_cast("timestamp_ntz")
+        # the cast raises and catches an overflow on such years, which costs many times the match
+        return F.when(~c.rlike(YEAR_TOO_FAR), c.try_cast("timestamp_ntz"))
     f = F.lit(fmt)
     return F.when(F.try_to_timestamp(c, f).isNotNull(), F.to_timestamp_ntz(c, f))
 
@@ -78,10 +84,12 @@ def _exact_bigint(c: Column) -> Column:
     the number is whole if no digit but zeros stands behind the point.
     """
     text = F.trim(c.cast("string"))
+    # other text is not given to the cast: a cast that fails builds an error, which costs many times the match
+    plain = F.when(text.rlike(PLAIN_INTEGER), text.try_cast("bigint"))
     zeros = F.when(text.rlike(r"^[+-]?[0-9]+\.0*$"), F.substring_index(text, ".", 1).try_cast("bigint"))
     # a rare case of many steps: within an array function it stays out of the generated code
     shifted = F.element_at(F.transform(F.array(text), _shifted_bigint), 1)
-    return F.coalesce(text.try_cast("bigint"), zeros, F.when(text.rlike("^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{1,9})?$"), shifted))
+    return F.coalesce(plain, zeros, F.when(text.rlike("^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{1,9})?$"), shifted))
 
 
 def _shifted_bigint(text: Column) -> Column:
@@ -138,7 +146,7 @@ def cast_failed(c, kind: str, fmt: str | None = None) -> Column:
     present = c.isNotNull() & (F.lower(F.trim(c.cast("string"))) != "nan")
     value = {"bigint": lambda: nullable_bigint(c, strict=False), "double": lambda: _number(c),
              "timestamp": lambda: to_timestamp_coerce(c, fmt), "number_text": lambda: _number(c.cast("string"))}.get(kind)
-    return present & value().isNull() if value else F.lit(False)
+    return value().isNull() & present if value else F.lit(False)  # the text is looked at where there is no value
 
 
 def number_to_text(c, integral: bool = False) -> Column:

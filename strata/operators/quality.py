@@ -13,7 +13,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.casts import to_timestamp_coerce
+from strata.functions.casts import in_range, parse_timestamp
 from strata.sources.paths import folder_bytes
 
 # Name fragments that mark a column as holding a date.
@@ -253,8 +253,10 @@ def suspicious_dates(tables: Mapping[str, DataFrame], whole_token: bool = False)
                 if f.dataType.simpleString() == "string" and is_date_like_name(f.name, whole_token)]
         if not cols:
             continue
-        agg = df.agg(*[F.count(_q(c)).alias(f"v{i}") for i, c in enumerate(cols)],
-                     *[F.count(to_timestamp_coerce(_q(c))).alias(f"p{i}") for i, c in enumerate(cols)])
+        # parsed in a projection of their own, so once a value though the range asks for the result three times
+        parsed = df.select(*[F.col(f"`{c}`").alias(f"t{i}") for i, c in enumerate(cols)], *[parse_timestamp(_q(c)).alias(f"d{i}") for i, c in enumerate(cols)])
+        agg = parsed.agg(*[F.count(f"t{i}").alias(f"v{i}") for i in range(len(cols))],
+                         *[F.count_if(in_range(F.col(f"d{i}"))).alias(f"p{i}") for i in range(len(cols))])
         parts.append(agg.select(F.inline(F.array(*[
             F.struct(F.lit(name).alias("table"), F.lit(c).alias("column"),
                      F.lit("string").alias("data_type"),
