@@ -23,8 +23,8 @@ NULL_TOKENS = (
 NS_MIN = "1677-09-21 00:12:43.145225"
 NS_MAX = "2262-04-11 23:47:16.854775"
 
-# Text that the cast to a whole number takes: digits with a sign, within blanks and control characters.
-PLAIN_INTEGER = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*\z"
+# Digits with a sign, which the cast to a whole number takes within blanks and control characters, or with a fraction of zeros.
+WHOLE_NUMBER = r"^(?:[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*\z|[+-]?[0-9]+\.0*$)"
 # Text that begins with a year of six digits beyond those of a timestamp (294247), as large ids do.
 YEAR_TOO_FAR = r"^[\x00-\x20\x7f]*[+-]?(?:29424[89]|2942[5-9][0-9]|294[3-9][0-9]{2}|29[5-9][0-9]{3}|[3-9][0-9]{5})(?:[^0-9]|\z)"
 
@@ -85,11 +85,10 @@ def _exact_bigint(c: Column) -> Column:
     """
     text = F.trim(c.cast("string"))
     # other text is not given to the cast: a cast that fails builds an error, which costs many times the match
-    plain = F.when(text.rlike(PLAIN_INTEGER), text.try_cast("bigint"))
-    zeros = F.when(text.rlike(r"^[+-]?[0-9]+\.0*$"), F.substring_index(text, ".", 1).try_cast("bigint"))
+    whole = F.when(text.rlike(WHOLE_NUMBER), F.substring_index(text, ".", 1).try_cast("bigint"))
     # a rare case of many steps: within an array function it stays out of the generated code
     shifted = F.element_at(F.transform(F.array(text), _shifted_bigint), 1)
-    return F.coalesce(plain, zeros, F.when(text.rlike("^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{1,9})?$"), shifted))
+    return F.coalesce(whole, F.when(text.rlike("^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{1,9})?$"), shifted))
 
 
 def _shifted_bigint(text: Column) -> Column:

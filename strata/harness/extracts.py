@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from strata.harness.bronze_tpch import SENTINEL, bronze_customers, bronze_order_lines, bronze_orders, bronze_stock_items
 from strata.harness.tpch import read_tpch
 from strata.plans.specs import BY_NAME, TableDef
+from strata.sources.csv import write_csv
 
 OWN: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "orders": ("orders", bronze_orders), "order_lines": ("lineitem", bronze_order_lines),
@@ -49,6 +50,9 @@ LINKS = {"country_id": 5, "state_province_id": 25, "supplier_id": 100, "delivery
          "primary_contact_person_id": 150, "alternate_contact_person_id": 150, "delivery_city_id": 150, "postal_city_id": 150}
 TOKENS = ("NA", "NULL", "", "nan")
 
+#: Rows of a file of an extract, as exports are cut; a file is read by one task.
+FILE_ROWS = 250_000
+
 
 def _nullable(tdef: TableDef, silver: str) -> bool:
     return silver in tdef.expected_nulls and silver != "valid_to"
@@ -87,6 +91,11 @@ def bronze_extract(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_tpch(spark, sf_dir, source).select(*out)
 
 
+def write_extract(df: DataFrame, path: str, sep: str = ",") -> int:
+    """An extract written as exports come: CSV files of bounded length, compressed."""
+    return write_csv(df, path, sep=sep, compression="gzip", rows_per_file=FILE_ROWS)
+
+
 def silver_sql(name: str) -> str:
     """The silver rows of a derived extract, in SQL."""
     tdef = BY_NAME[name]

@@ -137,9 +137,13 @@ def read_bronze(spark: SparkSession, path: str, sep: str | None = None, **kw) ->
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", skip_empty: bool = False,
-              publish: Callable[[], bool] | None = None) -> int:
+              publish: Callable[[], bool] | None = None, compression: str | None = None, rows_per_file: int | None = None) -> int:
     """Write a CSV table (a folder of part files) with a header line; returns the row count.
 
+    With ``rows_per_file`` a task goes on in a new file after so many rows.  Such
+    files can be compressed (``gzip`` and the like) and are still read in
+    parallel, each whole by one task.
+
     The count is observed during the write, not computed by a second pass.  The
     folder replaces an earlier one only when it is complete and accepted by
     ``publish``; with ``skip_empty`` an empty result leaves the earlier one as
@@ -149,8 +153,9 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", skip_empty: bool = False
     staging = staging_path(path)
     obs = Observation("strata_csv")
     try:
+        options = {k: v for k, v in (("compression", compression), ("maxRecordsPerFile", rows_per_file)) if v is not None}
         (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-         .write.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
+         .write.options(**options).option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(staging))
         rows = int(obs.get["rows"])
         if (rows or not skip_empty) and (publish is None or publish()):

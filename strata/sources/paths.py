@@ -79,18 +79,22 @@ def folder_bytes(spark: SparkSession, path: str) -> tuple[int, int]:
     return files, total
 
 
-def file_lengths(spark: SparkSession, path: str) -> list[int]:
-    """Bytes of each data file at a path, below a folder or matching a pattern; empty if there is none."""
+def file_lengths(spark: SparkSession, path: str, but: tuple[str, ...] = ()) -> list[int]:
+    """Bytes of each data file at a path, below a folder or matching a pattern; empty if there is none.
+
+    Files whose names end with one of ``but`` are left out.
+    """
     fs, p = _fs(spark, path)
     out = []
     for status in fs.globStatus(p) or []:
         if status.isFile():
-            out.append(status.getLen())
+            if not status.getPath().getName().endswith(but):
+                out.append(status.getLen())
             continue
         found = fs.listFiles(status.getPath(), True)
         while found.hasNext():
             inner = found.next()
-            if not inner.getPath().getName().startswith(("_", ".")):
+            if not inner.getPath().getName().startswith(("_", ".")) and not inner.getPath().getName().endswith(but):
                 out.append(inner.getLen())
     return out
 

@@ -30,6 +30,8 @@ from strata.sources.paths import file_lengths
 PIECES = "file long, start long, part int, heading boolean, value binary"
 RECORDS = "file long, start long, value binary"
 MAPS = "file long, start long, length long, from_record boolean, from_value boolean, opens boolean"
+#: Ends of the names of compressed files.
+COMPRESSED = (".gz", ".bz2", ".deflate", ".lz4", ".snappy", ".zst")
 _MAP_COLUMNS = [f.split()[0] for f in MAPS.split(", ")]
 
 
@@ -278,8 +280,8 @@ def csv_records(spark: SparkSession, path: str, sep: str, crlf: bool, maps: list
 
 
 def worth_splitting(spark: SparkSession, path: str) -> bool:
-    """Whether the largest file at a path is more than one split of a scan."""
-    lengths = file_lengths(spark, path)
+    """Whether the largest file at a path is more than one split of a scan; compressed files can't be split."""
+    lengths = file_lengths(spark, path, but=COMPRESSED)
     if not lengths:
         return False
     number = lambda key, default: int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key, default)))
