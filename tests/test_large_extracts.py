@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from strata.harness import extracts, queries
 from strata.harness.extracts import write_extract
 from strata.sources.csv import read_csv_text
+from strata.sources.parquet import write_table
+from strata.sources.paths import folder_bytes
 from strata.sources.records import worth_splitting
 
 
@@ -49,3 +51,11 @@ def test_landed_files_are_bounded(spark, tmp, monkeypatch):
     out = queries.silver_incremental(spark, sf)
     assert len(glob.glob(f"{tmp}/scratch/landing/part-*")) == 6
     assert sorted(r.order_id for r in out.collect()) == list(range(1, 901))
+
+
+def test_tables_are_written_small(spark, tmp):
+    df = spark.range(0, 100_000, 1, 1).select((F.col("id") * 100 + F.col("id") % 7).alias("k"), F.concat(F.lit("Part "), (F.col("id") * 7919 % 60_000).cast("string")).alias("t"))
+    write_table(df, f"{tmp}/t")
+    df.write.option("compression", "snappy").parquet(f"{tmp}/session")
+    assert spark.read.parquet(f"{tmp}/t").exceptAll(df).isEmpty()
+    assert folder_bytes(spark, f"{tmp}/t")[1] < 0.8 * folder_bytes(spark, f"{tmp}/session")[1]
