@@ -6,7 +6,7 @@ import time
 import numpy as np
 import pytest
 
-from strata.llm import jaccard, lines, pii, sharding, suffix
+from strata.llm import jaccard, lines, pii, sharding, suffix, toxicity
 
 from .conftest import documents
 
@@ -102,3 +102,28 @@ def test_personal_data_in_hostile_texts_takes_time_in_proportion():
         t0 = time.perf_counter()
         pii.find_spans(piece * (300_000 // len(piece)))
         assert time.perf_counter() - t0 < 8, piece
+
+
+def test_toxicity_scores_in_little_memory_and_moves_texts_once(spark, monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    docs = documents(spark, [(1, "Some words"), (2, None)])
+    scored = toxicity.score(docs, (None, 0.25), ("lang", "text", "source"))
+    assert "carry_2" not in scored._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(tuple, scored.collect()), key=str) == [(1, 0.25, "en", "Some words", "src1"), (2, 0.25, "en", None, "src2")]
+    tasks = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, task, schema: tasks.append(task) or self)
+    toxicity.score(docs, (toxicity.Network(np.zeros(0, np.uint64)), 0.25), ("text",))
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)) for _ in range(800)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(800), pa.int64()), pa.array(texts)], ["in_id", "in_text"])
+    tracemalloc.start()
+    try:
+        out = list(tasks[0](iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(b.num_rows for b in out) == 800 and out[0].column(2).equals(batch.column(1))
+    assert peak < 60e6, peak  # 81 MB with batches of 1 MB
