@@ -284,3 +284,38 @@ def test_previous_smaller_equals_a_scan(rng):
                 j -= 1
             want = j if j < i and v[j] < v[i] else -1
             assert got[i] == want
+
+
+def test_components_in_one_task_and_in_rounds(spark, rng, monkeypatch):
+    """Few edges are folded in one stage; the rounds that more of them take give the same components."""
+    edges = [(rng.randrange(400) - 200, rng.randrange(400) - 200) for _ in range(420)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    few = graph.components(df)
+    assert few.inputFiles() and len(few.inputFiles()) == 1
+    want = sorted(map(tuple, few.collect()))
+    monkeypatch.setattr(graph, "HELD_ENTRIES", 10)
+    assert sorted(map(tuple, graph.components(df).collect())) == want
+
+
+def test_pairs_move_only_the_sets_that_they_need(spark):
+    """Sets of no pair are dropped before the joins that shuffle them, and none that a pair has."""
+    values = spark.range(0, 1 << 16).select((F.col("id") * 1_000_003 * 4_099 - 5).alias("node"), F.col("id").cast("string").alias("set"))
+    nodes = [r.node for r in values.where("cast(set as long) % 4096 < 2").orderBy(F.expr("cast(set as long)")).collect()]
+    pairs = spark.createDataFrame(list(zip(nodes[::2], nodes[1::2])), "a long, b long")
+    got = graph.with_both(pairs, values, "set").collect()
+    assert sorted((r.a, r.b) for r in got) == sorted(zip(nodes[::2], nodes[1::2])) and all(int(r.set_b) == int(r.set_a) + 1 for r in got)
+    kept = graph.may_have(values, "node", spark.createDataFrame([(n,) for n in nodes], "n long")).where("__may")
+    assert {r.node for r in kept.collect()} >= set(nodes) and kept.count() < 1 << 10
+    assert graph.may_have(values, "node", spark.createDataFrame([], "n long")).where("__may").count() == 0
+
+
+def test_sets_and_shared_counts_equal_python_sets(rng):
+    import numpy as np
+
+    from strata.llm.text import row_sets, shared_counts
+    for _ in range(40):
+        rows = [[rng.randrange(9) << 40 for _ in range(rng.randrange(6))] for _ in range(rng.randrange(1, 9))]
+        values, sizes = row_sets(np.array(sum(rows, []), np.uint64), np.array([len(r) for r in rows], np.int64))
+        assert values.tolist() == [v for r in rows for v in sorted(set(r))] and sizes.tolist() == [len(set(r)) for r in rows]
+        x, y = (np.array([rng.randrange(len(rows)) for _ in range(600)]) for _ in "xy")
+        assert shared_counts(values, np.append(0, np.cumsum(sizes)), x, y).tolist() == [len(set(rows[i]) & set(rows[j])) for i, j in zip(x, y)]
