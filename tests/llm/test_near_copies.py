@@ -309,6 +309,18 @@ def test_pairs_move_only_the_sets_that_they_need(spark):
     assert graph.may_have(values, "node", spark.createDataFrame([], "n long")).where("__may").count() == 0
 
 
+def test_texts_that_lose_no_line_are_not_shuffled(spark, rng):
+    """Only documents that may lose lines meet the table of what goes; the others pass by a broadcast bit."""
+    rows = [(i, sentence(rng, 60)) for i in range(2000)] + [(9000, "kept\n\n" + sentence(rng, 30)), (9001, None), (9002, "")]
+    twice = [(9500, rows[5][1] + "\nits own last line of text"), (9501, rows[6][1])]
+    out = lines.dedup_lines(documents(spark, rows + twice))
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in out.collect()}
+    assert got[9500] == ("its own last line of text", 2, 1) and got[9501] == ("", 1, 1)
+    assert got[9000] == (rows[2000][1], 3, 0) and got[9001] == (None, 0, 0) and got[9002] == ("", 1, 0)
+    assert all(got[i] == (t, 1, 0) for i, t in rows[:2000])
+    assert "__may" in out._jdf.queryExecution().analyzed().toString()
+
+
 def test_sets_and_shared_counts_equal_python_sets(rng):
     import numpy as np
 
@@ -319,3 +331,11 @@ def test_sets_and_shared_counts_equal_python_sets(rng):
         assert values.tolist() == [v for r in rows for v in sorted(set(r))] and sizes.tolist() == [len(set(r)) for r in rows]
         x, y = (np.array([rng.randrange(len(rows)) for _ in range(600)]) for _ in "xy")
         assert shared_counts(values, np.append(0, np.cumsum(sizes)), x, y).tolist() == [len(set(rows[i]) & set(rows[j])) for i, j in zip(x, y)]
+
+
+def test_entries_without_notes_are_packed_without_them(spark):
+    import numpy as np
+
+    key, node = np.arange(1000, dtype=np.uint64) << np.uint64(33), np.arange(1000, dtype=np.int64)
+    sizes = [sum(len(b) for b in graph.entry_rows(key, node, np.zeros(1000, np.uint32), 4, e).column("blob").to_pylist() if b) for e in (graph.ENTRY, graph.PLAIN_ENTRY)]
+    assert sizes == [20_000, 16_000]
