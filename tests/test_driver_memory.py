@@ -103,3 +103,9 @@ def test_only_what_is_large_in_memory_is_shuffled(spark, tables):
         assert not exceeds_broadcast(texts)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_customers_cities_and_contacts_stay_off_the_driver(views, tables):
+    out = gold.dim_customer(tables, mean_digits=6)
+    assert max([0, *broadcast_bytes(out)]) <= LIMIT
+    assert same_rows(out, gold.dim_customer(views, mean_digits=6))
