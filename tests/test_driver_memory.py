@@ -1,5 +1,7 @@
 """Gold jobs over written tables: what is broadcast stays below Spark's threshold, however small the files are."""
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +111,12 @@ def test_customers_cities_and_contacts_stay_off_the_driver(views, tables):
     out = gold.dim_customer(tables, mean_digits=6)
     assert max([0, *broadcast_bytes(out)]) <= LIMIT
     assert same_rows(out, gold.dim_customer(views, mean_digits=6))
+
+
+def test_tables_of_a_catalog_stay_off_the_driver(spark, views, tmp):
+    database = f"strata_memory_{uuid.uuid4().hex[:8]}"
+    tables = written(spark, views, tmp, database)
+    for name in ("fact_orders", "dim_geography", "dim_supplier", "fact_purchases"):
+        out = gold.GOLD_BUILDERS[name](tables)
+        assert max([0, *broadcast_bytes(out)]) <= LIMIT
+        assert same_rows(out, gold.GOLD_BUILDERS[name](views))
