@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.harness.tpch import SOURCE_OF, silver_tables
-from strata.operators.joins import exceeds_broadcast
+from strata.operators.joins import exceeds_broadcast, header_detail_join, lookup_join
 from strata.plans import gold
 from strata.plans.runner import silver_inputs, silver_target
 from strata.sources.parquet import write_table
@@ -120,3 +120,17 @@ def test_tables_of_a_catalog_stay_off_the_driver(spark, views, tmp):
         out = gold.GOLD_BUILDERS[name](tables)
         assert max([0, *broadcast_bytes(out)]) <= LIMIT
         assert same_rows(out, gold.GOLD_BUILDERS[name](views))
+
+
+def test_shuffled_joins_keep_rows_of_null_and_repeated_keys(spark):
+    facts = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (4, 9), (5, None), (5, None)], "id bigint, k bigint")
+    dim = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "n"), (3, None)], "k bigint, v string")
+    for how in ({}, {"null_safe": True}, {"few_keys": True}):
+        plain, shuffled = (lookup_join(facts, dim, "k", attrs=["v"], shuffled=s, **how) for s in (False, True))
+        assert sorted(map(str, shuffled.collect())) == sorted(map(str, plain.collect()))
+    lines = dim.withColumnRenamed("v", "line")
+    plain = sorted(map(str, header_detail_join(facts, lines, "k", ["line"]).collect()))
+    for observed in (False, True):
+        out = header_detail_join(facts, lines, "k", ["line"], observed=observed, shuffled=True)
+        assert sorted(map(str, out.collect())) == plain
+        assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
